@@ -1,0 +1,27 @@
+"""Broadcast only behind a proven size bound.
+
+``bounded_broadcast`` checks the row count of a candidate side with a
+capped count (``limit(max_rows + 1).count()``: the scan stops early, the
+work is bounded by the cap, not by the table) and hints a broadcast only
+when the side is at most ``max_rows``.  Beyond the bound the side is
+returned unhinted, so Catalyst/AQE plans a shuffle join instead.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Default row bound for a broadcast dimension (zones, calendar hours,
+# parameter grids, one-row aggregates); a few MB at most.
+DEFAULT_MAX_BROADCAST_ROWS = 200_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+
