@@ -118,10 +118,11 @@ def run_stats(rows: DataFrame, cal: DataFrame | None = None) -> DataFrame:
             .cast("int").alias("peak_hour_index")))
     if cal is None:
         return stats
-    lookup = bounded_broadcast(
-        cal.select(F.col("hour_index").alias("peak_hour_index"),
-                   F.col("datetime").alias("peak_datetime"),
-                   F.col("timestamp").alias("peak_timestamp")), MAX_BROADCAST_HOURS)
+    # one row per run against one row per calendar hour: both sides are
+    # small per row; AQE turns this into a broadcast join from measured sizes
+    lookup = cal.select(F.col("hour_index").alias("peak_hour_index"),
+                        F.col("datetime").alias("peak_datetime"),
+                        F.col("timestamp").alias("peak_timestamp"))
     return stats.join(lookup, on="peak_hour_index", how="left").select(
         "sim_id", "annual_total_heating_j", "nonzero_hour_count", "nonzero_zone_observation_count",
         "peak_hour_total_heating_j", "peak_hour_index", "peak_datetime", "peak_timestamp")

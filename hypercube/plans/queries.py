@@ -15,6 +15,7 @@ from hypercube.operators import hourly, runs as runs_ops, timing, zones
 from hypercube.plans import dashboard
 from hypercube.plans import oracle_sql as o
 from hypercube.plans.study import BATCH_SIZE, Study
+from hypercube.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -250,7 +251,7 @@ def q_normalize_names(spark, sf_dir):
     identifiers; equal results get ``_2``, ``_3`` in (source, name) order."""
     st = Study(spark, sf_dir)
     fx = st.fx
-    t = lambda name: spark.table(name)
+    t = lambda name: read_table(spark, sf_dir, name)
     parts = [
         t("orders").select(F.lit("orderpriority").alias("source"), F.col("o_orderpriority").alias("name")),
         t("orders").select(F.lit("orderstatus"), F.col("o_orderstatus")),

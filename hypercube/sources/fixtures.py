@@ -10,9 +10,13 @@ of them does any of the work the library's operators do.
 
 from __future__ import annotations
 
+import os
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
-from hypercube.sources.tables import register_tables
+from hypercube.session import work_dir
+from hypercube.sources.tables import BASE_TABLES, register_tables
 
 # name -> (SELECT body, fixtures it reads)
 FIXTURE_SQL: dict[str, tuple[str, tuple[str, ...]]] = {
@@ -105,21 +109,50 @@ def with_fixtures(names, body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
+_MATERIALIZED: dict[tuple[str, str, str], str] = {}
+
+
+def _base_tables(sql: str) -> list[str]:
+    words = set(re.findall(r"[a-z_]+", sql))
+    return [t for t in BASE_TABLES if t in words]
+
+
 class Fixtures:
-    """Lazily built fixture DataFrames over one ``sf_dir``."""
+    """Fixture DataFrames over one ``sf_dir``.
+
+    Each fixture is computed once per process and data directory and written
+    as zstd Parquet below the shared checkpoint folder; queries then scan it
+    like any study table (column pruning and filters reach the scan).
+    """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
-        register_tables(spark, sf_dir)
-        self._made: set[str] = set()
+        self.materialize = materialize
+        self._frames: dict[str, DataFrame] = {}
+
+    def _compute(self, name: str) -> DataFrame:
+        sql, deps = FIXTURE_SQL[name]
+        register_tables(self.spark, self.sf_dir, _base_tables(sql))
+        for d in deps:
+            self[d].createOrReplaceTempView(d)
+        return self.spark.sql(sql)
 
     def __getitem__(self, name: str) -> DataFrame:
-        for n in _ordered([name]):
-            if n not in self._made:
-                self.spark.sql(FIXTURE_SQL[n][0]).createOrReplaceTempView(n)
-                self._made.add(n)
-        return self.spark.table(name)
+        if name in self._frames:
+            return self._frames[name]
+        if not self.materialize:
+            df = self._compute(name)
+        else:
+            key = (self.spark.sparkContext.applicationId, os.path.abspath(self.sf_dir), name)
+            path = _MATERIALIZED.get(key)
+            if path is None:
+                path = work_dir(self.spark, name)
+                self._compute(name).write.option("compression", "zstd").parquet(path)
+                _MATERIALIZED[key] = path
+            df = self.spark.read.parquet(path)
+        self._frames[name] = df
+        return df
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("fx_"):

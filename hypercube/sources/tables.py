@@ -15,9 +15,18 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+_READS: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan; column pruning and filters reach the scan through Catalyst."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    """Parquet scan; column pruning and filters reach the scan through Catalyst.
+
+    The DataFrame (a plan, not data) is reused per application and path.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(table_path(sf_dir, name))
+    return _READS[key]
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=BASE_TABLES) -> None:
