@@ -80,12 +80,17 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("compression", "zstd").parquet(path)
 
 
-def write_sparse(sparse: DataFrame, path: str, mode: str = "errorifexists",
-                 partitions: int | None = None) -> None:
-    """Range-partition on sim_id, sort within partitions, zstd Parquet."""
-    n = partitions or sparse.sparkSession.sparkContext.defaultParallelism
-    (sparse.repartitionByRange(n, "sim_id")
-     .sortWithinPartitions("sim_id", "hour_index", "zone_id")
+def write_sparse(df: DataFrame, path: str, mode: str = "errorifexists",
+                 partitions: int | None = None,
+                 sort_cols: tuple[str, ...] = ("sim_id", "hour_index", "zone_id")) -> None:
+    """Range-partition on sim_id, sort within partitions, zstd Parquet.
+
+    Files hold disjoint sim_id ranges and row groups are sorted, so a
+    filter on one run prunes files and row groups; no global sort.
+    """
+    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    (df.repartitionByRange(n, "sim_id")
+     .sortWithinPartitions(*sort_cols)
      .write.mode(mode).option("compression", "zstd").parquet(path))
 
 

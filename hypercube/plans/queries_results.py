@@ -1 +1,147 @@
-"""Registered queries (filled below)."""
+"""Registered queries: simulator results, CSV/Parquet round trips, JSON model."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from hypercube.operators import hourly, results
+from hypercube.plans import dashboard
+from hypercube.plans import oracle_sql as o
+from hypercube.plans.queries import register
+from hypercube.plans.study import Study
+from hypercube.session import work_dir
+from hypercube.sources import csv as csv_src
+from hypercube.sources.model_json import explode_model
+
+RAW = ("fx_raw_output",)
+
+HEADER_ZONE = "trim(split_part(header, ' IDEAL LOADS AIR', 1))"
+
+CTE_ZONE_MAP = """
+zm AS (SELECT zone_name, is_heated, z_level, area_sqm,
+  CASE WHEN NOT is_heated THEN 'EXCLUDED'
+       WHEN z_level = (SELECT min(z_level) FROM fx_zone WHERE is_heated) THEN 'GROUND'
+       WHEN z_level = (SELECT max(z_level) FROM fx_zone WHERE is_heated) THEN 'TOP'
+       ELSE 'MIDDLE' END AS cluster FROM fx_zone)"""
+
+
+def _cte_intensity(match: str) -> str:
+    return f"""
+ze AS (SELECT r.sim_id, z.zone_name, z.cluster, z.area_sqm, sum(r.joules) AS joules
+  FROM fx_raw_output r JOIN zm z ON {match}
+  WHERE z.is_heated AND contains(r.header, 'Heating Energy') GROUP BY 1, 2, 3, 4),
+zi AS (SELECT ze.sim_id, ze.zone_name, ze.cluster,
+  {o.re_sql('((ze.joules / 3600000.0E0) / d.cop) / ze.area_sqm', 2)} AS kwh_sqm
+  FROM ze JOIN fx_design d ON ze.sim_id = d.sim_id)"""
+
+
+EXACT = f"trim(split_part(r.header, ' IDEAL LOADS AIR', 1)) = upper(z.zone_name)"
+SUBSTR = "contains(r.header, upper(z.zone_name))"
+
+
+@register("parse_hourly_headers", o.q(RAW, select=f"""
+SELECT sim_id, h, 'zone_' || {HEADER_ZONE} AS zone_label, CAST(sum(joules) AS FLOAT) AS value
+FROM fx_raw_output WHERE contains(header, 'Heating Energy') GROUP BY 1, 2, 3"""))
+def q_parse_hourly_headers(spark, sf_dir):
+    """Heating columns by header text (P5), zone from header (F6),
+    columns per zone summed, renamed and narrowed (P6, P8)."""
+    return results.parse_hourly(Study(spark, sf_dir).fx.fx_raw_output)
+
+
+@register("zone_intensity", o.q(RAW + ("fx_zone", "fx_design"), CTE_ZONE_MAP, _cte_intensity(EXACT),
+                                select="SELECT * FROM zi"))
+def q_zone_intensity(spark, sf_dir):
+    """A1 + J17 + J19 + F8: kWh/m2 per run and heated zone (exact header match)."""
+    st = Study(spark, sf_dir)
+    energy = results.zone_energy_exact(st.fx.fx_raw_output, st.zone_mapping)
+    return results.zone_intensity(energy, st.design)
+
+
+@register("substring_zone_match", o.q(RAW + ("fx_zone", "fx_design"), CTE_ZONE_MAP, _cte_intensity(SUBSTR),
+                                      select="SELECT * FROM zi"))
+def q_substring_zone_match(spark, sf_dir):
+    """The legacy zone match (zone name anywhere in the header)."""
+    st = Study(spark, sf_dir)
+    energy = results.zone_energy_substring(st.fx.fx_raw_output, st.zone_mapping)
+    return results.zone_intensity(energy, st.design)
+
+
+_DESIGN_SEL = ", ".join(f"d.{c}" for c in ("sim_id",) + o.DESIGN_COLS)
+
+
+@register("run_summary", o.q(RAW + ("fx_zone", "fx_design"), CTE_ZONE_MAP, _cte_intensity(EXACT), f"""
+kp AS (SELECT sim_id, avg(kwh_sqm) FILTER (WHERE cluster = 'GROUND') AS g,
+  avg(kwh_sqm) FILTER (WHERE cluster = 'MIDDLE') AS m, avg(kwh_sqm) FILTER (WHERE cluster = 'TOP') AS t
+  FROM zi GROUP BY sim_id)""", select=f"""
+SELECT {_DESIGN_SEL},
+  CASE WHEN kp.sim_id IS NOT NULL THEN {o.re_sql('coalesce(kp.g, 0.0E0)', 2)} END AS kwh_sqm_ground,
+  CASE WHEN kp.sim_id IS NOT NULL THEN {o.re_sql('coalesce(kp.m, 0.0E0)', 2)} END AS kwh_sqm_middle,
+  CASE WHEN kp.sim_id IS NOT NULL THEN {o.re_sql('coalesce(kp.t, 0.0E0)', 2)} END AS kwh_sqm_top
+FROM (SELECT DISTINCT sim_id FROM fx_raw_output) r JOIN fx_design d ON r.sim_id = d.sim_id
+LEFT JOIN kp ON d.sim_id = kp.sim_id"""))
+def q_run_summary(spark, sf_dir):
+    """C9 + A2 + P18 + P19: the per-run KPI row the workers write."""
+    st = Study(spark, sf_dir)
+    raw = st.fx.fx_raw_output
+    energy = results.zone_energy_exact(raw, st.zone_mapping)
+    return results.run_summary(results.zone_intensity(energy, st.design), st.design, raw)
+
+
+@register("union_by_name_batches", o.q(("fx_timing",), select="""
+SELECT batch_id, sim_id, input_format, energyplus_sec,
+  CASE WHEN batch_id % 3 = 2 THEN NULL ELSE model_load_sec END AS model_load_sec,
+  sim_total_sec, energyplus_returncode FROM fx_timing ORDER BY sim_id"""))
+def q_union_by_name_batches(spark, sf_dir):
+    """S1 + S2 + U1 + O1 + S8: timing rows written as CSV by three worker
+    versions (reordered header, a column left out), read back per header
+    group, unioned by name, ordered by sim_id."""
+    st = Study(spark, sf_dir)
+    t = st.timing
+    root = work_dir(spark, "timing-csv")
+    cols = t.columns
+    variants = {0: cols, 1: list(reversed(cols)), 2: [c for c in cols if c != "model_load_sec"]}
+    paths = []
+    for g, vc in variants.items():
+        p = os.path.join(root, f"group_{g}")
+        csv_src.write_csv(t.where(F.col("batch_id") % 3 == g).select(*vc), p)
+        paths.append(p)
+    return csv_src.read_csv_union(spark, paths, csv_src.type_map(t)).select(*cols).orderBy("sim_id")
+
+
+@register("scan_pruned_point", o.q(o.HOURLY_FX, select="""
+SELECT sim_id, datetime, zone_click FROM fx_hourly_wide WHERE sim_id = 42"""))
+def q_scan_pruned_point(spark, sf_dir):
+    """S3 + S4 + P12 + P4 (+ S10): the hourly table compacted to zstd Parquet
+    clustered by sim_id, then one run's column subset read back; the filter
+    and the column list reach the Parquet scan."""
+    st = Study(spark, sf_dir)
+    path = work_dir(spark, "hourly-compacted")
+    dashboard.write_sparse(st.hourly_wide, path, sort_cols=("sim_id", "datetime"))
+    return (spark.read.parquet(path).where(F.col("sim_id") == 42)
+            .select("sim_id", "datetime", "zone_click"))
+
+
+@register("compaction_roundtrip", o.q(o.HOURLY_FX + o.ZONE_FX, o.CTE_ZONES, o.cte_hourly(), o.cte_sparse(),
+                                      select="SELECT * FROM sp"))
+def q_compaction_roundtrip(spark, sf_dir):
+    """C14 + S9-S16: export the whole bundle (nine tables, two views,
+    manifest) as zstd Parquet, then read the sparse fact back."""
+    st = Study(spark, sf_dir)
+    root = work_dir(spark, "bundle")
+    paths = dashboard.export_bundle(root, design=st.design, zone_mapping=st.zone_mapping,
+                                    hourly_wide=st.hourly_wide, summary=st.summary, timing=st.timing)
+    return spark.read.parquet(paths["hourly_sparse"])
+
+
+@register("json_objects", o.q(("fx_json",), select="""
+SELECT event_id, c.key AS object_class, n.key AS object_name, f.key AS field, CAST(f.value AS VARCHAR) AS value
+FROM fx_json, json_each(doc) c, json_each(c.value) n, json_each(n.value) f"""))
+def q_json_objects(spark, sf_dir):
+    """S6 + F14: model documents parsed and exploded to one row per field."""
+    st = Study(spark, sf_dir)
+    return explode_model(st.fx.fx_json, "doc", ["event_id"])
+
+
+__all__ = ["hourly"]
