@@ -1 +1,344 @@
-"""Registered queries (filled below)."""
+"""Registered queries: zone mapping, sampling, schedules, scenario edits."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from hypercube.functions.timefmt import (heating_switch_times, shading_window_from_close,
+                                         shading_window_symmetric)
+from hypercube.operators import sampling, scenario
+from hypercube.plans import oracle_sql as o
+from hypercube.plans.queries import register
+from hypercube.plans.study import Study
+from hypercube.session import work_dir
+
+re_ = o.re_sql
+
+# --- oracle building blocks ------------------------------------------------
+
+CTE_MODEL_MAP = f"""
+geo AS (SELECT zone_name, sum(w * d) AS area, avg(z) AS avg_z FROM fx_floor WHERE lower(surface_type) = 'floor' GROUP BY zone_name),
+mb AS (SELECT m.zone_name, coalesce(m.has_thermostat, false) AS is_heated, {re_('coalesce(g.avg_z, 0.0E0)', 2)} AS z_level,
+  {re_('CASE WHEN coalesce(g.area, 0.0E0) = 0 THEN 20.0E0 ELSE coalesce(g.area, 0.0E0) END', 2)} AS area_sqm
+  FROM fx_model_zone m LEFT JOIN geo g ON m.zone_name = g.zone_name),
+mzm AS (SELECT zone_name, is_heated, z_level, area_sqm,
+  CASE WHEN NOT is_heated THEN 'EXCLUDED'
+       WHEN z_level = (SELECT min(z_level) FROM mb WHERE is_heated) THEN 'GROUND'
+       WHEN z_level = (SELECT max(z_level) FROM mb WHERE is_heated) THEN 'TOP'
+       ELSE 'MIDDLE' END AS cluster FROM mb)"""
+MODEL_MAP_FX = ("fx_model_zone", "fx_floor")
+
+
+def _levels_sql(tag: str, p) -> str:
+    k = int(round((float(p.hi) - float(p.lo)) / float(p.step)))
+    return (f"SELECT '{tag}' AS p, {re_(f'{float(p.lo)!r}E0 + k * {float(p.step)!r}E0', 3)} AS factor "
+            f"FROM range(0, {k + 1}) r(k)")
+
+
+def _lv(*names: str) -> str:
+    parts = [_levels_sql(n, scenario.param(n)) for n in names]
+    return "lv AS (" + " UNION ALL ".join(parts) + " UNION ALL SELECT 'none', 1.0E0)"
+
+
+CTE_LAYERS = """
+lp AS (SELECT construction_id, layer_ord, material_id,
+  CAST(row_number() OVER (PARTITION BY construction_id ORDER BY layer_ord) AS INTEGER) AS layer_pos,
+  count(*) OVER (PARTITION BY construction_id) AS n_layers FROM fx_layer WHERE material_id IS NOT NULL)"""
+
+CTE_FIRST_TOUCH = """
+cand AS (SELECT s.surface_ord, s.surface_type, l.layer_ord, m.material_id, m.conductivity, m.density, m.thickness
+  FROM fx_surface s JOIN lp l ON s.construction_id = l.construction_id JOIN fx_material m ON l.material_id = m.material_id
+  WHERE lower(s.outside_boundary) = 'outdoors' AND l.layer_pos < l.n_layers AND m.conductivity > 0.05E0),
+ftr AS (SELECT *, row_number() OVER (PARTITION BY material_id ORDER BY surface_ord, layer_ord) AS rk FROM cand),
+ft AS (SELECT material_id, surface_ord, layer_ord,
+  CASE lower(surface_type) WHEN 'wall' THEN 1 WHEN 'roof' THEN 2 WHEN 'ceiling' THEN 2 ELSE 0 END AS factor_class,
+  conductivity, density, thickness, surface_type FROM ftr WHERE rk = 1)"""
+FT_FX = ("fx_surface", "fx_layer", "fx_material")
+
+CTE_GLAZING = """
+par AS (SELECT surface_ord AS parent_surface FROM fx_surface WHERE zone_name IN (SELECT zone_name FROM mzm WHERE cluster <> 'EXCLUDED')),
+gw AS (SELECT w.window_ord, w.glazing_id, g.kind, g.u_factor, g.conductivity FROM fx_window w
+  JOIN par ON w.parent_surface = par.parent_surface JOIN fx_glazing g ON w.glazing_id = g.glazing_id
+  WHERE w.glazing_id NOT IN (SELECT material_id FROM ft)),
+gr AS (SELECT *, row_number() OVER (PARTITION BY glazing_id ORDER BY window_ord) AS rk FROM gw),
+gft AS (SELECT glazing_id, window_ord, kind, u_factor, conductivity FROM gr WHERE rk = 1)"""
+GLZ_FX = FT_FX + MODEL_MAP_FX + ("fx_window", "fx_glazing")
+
+MAT_DELTAS_SELECT = f"""
+SELECT ft.material_id, ft.surface_ord, ft.surface_type, ft.layer_ord,
+  CASE ft.factor_class WHEN 1 THEN 'f_wall' WHEN 2 THEN 'f_roof' END AS factor_param, lv.factor, ft.thickness,
+  ft.conductivity AS old_conductivity, {re_('ft.conductivity * lv.factor', 4)} AS new_conductivity,
+  ft.density AS old_density, {re_('ft.density * (1.0E0 + (lv.factor - 1) * 0.5E0)', 1)} AS new_density
+FROM ft JOIN lv ON lv.p = CASE ft.factor_class WHEN 1 THEN 'f_wall' WHEN 2 THEN 'f_roof' ELSE 'none' END"""
+
+GLZ_DELTAS_SELECT = f"""
+SELECT gft.glazing_id, gft.window_ord, gft.kind, 'f_win' AS factor_param, lv.factor,
+  gft.u_factor AS old_u_factor, {re_('gft.u_factor * lv.factor', 3)} AS new_u_factor,
+  gft.conductivity AS old_conductivity, {re_('gft.conductivity * lv.factor', 4)} AS new_conductivity
+FROM gft JOIN lv ON lv.p = 'f_win'"""
+
+
+def _model(st: Study):
+    fx = st.fx
+    return fx.fx_surface, fx.fx_layer, fx.fx_material
+
+
+# --- zones ------------------------------------------------------------------
+
+
+@register("zone_mapping", o.q(MODEL_MAP_FX, CTE_MODEL_MAP, select="SELECT * FROM mzm"))
+def q_zone_mapping(spark, sf_dir):
+    """Model zones -> heated flag (thermostats), floor area and level from
+    floor polygons (F12, A9), cluster by heated z extremes (A10, P14, P19)."""
+    return Study(spark, sf_dir).model_zone_mapping
+
+
+# --- sampling ---------------------------------------------------------------
+
+
+def _lhs_oracle(final: str) -> str:
+    vals = ", ".join(f"('{p.name}', {float(p.lo)!r}E0, {float(p.hi)!r}E0, {float(p.step)!r}E0)"
+                     for p in sampling.SPACE_12)
+    snap = re_("round_even((lo + u * ((CASE WHEN hi > lo THEN hi ELSE hi + 1e-7 END) - lo)) / step, 0) * step", 3)
+    ctes = f"""
+ps(name, lo, hi, step) AS (VALUES {vals}),
+lg AS (SELECT r.sim_id, p.name, p.lo, p.hi, p.step,
+  md5('42:' || p.name || ':' || CAST(r.sim_id AS VARCHAR)) AS h,
+  CAST(('0x' || substr(md5('42:j:' || p.name || ':' || CAST(r.sim_id AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0E0 AS jitter
+  FROM fx_design r, ps p),
+st AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY h, sim_id) AS stratum FROM lg),
+un AS (SELECT *, (stratum - 1 + jitter) / (SELECT count(*) FROM fx_design) AS u FROM st),
+val AS (SELECT *, {snap} AS value FROM un)"""
+    return o.q(("fx_design",), ctes, select=final)
+
+
+def _lhs_pivot() -> str:
+    cols = []
+    for p in sampling.SPACE_12:
+        v = f"max(value) FILTER (WHERE name = '{p.name}')"
+        cols.append(f"CAST({v} AS INTEGER) AS {p.name}" if p.is_int else f"{v} AS {p.name}")
+    return f"SELECT sim_id, {', '.join(cols)} FROM val GROUP BY sim_id"
+
+
+@register("lhs_design", _lhs_oracle(_lhs_pivot()))
+def q_lhs_design(spark, sf_dir):
+    """A seeded Latin Hypercube design over the study's runs (12-parameter
+    space): stratum permutation (W5), jitter, scale and step snap (F7, F16), pivot."""
+    st = Study(spark, sf_dir)
+    return sampling.lhs_design(st.design.select("sim_id"), sampling.SPACE_12, seed=42)
+
+
+@register("lhs_stratum_check", _lhs_oracle("""
+SELECT name, count(*) AS n_runs, count(DISTINCT CAST(floor(u * (SELECT count(*) FROM fx_design)) AS BIGINT)) AS n_strata,
+  CAST(min(stratum) AS INTEGER) AS min_stratum, CAST(max(stratum) AS INTEGER) AS max_stratum,
+  min(value) AS min_value, max(value) AS max_value,
+  count(DISTINCT CAST(floor(u * (SELECT count(*) FROM fx_design)) AS BIGINT)) = count(*) AS all_once
+FROM val GROUP BY name"""))
+def q_lhs_stratum_check(spark, sf_dir):
+    """W5 property: every parameter hits each of the n strata exactly once."""
+    runs = Study(spark, sf_dir).design.select("sim_id")
+    return sampling.stratum_check(sampling.lhs_long(runs, sampling.SPACE_12, 42), runs)
+
+
+# --- schedules ----------------------------------------------------------------
+
+SQL_TIMES = """
+CASE WHEN hours <= 4 THEN '08:00' WHEN hours <= 8 THEN printf('%02d:00', 10 - (hours - 4)) ELSE '06:00' END AS morning_start,
+CASE WHEN hours <= 4 THEN '08:00' ELSE '10:00' END AS morning_end,
+CASE WHEN hours <= 4 THEN printf('%02d:00', 22 - hours) WHEN hours <= 8 THEN '18:00' ELSE printf('%02d:00', 22 - (hours - 4)) END AS evening_start,
+'22:00' AS evening_end"""
+
+
+@register("heating_hours_schedule", o.q(("fx_design",), select=f"""
+SELECT sim_id, hours, {SQL_TIMES} FROM fx_design"""))
+def q_heating_hours_schedule(spark, sf_dir):
+    """heating-hours selector -> four switch times per run."""
+    d = Study(spark, sf_dir).design
+    return d.select("sim_id", "hours", heating_switch_times("hours").alias("t")).select("sim_id", "hours", "t.*")
+
+
+@register("shading_schedule_close", o.q(("fx_design",), select="""
+SELECT sim_id, s_hours, s_close, printf('%02d:00', s_close - s_hours) AS open, printf('%02d:00', s_close) AS close FROM fx_design"""))
+def q_shading_schedule_close(spark, sf_dir):
+    """shading window ending at the close hour."""
+    d = Study(spark, sf_dir).design
+    return d.select("sim_id", "s_hours", "s_close",
+                    shading_window_from_close("s_hours", "s_close").alias("w")).select(
+        "sim_id", "s_hours", "s_close", "w.*")
+
+
+def _hm(x: str) -> str:
+    h = f"CAST(trunc({x}) AS INTEGER)"
+    return f"printf('%02d:%02d', {h}, CAST(trunc(({x} - {h}) * 60.0E0) AS INTEGER))"
+
+
+@register("shading_schedule_symmetric", o.q(("fx_design",), select=f"""
+SELECT sim_id, s_hours, {_hm('(14.0E0 - s_hours / 2.0E0)')} AS open, {_hm('(14.0E0 + s_hours / 2.0E0)')} AS close FROM fx_design"""))
+def q_shading_schedule_symmetric(spark, sf_dir):
+    """F4 (IDF variant): shading window centred on 14:00."""
+    d = Study(spark, sf_dir).design
+    return d.select("sim_id", "s_hours", shading_window_symmetric("s_hours").alias("w")).select(
+        "sim_id", "s_hours", "w.*")
+
+
+def _fields_sql(items: list[tuple[str, str]]) -> str:
+    return "[" + ", ".join(f"{{'t': {t}, 'n': {n}}}" for t, n in items) + "]"
+
+
+def _sched_oracle() -> str:
+    T = lambda s: (f"'{s}'", "CAST(NULL AS DOUBLE)")
+    U = lambda e: (f"'Until: ' || {e}", "CAST(NULL AS DOUBLE)")
+    N = lambda e: ("CAST(NULL AS VARCHAR)", f"CAST({e} AS DOUBLE)")
+
+    def day(lo, hi):
+        return [U("ms"), N(lo), U("me"), N(hi), U("es"), N(lo), U("ee"), N(hi), T("Until: 24:00"), N(lo)]
+
+    def seasonal(lo, hi):
+        return ([T("Through: 31 Mar"), T("For: AllDays")] + day(lo, hi)
+                + [T("Through: 30 Nov"), T("For: AllDays"), T("Until: 24:00"), N(lo)]
+                + [T("Through: 31 Dec"), T("For: AllDays")] + day(lo, hi))
+    shading = [T("Through: 31 Dec"), T("For: AllDays"), U("so"), N("shgc"), U("sc"), N("0.0E0"),
+               T("Until: 24:00"), N("shgc")]
+    scheds = [("Master_Shading_S", "On/Off", shading),
+              ("Master_Heating_Setpoint_S", "Temperature", seasonal("12.0E0", "setpoint")),
+              ("Master_Heating_Availability_S", "Fraction", seasonal("0.0E0", "1.0E0"))]
+    parts = [f"SELECT sim_id, '{n}' AS schedule_name, '{lim}' AS type_limits, {_fields_sql(f)} AS f FROM t"
+             for n, lim, f in scheds]
+    ctes = f"""
+t AS (SELECT sim_id, shgc, setpoint, {SQL_TIMES.replace(' AS morning_start', ' AS ms').replace(' AS morning_end', ' AS me').replace(' AS evening_start', ' AS es').replace(' AS evening_end', ' AS ee')},
+  printf('%02d:00', s_close - s_hours) AS so, printf('%02d:00', s_close) AS sc FROM fx_design),
+sl AS ({' UNION ALL '.join(parts)})"""
+    return o.q(("fx_design",), ctes, select="""
+SELECT sim_id, schedule_name, type_limits, CAST(generate_subscripts(f, 1) AS INTEGER) AS field_ord,
+  unnest(f).t AS field_text, unnest(f).n AS field_number FROM sl""")
+
+
+@register("compact_schedules", _sched_oracle())
+def q_compact_schedules(spark, sf_dir):
+    """C5 + F13: the three compact schedules of every run, one row per field."""
+    return scenario.schedule_rows(Study(spark, sf_dir).design)
+
+
+@register("schedule_assignments", o.q(("fx_model_zone",), select="""
+SELECT 'ThermostatSetpoint:DualSetpoint' AS object_class, zone_name AS object_name,
+  'heating_setpoint_temperature_schedule_name' AS field, 'Master_Heating_Setpoint_S' AS new_value FROM fx_model_zone WHERE has_thermostat
+UNION ALL SELECT 'ZoneHVAC:IdealLoadsAirSystem', zone_name, 'heating_availability_schedule_name', 'Master_Heating_Availability_S'
+FROM fx_model_zone WHERE has_thermostat"""))
+def q_schedule_assignments(spark, sf_dir):
+    """Sibling updates, every thermostat and ideal-loads system of a
+    conditioned zone points at the new schedules (run-independent)."""
+    mz = Study(spark, sf_dir).fx.fx_model_zone
+    conditioned = mz.where(F.col("has_thermostat")).select("zone_name")
+    return scenario.schedule_assignments(conditioned, conditioned)
+
+
+# --- layers and materials -------------------------------------------------------
+
+
+@register("layer_stack", o.q(("fx_layer",), CTE_LAYERS, select="""
+SELECT construction_id, layer_ord, layer_pos, material_id, layer_pos < n_layers AS editable FROM lp"""))
+def q_layer_stack(spark, sf_dir):
+    """F19 + W6: ordered layers per construction, the innermost not editable."""
+    return scenario.layer_positions(Study(spark, sf_dir).fx.fx_layer)
+
+
+@register("material_first_touch", o.q(FT_FX, CTE_LAYERS, CTE_FIRST_TOUCH, select="SELECT * FROM ft"))
+def q_material_first_touch(spark, sf_dir):
+    """W3 + J13: the first outdoor surface and layer reaching each aged material."""
+    return scenario.material_first_touch(*_model(Study(spark, sf_dir)))
+
+
+@register("material_deltas", o.q(FT_FX, CTE_LAYERS, CTE_FIRST_TOUCH, _lv("f_wall", "f_roof"),
+                                 select=MAT_DELTAS_SELECT))
+def q_material_deltas(spark, sf_dir):
+    """C3 + F10: the opaque-material edit dictionary per factor level."""
+    ft = scenario.material_first_touch(*_model(Study(spark, sf_dir)))
+    return scenario.material_deltas(ft)
+
+
+@register("glazing_deltas", o.q(GLZ_FX, CTE_LAYERS, CTE_FIRST_TOUCH, CTE_MODEL_MAP, CTE_GLAZING, _lv("f_win"),
+                                select=GLZ_DELTAS_SELECT))
+def q_glazing_deltas(spark, sf_dir):
+    """C4 + J14 + F11: the glazing edit dictionary per window factor level."""
+    st = Study(spark, sf_dir)
+    ft = scenario.material_first_touch(*_model(st))
+    fx = st.fx
+    gft = scenario.glazing_first_touch(fx.fx_window, fx.fx_surface, st.model_zone_mapping,
+                                       fx.fx_glazing, ft)
+    return scenario.glazing_deltas(gft)
+
+
+@register("scenario_change_log", o.q(GLZ_FX, CTE_LAYERS, CTE_FIRST_TOUCH, CTE_MODEL_MAP, CTE_GLAZING,
+                                     _lv("f_wall", "f_roof", "f_win"), f"""
+md AS ({MAT_DELTAS_SELECT}), gd AS ({GLZ_DELTAS_SELECT})""", select="""
+SELECT factor_param, factor, upper(surface_type) AS type, CAST(material_id AS VARCHAR) AS mat_id,
+  'Layer ' || CAST(layer_ord AS VARCHAR) AS layer, CAST(thickness AS DOUBLE) AS thickness,
+  old_conductivity AS old_val, new_conductivity AS new_val, old_density AS old_dens, new_density AS new_dens FROM md
+UNION ALL
+SELECT factor_param, factor, 'WINDOW', CAST(glazing_id AS VARCHAR), 'Glass', CAST(NULL AS DOUBLE),
+  coalesce(old_conductivity, old_u_factor), coalesce(new_conductivity, new_u_factor), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE) FROM gd"""))
+def q_scenario_change_log(spark, sf_dir):
+    """C7 + U1: material and window edits in the legacy change-log shape."""
+    st = Study(spark, sf_dir)
+    ft = scenario.material_first_touch(*_model(st))
+    fx = st.fx
+    gft = scenario.glazing_first_touch(fx.fx_window, fx.fx_surface, st.model_zone_mapping,
+                                       fx.fx_glazing, ft)
+    return scenario.change_log(scenario.material_deltas(ft), scenario.glazing_deltas(gft))
+
+
+def _flow_objects(mz):
+    inf = mz.select(F.lit(scenario.INFILTRATION).alias("object_class"), F.col("zone_name").alias("object_name"),
+                    "zone_name", F.lit(None).cast("double").alias("air_changes_per_hour"))
+    vent = mz.select(F.lit(scenario.VENTILATION), "zone_name", "zone_name", F.lit(None).cast("double"))
+    return inf.unionByName(vent.toDF(*inf.columns))
+
+
+@register("airflow_deltas", o.q(("fx_model_zone",), _lv("inf", "vent"), select="""
+SELECT o.object_class, o.zone_name AS object_name, lv.p AS factor_param, lv.factor, m.volume, m.zone_name,
+  'Flow/Zone' AS design_flow_rate_calculation_method, (lv.factor * m.volume) / 3600.0E0 AS design_flow_rate
+FROM (SELECT 'ZoneInfiltration:DesignFlowRate' AS object_class, 'inf' AS p, zone_name FROM fx_model_zone
+      UNION ALL SELECT 'ZoneVentilation:DesignFlowRate', 'vent', zone_name FROM fx_model_zone) o
+JOIN fx_model_zone m ON o.zone_name = m.zone_name JOIN lv ON lv.p = o.p WHERE m.volume IS NOT NULL"""))
+def q_airflow_deltas(spark, sf_dir):
+    """C6 + J15 + F9 + P20: infiltration/ventilation edit dictionary per ACH level."""
+    mz = Study(spark, sf_dir).fx.fx_model_zone
+    return scenario.airflow_deltas(_flow_objects(mz), mz)
+
+
+@register("gain_deltas", o.q(("fx_model_zone",), _lv("misc"), select="""
+SELECT 'OtherEquipment' AS object_class, m.zone_name AS object_name, 'misc' AS factor_param, lv.factor,
+  'Watts/Area' AS design_level_calculation_method, lv.factor AS power_per_zone_floor_area
+FROM fx_model_zone m JOIN lv ON lv.p = 'misc'"""))
+def q_gain_deltas(spark, sf_dir):
+    """C6 + P20: internal-gain edit dictionary per gain level."""
+    mz = Study(spark, sf_dir).fx.fx_model_zone
+    eq = mz.select(F.col("zone_name").alias("object_name"), F.lit(None).cast("double").alias("design_level"))
+    return scenario.gain_deltas(eq)
+
+
+@register("assembly_u_value", o.q(FT_FX, CTE_LAYERS, f"""
+pl AS (SELECT s.surface_ord, s.surface_type, m.thickness, m.conductivity FROM fx_surface s
+  LEFT JOIN lp l ON s.construction_id = l.construction_id LEFT JOIN fx_material m ON l.material_id = m.material_id
+  WHERE lower(s.outside_boundary) = 'outdoors'),
+ag AS (SELECT surface_ord, surface_type, count(conductivity) AS n_materials,
+  coalesce(sum(CASE WHEN conductivity <> 0 THEN thickness / conductivity END), 0.0E0) AS r,
+  max(CASE WHEN conductivity = 0 THEN 1 ELSE 0 END) AS bad FROM pl GROUP BY 1, 2)""", select=f"""
+SELECT surface_ord, surface_type, n_materials, {re_('0.17E0 + r', 6)} AS r_total,
+  CASE WHEN bad = 1 THEN 0.0E0 ELSE {re_('1.0E0 / (0.17E0 + r)', 3)} END AS u_value,
+  surface_ord = min(surface_ord) OVER (PARTITION BY surface_type) AS first_of_type FROM ag"""))
+def q_assembly_u_value(spark, sf_dir):
+    """A15 (legacy): assembly U-value of every outdoor surface."""
+    return scenario.assembly_u_value(*_model(Study(spark, sf_dir)))
+
+
+@register("scenario_delta_json")
+def q_scenario_delta_json(spark, sf_dir):
+    """One JSON document per run (factor levels + schedules), written as
+    text to the shared folder and read back (rows-only check)."""
+    st = Study(spark, sf_dir)
+    path = work_dir(spark, "scenario-json")
+    scenario.scenario_documents(st.design).select("doc").write.text(path)
+    back = spark.read.text(path)
+    return back.select(F.get_json_object("value", "$.sim_id").cast("int").alias("sim_id"),
+                       F.col("value").alias("doc"))
