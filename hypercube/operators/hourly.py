@@ -79,14 +79,19 @@ def with_row_aggregates(wide: DataFrame, zones: list[str] | None = None) -> Data
             .withColumn("nonzero_cells", nonzero.cast("int")))
 
 
-def reference_run(indexed: DataFrame) -> Column:
-    """Scalar subquery: the run whose stamps define the calendar (lowest sim_id)."""
-    return indexed.agg(F.min("sim_id")).scalar()
+def reference_run(wide: DataFrame) -> Column:
+    """Scalar subquery: the run whose stamps define the calendar (lowest sim_id).
 
+    Taken on the unindexed rows: a one-column scan with a partial min."""
+    return wide.agg(F.min("sim_id")).scalar()
 
-def calendar(indexed: DataFrame) -> DataFrame:
-    """hour_index -> (datetime text, timestamp) taken from the reference run."""
-    ref = indexed.where(F.col("sim_id") == reference_run(indexed))
+
+def calendar(indexed: DataFrame, wide: DataFrame | None = None) -> DataFrame:
+    """hour_index -> (datetime text, timestamp) taken from the reference run.
+
+    The filter on the run pushes below the hour-index window, so only the
+    reference run's rows are numbered."""
+    ref = indexed.where(F.col("sim_id") == reference_run(indexed if wide is None else wide))
     return (ref.groupBy("hour_index")
             .agg(F.min_by("datetime", "datetime").alias("datetime"))
             .withColumn("timestamp", hour24_timestamp("datetime"))
@@ -181,7 +186,7 @@ def hourly_marts(wide: DataFrame, zone_catalog: DataFrame, check_labels: bool =
         assert_known_zone_labels(wide, zone_catalog)
     base = wide.select(F.col("sim_id").cast("int").alias("sim_id"), "datetime", *zones)
     indexed = with_row_aggregates(with_hour_index(base), zones)
-    cal = calendar(indexed)
+    cal = calendar(indexed, base)
     return {
         "indexed": indexed,
         "calendar": cal,
