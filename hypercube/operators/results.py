@@ -39,6 +39,20 @@ def parse_hourly(raw: DataFrame) -> DataFrame:
                     zone_label("zone_key").alias("zone_label"), F.col("_j").cast("float").alias("value")))
 
 
+def hourly_wide(raw: DataFrame) -> DataFrame:
+    """C8 + P18: raw output -> the wide hourly table the workers write:
+    ``sim_id, datetime, zone_<ZONE>`` (float), one row per run and stamp.
+
+    The zone columns are the distinct heating-column zones of the output (a
+    schema-sized list), pivoted with an explicit value list.
+    """
+    heat = heating_rows(raw)
+    keys = sorted(r.zone_key for r in heat.select("zone_key").distinct().collect())
+    wide = (heat.groupBy("sim_id", "datetime").pivot("zone_key", keys).agg(F.sum("joules")))
+    return wide.select(F.col("sim_id").cast("int"), "datetime",
+                       *[F.col(k).cast("float").alias(f"zone_{k}") for k in keys])
+
+
 def header_catalog(raw: DataFrame) -> DataFrame:
     """Per zone key, how many heating columns the output has and which."""
     heads = heating_rows(raw).select("zone_key", "header").distinct()

@@ -13,6 +13,7 @@ from hypercube.plans.queries import register
 from hypercube.plans.study import Study
 from hypercube.session import work_dir
 from hypercube.sources import csv as csv_src
+from hypercube.sources import raw_output
 from hypercube.sources.model_json import explode_model
 
 RAW = ("fx_raw_output",)
@@ -89,6 +90,30 @@ def q_run_summary(spark, sf_dir):
     return results.run_summary(results.zone_intensity(energy, st.design), st.design, raw)
 
 
+_STAMP_SQL = ("concat(' 01/', lpad(CAST(CAST(floor(h / 24) AS INT) + 1 AS STRING), 2, '0'), '  ', "
+              "lpad(CAST(h % 24 + 1 AS STRING), 2, '0'), ':00:00')")
+_RAW_ZONES = ("CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW")
+
+
+@register("raw_output_scan", o.q(RAW, f"""
+rw AS (SELECT sim_id, {_STAMP_SQL} AS datetime, {HEADER_ZONE} AS zk, joules FROM fx_raw_output)""", select=f"""
+SELECT sim_id, datetime, {", ".join(f"CAST(coalesce(sum(joules) FILTER (WHERE zk = '{z}'), 0.0E0) AS FLOAT) AS zone_{z}" for z in _RAW_ZONES)}
+FROM rw GROUP BY sim_id, datetime"""))
+def q_raw_output_scan(spark, sf_dir):
+    """S5 + C8 + P18: simulator-style CSV files, one folder per run, read in
+    one scan (run id from the file path), unpivoted, heating columns kept,
+    pivoted back to the wide hourly table."""
+    st = Study(spark, sf_dir)
+    raw = st.fx.fx_raw_output
+    stamp = F.expr(_STAMP_SQL)
+    heads = sorted(r.header for r in raw.select("header").distinct().collect())
+    per_run = (raw.withColumn("Date/Time", stamp).groupBy("sim_id", "Date/Time")
+               .pivot("header", heads).agg(F.sum("joules")).na.fill(0.0))
+    root = work_dir(spark, "raw-output")
+    raw_output.write_run_files(per_run, root)
+    return results.hourly_wide(raw_output.read_raw_output(spark, root))
+
+
 @register("union_by_name_batches", o.q(("fx_timing",), select="""
 SELECT batch_id, sim_id, input_format, energyplus_sec,
   CASE WHEN batch_id % 3 = 2 THEN NULL ELSE model_load_sec END AS model_load_sec,

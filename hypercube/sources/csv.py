@@ -53,7 +53,8 @@ def write_csv(df: DataFrame, path: str, order_by: list[str] | None = None,
               mode: str = "errorifexists") -> None:
     """CSV with a header, rows in key order when asked."""
     out = df.orderBy(*order_by) if order_by else df
-    out.write.mode(mode).option("header", True).csv(path)
+    (out.write.mode(mode).option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def type_map(df: DataFrame) -> dict[str, str]:

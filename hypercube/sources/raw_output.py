@@ -19,10 +19,12 @@ STAMP_COLUMN = "Date/Time"
 
 
 def read_raw_output(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """All runs' output files under ``paths`` (one header group per path)."""
     paths = [paths] if isinstance(paths, str) else paths
     frames = []
     for p in paths:
-        df = spark.read.option("header", True).option("inferSchema", False).csv(p)
+        df = (spark.read.option("header", True).option("inferSchema", False)
+              .option("recursiveFileLookup", True).csv(p))
         values = [c for c in df.columns if c != STAMP_COLUMN]
         with_id = df.withColumn(
             "sim_id", F.regexp_extract(F.col("_metadata.file_path"), RUN_DIR_PATTERN, 1).cast("int"))
@@ -33,3 +35,13 @@ def read_raw_output(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
+
+
+def write_run_files(wide: DataFrame, root: str) -> None:
+    """Write one simulator-style CSV folder per run (``Run_<sim_id>``), with
+    ``Date/Time`` first, as the simulator leaves them (used to land test data)."""
+    cols = [c for c in wide.columns if c not in ("sim_id", STAMP_COLUMN)]
+    (wide.withColumn("run", F.concat(F.lit("Run_"), F.col("sim_id").cast("string")))
+     .select("run", STAMP_COLUMN, *cols)
+     .repartition("run").write.partitionBy("run").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(root))
