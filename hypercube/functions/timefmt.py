@@ -20,8 +20,6 @@ EARLY_MORNING_HOUR = 10
 EVENING_STOP_HOUR = 22
 SHADING_CENTRE_HOUR = 14.0
 
-_STAMP = r"^(\d+)/(\d+) (\d+):(\d+):(\d+)$"
-
 
 def normalize_stamp(raw) -> Column:
     """Collapse whitespace runs to one blank and trim (``' '.join(s.split())``)."""
@@ -31,18 +29,22 @@ def normalize_stamp(raw) -> Column:
 def hour24_timestamp(raw, base_year: int = BASE_YEAR) -> Column:
     """Parse a simulator stamp to TIMESTAMP_NTZ; hour 24 rolls to the next day.
 
-    Blank or malformed text gives NULL.
+    One split on runs of ``/``, ``:`` and blanks gives month, day, hour,
+    minute, second; blank or malformed text gives NULL.
     """
-    text = normalize_stamp(raw)
+    text = F.trim(col(raw))
+    parts = F.split(text, r"[/: \t]+")
 
     def part(i: int) -> Column:
-        return F.regexp_extract(text, _STAMP, i).try_cast("int")
+        return F.element_at(parts, i).try_cast("int")
 
     month, day, hour, minute, second = (part(i) for i in range(1, 6))
     midnight = F.try_make_timestamp_ntz(
         F.lit(base_year), month, day, F.lit(0), minute, second.cast("decimal(16,6)")
     )
-    return F.when(F.length(text) > 0, midnight + F.make_dt_interval(F.lit(0), hour))
+    # a part that is not an integer makes its cast, and so the stamp, NULL
+    ok = (F.length(text) > 0) & (F.size(parts) == 5)
+    return F.when(ok, midnight + F.make_dt_interval(F.lit(0), hour))
 
 
 def hhmm(hour, minute=None) -> Column:
