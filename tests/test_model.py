@@ -127,3 +127,21 @@ def test_study_timing_totals(spark):
     assert r.n_batches == 2 and r.n_sims == 4
     assert r.median_energyplus_sec == 2.5 and r.mean_energyplus_sec == 4.0
     assert r.total_batch_total_sec == 12.0 and r.total_input_load_sec == 4.0
+
+
+def test_exact_median_matches_numpy(spark):
+    import random
+
+    import numpy as np
+
+    from hypercube.operators.quantile import exact_median
+    rnd = random.Random(3)
+    rows = [("hot", rnd.choice([1.5, 2.5, rnd.random() * 100])) for _ in range(3000)]
+    rows += [("even", float(x)) for x in (1, 2, 3, 10)] + [("one", 7.0)]
+    rows += [("ties", 4.0)] * 500 + [("ties", 5.0)] * 499
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.m for r in exact_median(df, ["g"], "v", out="m", buckets=8, small=50).collect()}
+    for g in ("hot", "even", "one", "ties"):
+        assert got[g] == float(np.median([v for k, v in rows if k == g])), g
+    glob = exact_median(df, [], "v", out="m", buckets=8, small=50).first().m
+    assert glob == float(np.median([v for _, v in rows]))
