@@ -39,12 +39,12 @@ def hour24_timestamp(raw, base_year: int = BASE_YEAR) -> Column:
         return F.element_at(parts, i).try_cast("int")
 
     month, day, hour, minute, second = (part(i) for i in range(1, 6))
-    midnight = F.try_make_timestamp_ntz(
-        F.lit(base_year), month, day, F.lit(0), minute, second.cast("decimal(16,6)")
-    )
+    # midnight of the date (NULL for an impossible date), plus the clock time
+    # as a day-time interval, so hour 24 lands on the next day
+    midnight = F.try_make_timestamp_ntz(F.lit(base_year), month, day, F.lit(0), F.lit(0), F.lit(0))
     # a part that is not an integer makes its cast, and so the stamp, NULL
     ok = (F.length(text) > 0) & (F.size(parts) == 5)
-    return F.when(ok, midnight + F.make_dt_interval(F.lit(0), hour))
+    return F.when(ok, midnight + F.make_dt_interval(F.lit(0), hour, minute, second))
 
 
 def hhmm(hour, minute=None) -> Column:

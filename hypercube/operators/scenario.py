@@ -353,17 +353,21 @@ def assembly_u_value(surfaces: DataFrame, layers: DataFrame, materials: DataFram
 
 def scenario_documents(design: DataFrame) -> DataFrame:
     """S14 re-aimed: one compact JSON document per run with the run's factor
-    levels (keys into the edit dictionaries) and its three schedules."""
-    rows = schedule_rows(design)
-    fields = F.struct("field_ord", "field_text", "field_number")
-    per_sched = (rows.groupBy("sim_id", "schedule_name", "type_limits")
-                 .agg(F.array_sort(F.collect_list(fields)).alias("data")))
-    scheds = per_sched.groupBy("sim_id").agg(F.collect_list(
-        F.struct("schedule_name", "type_limits", "data")).alias("schedules"))
-    lv = design.select("sim_id", F.struct("f_wall", "f_roof", "f_win", "inf", "vent", "misc", "cop",
-                                          "shgc").alias("levels"))
-    return lv.join(scheds, on="sim_id", how="inner").select(
-        "sim_id", F.to_json(F.struct("sim_id", "levels", "schedules")).alias("doc"))
+    levels (keys into the edit dictionaries) and its three schedules.
+
+    Built from the run's own row (no shuffle); NULL fields are left out of
+    the JSON, so each schedule field carries either its text or its number.
+    """
+    sched = F.array(
+        F.struct(F.lit(SHADING_SCHEDULE).alias("schedule_name"), F.lit(LIMITS_ON_OFF).alias("type_limits"),
+                 shading_schedule("s_hours", "s_close", "shgc").alias("data")),
+        F.struct(F.lit(SETPOINT_SCHEDULE).alias("schedule_name"), F.lit(LIMITS_TEMPERATURE).alias("type_limits"),
+                 setpoint_schedule("hours", "setpoint").alias("data")),
+        F.struct(F.lit(AVAILABILITY_SCHEDULE).alias("schedule_name"), F.lit(LIMITS_FRACTION).alias("type_limits"),
+                 availability_schedule("hours").alias("data")))
+    levels_ = F.struct("f_wall", "f_roof", "f_win", "inf", "vent", "misc", "cop", "shgc")
+    return design.select("sim_id", F.to_json(F.struct("sim_id", levels_.alias("levels"),
+                                                       sched.alias("schedules"))).alias("doc"))
 
 
 __all__ = ["Window"]

@@ -10,7 +10,7 @@ from hypercube.operators import hourly, results
 from hypercube.plans import dashboard
 from hypercube.plans import oracle_sql as o
 from hypercube.plans.queries import register
-from hypercube.plans.study import Study
+from hypercube.plans.study import STAMP_FROM_H, Study
 from hypercube.session import work_dir
 from hypercube.sources import csv as csv_src
 from hypercube.sources import raw_output
@@ -90,8 +90,7 @@ def q_run_summary(spark, sf_dir):
     return results.run_summary(results.zone_intensity(energy, st.design), st.design, raw)
 
 
-_STAMP_SQL = ("concat(' 01/', lpad(CAST(CAST(floor(h / 24) AS INT) + 1 AS STRING), 2, '0'), '  ', "
-              "lpad(CAST(h % 24 + 1 AS STRING), 2, '0'), ':00:00')")
+_STAMP_SQL = STAMP_FROM_H
 _RAW_ZONES = ("CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW")
 
 
@@ -104,14 +103,7 @@ def q_raw_output_scan(spark, sf_dir):
     one scan (run id from the file path), unpivoted, heating columns kept,
     pivoted back to the wide hourly table."""
     st = Study(spark, sf_dir)
-    raw = st.fx.fx_raw_output
-    stamp = F.expr(_STAMP_SQL)
-    heads = sorted(r.header for r in raw.select("header").distinct().collect())
-    per_run = (raw.withColumn("Date/Time", stamp).groupBy("sim_id", "Date/Time")
-               .pivot("header", heads).agg(F.sum("joules")).na.fill(0.0))
-    root = work_dir(spark, "raw-output")
-    raw_output.write_run_files(per_run, root)
-    return results.hourly_wide(raw_output.read_raw_output(spark, root))
+    return results.hourly_wide(raw_output.read_raw_output(spark, st.raw_run_files()))
 
 
 @register("union_by_name_batches", o.q(("fx_timing",), select="""

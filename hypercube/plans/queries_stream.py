@@ -8,23 +8,14 @@ must equal the batch computation.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from hypercube.operators import hourly
 from hypercube.plans import oracle_sql as o
 from hypercube.plans.queries import register
 from hypercube.plans.study import BATCH_SIZE, Study
-from hypercube.session import work_dir
 from hypercube.streaming import incremental as inc
 
-LANDED_FILES = 4
-
 
 def _landed_hourly(spark, st: Study) -> str:
-    indexed = hourly.with_hour_index(st.hourly_wide)
-    zs = hourly.zone_columns(st.hourly_wide)
-    return inc.land_files(indexed.select("sim_id", "hour_index", "datetime", *zs),
-                          work_dir(spark, "landed-hourly"), LANDED_FILES, F.col("sim_id") % LANDED_FILES)
+    return st.landed_hourly()
 
 
 @register("progress_stream", o.q(("fx_design", "fx_summary"), f"""
@@ -37,9 +28,7 @@ FROM tot t LEFT JOIN dn d ON t.batch_id = d.batch_id"""))
 def q_progress_stream(spark, sf_dir):
     """T1 + A18: study progress from summary files as they land."""
     st = Study(spark, sf_dir)
-    landed = inc.land_files(st.summary, work_dir(spark, "landed-summary"), LANDED_FILES,
-                            F.ceil(F.col("sim_id") / BATCH_SIZE) % LANDED_FILES)
-    return inc.stream_progress(spark, landed, st.design, BATCH_SIZE)
+    return inc.stream_progress(spark, st.landed_summary(), st.design, BATCH_SIZE)
 
 
 @register("stream_run_stats", o.q(o.HOURLY_FX, o.cte_hourly(), select="SELECT * FROM rs"))

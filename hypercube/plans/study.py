@@ -16,6 +16,10 @@ from hypercube.operators import hourly, runs, zones
 from hypercube.sources.fixtures import Fixtures
 
 BATCH_SIZE = 20
+LANDED_FILES = 4
+# simulator stamp text of fixture hour h (same expression as the hourly fixture)
+STAMP_FROM_H = ("concat(' 01/', lpad(CAST(CAST(floor(h / 24) AS INT) + 1 AS STRING), 2, '0'), '  ', "
+                "lpad(CAST(h % 24 + 1 AS STRING), 2, '0'), ':00:00')")
 
 
 class Study:
@@ -77,6 +81,46 @@ class Study:
     def marts(self) -> dict:
         return hourly.hourly_marts(self.hourly_wide, self.zone_catalog, check_labels=False)
 
+    # landed input folders (written once per process) ---------------------
+    def landed_hourly(self) -> str:
+        """Hourly worker files that already carry the hour index (stream input)."""
+        from hypercube.streaming.incremental import land_files
+
+        def write(path):
+            indexed = hourly.with_hour_index(self.hourly_wide)
+            zs = hourly.zone_columns(self.hourly_wide)
+            land_files(indexed.select("sim_id", "hour_index", "datetime", *zs), path, LANDED_FILES,
+                       F.col("sim_id") % LANDED_FILES)
+        return self.fx.artifact("landed-hourly", write)
+
+    def landed_summary(self) -> str:
+        """Summary rows landing batch by batch (progress stream input)."""
+        from hypercube.streaming.incremental import land_files
+        return self.fx.artifact("landed-summary", lambda path: land_files(
+            self.summary, path, LANDED_FILES, F.ceil(F.col("sim_id") / BATCH_SIZE) % LANDED_FILES))
+
+    def raw_run_files(self) -> str:
+        """One simulator-style CSV folder per run (``Run_<id>``: Date/Time + one
+        column per output variable), the input of the raw-output scan."""
+        from hypercube.sources.raw_output import write_run_files
+
+        def write(path):
+            raw = self.fx.fx_raw_output
+            heads = sorted(r.header for r in raw.select("header").distinct().collect())
+            per_run = (raw.withColumn("Date/Time", F.expr(STAMP_FROM_H)).groupBy("sim_id", "Date/Time")
+                       .pivot("header", heads).agg(F.sum("joules")).na.fill(0.0))
+            write_run_files(per_run, path)
+        return self.fx.artifact("raw-run-files", write)
+
+    def prepare_inputs(self) -> None:
+        """Materialise every fixture and landed folder (one-off input cost)."""
+        from hypercube.sources.fixtures import FIXTURE_SQL
+        for name in FIXTURE_SQL:
+            self.fx[name]
+        self.landed_hourly()
+        self.landed_summary()
+        self.raw_run_files()
+
     def run_dashboard(self) -> DataFrame:
         from hypercube.plans.dashboard import run_dashboard
         return run_dashboard(self.runs, self.marts["run_stats"])

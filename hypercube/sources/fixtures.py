@@ -148,12 +148,27 @@ class Fixtures:
             path = _MATERIALIZED.get(key)
             if path is None:
                 path = work_dir(self.spark, name)
-                self._compute(name).write.option("compression", "zstd").parquet(path)
+                # about one file per core, as a study's input would be split
+                n = self.spark.sparkContext.defaultParallelism
+                (self._compute(name).repartition(n).write.option("compression", "zstd")
+                 .parquet(path))
                 _MATERIALIZED[key] = path
             df = self.spark.read.parquet(path)
         self._frames[name] = df
         return df
 
+    def artifact(self, name: str, write) -> str:
+        """A folder of landed input files (e.g. simulator outputs, worker
+        batches), written once per process and data directory by
+        ``write(path)``; returns the folder."""
+        key = (self.spark.sparkContext.applicationId, os.path.abspath(self.sf_dir), "artifact:" + name)
+        path = _MATERIALIZED.get(key)
+        if path is None:
+            path = work_dir(self.spark, name)
+            write(path)
+            _MATERIALIZED[key] = path
+        return path
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("fx_"):
             return self[name]
