@@ -83,15 +83,11 @@ class Study:
 
     # landed input folders (written once per process) ---------------------
     def landed_hourly(self) -> str:
-        """Hourly worker files that already carry the hour index (stream input)."""
+        """Hourly worker files (``sim_id, datetime, zone_*``), each run whole in
+        one file, as batches land (stream input)."""
         from hypercube.streaming.incremental import land_files
-
-        def write(path):
-            indexed = hourly.with_hour_index(self.hourly_wide)
-            zs = hourly.zone_columns(self.hourly_wide)
-            land_files(indexed.select("sim_id", "hour_index", "datetime", *zs), path, LANDED_FILES,
-                       F.col("sim_id") % LANDED_FILES)
-        return self.fx.artifact("landed-hourly", write)
+        return self.fx.artifact("landed-hourly", lambda path: land_files(
+            self.hourly_wide, path, LANDED_FILES, F.col("sim_id") % LANDED_FILES))
 
     def landed_summary(self) -> str:
         """Summary rows landing batch by batch (progress stream input)."""

@@ -7,11 +7,10 @@ epoch (after a failure) overwrites its own folder, so the sink is idempotent,
 and no result passes through the driver.
 
 * progress (T1): per batch, runs with a summary so far against the design.
-* run stats (T2): per-run sums and earliest peak kept in streaming state
-  (complete mode); the hour index must be in the input, since a streaming
-  row number does not exist.
-* sparse append (T3): every micro-batch unpivoted, zero cells dropped, zone
-  ids attached, appended.
+* run stats (T2) and sparse append (T3): the per-run hour offset and running
+  statistics are kept in streaming state (``stateful.py``); every
+  micro-batch's indexed rows are unpivoted, zero cells dropped, zone ids
+  attached, and appended.
 """
 
 from __future__ import annotations
@@ -95,19 +94,28 @@ def stream_progress(spark: SparkSession, summary_dir: str, design: DataFrame, ba
 # --- T2 / T3 -------------------------------------------------------------------
 
 
-def stream_run_stats(spark: SparkSession, indexed_dir: str) -> DataFrame:
-    """Run stats over hourly files that carry their hour index."""
+def stream_run_stats(spark: SparkSession, hourly_dir: str) -> DataFrame:
+    """Run stats over hourly worker files (per-run offsets kept in state)."""
+    from hypercube.streaming.stateful import finalize_stats, run_stats_stream
     root = work_dir(spark, "stats-stream")
-    stream = file_stream(spark, indexed_dir)
-    rows = hourly.with_row_aggregates(stream, hourly.zone_columns(stream))
-    run_until_drained(hourly.run_stats(rows), f"{root}/sink", f"{root}/checkpoint", "complete")
-    return read_latest_epoch(spark, f"{root}/sink")
+    run_until_drained(run_stats_stream(file_stream(spark, hourly_dir)),
+                      f"{root}/sink", f"{root}/checkpoint", "update")
+    return finalize_stats(spark.read.parquet(f"{root}/sink"))
 
 
-def stream_sparse_append(spark: SparkSession, indexed_dir: str, zone_catalog: DataFrame) -> DataFrame:
-    """Sparse fact appended per micro-batch."""
+def stream_sparse_append(spark: SparkSession, hourly_dir: str, zone_catalog: DataFrame) -> DataFrame:
+    """Rows indexed in state, unpivoted per micro-batch, appended."""
+    from hypercube.streaming.stateful import indexed_stream
     root = work_dir(spark, "sparse-stream")
-    stream = file_stream(spark, indexed_dir)
-    sparse = hourly.sparse_fact(stream, zone_catalog, hourly.zone_columns(stream))
-    run_until_drained(sparse, f"{root}/sink", f"{root}/checkpoint", "append")
-    return read_all_epochs(spark, f"{root}/sink")
+    sink = f"{root}/sink"
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        zones = hourly.zone_columns(batch)
+        hourly.sparse_fact(batch, zone_catalog, zones).write.mode("overwrite").parquet(
+            f"{sink}/epoch={epoch_id}")
+
+    q = (indexed_stream(file_stream(spark, hourly_dir)).writeStream.outputMode("append")
+         .option("checkpointLocation", f"{root}/checkpoint").foreachBatch(write)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return read_all_epochs(spark, sink)

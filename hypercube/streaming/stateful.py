@@ -1,0 +1,125 @@
+"""Per-run streaming state for hourly files landing in time order.
+
+The reference consolidates the hourly table chunk by chunk and carries, per
+run, the number of rows seen so far (the next hour index) and the running
+statistics.  Structured Streaming has no streaming row number, so the same
+state is kept with ``applyInPandasWithState`` keyed by ``sim_id``:
+
+* each micro-batch's rows of a run are ordered by their parsed stamp and
+  numbered from the run's stored offset;
+* ``run_stats_stream`` folds them into (annual total, active hours, non-zero
+  cells, peak value, peak hour) exactly as the batch operator does: NaN/NULL
+  cells count as non-zero and drop their row from sums and peak; a later
+  chunk's peak replaces the stored one only when strictly larger;
+* ``indexed_stream`` emits the rows with their hour index (append mode), for
+  the sparse fact.
+
+A run's rows must arrive in time order across micro-batches (worker files
+hold whole runs).  Work per group is one micro-batch of one run; the state is
+a handful of numbers per run.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+                               TimestampNTZType)
+
+from hypercube.functions.numeric import round_even
+from hypercube.functions.timefmt import hour24_timestamp
+from hypercube.operators.hourly import zone_columns
+
+_STATE = StructType([
+    StructField("offset", LongType()), StructField("annual", DoubleType()),
+    StructField("nz_hours", LongType()), StructField("nz_cells", LongType()),
+    StructField("peak_v", DoubleType()), StructField("peak_h", LongType())])
+_STATS_OUT = StructType([
+    StructField("sim_id", IntegerType()), StructField("annual_total_heating_j", DoubleType()),
+    StructField("nonzero_hour_count", IntegerType()), StructField("nonzero_zone_observation_count", IntegerType()),
+    StructField("peak_hour_total_heating_j", DoubleType()), StructField("peak_hour_index", IntegerType())])
+
+
+def _ordered_chunk(pdfs) -> pd.DataFrame:
+    pdf = pd.concat(list(pdfs), ignore_index=True)
+    return pdf.sort_values(["timestamp", "datetime"], kind="stable", na_position="first")
+
+
+def _load(state):
+    if state.exists:
+        return list(state.get)
+    return [0, 0.0, 0, 0, 0.0, 0]
+
+
+def _stats_fn(zones: list[str]):
+    def fn(key, pdfs, state):
+        offset, annual, nzh, nzc, peak_v, peak_h = _load(state)
+        pdf = _ordered_chunk(pdfs)
+        vals = pdf[zones].to_numpy(dtype=np.float32, na_value=np.nan)
+        totals = vals.sum(axis=1, dtype=np.float64)          # NaN when a cell is NaN
+        nonzero = (vals != 0).sum(axis=1)                     # NaN != 0 counts
+        annual += float(np.nansum(totals))
+        nzh += int((nonzero > 0).sum())
+        nzc += int(nonzero.sum())
+        valid = ~np.isnan(totals)
+        if valid.any():
+            i = int(np.flatnonzero(valid)[np.argmax(totals[valid])])
+            if totals[i] > peak_v:
+                peak_v, peak_h = float(totals[i]), offset + i
+        offset += len(pdf)
+        state.update((offset, annual, nzh, nzc, peak_v, peak_h))
+        yield pd.DataFrame({"sim_id": [int(key[0])], "annual_total_heating_j": [annual],
+                            "nonzero_hour_count": [nzh], "nonzero_zone_observation_count": [nzc],
+                            "peak_hour_total_heating_j": [peak_v], "peak_hour_index": [peak_h]})
+    return fn
+
+
+def _index_fn(out_cols: list[str]):
+    def fn(key, pdfs, state):
+        offset = _load(state)[0]
+        pdf = _ordered_chunk(pdfs)
+        pdf = pdf.assign(hour_index=np.arange(offset, offset + len(pdf), dtype=np.int64))
+        state.update((offset + len(pdf), 0.0, 0, 0, 0.0, 0))
+        yield pdf[out_cols]
+    return fn
+
+
+def _with_stamp(stream: DataFrame) -> DataFrame:
+    return stream.withColumn("timestamp", hour24_timestamp("datetime"))
+
+
+def run_stats_stream(stream: DataFrame) -> DataFrame:
+    """Per-run statistics, emitted in update mode (one row per run touched)."""
+    zones = zone_columns(stream)
+    s = _with_stamp(stream).select("sim_id", "datetime", "timestamp", *zones)
+    return (s.groupBy("sim_id").applyInPandasWithState(
+        _stats_fn(zones), _STATS_OUT, _STATE, "update", GroupStateTimeout.NoTimeout))
+
+
+def indexed_stream(stream: DataFrame) -> DataFrame:
+    """T3 input: the hourly rows with their hour index (append mode)."""
+    zones = zone_columns(stream)
+    s = _with_stamp(stream).select("sim_id", "datetime", "timestamp", *zones)
+    out_fields = [StructField("sim_id", IntegerType()), StructField("hour_index", LongType()),
+                  StructField("datetime", StringType()), StructField("timestamp", TimestampNTZType())]
+    out_fields += [StructField(z, s.schema[z].dataType) for z in zones]
+    cols = [f.name for f in out_fields]
+    return (s.groupBy("sim_id").applyInPandasWithState(
+        _index_fn(cols), StructType(out_fields), _STATE, "append", GroupStateTimeout.NoTimeout)
+        .withColumn("hour_index", F.col("hour_index").cast("int")))
+
+
+def finalize_stats(updates: DataFrame) -> DataFrame:
+    """The newest update per run, with the annual total rounded to 6 places."""
+    latest = updates.groupBy("sim_id").agg(F.max_by(F.struct(*[c for c in updates.columns
+                                                               if c not in ("sim_id", "epoch")]),
+                                                    "epoch").alias("_s"))
+    return latest.select(
+        F.col("sim_id").cast("int"), round_even("_s.annual_total_heating_j", 6).alias("annual_total_heating_j"),
+        F.col("_s.nonzero_hour_count").cast("int").alias("nonzero_hour_count"),
+        F.col("_s.nonzero_zone_observation_count").cast("int").alias("nonzero_zone_observation_count"),
+        F.col("_s.peak_hour_total_heating_j").alias("peak_hour_total_heating_j"),
+        F.col("_s.peak_hour_index").cast("int").alias("peak_hour_index"))
