@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hypercube.functions.names import HEATING_MARKER, zone_from_header, zone_label
+from hypercube.functions.names import (HEATING_MARKER, zone_from_header, zone_from_header_py,
+                                       zone_label)
 from hypercube.functions.numeric import joules_to_kwh, round_even
 from hypercube.operators.broadcast import bounded_broadcast
 from hypercube.operators.zones import CLUSTERS
@@ -39,15 +40,20 @@ def parse_hourly(raw: DataFrame) -> DataFrame:
                     zone_label("zone_key").alias("zone_label"), F.col("_j").cast("float").alias("value")))
 
 
-def hourly_wide(raw: DataFrame) -> DataFrame:
+def hourly_wide(raw: DataFrame, headers: list[str] | None = None) -> DataFrame:
     """C8 + P18: raw output -> the wide hourly table the workers write:
     ``sim_id, datetime, zone_<ZONE>`` (float), one row per run and stamp.
 
-    The zone columns are the distinct heating-column zones of the output (a
-    schema-sized list), pivoted with an explicit value list.
+    The zone columns are the heating-column zones of the output, a
+    schema-sized list: taken from ``headers`` (the output files' column
+    names) when given, else from the distinct headers of the data; the pivot
+    uses that explicit value list.
     """
     heat = heating_rows(raw)
-    keys = sorted(r.zone_key for r in heat.select("zone_key").distinct().collect())
+    if headers is not None:
+        keys = sorted({zone_from_header_py(h) for h in headers if HEATING_MARKER in h})
+    else:
+        keys = sorted(r.zone_key for r in heat.select("zone_key").distinct().collect())
     wide = (heat.groupBy("sim_id", "datetime").pivot("zone_key", keys).agg(F.sum("joules")))
     return wide.select(F.col("sim_id").cast("int"), "datetime",
                        *[F.col(k).cast("float").alias(f"zone_{k}") for k in keys])

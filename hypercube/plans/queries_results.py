@@ -103,7 +103,9 @@ def q_raw_output_scan(spark, sf_dir):
     one scan (run id from the file path), unpivoted, heating columns kept,
     pivoted back to the wide hourly table."""
     st = Study(spark, sf_dir)
-    return results.hourly_wide(raw_output.read_raw_output(spark, st.raw_run_files()))
+    root = st.raw_run_files()
+    return results.hourly_wide(raw_output.read_raw_output(spark, root),
+                               raw_output.raw_output_headers(spark, root))
 
 
 @register("union_by_name_batches", o.q(("fx_timing",), select="""

@@ -37,6 +37,13 @@ def read_raw_output(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     return out
 
 
+def raw_output_headers(spark: SparkSession, path: str) -> list[str]:
+    """Output-variable columns of the run files (header line only, no data pass)."""
+    df = (spark.read.option("header", True).option("inferSchema", False)
+          .option("recursiveFileLookup", True).csv(path))
+    return [c for c in df.columns if c != STAMP_COLUMN]
+
+
 def write_run_files(wide: DataFrame, root: str) -> None:
     """Write one simulator-style CSV folder per run (``Run_<sim_id>``), with
     ``Date/Time`` first, as the simulator leaves them (used to land test data)."""
