@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from hypercube.operators import hourly, results
+from hypercube.operators import results
 from hypercube.plans import dashboard
 from hypercube.plans import oracle_sql as o
 from hypercube.plans.queries import register
@@ -162,5 +162,3 @@ def q_json_objects(spark, sf_dir):
     st = Study(spark, sf_dir)
     return explode_model(st.fx.fx_json, "doc", ["event_id"])
 
-
-__all__ = ["hourly"]
