@@ -99,6 +99,7 @@ def column_catalog(runs: DataFrame) -> DataFrame:
              .when(c.endswith("_sec") | c.isin(*RUNTIME_COLUMNS), "runtime")
              .when(c.isin(*STATUS_COLUMNS), "status")
              .otherwise("metric"))
+    # descriptions: the fixed 19-row table above, a proven broadcast bound
     return (names.join(F.broadcast(descriptions), on="column_name", how="left")
             .select("ordinal", "column_name", group.alias("group_name"),
                     F.coalesce(F.col("description"), F.lit("")).alias("description")))

@@ -104,3 +104,18 @@ def test_sparse_equals_wide_totals(spark, sf_small):
     stats_n = m["run_stats"].agg(F.sum("nonzero_zone_observation_count")).first()[0]
     assert abs(sparse_sum - wide_sum) < 1e-6 * max(1.0, abs(wide_sum))
     assert sparse_n == stats_n
+
+
+def test_unpivot_then_pivot_is_identity(spark, sf_small):
+    """Property: pivoting the sparse fact back (zero-filled) gives the wide cells."""
+    from hypercube.plans.study import Study
+    st = Study(spark, sf_small)
+    m = st.marts
+    cat = st.zone_catalog
+    zs = hourly.zone_columns(st.hourly_wide)
+    back = (m["hourly_sparse"].join(cat.select("zone_id", "zone_label"), "zone_id")
+            .groupBy("sim_id", "hour_index").pivot("zone_label", zs).agg(F.first("value")).na.fill(0.0))
+    orig = m["indexed"].select("sim_id", "hour_index", *zs)
+    nonzero_rows = orig.where(sum((F.col(z) != 0).cast("int") for z in zs) > 0)
+    assert back.select("sim_id", "hour_index", *zs).exceptAll(nonzero_rows).count() == 0
+    assert nonzero_rows.exceptAll(back.select("sim_id", "hour_index", *zs)).count() == 0

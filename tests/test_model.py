@@ -145,3 +145,21 @@ def test_exact_median_matches_numpy(spark):
         assert got[g] == float(np.median([v for k, v in rows if k == g])), g
     glob = exact_median(df, [], "v", out="m", buckets=8, small=50).first().m
     assert glob == float(np.median([v for _, v in rows]))
+
+
+def test_glazing_also_opaque_is_skipped(spark):
+    surfaces = spark.createDataFrame([(1, 10, "Wall", "Outdoors", "z"), (2, 20, "Wall", "Outdoors", "z")],
+                                     "surface_ord long, construction_id long, surface_type string, outside_boundary string, zone_name string")
+    layers = spark.createDataFrame([(10, 1, 7), (10, 2, 999)], "construction_id long, layer_ord int, material_id long")
+    mats = spark.createDataFrame([(7, 1.0, 0.1, 10.0), (999, 1.0, 0.1, 10.0)],
+                                 "material_id long, conductivity double, thickness double, density double")
+    opaque = scenario.material_first_touch(surfaces, layers, mats)
+    windows = spark.createDataFrame([(11, 1, 7), (12, 2, 8), (13, 1, 8)], "window_ord long, parent_surface long, glazing_id long")
+    glazing = spark.createDataFrame([(7, "simple", 2.0, None), (8, "glazing", None, 0.9)],
+                                    "glazing_id long, kind string, u_factor double, conductivity double")
+    mapping = spark.createDataFrame([("z", "GROUND")], "zone_name string, cluster string")
+    gft = scenario.glazing_first_touch(windows, surfaces, mapping, glazing, opaque)
+    # glazing 7 was already aged as an opaque layer; glazing 8 is first reached by window 12
+    assert [(r.glazing_id, r.window_ord, r.kind) for r in gft.collect()] == [(8, 12, "glazing")]
+    d = scenario.glazing_deltas(gft).where(F.col("factor") == 1.1).first()
+    assert d.new_conductivity == 0.99 and d.new_u_factor is None
