@@ -1,9 +1,10 @@
 """Broadcast only behind a proven size bound.
 
 ``bounded_broadcast`` checks the row count of a candidate side with a
-capped count (``limit(max_rows + 1).count()``: the scan stops early, the
-work is bounded by the cap, not by the table) and hints a broadcast only
-when the side is at most ``max_rows``.  Beyond the bound the side is
+capped count (``limit(max_rows + 1).count()``: at most ``max_rows + 1``
+rows of the side's output are read) and hints a broadcast only when the
+side is at most ``max_rows``.  Candidates are dimensions (zone catalog,
+calendar, zone lists), so computing them for the check is cheap.  Beyond the bound the side is
 returned unhinted, so Catalyst/AQE plans a shuffle join instead.
 """
 

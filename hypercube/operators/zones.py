@@ -1,8 +1,9 @@
 """Zone mapping (C1), zone catalog and cluster counts.
 
-Zones, floor surfaces and thermostats are tables of one building model; the
-model is a dimension (hundreds to a few thousand zones), joined by broadcast
-behind a checked bound and otherwise by shuffle.
+Zones, floor surfaces and thermostats are tables of one building model (a
+dimension of hundreds to a few thousand zones).  They are joined with plain
+equi-joins, which AQE turns into broadcast joins from measured sizes; heated
+z extremes are scalar subqueries, not joins.
 """
 
 from __future__ import annotations

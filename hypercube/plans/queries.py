@@ -183,6 +183,25 @@ def q_limit_ordered(spark, sf_dir):
             .orderBy("hour_index", "zone_id").limit(20))
 
 
+@register("run_dashboard_head", o.q(o.RUN_FX + o.HOURLY_FX, o.CTE_RUNS, o.cte_hourly(), select="""
+SELECT r.*, s.annual_total_heating_j, s.nonzero_hour_count, s.nonzero_zone_observation_count,
+  s.peak_hour_total_heating_j, s.peak_hour_index, s.peak_datetime, s.peak_timestamp
+FROM runs r LEFT JOIN rsc s ON r.sim_id = s.sim_id ORDER BY r.sim_id LIMIT 5"""))
+def q_run_dashboard_head(spark, sf_dir):
+    """The documented first look at the dashboard, five runs (in run
+    order, as the published runs table is stored; the limit is the feature)."""
+    return Study(spark, sf_dir).run_dashboard().orderBy("sim_id").limit(5)
+
+
+@register("ok_run_totals", o.q(o.RUN_FX + o.HOURLY_FX, o.CTE_RUNS, o.cte_hourly(), select="""
+SELECT r.sim_id, s.annual_total_heating_j FROM runs r LEFT JOIN rsc s ON r.sim_id = s.sim_id
+WHERE r.run_status = 'ok'"""))
+def q_ok_run_totals(spark, sf_dir):
+    """The documented annual totals of successful runs only."""
+    return (Study(spark, sf_dir).run_dashboard().where(F.col("run_status") == "ok")
+            .select("sim_id", "annual_total_heating_j"))
+
+
 @register("manifest", o.q(HOURLY + o.RUN_FX, o.CTE_ZONES, o.CTE_RUNS, o.cte_hourly(), o.cte_sparse(), select=f"""
 SELECT CAST(1 AS INTEGER) AS schema_version, 'full_consolidation' AS export_mode, '' AS study_folder,
   CAST((SELECT count(*) FROM runs) AS INTEGER) AS n_runs, CAST((SELECT count(*) FROM zc) AS INTEGER) AS n_heated_zones,
