@@ -10,7 +10,8 @@ from hypercube.operators import results
 from hypercube.plans import dashboard
 from hypercube.plans import oracle_sql as o
 from hypercube.plans.queries import register
-from hypercube.plans.study import STAMP_FROM_H, Study
+from hypercube.plans.consolidate import consolidate
+from hypercube.plans.study import BATCH_SIZE, STAMP_FROM_H, Study
 from hypercube.session import work_dir
 from hypercube.sources import csv as csv_src
 from hypercube.sources import raw_output
@@ -129,6 +130,23 @@ def q_union_by_name_batches(spark, sf_dir):
     return csv_src.read_csv_union(spark, paths, csv_src.type_map(t)).select(*cols).orderBy("sim_id")
 
 
+@register("consolidate_batches", o.q(("fx_summary",), select="""
+SELECT sim_id, kwh_sqm_ground, kwh_sqm_middle, kwh_sqm_top FROM fx_summary ORDER BY sim_id"""))
+def q_consolidate_batches(spark, sf_dir):
+    """C14: per-batch worker outputs (two summary header layouts, hourly
+    Parquet, timing CSVs) merged into the consolidated study tables; the
+    consolidated summary is read back in sim_id order."""
+    st = Study(spark, sf_dir)
+    files = st.batch_files()
+    types = {**csv_src.type_map(st.summary), **csv_src.type_map(st.timing)}
+    n_runs = st.design.agg(F.count(F.lit(1))).scalar()
+    out = consolidate(spark, summary_roots=files["summary"], hourly_roots=files["hourly"],
+                      timing_roots=files["timing"], types=types, out=work_dir(spark, "consolidated"),
+                      batch_size=BATCH_SIZE, n_runs=n_runs)
+    return (spark.read.parquet(out["study_results"])
+            .select("sim_id", "kwh_sqm_ground", "kwh_sqm_middle", "kwh_sqm_top").orderBy("sim_id"))
+
+
 @register("scan_pruned_point", o.q(o.HOURLY_FX, select="""
 SELECT sim_id, datetime, zone_click FROM fx_hourly_wide WHERE sim_id = 42"""))
 def q_scan_pruned_point(spark, sf_dir):

@@ -108,6 +108,23 @@ class Study:
             write_run_files(per_run, path)
         return self.fx.artifact("raw-run-files", write)
 
+    def batch_files(self) -> dict[str, list[str]]:
+        """Per-batch worker outputs, as workers of two versions would leave
+        them: summaries with two different CSV headers, hourly Parquet, and
+        timing CSVs, each kind in ``batch_id=<b>`` folders."""
+        from hypercube.plans.consolidate import land_batches
+
+        def write(root):
+            s = self.summary
+            odd = (F.ceil(F.col("sim_id") / BATCH_SIZE) % 2) == 1
+            land_batches(s.where(~odd), f"{root}/summary_v1", "csv", BATCH_SIZE)
+            land_batches(s.where(odd).select(*reversed(s.columns)), f"{root}/summary_v2", "csv", BATCH_SIZE)
+            land_batches(self.hourly_wide, f"{root}/hourly", "parquet", BATCH_SIZE)
+            land_batches(self.timing.drop("batch_id"), f"{root}/timing_detail", "csv", BATCH_SIZE)
+        root = self.fx.artifact("batch-files", write)
+        return {"summary": [f"{root}/summary_v1", f"{root}/summary_v2"], "hourly": [f"{root}/hourly"],
+                "timing": [f"{root}/timing_detail"]}
+
     def prepare_inputs(self) -> None:
         """Materialise every fixture and landed folder (one-off input cost)."""
         from hypercube.sources.fixtures import FIXTURE_SQL
@@ -116,6 +133,7 @@ class Study:
         self.landed_hourly()
         self.landed_summary()
         self.raw_run_files()
+        self.batch_files()
 
     def run_dashboard(self) -> DataFrame:
         from hypercube.plans.dashboard import run_dashboard

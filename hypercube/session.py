@@ -66,3 +66,13 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (never a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def path_exists(path: str) -> bool | None:
+    """Existence of a local (``/…`` or ``file:…``) path; ``None`` for other
+    file systems, where the caller lets the reader decide."""
+    if path.startswith("file:"):
+        path = "/" + path[len("file:"):].lstrip("/")
+    elif ":" in path.split("/")[0]:
+        return None
+    return os.path.exists(path)

@@ -10,12 +10,13 @@ lacks is NULL.
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from hypercube.session import path_exists
+
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
     """Column names of a CSV group, from its header line only (no data pass)."""
@@ -44,7 +45,7 @@ def read_csv_union(spark: SparkSession, paths: list[str], types: dict[str, str])
 
 def read_optional_csv(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:
     """A missing file gives an empty table with the declared columns."""
-    if os.path.exists(path) or "://" in path:
+    if path_exists(path) is not False:
         return read_csv_group(spark, path, types)
     return spark.createDataFrame([], ", ".join(f"{k} {v}" for k, v in types.items()))
 

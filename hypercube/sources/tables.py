@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hypercube.session import path_exists
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations")
@@ -33,5 +35,5 @@ def register_tables(spark: SparkSession, sf_dir: str, names=BASE_TABLES) -> None
     """Register each table present under ``sf_dir`` as a temp view of its own name."""
     for name in names:
         path = table_path(sf_dir, name)
-        if os.path.exists(path) or "://" in sf_dir:
+        if path_exists(path) is not False:
             read_table(spark, sf_dir, name).createOrReplaceTempView(name)

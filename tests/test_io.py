@@ -69,3 +69,27 @@ def test_bundle_guards(spark, sf_small):
         export_bundle(root, **args)
     with pytest.raises(ValueError):  # Q4: no summary rows
         export_bundle(work_dir(spark, "bundle-empty"), **{**args, "summary": st.summary.limit(0)})
+
+
+def test_consolidate_guards(spark, sf_small):
+    from pyspark.sql import functions as F
+
+    from hypercube.plans.consolidate import consolidate
+    from hypercube.plans.study import BATCH_SIZE, Study
+    from hypercube.sources.csv import type_map
+    st = Study(spark, sf_small)
+    files = st.batch_files()
+    out = work_dir(spark, "consolidate-test")
+    args = dict(summary_roots=files["summary"], hourly_roots=files["hourly"], timing_roots=files["timing"],
+                types={**type_map(st.summary), **type_map(st.timing)}, batch_size=BATCH_SIZE,
+                n_runs=st.design.agg(F.count(F.lit(1))).scalar())
+    paths = consolidate(spark, out=out, **args)
+    assert spark.read.parquet(paths["study_results"]).count() == st.summary.count()
+    hourly = spark.read.parquet(paths["hourly"])
+    assert hourly.count() == st.hourly_wide.count() and "batch_id" not in hourly.columns
+    assert spark.read.parquet(paths["worker_timing_summary"]).first().n_sims == st.timing.count()
+    with pytest.raises(FileExistsError):
+        consolidate(spark, out=out, **args)
+    with pytest.raises(ValueError):
+        consolidate(spark, out=work_dir(spark, "consolidate-empty"),
+                    **{**args, "summary_roots": [work_dir(spark, "nothing-here")]})
