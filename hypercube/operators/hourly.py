@@ -47,7 +47,8 @@ def with_hour_index(wide: DataFrame, out: str = "hour_index") -> DataFrame:
 
     The order key is the parsed stamp (hour 24 = next day 00:00), then the raw
     text.  Rows are numbered per (run, day) and offset by the rows of the
-    run's earlier days, so no task holds more than one day of one run.
+    run's earlier days, so no window partition holds more than one day of
+    one run, however long a run is.
     """
     ts = hour24_timestamp("datetime")
     staged = (wide.withColumn("timestamp", ts)

@@ -4,9 +4,10 @@ A plain ``row_number().over(Window.partitionBy(key))`` sends a whole group to
 one task.  ``sliced_row_number`` numbers rows inside (group, slice) windows,
 where the caller supplies a slice column that is monotone with the order
 (a day of the time axis, a hash prefix), then adds the count of rows in the
-earlier slices of the same group.  Per task the work is one slice of one
+earlier slices of the same group.  A window partition is one slice of one
 group; the offsets come from a per-(group, slice) count table whose size is
-groups x slices, never rows.
+groups x slices, never rows, and that joins back on (group, slice), the key
+the windowed rows are already partitioned by.
 """
 
 from __future__ import annotations

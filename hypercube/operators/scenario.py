@@ -109,8 +109,10 @@ def material_first_touch(surfaces: DataFrame, layers: DataFrame, materials: Data
             .join(layer_positions(layers).where(F.col("editable")), on="construction_id", how="inner")
             .join(materials, on="material_id", how="inner")
             .where(F.col("conductivity") > MIN_CONDUCTIVITY))
-    key = (F.col("surface_ord").cast("long") * _LAYER_SLOTS + F.col("layer_ord").cast("long") * 4
-           + factor_class("surface_type"))
+    packed = (F.col("surface_ord").cast("long") * _LAYER_SLOTS + F.col("layer_ord").cast("long") * 4
+              + factor_class("surface_type"))
+    key = F.when(F.col("layer_ord") > MAX_LAYER_ORD,
+                 F.raise_error(F.lit(f"layer position above {MAX_LAYER_ORD}"))).otherwise(packed)
     first = cand.groupBy("material_id").agg(
         F.min(key).alias("_key"), F.min("conductivity").alias("conductivity"),
         F.min("density").alias("density"), F.min("thickness").alias("thickness"))

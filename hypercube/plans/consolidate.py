@@ -84,3 +84,17 @@ def land_batches(df: DataFrame, root: str, fmt: str, batch_size: int) -> str:
         w.parquet(root)
     return root
 
+
+
+def rebuild_dashboard(spark: SparkSession, consolidated: dict[str, str], *, design: DataFrame,
+                      zone_mapping: DataFrame, out: str) -> dict[str, str]:
+    """S16 ``dashboard_only`` mode: rebuild the bundle from consolidated tables
+    only (no batch files), e.g. after the batch folder has been cleaned up."""
+    from hypercube.plans.dashboard import DASHBOARD_ONLY, export_bundle
+
+    def table(key: str) -> DataFrame | None:
+        return spark.read.parquet(consolidated[key]) if key in consolidated else None
+
+    return export_bundle(out, design=design, zone_mapping=zone_mapping, hourly_wide=table("hourly"),
+                         summary=table("study_results"), timing=table("worker_timings"),
+                         batches=table("worker_batch_timings"), export_mode=DASHBOARD_ONLY)

@@ -10,7 +10,7 @@ from hypercube.operators import results
 from hypercube.plans import dashboard
 from hypercube.plans import oracle_sql as o
 from hypercube.plans.queries import register
-from hypercube.plans.consolidate import consolidate
+from hypercube.plans.consolidate import consolidate, rebuild_dashboard
 from hypercube.plans.study import BATCH_SIZE, STAMP_FROM_H, Study
 from hypercube.session import work_dir
 from hypercube.sources import csv as csv_src
@@ -104,9 +104,8 @@ def q_raw_output_scan(spark, sf_dir):
     one scan (run id from the file path), unpivoted, heating columns kept,
     pivoted back to the wide hourly table."""
     st = Study(spark, sf_dir)
-    root = st.raw_run_files()
-    return results.hourly_wide(raw_output.read_raw_output(spark, root),
-                               raw_output.raw_output_headers(spark, root))
+    raw, headers = raw_output.scan_raw_output(spark, st.raw_run_files())
+    return results.hourly_wide(raw, headers)
 
 
 @register("union_by_name_batches", o.q(("fx_timing",), select="""
@@ -147,6 +146,26 @@ def q_consolidate_batches(spark, sf_dir):
             .select("sim_id", "kwh_sqm_ground", "kwh_sqm_middle", "kwh_sqm_top").orderBy("sim_id"))
 
 
+@register("dashboard_rebuild", o.q(o.RUN_FX + o.HOURLY_FX, o.CTE_RUNS, o.cte_hourly(), select="""
+SELECT r.*, s.annual_total_heating_j, s.nonzero_hour_count, s.nonzero_zone_observation_count,
+  s.peak_hour_total_heating_j, s.peak_hour_index, s.peak_datetime, s.peak_timestamp
+FROM runs r LEFT JOIN rsc s ON r.sim_id = s.sim_id"""))
+def q_dashboard_rebuild(spark, sf_dir):
+    """S16 (both modes): batch outputs consolidated, the bundle rebuilt in
+    ``dashboard_only`` mode from the consolidated tables alone, and the
+    published run dashboard read back from the bundle's tables."""
+    st = Study(spark, sf_dir)
+    files = st.batch_files()
+    types = {**csv_src.type_map(st.summary), **csv_src.type_map(st.timing)}
+    n_runs = st.design.agg(F.count(F.lit(1))).scalar()
+    cons = consolidate(spark, summary_roots=files["summary"], hourly_roots=files["hourly"],
+                       timing_roots=files["timing"], types=types, out=work_dir(spark, "consolidated"),
+                       batch_size=BATCH_SIZE, n_runs=n_runs)
+    paths = rebuild_dashboard(spark, cons, design=st.design, zone_mapping=st.zone_mapping,
+                              out=work_dir(spark, "bundle-rebuilt"))
+    return dashboard.run_dashboard(spark.read.parquet(paths["runs"]), spark.read.parquet(paths["run_stats"]))
+
+
 @register("scan_pruned_point", o.q(o.HOURLY_FX, select="""
 SELECT sim_id, datetime, zone_click FROM fx_hourly_wide WHERE sim_id = 42"""))
 def q_scan_pruned_point(spark, sf_dir):

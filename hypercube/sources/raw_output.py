@@ -18,14 +18,17 @@ RUN_DIR_PATTERN = r"Run_(\d+)"
 STAMP_COLUMN = "Date/Time"
 
 
-def read_raw_output(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """All runs' output files under ``paths`` (one header group per path)."""
+def scan_raw_output(spark: SparkSession, paths: list[str] | str) -> tuple[DataFrame, list[str]]:
+    """All runs' output files under ``paths`` (one header group per path) as
+    long rows, plus the output-variable column names.  Each path is listed
+    once; the names come from the header line, not from a data pass."""
     paths = [paths] if isinstance(paths, str) else paths
-    frames = []
+    frames, headers = [], []
     for p in paths:
         df = (spark.read.option("header", True).option("inferSchema", False)
               .option("recursiveFileLookup", True).csv(p))
         values = [c for c in df.columns if c != STAMP_COLUMN]
+        headers += [v for v in values if v not in headers]
         with_id = df.withColumn(
             "sim_id", F.regexp_extract(F.col("_metadata.file_path"), RUN_DIR_PATTERN, 1).cast("int"))
         long = with_id.unpivot(["sim_id", STAMP_COLUMN], values, "header", "_text")
@@ -34,7 +37,12 @@ def read_raw_output(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
-    return out
+    return out, headers
+
+
+def read_raw_output(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """Long rows ``(sim_id, datetime, header, joules)`` of all runs' output files."""
+    return scan_raw_output(spark, paths)[0]
 
 
 def raw_output_headers(spark: SparkSession, path: str) -> list[str]:
