@@ -14,6 +14,10 @@ from hypercube.plans.study import BATCH_SIZE, Study
 from hypercube.streaming import incremental as inc
 
 
+# worker files per micro-batch for the hourly streams (the landing has four)
+FILES_PER_TRIGGER = 2
+
+
 def _landed_hourly(spark, st: Study) -> str:
     return st.landed_hourly()
 
@@ -35,7 +39,7 @@ def q_progress_stream(spark, sf_dir):
 def q_stream_run_stats(spark, sf_dir):
     """Per-run sums and earliest peak kept in streaming state."""
     st = Study(spark, sf_dir)
-    return inc.stream_run_stats(spark, _landed_hourly(spark, st))
+    return inc.stream_run_stats(spark, _landed_hourly(spark, st), FILES_PER_TRIGGER)
 
 
 @register("stream_sparse_append", o.q(o.HOURLY_FX + o.ZONE_FX, o.CTE_ZONES, o.cte_hourly(), o.cte_sparse(),
@@ -43,4 +47,4 @@ def q_stream_run_stats(spark, sf_dir):
 def q_stream_sparse_append(spark, sf_dir):
     """The sparse fact appended micro-batch by micro-batch."""
     st = Study(spark, sf_dir)
-    return inc.stream_sparse_append(spark, _landed_hourly(spark, st), st.zone_catalog)
+    return inc.stream_sparse_append(spark, _landed_hourly(spark, st), st.zone_catalog, FILES_PER_TRIGGER)

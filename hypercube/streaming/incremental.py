@@ -94,16 +94,17 @@ def stream_progress(spark: SparkSession, summary_dir: str, design: DataFrame, ba
 # --- T2 / T3 -------------------------------------------------------------------
 
 
-def stream_run_stats(spark: SparkSession, hourly_dir: str) -> DataFrame:
+def stream_run_stats(spark: SparkSession, hourly_dir: str, files_per_trigger: int = 1) -> DataFrame:
     """Run stats over hourly worker files (per-run offsets kept in state)."""
     from hypercube.streaming.stateful import finalize_stats, run_stats_stream
     root = work_dir(spark, "stats-stream")
-    run_until_drained(run_stats_stream(file_stream(spark, hourly_dir)),
+    run_until_drained(run_stats_stream(file_stream(spark, hourly_dir, files_per_trigger)),
                       f"{root}/sink", f"{root}/checkpoint", "update")
     return finalize_stats(spark.read.parquet(f"{root}/sink"))
 
 
-def stream_sparse_append(spark: SparkSession, hourly_dir: str, zone_catalog: DataFrame) -> DataFrame:
+def stream_sparse_append(spark: SparkSession, hourly_dir: str, zone_catalog: DataFrame,
+                         files_per_trigger: int = 1) -> DataFrame:
     """Rows indexed in state, unpivoted per micro-batch, appended."""
     from hypercube.streaming.stateful import indexed_stream
     root = work_dir(spark, "sparse-stream")
@@ -114,7 +115,7 @@ def stream_sparse_append(spark: SparkSession, hourly_dir: str, zone_catalog: Dat
         hourly.sparse_fact(batch, zone_catalog, zones).write.mode("overwrite").parquet(
             f"{sink}/epoch={epoch_id}")
 
-    q = (indexed_stream(file_stream(spark, hourly_dir)).writeStream.outputMode("append")
+    q = (indexed_stream(file_stream(spark, hourly_dir, files_per_trigger)).writeStream.outputMode("append")
          .option("checkpointLocation", f"{root}/checkpoint").foreachBatch(write)
          .trigger(availableNow=True).start())
     q.awaitTermination()
