@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from hypercube.session import path_exists
 
@@ -24,12 +23,12 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_csv_group(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:
-    """One header group: strings as read, then each known column cast by name."""
-    names = header_of(spark, path)
-    schema = StructType([StructField(n, StringType(), True) for n in names])
-    raw = (spark.read.option("header", True).option("enforceSchema", False)
-           .option("mode", "FAILFAST").schema(schema).csv(path))
-    return raw.select(*[F.col(n).cast(types.get(n, "string")).alias(n) for n in names])
+    """One header group: columns named by the header and read as text (every
+    file's header is checked against it), then each known column cast by
+    name.  The folder is listed once."""
+    raw = (spark.read.option("header", True).option("inferSchema", False)
+           .option("enforceSchema", False).option("mode", "FAILFAST").csv(path))
+    return raw.select(*[F.col(n).cast(types.get(n, "string")).alias(n) for n in raw.columns])
 
 
 def read_csv_union(spark: SparkSession, paths: list[str], types: dict[str, str]) -> DataFrame:
