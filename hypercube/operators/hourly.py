@@ -93,10 +93,10 @@ def calendar(indexed: DataFrame, wide: DataFrame | None = None) -> DataFrame:
     The filter on the run pushes below the hour-index window, so only the
     reference run's rows are numbered."""
     ref = indexed.where(F.col("sim_id") == reference_run(indexed if wide is None else wide))
-    return (ref.groupBy("hour_index")
-            .agg(F.min_by("datetime", "datetime").alias("datetime"))
-            .withColumn("timestamp", hour24_timestamp("datetime"))
-            .select(F.col("hour_index").cast("int").alias("hour_index"), "datetime", "timestamp"))
+    # the hour index is a row number within the run, so each hour occurs
+    # once: "first stamp per hour" is the run's own row, no aggregation
+    return ref.select(F.col("hour_index").cast("int").alias("hour_index"), "datetime",
+                      hour24_timestamp("datetime").alias("timestamp"))
 
 
 def run_stats(rows: DataFrame, cal: DataFrame | None = None) -> DataFrame:
