@@ -20,6 +20,8 @@ EARLY_MORNING_HOUR = 10
 EVENING_STOP_HOUR = 22
 SHADING_CENTRE_HOUR = 14.0
 
+_WHITESPACE = " \t\n\r\f\u000b"
+
 
 def normalize_stamp(raw) -> Column:
     """Collapse whitespace runs to one blank and trim (``' '.join(s.split())``)."""
@@ -32,8 +34,8 @@ def hour24_timestamp(raw, base_year: int = BASE_YEAR) -> Column:
     One split on runs of ``/``, ``:`` and blanks gives month, day, hour,
     minute, second; blank or malformed text gives NULL.
     """
-    text = F.trim(col(raw))
-    parts = F.split(text, r"[/: \t]+")
+    text = F.btrim(col(raw), F.lit(_WHITESPACE))
+    parts = F.split(text, r"[/:\s]+")
 
     def part(i: int) -> Column:
         return F.element_at(parts, i).try_cast("int")
