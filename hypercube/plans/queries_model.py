@@ -219,17 +219,20 @@ def q_compact_schedules(spark, sf_dir):
     return scenario.schedule_rows(Study(spark, sf_dir).design)
 
 
-@register("schedule_assignments", o.q(("fx_model_zone",), select="""
-SELECT 'ThermostatSetpoint:DualSetpoint' AS object_class, zone_name AS object_name,
-  'heating_setpoint_temperature_schedule_name' AS field, 'Master_Heating_Setpoint_S' AS new_value FROM fx_model_zone WHERE has_thermostat
-UNION ALL SELECT 'ZoneHVAC:IdealLoadsAirSystem', zone_name, 'heating_availability_schedule_name', 'Master_Heating_Availability_S'
-FROM fx_model_zone WHERE has_thermostat"""))
+@register("schedule_assignments", o.q(("fx_model_zone", "fx_zone_object"), select="""
+SELECT 'ThermostatSetpoint:DualSetpoint' AS object_class, o.object_name,
+  'heating_setpoint_temperature_schedule_name' AS field, 'Master_Heating_Setpoint_S' AS new_value
+FROM fx_zone_object o JOIN fx_model_zone m ON o.zone_name = m.zone_name WHERE m.has_thermostat
+UNION ALL SELECT 'ZoneHVAC:IdealLoadsAirSystem', o.object_name, 'heating_availability_schedule_name', 'Master_Heating_Availability_S'
+FROM fx_zone_object o JOIN fx_model_zone m ON o.zone_name = m.zone_name WHERE m.has_thermostat"""))
 def q_schedule_assignments(spark, sf_dir):
-    """Sibling updates, every thermostat and ideal-loads system of a
+    """Sibling updates, every thermostat and ideal-loads object of a
     conditioned zone points at the new schedules (run-independent)."""
-    mz = Study(spark, sf_dir).fx.fx_model_zone
-    conditioned = mz.where(F.col("has_thermostat")).select("zone_name")
-    return scenario.schedule_assignments(conditioned, conditioned)
+    fx = Study(spark, sf_dir).fx
+    conditioned = fx.fx_model_zone.where(F.col("has_thermostat")).select("zone_name")
+    objects = (fx.fx_zone_object.join(conditioned, on="zone_name", how="left_semi")
+               .select(F.col("object_name").alias("zone_name")))
+    return scenario.schedule_assignments(objects, objects)
 
 
 # --- layers and materials -------------------------------------------------------
@@ -287,33 +290,33 @@ def q_scenario_change_log(spark, sf_dir):
     return scenario.change_log(scenario.material_deltas(ft), scenario.glazing_deltas(gft))
 
 
-def _flow_objects(mz):
-    inf = mz.select(F.lit(scenario.INFILTRATION).alias("object_class"), F.col("zone_name").alias("object_name"),
-                    "zone_name", F.lit(None).cast("double").alias("air_changes_per_hour"))
-    vent = mz.select(F.lit(scenario.VENTILATION), "zone_name", "zone_name", F.lit(None).cast("double"))
-    return inf.unionByName(vent.toDF(*inf.columns))
+def _flow_objects(objs):
+    inf = objs.select(F.lit(scenario.INFILTRATION).alias("object_class"), "object_name", "zone_name",
+                      F.col("air_changes_per_hour").cast("double"))
+    vent = objs.select(F.lit(scenario.VENTILATION).alias("object_class"), "object_name", "zone_name",
+                       F.col("air_changes_per_hour").cast("double"))
+    return inf.unionByName(vent)
 
 
-@register("airflow_deltas", o.q(("fx_model_zone",), _lv("inf", "vent"), select="""
-SELECT o.object_class, o.zone_name AS object_name, lv.p AS factor_param, lv.factor, m.volume, m.zone_name,
+@register("airflow_deltas", o.q(("fx_model_zone", "fx_zone_object"), _lv("inf", "vent"), select="""
+SELECT o.object_class, o.object_name, lv.p AS factor_param, lv.factor, m.volume, m.zone_name,
   'Flow/Zone' AS design_flow_rate_calculation_method, (lv.factor * m.volume) / 3600.0E0 AS design_flow_rate
-FROM (SELECT 'ZoneInfiltration:DesignFlowRate' AS object_class, 'inf' AS p, zone_name FROM fx_model_zone
-      UNION ALL SELECT 'ZoneVentilation:DesignFlowRate', 'vent', zone_name FROM fx_model_zone) o
+FROM (SELECT 'ZoneInfiltration:DesignFlowRate' AS object_class, 'inf' AS p, object_name, zone_name FROM fx_zone_object
+      UNION ALL SELECT 'ZoneVentilation:DesignFlowRate', 'vent', object_name, zone_name FROM fx_zone_object) o
 JOIN fx_model_zone m ON o.zone_name = m.zone_name JOIN lv ON lv.p = o.p WHERE m.volume IS NOT NULL"""))
 def q_airflow_deltas(spark, sf_dir):
     """C6 + J15 + F9 + P20: infiltration/ventilation edit dictionary per ACH level."""
-    mz = Study(spark, sf_dir).fx.fx_model_zone
-    return scenario.airflow_deltas(_flow_objects(mz), mz)
+    fx = Study(spark, sf_dir).fx
+    return scenario.airflow_deltas(_flow_objects(fx.fx_zone_object), fx.fx_model_zone)
 
 
-@register("gain_deltas", o.q(("fx_model_zone",), _lv("misc"), select="""
-SELECT 'OtherEquipment' AS object_class, m.zone_name AS object_name, 'misc' AS factor_param, lv.factor,
+@register("gain_deltas", o.q(("fx_zone_object",), _lv("misc"), select="""
+SELECT 'OtherEquipment' AS object_class, o.object_name, 'misc' AS factor_param, lv.factor,
   'Watts/Area' AS design_level_calculation_method, lv.factor AS power_per_zone_floor_area
-FROM fx_model_zone m JOIN lv ON lv.p = 'misc'"""))
+FROM fx_zone_object o JOIN lv ON lv.p = 'misc'"""))
 def q_gain_deltas(spark, sf_dir):
     """C6 + P20: internal-gain edit dictionary per gain level."""
-    mz = Study(spark, sf_dir).fx.fx_model_zone
-    eq = mz.select(F.col("zone_name").alias("object_name"), F.lit(None).cast("double").alias("design_level"))
+    eq = Study(spark, sf_dir).fx.fx_zone_object.select("object_name", "design_level")
     return scenario.gain_deltas(eq)
 
 

@@ -58,6 +58,13 @@ SELECT sim_id, h, concat(upper(zone_name), ' IDEAL LOADS AIR:Zone Ideal Loads Su
                       ("fx_hourly_long",)),
     "fx_model_zone": ("""
 SELECT n_name AS zone_name, CASE WHEN n_nationkey % 6 <> 5 THEN 60.0E0 + n_nationkey * 7.5E0 END AS volume, n_nationkey % 7 <> 3 AS has_thermostat FROM nation""", ()),
+    # model objects that belong to a zone (infiltration, ventilation, equipment,
+    # thermostat and HVAC objects), one per supplier, so their count grows with sf
+    "fx_zone_object": ("""
+SELECT s_suppkey AS object_id, s_name AS object_name, n_name AS zone_name,
+ CASE WHEN s_suppkey % 3 = 0 THEN 0.5E0 + (s_suppkey % 5) * 0.1E0 END AS air_changes_per_hour,
+ CASE WHEN s_suppkey % 4 = 0 THEN 100.0E0 + (s_suppkey % 50) END AS design_level
+ FROM supplier JOIN nation ON s_nationkey = n_nationkey""", ()),
     "fx_floor": ("""
 SELECT s_suppkey AS surface_id, n_name AS zone_name, CASE WHEN s_suppkey % 4 = 3 THEN 'Wall' ELSE 'FLOOR' END AS surface_type,
  2.0E0 + s_suppkey % 7 AS w, 3.0E0 + s_suppkey % 5 AS d, 3.0E0 * n_regionkey AS z FROM supplier JOIN nation ON s_nationkey = n_nationkey""", ()),
