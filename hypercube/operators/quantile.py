@@ -49,12 +49,17 @@ def exact_median(df: DataFrame, group_cols: list[str], value_col: str, out: str
         F.struct(F.lit(2).alias("t"), (F.col("_n") / 2).cast("long").alias("k")))).alias("_t"),
         "_lo", "_hi", "_n")
         .select(*gk, "_t.t", "_t.k", "_lo", "_hi", F.col("_n").alias("_size")))
-    state = _materialize(state)
     keys = gk + ["t"]
+    narrowed = False
     for _ in range(MAX_ROUNDS):
         open_ = state.where((F.col("_size") > small) & (F.col("_lo") < F.col("_hi")))
         if open_.isEmpty():
             break
+        if not narrowed:
+            # a round is needed: cut the lineage before the loop grows it
+            state = _materialize(state)
+            open_ = state.where((F.col("_size") > small) & (F.col("_lo") < F.col("_hi")))
+            narrowed = True
         width = (F.col("_hi") - F.col("_lo")) / F.lit(float(buckets))
         b = F.least(F.floor((F.col("_v") - F.col("_lo")) / width).cast("int"), F.lit(buckets - 1))
         cand = (vals.join(open_, on=gk, how="inner")
