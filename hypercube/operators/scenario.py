@@ -28,6 +28,7 @@ from hypercube.functions.schedules import (AVAILABILITY_SCHEDULE, LIMITS_FRACTIO
                                            availability_schedule, setpoint_schedule,
                                            shading_schedule)
 from hypercube.operators.broadcast import bounded_broadcast
+from hypercube.operators.ordinal import sliced_row_number
 from hypercube.operators.sampling import SPACE_12, Param
 from hypercube.operators.zones import EXCLUDED
 
@@ -77,18 +78,20 @@ def factor_class(surface_type) -> Column:
 
 def layer_positions(layers: DataFrame) -> DataFrame:
     """F19 + W6 on the long layer table ``(construction_id, layer_ord, material_id)``:
-    layers ordered, empty entries removed, the innermost one not editable.
+    empty entries removed, layers numbered in order (``layer_pos``), the
+    innermost one not editable.
 
-    A construction holds at most ten layers, so its list is a bounded group.
+    The position is a sliced row number (slice = ``layer_ord``) and the layer
+    count a partial aggregation joined back, so no construction's layers are
+    collected in one place, however many rows one construction has.
     """
-    lists = (layers.groupBy("construction_id")
-             .agg(F.array_sort(F.collect_list(F.struct("layer_ord", "material_id"))).alias("_l"))
-             .withColumn("_l", F.filter("_l", lambda x: x["material_id"].isNotNull())))
-    return (lists.select("construction_id", F.size("_l").alias("n_layers"),
-                         F.posexplode("_l").alias("_pos", "_x"))
-            .select("construction_id", F.col("_x.layer_ord").alias("layer_ord"),
-                    (F.col("_pos") + 1).alias("layer_pos"), F.col("_x.material_id").alias("material_id"),
-                    (F.col("_pos") < F.col("n_layers") - 1).alias("editable")))
+    present = layers.where(F.col("material_id").isNotNull())
+    numbered = sliced_row_number(present, ["construction_id"], "layer_ord", ["layer_ord", "material_id"],
+                                 out="layer_pos", start=1)
+    counts = present.groupBy("construction_id").agg(F.count(F.lit(1)).alias("n_layers"))
+    return (numbered.join(counts, on="construction_id", how="inner")
+            .select("construction_id", "layer_ord", "layer_pos", "material_id",
+                    (F.col("layer_pos") < F.col("n_layers")).alias("editable")))
 
 
 def outdoor_surfaces(surfaces: DataFrame) -> DataFrame:
