@@ -119,3 +119,19 @@ def test_unpivot_then_pivot_is_identity(spark, sf_small):
     nonzero_rows = orig.where(sum((F.col(z) != 0).cast("int") for z in zs) > 0)
     assert back.select("sim_id", "hour_index", *zs).exceptAll(nonzero_rows).count() == 0
     assert nonzero_rows.exceptAll(back.select("sim_id", "hour_index", *zs)).count() == 0
+
+
+def test_bounded_broadcast_falls_back_above_bound(spark):
+    from hypercube.operators.broadcast import bounded_broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        big = spark.range(1000).withColumnRenamed("id", "k")
+        small = spark.range(10).withColumnRenamed("id", "k")
+        hinted = big.join(bounded_broadcast(small, 100), "k")._jdf.queryExecution().executedPlan().toString()
+        unhinted = big.join(bounded_broadcast(small, 5), "k")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in hinted
+        assert "BroadcastHashJoin" not in unhinted and "SortMergeJoin" in unhinted
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
