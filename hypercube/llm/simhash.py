@@ -193,7 +193,7 @@ def _bucket_links(radius: int):
 # ------------------------------------------------------------------ candidates
 def _parts(bits: list[int], n: int) -> list[int]:
     """The given bit places dealt into ``n`` runs, as masks."""
-    return [sum(1 << b for b in part) for part in np.array_split(np.array(bits), n)] if bits else [0] * n
+    return [sum(1 << b for b in part.tolist()) for part in np.array_split(np.array(bits, int), n)]
 
 
 def masks(radius: int, bits: list[int] | None = None, spare: int = 3) -> list[int]:
