@@ -6,14 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hypercube.llm import simhash
+from hypercube.llm import line_dedup, mixing, simhash, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_source_mixing": mixing.op1_source_mixing,
+        "op3_line_dedup": line_dedup.op3_line_dedup,
         "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
+        "op10_url_filter": url_filter.op10_url_filter,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {
+        "op1_source_mixing": mixing.ORACLE,
+        "op3_line_dedup": line_dedup.ORACLE,
+        "op10_url_filter": url_filter.ORACLE,
+    }
