@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hypercube.llm import line_dedup, mixing, simhash, url_filter
+from hypercube.llm import chat, language, line_dedup, mixing, packing, parsing, simhash, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mixing": mixing.op1_source_mixing,
         "op3_line_dedup": line_dedup.op3_line_dedup,
+        "op5_packing": packing.op5_packing,
+        "op6_language_id": language.op6_language_id,
+        "op7_document_fingerprints": parsing.op7_document_fingerprints,
+        "op8_chat_prefix_tree": chat.op8_chat_prefix_tree,
         "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
         "op10_url_filter": url_filter.op10_url_filter,
     }
