@@ -6,13 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hypercube.llm import chat, language, line_dedup, mixing, packing, parsing, simhash, url_filter
+from hypercube.llm import (
+    chat,
+    html_text,
+    language,
+    line_dedup,
+    mixing,
+    packing,
+    parsing,
+    simhash,
+    topk,
+    url_filter,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mixing": mixing.op1_source_mixing,
+        "op2_exact_top_k": topk.op2_exact_top_k,
         "op3_line_dedup": line_dedup.op3_line_dedup,
+        "op4_html_extraction": html_text.op4_html_extraction,
         "op5_packing": packing.op5_packing,
         "op6_language_id": language.op6_language_id,
         "op7_document_fingerprints": parsing.op7_document_fingerprints,
@@ -25,6 +38,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracles() -> dict[str, str]:
     return {
         "op1_source_mixing": mixing.ORACLE,
+        "op2_exact_top_k": topk.ORACLE,
         "op3_line_dedup": line_dedup.ORACLE,
         "op10_url_filter": url_filter.ORACLE,
     }
