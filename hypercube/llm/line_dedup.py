@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hypercube.llm.common import table
+from hypercube.llm.common import columns, spare, table
 
 #: A line is boilerplate if more than this share of its host's pages hold it ...
 RATIO = 0.05
@@ -48,17 +48,18 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO
     text all of whose lines go becomes empty.  Repeated rows count as pages
     each.  An empty table gives no rows.
     """
-    found = boilerplate(docs, host, ratio, min_pages).select(
+    doc, of, drop = spare(docs, "__doc", "__of", "__drop")
+    found = boilerplate(docs.select(host, "text"), host, ratio, min_pages).select(
         F.col("host").alias("__host"), F.struct("h1", "h2").alias("__name"))
     # of each document only the names of its boilerplate lines cross the shuffle
-    held = (docs.select(F.col("doc_id").alias("__doc"), F.col(host).alias("__of"),
+    held = (docs.select(F.col("doc_id").alias(doc), F.col(host).alias(of),
                         F.explode(F.array_distinct(F.transform(_lines(F.col("text")), _name))).alias("__line"))
-            .join(found, F.col("__of").eqNullSafe(F.col("__host")) & (F.col("__line") == F.col("__name")), "left_semi")
-            .groupBy("__doc", "__of").agg(F.collect_set("__line").alias("__drop")))
-    joined = docs.join(held, F.col("doc_id").eqNullSafe(F.col("__doc")) & F.col(host).eqNullSafe(F.col("__of")), "left")
-    kept = F.array_join(F.filter(_lines(F.col("text")), lambda x: ~F.array_contains(F.col("__drop"), _name(x))), "\n")
-    text = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(kept)
-    return joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns])
+            .join(found, F.col(of).eqNullSafe(F.col("__host")) & (F.col("__line") == F.col("__name")), "left_semi")
+            .groupBy(doc, of).agg(F.collect_set("__line").alias(drop)))
+    joined = docs.join(held, F.col("doc_id").eqNullSafe(F.col(doc)) & F.col(host).eqNullSafe(F.col(of)), "left")
+    kept = F.array_join(F.filter(_lines(F.col("text")), lambda x: ~F.array_contains(F.col(drop), _name(x))), "\n")
+    text = F.when(F.col(drop).isNull(), F.col("text")).otherwise(kept)
+    return joined.select(*[text.alias("text") if n == "text" else c for n, c in zip(docs.columns, columns(docs))])
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hypercube.llm.common import WORD, table, written
+from hypercube.llm.common import WORD, columns, spare, table, written
 
 #: Weights of the sources by code point, null last, repeating.
 WEIGHTS = (5, 2, 1)
@@ -134,15 +134,13 @@ def mixed_documents(docs: DataFrame, quality: DataFrame, most: int = MOST_EPOCHS
     Rows with equal doc_id and size are taken alike, so one decision serves
     them all.
     """
-    taken = mix(written(sized(docs, quality, seed), "mix-sized"), most)
-    copies = (taken.groupBy("doc_id", "source", "size").agg(F.first("copies").alias("__copies"))
-              .filter("__copies > 0")
-              .select(F.col("doc_id").alias("__doc"), F.col("source").alias("__source"), F.col("size").alias("__size"), "__copies"))
-    found = docs.withColumn("__words", word_count(F.col("text"))).join(
-        copies, F.col("doc_id").eqNullSafe(F.col("__doc")) & F.col("source").eqNullSafe(F.col("__source"))
-        & (F.col("__words") == F.col("__size")))
-    return (found.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
-            .select(*docs.columns))
+    doc, of, size, n, words, copy = spare(docs, "__doc", "__of", "__size", "__n", "__words", "__copy")
+    taken = mix(written(sized(docs, quality, seed), "mix-sized"), most).filter("copies > 0")
+    copies = (taken.groupBy("doc_id", "source", "size").agg(F.first("copies").cast("int").alias(n))
+              .select(F.col("doc_id").alias(doc), F.col("source").alias(of), F.col("size").alias(size), n))
+    found = docs.withColumn(words, word_count(F.col("text"))).join(
+        copies, F.col("doc_id").eqNullSafe(F.col(doc)) & F.col("source").eqNullSafe(F.col(of)) & (F.col(words) == F.col(size)))
+    return found.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*columns(docs))
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hypercube.llm.common import table, written
+from hypercube.llm.common import columns, spare, table, written
 from hypercube.llm.components import connected_components
 
 BITS = 64
@@ -67,14 +67,14 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)`` for every row of ``docs``."""
+    """``(doc_id, text_hash, fp)`` for every row of ``docs``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = [simhash(t.as_py(), shingle) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64())], ["doc_id", "fp"])
+            fp = [simhash(t.as_py(), shingle) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp, pa.int64())], ["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), F.col("text").cast("string")).mapInArrow(
+        run, "doc_id long, text_hash long, fp long")
 
 
 # ------------------------------------------------------- bit-sliced comparison
@@ -242,7 +242,7 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``(doc_id, fp, component_id)`` per row of ``docs(doc_id, text)``.
+    """``(doc_id, text_hash, fp, component_id)`` per row of ``docs(doc_id, text)``.
 
     Texts without words (null, empty, white space) have fingerprint zero and
     link like any other.  ``component_id`` is the smallest non-null doc_id
@@ -257,7 +257,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
               .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     found = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return fps.join(found, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(found, "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
 def keep_one_per_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
@@ -267,12 +267,12 @@ def keep_one_per_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
     doc_id and text one stays.  Groups without any doc_id keep one row per
     different text.
     """
-    groups = near_duplicates(docs, shingle, radius)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__kept")).distinct()
-    stay = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
-    return (stay.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"])
-            .select(*docs.columns))
+    doc, text, own = spare(docs, "__doc", "__kept", "__text")
+    kept = (near_duplicates(docs, shingle, radius).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .select(F.col("doc_id").alias(doc), F.col("text_hash").alias(text)).distinct())
+    stay = docs.withColumn(own, F.xxhash64("text")).join(
+        kept, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(text)), "left_semi")
+    return stay.dropDuplicates(["doc_id", own]).select(*columns(docs))
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

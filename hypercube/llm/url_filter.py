@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hypercube.llm.common import table
+from hypercube.llm.common import columns, spare, table
 
 #: Fixed rules: host, path, verdict.
 RULES = (
@@ -95,10 +95,11 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFr
     Every row gets exactly one verdict, repeated urls the same one.  An empty
     table gives no rows.  Columns of ``pages`` with these names are replaced.
     """
-    own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    verdicts = url_verdicts(pages.select("url").distinct(), rules, default).withColumnRenamed("url", "__judged")
-    return (pages.select(*own).join(verdicts, F.col("url").eqNullSafe(F.col("__judged")))
-            .select(*own, "host", "path", "rule", "verdict"))
+    own = pages.drop("host", "path", "rule", "verdict")
+    (judged_url,) = spare(pages, "__judged")
+    verdicts = url_verdicts(pages.select("url").distinct(), rules, default).withColumnRenamed("url", judged_url)
+    return (own.join(verdicts, F.col("url").eqNullSafe(F.col(judged_url)))
+            .select(*columns(own), "host", "path", "rule", "verdict"))
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
