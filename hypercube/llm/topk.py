@@ -63,6 +63,8 @@ def best_of_block(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.nda
         if not len(alive):
             continue
         found = q_whole @ c_whole[alive].T
+        if not exact:
+            found = np.clip(found, -(1 << 63), (1 << 63) - 1)
         own = q_ids[:, None] == c_ids[alive]
         rows = np.flatnonzero(((found > least[:, None]) & ~own).any(axis=1) if exact else np.ones(len(q), bool))
         for r in rows.tolist():
@@ -86,7 +88,7 @@ def top_scores(vectors: DataFrame, queries: Column, top: int = TOP) -> DataFrame
     query; candidates are all rows but the query's own.  Rows without vec_id
     and vectors that are null or hold null or non-finite components take no
     part.  Of rows that repeat a vec_id the smallest vector counts.  Vectors
-    are compared with those of the same length.  Scores beyond a long stop at
+    are compared with those of the same length.  Scores beyond a long count as
     its ends.  No rows give no rows.
 
     Queries and candidates are dealt into blocks by a hash, and each block of
@@ -109,8 +111,7 @@ def top_scores(vectors: DataFrame, queries: Column, top: int = TOP) -> DataFrame
         if not len(q) or not len(c):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
         a, b, s = best_of_block(q["vec_id"].to_numpy(), whole(q["embedding"]), c["vec_id"].to_numpy(), whole(c["embedding"]), top)
-        s = [min(max(int(x), -(1 << 63)), (1 << 63) - 1) for x in s]
-        return pd.DataFrame({"query_id": a, "vec_id": b, "score": pd.Series(s, dtype="int64")})
+        return pd.DataFrame({"query_id": a, "vec_id": b, "score": pd.Series([int(x) for x in s], dtype="int64")})
 
     keys = ["qb", "cb", "dim"]
     found = asked.groupBy(*keys).cogroup(given.groupBy(*keys)).applyInPandas(compare, "query_id long, vec_id long, score long")
