@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -46,41 +47,58 @@ class _Ids(dict):
     def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
         if ids is None:
-            # lower case comes first in the tokenizer; of ASCII words it is sure to be Python's
-            low = word.lower() if word.isascii() else word
-            stem, tail = (low[:-1], low[-1]) if low[-1:] in (".", ",") and low[:-1].isalpha() and low.isascii() else (low, "")
-            if tail:
-                ids = self[stem] + self[tail]
-            elif low != word:
-                ids = self[low]
-            else:
-                ids = self.encode(word)
+            ids = self.encode(word)
         self[word] = ids
         return ids
 
 
+#: Latin letters, and at most one mark after them: a word that splits nowhere else.
+_PLAIN = re.compile("([a-z\u00df-\u00f6\u00f8-\u024f]+)([.,]?)")
+
+
 class Encoder:
     """The tokenizer's ids of whole texts, word by word.
 
     It splits at white space and at the edges of words before anything else,
     so the ids of a text are those of what stands between its blanks and line
-    feeds.  Texts that name a special token are encoded in one go.
+    feeds.  Plain words in lower case need no more than the tokenizer's model.
+    Texts that name a special token are encoded in one go.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words = _Ids(self._encode, {})
+        self.bytes_of: dict[str, str] = {}
+        self.words = _Ids(self._word, {})
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _spelled(self, letter: str) -> str:
+        """How the tokenizer writes a letter's bytes."""
+        if letter not in self.bytes_of:
+            self.bytes_of[letter] = "".join(part for part, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(letter))
+        return self.bytes_of[letter]
+
+    def _word(self, word: str) -> bytes:
+        low = word.lower()
+        plain = _PLAIN.fullmatch(low)
+        if not plain:
+            return self._encode(word)
+        if plain[2]:
+            return self.words[plain[1]] + self.words[plain[2]]
+        if low != word:
+            return self.words[low]
+        spelled = word if word.isascii() else "".join(map(self._spelled, word))
+        return np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+
     def __call__(self, text: str) -> bytes:
         if any(s in text for s in self.special):
             return self._encode(text)
         if len(self.words) > REMEMBER:
-            self.words = _Ids(self._encode, dict(self.words))
+            self.words = _Ids(self._word, dict(self.words))
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
@@ -93,68 +111,69 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def tokenize(docs: DataFrame, path: str) -> DataFrame:
-    """``(doc_id, ids)`` per row of ``docs``; ids: 16-bit if they all fit, else 32-bit, little-endian, without the end id."""
-    from tokenizers import Tokenizer
-    kind = "<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
-        for batch in batches:
-            ids = [np.frombuffer(encode(t.as_py() or ""), "<u4").astype(kind).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids binary")
-
-
 # ------------------------------------------------- statistics and shards
-def _per_term(rows: DataFrame, size: int, kind: str, value) -> dict[int, tuple]:
-    """Sums per term over all rows: ``value(ids)`` gives terms, and what they add.
+def _topic(terms: np.ndarray, counts: np.ndarray) -> int:
+    """The term that tells most about a document, -1 if it has none.
 
-    Each task sends one row per term, the sums are one row per term of the
-    vocabulary: that bounds what the driver gets.
+    Ids follow the order in which the vocabulary was merged, so a late id
+    stands for a rare term.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(size, np.int64)
-        for batch in batches:
-            for ids in batch.column(0):
-                terms, add = value(np.frombuffer(ids.as_py(), kind))
-                sums[terms] += add
-        at = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["term", "n"])
+    return int(terms[(np.log1p(terms) * counts / (counts + K1)).argmax()]) if len(terms) else -1
 
-    found = rows.select("ids").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    return {r["term"]: r["n"] for r in found.collect()}
 
+def tokenize(docs: DataFrame, path: str, kind: str, size: int) -> DataFrame:
+    """Each row of ``docs`` as ``(doc_id, ids, topic, n, slot)``, and each task's document frequencies as ``(term, n)``.
 
-def _topic(ids: np.ndarray, idf: np.ndarray) -> int:
-    """The term that tells most about a document; the last place if it has none."""
-    if not len(ids):
-        return len(idf) - 1
-    terms, counts = np.unique(ids, return_counts=True)
-    return int(terms[(idf[terms] * (counts * (K1 + 1) / (counts + K1))).argmax()])
-
+    ids are those of the text, as numbers of the given kind; n counts them and
+    the end id; slot numbers a task's rows.  A task sends one row for each
+    term of the vocabulary at most.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(doc_id, ids, topic, n, slot, term):
+            return pa.RecordBatch.from_arrays(
+                [doc_id, pa.array(ids, pa.binary()), pa.array(topic, pa.int64()), pa.array(n, pa.int64()),
+                 pa.array(slot, pa.int64()), pa.array(term, pa.int64())], ["doc_id", "ids", "topic", "n", "slot", "term"])
 
-def _deal(tokens: dict[int, int], size: int, shard: int) -> tuple[np.ndarray, np.ndarray]:
-    """First shard and number of shards of every topic.
+        encode, frequency, slot = encoder(path), np.zeros(size, np.int64), 0
+        for batch in batches:
+            found, topics = [], []
+            for text in batch.column(1):
+                ids = np.frombuffer(encode(text.as_py() or ""), "<u4").astype(kind)
+                terms, counts = np.unique(ids, return_counts=True)
+                frequency[terms] += 1
+                topics.append(_topic(terms, counts))
+                found.append(ids.tobytes())
+            width = np.dtype(kind).itemsize
+            yield rows(batch.column(0), found, topics, [len(x) // width + 1 for x in found],
+                       range(slot, slot + len(found)), [None] * len(found))
+            slot += len(found)
+        at = np.flatnonzero(frequency)
+        none = [None] * len(at)
+        yield rows(pa.array(none, pa.int64()), none, none, frequency[at], none, at)
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        run, "doc_id long, ids binary, topic long, n long, slot long, term long")
+
+
+def _deal(tokens: dict[int, int], shard: int) -> list[tuple[int, int, int]]:
+    """``(topic, first shard, number of shards)`` for every topic.
 
     Small topics fill a shard together, in order; one with more than a
     shard's tokens is dealt over as many shards as it needs.
     """
-    first, parts = np.zeros(size, np.int64), np.ones(size, np.int64)
+    out = []
     at, filled = 0, 0
-    for topic in sorted(tokens):
-        n = tokens[topic]
+    for topic, n in sorted(tokens.items()):
         if n > shard:
             at, filled = at + (filled > 0), 0
-            first[topic], parts[topic] = at, -(-n // shard)
-            at += parts[topic]
+            out.append((topic, at, -(-n // shard)))
+            at += out[-1][2]
             continue
         if filled + n > shard:
             at, filled = at + 1, 0
-        first[topic] = at
+        out.append((topic, at, 1))
         filled += n
-    return first, parts
+    return out
 
 
 # ------------------------------------------------------------------ packing
@@ -260,39 +279,32 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, shard: int = SHARD, w
     the end id.  Every id lies in exactly one piece; repeated rows are
     documents of their own.  Document frequencies and the mean length are
     taken over all documents.  A document goes to the shard of the term that
-    tells most about it, so lexical neighbours meet; a term with more
+    tells most about it (``_topic``), so lexical neighbours meet; a term with more
     documents than fit a shard is dealt over several, so no shard grows with
     the input.  Only a document longer than a shard is larger.  ``with_ids``
     adds each piece's ids.  No documents give no rows.
     """
     from tokenizers import Tokenizer
-    size = Tokenizer.from_file(path).get_vocab_size() + 1
-    kind = "<u2" if size - 1 <= 1 << 16 else "<u4"
-    width = np.dtype(kind).itemsize
-    rows = written(tokenize(docs, path), "tokens")
-    totals = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("ids") / width).alias("tokens")).first()
-    n, mean = totals["n"], max(1.0, (totals["tokens"] or 0) / max(1, totals["n"]))
+    size = Tokenizer.from_file(path).get_vocab_size()
+    kind = "<u2" if size <= 1 << 16 else "<u4"
+    rows = written(tokenize(docs, path, kind, size), "tokens")
+    own = rows.filter("topic IS NOT NULL")
+    # one row per term of the vocabulary each: that bounds what the driver gets and what is broadcast
+    topics = own.groupBy("topic").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("n")).collect()
     frequency = np.zeros(size)
-    for term, count in _per_term(rows, size, kind, lambda ids: (np.unique(ids), 1)).items():
-        frequency[term] = count
+    for r in rows.filter("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("n")).collect():
+        frequency[r["term"]] = r["n"]
+    n = sum(r["docs"] for r in topics)
+    mean = max(1.0, (sum(r["n"] for r in topics) - n) / max(1, n))
     idf = np.log1p((n - frequency + 0.5) / (frequency + 0.5))
-    tokens = _per_term(rows, size, kind, lambda ids: (_topic(ids, idf), len(ids) + 1))
-    first, parts = _deal(tokens, size, shard)
-
-    def to_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = 0
-        for batch in batches:
-            shards = []
-            for doc_id, ids in zip(batch.column(0), batch.column(1)):
-                topic = _topic(np.frombuffer(ids.as_py(), kind), idf)
-                # the place in the task also deals out rows that repeat one doc_id
-                shards.append(int(first[topic] + (zlib.crc32(str(doc_id.as_py()).encode()) + at) % parts[topic]))
-                at += 1
-            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), batch.column(0), batch.column(1)],
-                                             ["shard", "doc_id", "ids"])
+    dealt = docs.sparkSession.createDataFrame(_deal({r["topic"]: r["n"] for r in topics}, shard), "topic long, first long, parts long")
+    # the slot also deals out rows that repeat one doc_id
+    part = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) + F.col("slot"), F.col("parts"))
+    sharded = own.join(F.broadcast(dealt), "topic").select(
+        (F.col("first") + part).alias("shard"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("nameless"), "ids")
 
     def packed(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "ids"], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["nameless", "doc_id", "ids"], kind="stable").reset_index(drop=True)
         texts = [np.frombuffer(x, kind) for x in pdf["ids"]]
         out = []
         for k, sequence in enumerate(fill_windows(texts, [len(t) + 1 for t in texts], idf, mean, window)):
@@ -305,10 +317,9 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, shard: int = SHARD, w
                             (int(pdf["shard"].iat[0]) << 32) + k, offset, ids if with_ids else None))
                 offset += length
         found = pd.DataFrame(out, columns=["d", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
-        found.insert(0, "doc_id", pdf["doc_id"].astype("Int64").to_numpy(object, na_value=None)[found["d"]])
+        found.insert(0, "doc_id", pdf["doc_id"].astype(object).where(~pdf["nameless"], None).to_numpy()[found["d"]])
         return found.drop(columns=["d"] if with_ids else ["d", "ids"])
 
-    sharded = rows.mapInArrow(to_shard, "shard long, doc_id long, ids binary")
     return sharded.groupBy("shard").applyInPandas(packed, PIECES + (", ids array<long>" if with_ids else ""))
 
 
