@@ -21,18 +21,16 @@ EVENING_STOP_HOUR = 22
 SHADING_CENTRE_HOUR = 14.0
 
 _WHITESPACE = " \t\n\r\f\u000b"
-
-
-def normalize_stamp(raw) -> Column:
-    """Collapse whitespace runs to one blank and trim (``' '.join(s.split())``)."""
-    return F.trim(F.regexp_replace(col(raw), r"\s+", " "))
+# date, blanks, time: the parts of a stamp and what stands between them
+STAMP_PATTERN = r"^\d+/\d+\s+\d+:\d+:\d+$"
 
 
 def hour24_timestamp(raw, base_year: int = BASE_YEAR) -> Column:
     """Parse a simulator stamp to TIMESTAMP_NTZ; hour 24 rolls to the next day.
 
-    One split on runs of ``/``, ``:`` and blanks gives month, day, hour,
-    minute, second; blank or malformed text gives NULL.
+    One split on ``/``, ``:`` and blanks gives month, day, hour, minute,
+    second.  NULL and blank text give NULL; any other text that is no date
+    with a time of hours 0 to 24 raises an error.
     """
     text = F.btrim(col(raw), F.lit(_WHITESPACE))
     parts = F.split(text, r"[/:\s]+")
@@ -44,9 +42,12 @@ def hour24_timestamp(raw, base_year: int = BASE_YEAR) -> Column:
     # midnight of the date (NULL for an impossible date), plus the clock time
     # as a day-time interval, so hour 24 lands on the next day
     midnight = F.try_make_timestamp_ntz(F.lit(base_year), month, day, F.lit(0), F.lit(0), F.lit(0))
-    # a part that is not an integer makes its cast, and so the stamp, NULL
-    ok = (F.length(text) > 0) & (F.size(parts) == 5)
-    return F.when(ok, midnight + F.make_dt_interval(F.lit(0), hour, minute, second))
+    valid = (F.coalesce(F.size(parts) == 5, F.lit(False)) & text.rlike(STAMP_PATTERN) & midnight.isNotNull()
+             & hour.between(0, 24) & minute.between(0, 59) & second.between(0, 59))
+    stamp = F.when(valid, midnight + F.make_dt_interval(F.lit(0), hour, minute, second))
+    return (F.when(text.isNull() | (F.length(text) == 0), F.lit(None).cast("timestamp_ntz"))
+            .when(~valid, F.raise_error(F.concat(F.lit("not a simulator stamp: "), text)).cast("timestamp_ntz"))
+            .otherwise(stamp))
 
 
 def hhmm(hour, minute=None) -> Column:

@@ -7,8 +7,8 @@ Plan shape (one exchange of wide rows):
   wide -> parse stamp (F1), day slice -> hour index per run (W1, sliced) ->
   { horizontal row aggregates (A14) -> run stats (A3, A4: partial + final
     aggregation on sim_id), calendar of the reference run (W2),
-    unpivot to the sparse fact (P17, P3) with a broadcast zone lookup (J10) }.
-Row totals are taken on the wide row, never after the unpivot, so the
+    explode of the kept cells to the sparse fact (P17, P3) with a zone lookup (J10) }.
+Row totals are taken on the wide row, never after the explode, so the
 run-level aggregation shuffles one partial row per run and partition.
 
 NULL/NaN cells follow the reference's NumPy semantics: such a cell counts
@@ -18,22 +18,14 @@ row is left out of the annual sum and the peak search.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hypercube.functions.names import ZONE_PREFIX
 from hypercube.functions.numeric import is_missing, round_even
 from hypercube.functions.timefmt import hour24_timestamp
-from hypercube.operators.broadcast import bounded_broadcast
 from hypercube.operators.ordinal import sliced_row_number
 
-# Upper bound on zones in one building model; the zone catalog is broadcast
-# only below it (checked), else joined by shuffle.
-MAX_BROADCAST_ZONES = 100_000
-# Calendar rows (hours of the reference run); broadcast only below this.
-MAX_BROADCAST_HOURS = 1_000_000
 _EPOCH_SLICE = "0001-01-01"
 
 
@@ -59,25 +51,29 @@ def with_hour_index(wide: DataFrame, out: str = "hour_index") -> DataFrame:
     return indexed.drop("_day")
 
 
-def _missing_any(cols: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [is_missing(c) for c in cols], F.lit(False))
+def _cells(zones: list[str], kind: str) -> Column:
+    """The zone cells of a wide row as one array, so that no expression grows with their number."""
+    return F.array(*[F.col(f"`{z}`").cast(kind) for z in zones]) if zones else F.array().cast(f"array<{kind}>")
+
+
+def _kept(x: Column) -> Column:
+    """Non-zero, NULL and NaN cells."""
+    return is_missing(x) | (x != 0)
 
 
 def with_row_aggregates(wide: DataFrame, zones: list[str] | None = None) -> DataFrame:
     """Per wide row, the double total over zones and the non-zero cell count.
 
     ``row_total`` is NULL when a cell is NULL/NaN (NumPy sums give NaN).
-    ``nonzero_cells`` counts cells that are non-zero, NULL or NaN.
+    ``nonzero_cells`` counts cells that are non-zero, NULL or NaN.  Any number
+    of zone columns: cells are aggregated as an array.
     """
     zones = zone_columns(wide) if zones is None else zones
-    if not zones:
-        return (wide.withColumn("row_total", F.lit(0.0))
-                .withColumn("nonzero_cells", F.lit(0)))
-    total = reduce(lambda a, b: a + b, [F.col(c).cast("double") for c in zones])
-    nonzero = reduce(lambda a, b: a + b, [
-        F.when(is_missing(c) | (F.col(c) != 0), 1).otherwise(0) for c in zones])
-    return (wide.withColumn("row_total", F.when(~_missing_any(zones), total))
-            .withColumn("nonzero_cells", nonzero.cast("int")))
+    total = F.aggregate("_cells", F.lit(0.0), lambda acc, x: acc + x)
+    return (wide.withColumn("_cells", _cells(zones, "double"))
+            .withColumn("row_total", F.when(~F.exists("_cells", is_missing), total))
+            .withColumn("nonzero_cells", F.size(F.filter("_cells", _kept)))
+            .drop("_cells"))
 
 
 def reference_run(wide: DataFrame) -> Column:
@@ -151,16 +147,16 @@ def assert_known_zone_labels(wide: DataFrame, zone_catalog: DataFrame) -> None:
 
 def sparse_fact(indexed: DataFrame, zone_catalog: DataFrame,
                 zones: list[str] | None = None) -> DataFrame:
-    """P17 + P3 + J10: unpivot zone columns, keep non-zero and NULL/NaN cells,
+    """P17 + P3 + J10: zone columns to rows, non-zero and NULL/NaN cells only,
     map labels to zone ids.  ``(sim_id INT, hour_index INT, zone_id INT, value FLOAT)``."""
     zones = zone_columns(indexed) if zones is None else zones
-    if not zones:
-        return indexed.sparkSession.createDataFrame(
-            [], "sim_id int, hour_index int, zone_id int, value float")
-    long = indexed.unpivot(["sim_id", "hour_index"], zones, "zone_label", "value")
-    kept = long.where(is_missing("value") | (F.col("value") != 0))
-    ids = bounded_broadcast(zone_catalog.select("zone_label", "zone_id"), MAX_BROADCAST_ZONES)
-    return kept.join(ids, on="zone_label", how="inner").select(
+    labels = F.array(*[F.lit(z) for z in zones]) if zones else F.array().cast("array<string>")
+    kept = F.filter(F.transform(_cells(zones, "float"), lambda x, i: F.struct(i.alias("at"), x.alias("value"))),
+                    lambda c: _kept(c["value"]))
+    # only the cells that stay become rows
+    long = (indexed.select("sim_id", "hour_index", F.explode(kept).alias("_c"))
+            .select("sim_id", "hour_index", F.element_at(labels, F.col("_c.at") + 1).alias("zone_label"), "_c.value"))
+    return long.join(zone_catalog.select("zone_label", "zone_id"), on="zone_label", how="inner").select(
         F.col("sim_id").cast("int"), F.col("hour_index").cast("int"),
         F.col("zone_id").cast("int"), F.col("value").cast("float"))
 
@@ -179,21 +175,30 @@ def zero_fraction(rows: DataFrame, n_zone_columns: int) -> DataFrame:
 def hourly_marts(wide: DataFrame, zone_catalog: DataFrame, check_labels: bool = True) -> dict:
     """Calendar, run_stats, hourly_sparse and the zero-fraction row.
 
-    The indexed wide rows are shared by all four outputs; callers that act on
-    several outputs should persist ``marts['indexed']``.
+    The indexed wide rows are shared by all outputs; callers that act on
+    several outputs write ``marts['indexed']`` to shared storage first
+    (``marts_from_indexed`` takes it from there).
     """
     zones = zone_columns(wide)
     if check_labels:
         assert_known_zone_labels(wide, zone_catalog)
     base = wide.select(F.col("sim_id").cast("int").alias("sim_id"), "datetime", *zones)
     rows = with_row_aggregates(base, zones)
-    indexed = with_hour_index(rows)
-    cal = calendar(indexed, base)
+    return marts_from_indexed(with_hour_index(rows), zone_catalog, base, rows)
+
+
+def marts_from_indexed(indexed: DataFrame, zone_catalog: DataFrame, base: DataFrame | None = None,
+                       rows: DataFrame | None = None) -> dict:
+    """The marts from indexed wide rows with their aggregates.
+
+    ``base`` and ``rows`` stand for it where hour order plays no part, so that
+    such outputs need not number the rows."""
+    zones = zone_columns(indexed)
+    cal = calendar(indexed, indexed if base is None else base)
     return {
         "indexed": indexed,
         "calendar": cal,
         "run_stats": run_stats(indexed, cal),
         "hourly_sparse": sparse_fact(indexed, zone_catalog, zones),
-        # cell counts need no hour order: one pass over the unindexed rows
-        "zero_fraction": zero_fraction(rows, len(zones)),
+        "zero_fraction": zero_fraction(indexed if rows is None else rows, len(zones)),
     }

@@ -14,12 +14,8 @@ from pyspark.sql import functions as F
 from hypercube.functions.names import (HEATING_MARKER, zone_from_header, zone_from_header_py,
                                        zone_label)
 from hypercube.functions.numeric import joules_to_kwh, round_even
-from hypercube.operators.broadcast import bounded_broadcast
 from hypercube.operators.zones import CLUSTERS
 
-MAX_BROADCAST_ZONES = 100_000
-MAX_BROADCAST_HEADERS = 1_000_000
-
 
 def heating_rows(raw: DataFrame) -> DataFrame:
     """P5 + F6: heating columns only, with the zone key parsed from the header."""
@@ -40,30 +36,36 @@ def parse_hourly(raw: DataFrame) -> DataFrame:
                     zone_label("zone_key").alias("zone_label"), F.col("_j").cast("float").alias("value")))
 
 
-def hourly_wide(raw: DataFrame, headers: list[str] | None = None) -> DataFrame:
-    """C8 + P18: raw output -> the wide hourly table the workers write:
-    ``sim_id, datetime, zone_<ZONE>`` (float), one row per run and stamp.
+def hourly_projection(wide: DataFrame) -> DataFrame:
+    """C8 + P18: output files' rows as they are -> the wide hourly table the
+    workers write: ``sim_id, datetime, zone_<ZONE>`` (float).
 
-    The zone columns are the heating-column zones of the output, a
-    schema-sized list: taken from ``headers`` (the output files' column
-    names) when given, else from the distinct headers of the data; the pivot
-    uses that explicit value list.
+    A projection: heating columns are kept, those of one zone added up (blank
+    cells count as nothing unless all are blank), names and types narrowed.
     """
-    heat = heating_rows(raw)
-    if headers is not None:
-        keys = sorted({zone_from_header_py(h) for h in headers if HEATING_MARKER in h})
-    else:
-        keys = sorted(r.zone_key for r in heat.select("zone_key").distinct().collect())
-    wide = (heat.groupBy("sim_id", "datetime").pivot("zone_key", keys).agg(F.sum("joules")))
+    zones: dict[str, list[str]] = {}
+    for header in wide.columns:
+        if HEATING_MARKER in header:
+            zones.setdefault(zone_from_header_py(header), []).append(header)
+
+    def total(headers: list[str]):
+        cells = F.array(*[F.col(f"`{h}`").cast("double") for h in headers])
+        present = F.filter(cells, lambda x: x.isNotNull())
+        return F.when(F.size(present) > 0, F.aggregate(present, F.lit(0.0), lambda acc, x: acc + x)).cast("float")
+
     return wide.select(F.col("sim_id").cast("int"), "datetime",
-                       *[F.col(k).cast("float").alias(f"zone_{k}") for k in keys])
+                       *[total(zones[z]).alias(f"zone_{z}") for z in sorted(zones)])
 
 
 def header_catalog(raw: DataFrame) -> DataFrame:
-    """Per zone key, how many heating columns the output has and which."""
+    """Per zone key, how many heating columns the output has and which, by name."""
     heads = heating_rows(raw).select("zone_key", "header").distinct()
     return heads.groupBy("zone_key").agg(F.count(F.lit(1)).alias("n_heating_columns"),
-                                         F.min("header").alias("first_header"))
+                                         F.sort_array(F.collect_list("header")).alias("headers"))
+
+
+def _key(column, fold_case: bool):
+    return F.upper(column) if fold_case else F.col(column)
 
 
 def _heated(mapping: DataFrame) -> DataFrame:
@@ -71,34 +73,35 @@ def _heated(mapping: DataFrame) -> DataFrame:
         F.col("zone_name").cast("string").alias("zone_name"), "cluster", "area_sqm")
 
 
-def zone_energy_exact(raw: DataFrame, mapping: DataFrame) -> DataFrame:
+def zone_energy_exact(raw: DataFrame, mapping: DataFrame, fold_case: bool = False) -> DataFrame:
     """Per (run, heated zone) the joules of the columns whose header zone
-    equals the zone name.  Simulator headers are upper case, so the zone name
-    is compared upper-cased.  Runs are aggregated before the zone lookup."""
-    per_zone = heating_rows(raw).groupBy("sim_id", "zone_key").agg(F.sum("joules").alias("joules"))
-    zones = bounded_broadcast(_heated(mapping).withColumn("zone_key", F.upper("zone_name")),
-                              MAX_BROADCAST_ZONES)
-    return per_zone.join(zones, on="zone_key", how="inner").drop("zone_key")
+    equals the zone name; with ``fold_case`` both sides are compared in upper
+    case.  Runs are aggregated before the zone lookup."""
+    per_zone = (heating_rows(raw).groupBy("sim_id", _key("zone_key", fold_case).alias("_match"))
+                .agg(F.sum("joules").alias("joules")))
+    zones = _heated(mapping).withColumn("_match", _key("zone_name", fold_case))
+    return per_zone.join(zones, on="_match", how="inner").drop("_match")
 
 
-def zone_energy_substring(raw: DataFrame, mapping: DataFrame) -> DataFrame:
-    """J16 (legacy): a column belongs to every heated zone whose (upper-cased)
-    name occurs anywhere in its header, so zone ``1`` also takes ``11``.
+def zone_energy_substring(raw: DataFrame, mapping: DataFrame, fold_case: bool = False) -> DataFrame:
+    """J16 (legacy): a column belongs to every heated zone whose name occurs
+    anywhere in its header, so zone ``1`` also takes ``11``; with ``fold_case``
+    both sides are compared in upper case.
 
     Done as an equi-join: every substring of each distinct header is
     generated (headers are schema-sized, not data-sized) and joined on the
     zone name; the matched (header, zone) pairs then join the data on header.
     """
-    zones = _heated(mapping).withColumn("zone_key", F.upper("zone_name"))
-    heads = heating_rows(raw).select("header").distinct()
-    n = F.length("header")
+    zones = _heated(mapping).withColumn("_match", _key("zone_name", fold_case))
+    heads = heating_rows(raw).select("header").distinct().withColumn("_text", _key("header", fold_case))
+    n = F.length("_text")
     subs = (heads.withColumn("_start", F.explode(F.sequence(F.lit(1), n)))
             .withColumn("_len", F.explode(F.sequence(F.lit(1), n - F.col("_start") + 1)))
-            .select("header", F.expr("substring(header, _start, _len)").alias("zone_key"))
+            .select("header", F.expr("substring(_text, _start, _len)").alias("_match"))
             .distinct())
-    pairs = subs.join(bounded_broadcast(zones, MAX_BROADCAST_ZONES), on="zone_key", how="inner")
+    pairs = subs.join(zones, on="_match", how="inner")
     per_header = raw.groupBy("sim_id", "header").agg(F.sum("joules").alias("joules"))
-    matched = per_header.join(bounded_broadcast(pairs, MAX_BROADCAST_HEADERS), on="header", how="inner")
+    matched = per_header.join(pairs, on="header", how="inner")
     return (matched.groupBy("sim_id", "zone_name", "cluster", "area_sqm")
             .agg(F.sum("joules").alias("joules")))
 

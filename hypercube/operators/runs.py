@@ -83,13 +83,13 @@ def runs_mart(design: DataFrame, summary: DataFrame | None = None,
 
 
 def column_catalog(runs: DataFrame) -> DataFrame:
-    """One row per runs column with its group and description.
-
-    The input is the schema (a list of names, as wide as the table), not data.
-    """
+    """One row per runs column with its group, its description and
+    the number of runs that have a value in it, counted in one pass."""
     spark = runs.sparkSession
-    names = spark.createDataFrame([(i, c) for i, c in enumerate(runs.columns)],
-                                  "ordinal int, column_name string")
+    columns = F.array(*[F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("column_name"),
+                                 F.col(f"_n{i}").alias("n_values")) for i, c in enumerate(runs.columns)])
+    names = (runs.agg(*[F.count(F.col(f"`{c}`")).alias(f"_n{i}") for i, c in enumerate(runs.columns)])
+             .select(F.explode(columns).alias("_c")).select("_c.*"))
     descriptions = spark.createDataFrame(list(COLUMN_DESCRIPTIONS.items()),
                                          "column_name string, description string")
     c = F.col("column_name")
@@ -102,7 +102,7 @@ def column_catalog(runs: DataFrame) -> DataFrame:
     # descriptions: the fixed 19-row table above, a proven broadcast bound
     return (names.join(F.broadcast(descriptions), on="column_name", how="left")
             .select("ordinal", "column_name", group.alias("group_name"),
-                    F.coalesce(F.col("description"), F.lit("")).alias("description")))
+                    F.coalesce(F.col("description"), F.lit("")).alias("description"), "n_values"))
 
 
 def batch_of(sim_id, batch_size: int):

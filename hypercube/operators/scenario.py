@@ -12,23 +12,24 @@ which combine several parameters, are built per run (``schedule_rows``).
 
 First-touch rule (W3): a material is edited by the first outdoor surface
 (model order), then the first layer, that reaches it; later surfaces do not
-edit it again.  This is a minimum of a packed (surface, layer) key per
-material, a partial aggregation with no hot group.
+edit it again.  Only a construction's first outdoor surface can be that one,
+so surfaces are reduced to one row per construction before they meet layers,
+and the rest is a minimum of (surface, layer) per material: however many
+surfaces share a construction, or constructions a material, nothing is hot.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hypercube.functions.numeric import ach_to_flow, round_even
 from hypercube.functions.schedules import (AVAILABILITY_SCHEDULE, LIMITS_FRACTION, LIMITS_ON_OFF,
                                            LIMITS_TEMPERATURE, SETPOINT_SCHEDULE,
-                                           SHADING_CONTROL_TYPE, SHADING_SCHEDULE,
+                                           SHADING_CONTROL_TYPE, SHADING_SCHEDULE, SHADING_SCHEDULE_IDF,
                                            availability_schedule, setpoint_schedule,
-                                           shading_schedule)
-from hypercube.operators.broadcast import bounded_broadcast
-from hypercube.operators.ordinal import sliced_row_number
+                                           shading_schedule, shading_schedule_symmetric)
+from hypercube.functions.timefmt import heating_switch_times, shading_window_from_close
 from hypercube.operators.sampling import SPACE_12, Param
 from hypercube.operators.zones import EXCLUDED
 
@@ -50,10 +51,8 @@ DUAL_SETPOINT = "ThermostatSetpoint:DualSetpoint"
 IDEAL_LOADS = "ZoneHVAC:IdealLoadsAirSystem"
 SHADING_CONTROL = "WindowShadingControl"
 
-MAX_LAYER_ORD = 255          # layer positions packed in 8 bits (the format allows 10)
-_LAYER_SLOTS = 1024          # (layer_ord, class) packed below the surface ordinal
+OUTSIDE_LAYER = 1            # place of a construction's outside layer
 WALL, ROOF_OR_CEILING, OTHER = 1, 2, 0
-MAX_BROADCAST_ZONES = 100_000
 
 
 def param(name: str, space=SPACE_12) -> Param:
@@ -79,19 +78,14 @@ def factor_class(surface_type) -> Column:
 def layer_positions(layers: DataFrame) -> DataFrame:
     """F19 + W6 on the long layer table ``(construction_id, layer_ord, material_id)``:
     empty entries removed, layers numbered in order (``layer_pos``), the
-    innermost one not editable.
-
-    The position is a sliced row number (slice = ``layer_ord``) and the layer
-    count a partial aggregation joined back, so no construction's layers are
-    collected in one place, however many rows one construction has.
-    """
+    innermost one not editable.  One window per construction, whose layers
+    are a handful in the model format."""
     present = layers.where(F.col("material_id").isNotNull())
-    numbered = sliced_row_number(present, ["construction_id"], "layer_ord", ["layer_ord", "material_id"],
-                                 out="layer_pos", start=1)
-    counts = present.groupBy("construction_id").agg(F.count(F.lit(1)).alias("n_layers"))
-    return (numbered.join(counts, on="construction_id", how="inner")
-            .select("construction_id", "layer_ord", "layer_pos", "material_id",
-                    (F.col("layer_pos") < F.col("n_layers")).alias("editable")))
+    of = Window.partitionBy("construction_id")
+    return present.select("construction_id", "layer_ord",
+                          F.row_number().over(of.orderBy("layer_ord", "material_id")).alias("layer_pos"), "material_id",
+                          F.count(F.lit(1)).over(of).alias("_n")).select(
+        "construction_id", "layer_ord", "layer_pos", "material_id", (F.col("layer_pos") < F.col("_n")).alias("editable"))
 
 
 def outdoor_surfaces(surfaces: DataFrame) -> DataFrame:
@@ -105,27 +99,18 @@ def material_first_touch(surfaces: DataFrame, layers: DataFrame, materials: Data
     """W3 + J13: per aged material, the surface and layer that edit it first.
 
     Candidates: outdoor surfaces -> their construction's editable layers ->
-    existing materials with conductivity > 0.05.  Per material the minimum of
-    ``surface_ord * 1024 + layer_ord * 4 + class`` is the first touch.
+    existing materials with conductivity > 0.05.
     """
-    cand = (outdoor_surfaces(surfaces).select("surface_ord", "construction_id", "surface_type")
-            .join(layer_positions(layers).where(F.col("editable")), on="construction_id", how="inner")
-            .join(materials, on="material_id", how="inner")
-            .where(F.col("conductivity") > MIN_CONDUCTIVITY))
-    packed = (F.col("surface_ord").cast("long") * _LAYER_SLOTS + F.col("layer_ord").cast("long") * 4
-              + factor_class("surface_type"))
-    key = F.when(F.col("layer_ord") > MAX_LAYER_ORD,
-                 F.raise_error(F.lit(f"layer position above {MAX_LAYER_ORD}"))).otherwise(packed)
-    first = cand.groupBy("material_id").agg(
-        F.min(key).alias("_key"), F.min("conductivity").alias("conductivity"),
-        F.min("density").alias("density"), F.min("thickness").alias("thickness"))
-    decoded = first.select(
-        "material_id", (F.col("_key") / _LAYER_SLOTS).cast("long").alias("surface_ord"),
-        ((F.col("_key") % _LAYER_SLOTS) / 4).cast("int").alias("layer_ord"),
-        (F.col("_key") % 4).cast("int").alias("factor_class"),
-        "conductivity", "density", "thickness")
-    types = surfaces.select("surface_ord", "surface_type")
-    return decoded.join(types, on="surface_ord", how="inner")
+    first_surface = outdoor_surfaces(surfaces).groupBy("construction_id").agg(
+        F.min(F.struct("surface_ord", "surface_type")).alias("_s"))
+    first = (layer_positions(layers).where(F.col("editable")).join(first_surface, on="construction_id", how="inner")
+             .groupBy("material_id").agg(F.min(F.struct(
+                 F.col("_s.surface_ord").alias("surface_ord"), "layer_ord", "layer_pos",
+                 F.col("_s.surface_type").alias("surface_type"))).alias("_f")))
+    return (first.join(materials, on="material_id", how="inner").where(F.col("conductivity") > MIN_CONDUCTIVITY)
+            .select("_f.surface_ord", "material_id", "_f.layer_ord", "_f.layer_pos",
+                    factor_class(F.col("_f.surface_type")).alias("factor_class"),
+                    "conductivity", "density", "thickness", "_f.surface_type"))
 
 
 def material_deltas(first_touch: DataFrame, space=SPACE_12) -> DataFrame:
@@ -141,7 +126,7 @@ def material_deltas(first_touch: DataFrame, space=SPACE_12) -> DataFrame:
     f = F.col("factor")
     return (first_touch.withColumn("factor_param", pname)
             .withColumn("factor", F.explode(grid))
-            .select("material_id", "surface_ord", "surface_type", "layer_ord", "factor_param", "factor",
+            .select("material_id", "surface_ord", "surface_type", "layer_ord", "layer_pos", "factor_param", "factor",
                     "thickness",
                     F.col("conductivity").alias("old_conductivity"),
                     round_even(F.col("conductivity") * f, 4).alias("new_conductivity"),
@@ -153,38 +138,33 @@ def material_deltas(first_touch: DataFrame, space=SPACE_12) -> DataFrame:
 # --- glazing (C4) -------------------------------------------------------------
 
 
-def glazing_first_touch(windows: DataFrame, surfaces: DataFrame, zone_mapping: DataFrame,
+def glazing_first_touch(windows: DataFrame, surfaces: DataFrame, layers: DataFrame, zone_mapping: DataFrame,
                         glazing: DataFrame, opaque_first_touch: DataFrame) -> DataFrame:
-    """J14 + W3: windows whose parent surface lies in a target zone reach
-    their glazing; glazing already aged as an opaque material is skipped; the
-    first window (model order) per glazing edits it.
-
-    ``windows(window_ord, parent_surface, glazing_id)``; ``glazing(glazing_id,
-    kind, u_factor, conductivity)`` where a simple-glazing row wins over a
-    glazing row of the same id.
+    """J14 + W3: windows whose parent surface lies in a target zone reach the
+    outside layer of their construction; a glazing already aged as an opaque
+    material is skipped; the first window (model order) per glazing edits it.
+
+    ``windows(window_ord, window_type, parent_surface, construction_id)``: only
+    those of type window count, in any case.  ``glazing(glazing_id, kind,
+    u_factor, conductivity)``: a simple-glazing row wins over a glazing row of
+    the same id.
     """
-    targets = bounded_broadcast(zone_mapping.where(F.col("cluster") != EXCLUDED).select("zone_name"),
-                                MAX_BROADCAST_ZONES)
+    targets = zone_mapping.where(F.col("cluster") != EXCLUDED).select("zone_name")
     parents = (surfaces.select(F.col("surface_ord").alias("parent_surface"), "zone_name")
                .join(targets, on="zone_name", how="left_semi"))
-    w = (windows.join(parents, on="parent_surface", how="inner")
-         .join(opaque_first_touch.select(F.col("material_id").alias("glazing_id")),
-               on="glazing_id", how="left_anti"))
-    simple = glazing.where(F.col("kind") == "simple").select(
-        "glazing_id", F.col("u_factor").alias("_su"), F.col("conductivity").alias("_sc"))
-    other = glazing.where(F.col("kind") != "simple").select(
-        "glazing_id", F.col("u_factor").alias("_gu"), F.col("conductivity").alias("_gc"))
-    found = (w.join(simple, on="glazing_id", how="left").join(other, on="glazing_id", how="left")
-             .where(F.col("_su").isNotNull() | F.col("_sc").isNotNull()
-                    | F.col("_gu").isNotNull() | F.col("_gc").isNotNull()))
-    is_simple = F.col("_su").isNotNull() | F.col("_sc").isNotNull()
-    found = found.select(
-        "glazing_id", "window_ord",
-        F.when(is_simple, F.lit("simple")).otherwise(F.lit("glazing")).alias("kind"),
-        F.when(is_simple, F.col("_su")).otherwise(F.col("_gu")).alias("u_factor"),
-        F.when(is_simple, F.col("_sc")).otherwise(F.col("_gc")).alias("conductivity"))
-    first = found.groupBy("glazing_id").agg(F.min("window_ord").alias("window_ord"))
-    return found.join(first, on=["glazing_id", "window_ord"], how="left_semi")
+    outside = layers.where((F.col("layer_ord") == OUTSIDE_LAYER) & F.col("material_id").isNotNull()).select(
+        "construction_id", F.col("material_id").alias("glazing_id"))
+    first = (windows.where(F.lower("window_type") == WINDOW_TYPE)
+             .join(parents, on="parent_surface", how="left_semi")
+             .groupBy("construction_id").agg(F.min("window_ord").alias("window_ord"))
+             .join(outside, on="construction_id", how="inner")
+             .groupBy("glazing_id").agg(F.min("window_ord").alias("window_ord"))
+             .join(opaque_first_touch.select(F.col("material_id").alias("glazing_id")), on="glazing_id", how="left_anti"))
+    best = glazing.where(F.col("u_factor").isNotNull() | F.col("conductivity").isNotNull()).groupBy("glazing_id").agg(
+        F.min(F.struct((F.col("kind") != "simple").alias("other"), "u_factor", "conductivity")).alias("_g"))
+    return first.join(best, on="glazing_id", how="inner").select(
+        "glazing_id", "window_ord", F.when(F.col("_g.other"), F.lit("glazing")).otherwise(F.lit("simple")).alias("kind"),
+        "_g.u_factor", "_g.conductivity")
 
 
 def glazing_deltas(first_touch: DataFrame, space=SPACE_12) -> DataFrame:
@@ -215,8 +195,7 @@ def airflow_deltas(flow_objects: DataFrame, zones: DataFrame, space=SPACE_12) ->
 
     ``flow_objects(object_class, object_name, zone_name, air_changes_per_hour)``.
     """
-    vol = bounded_broadcast(zones.where(F.col("volume").isNotNull()).select("zone_name", "volume"),
-                            MAX_BROADCAST_ZONES)
+    vol = zones.where(F.col("volume").isNotNull()).select("zone_name", "volume")
     grid = (F.when(F.col("object_class") == INFILTRATION, levels(param("inf", space)))
             .otherwise(levels(param("vent", space))))
     pname = F.when(F.col("object_class") == INFILTRATION, F.lit("inf")).otherwise(F.lit("vent"))
@@ -272,6 +251,14 @@ def schedule_rows(design: DataFrame) -> DataFrame:
                     "_f.field_text", "_f.field_number"))
 
 
+def shading_availability_rows(design: DataFrame) -> DataFrame:
+    """F13 variant: the shading availability schedule of every run (0 outside,
+    1 inside a window centred on 14:00), one row per field."""
+    return (design.select("sim_id", F.lit(SHADING_SCHEDULE_IDF).alias("schedule_name"),
+                          F.posexplode(shading_schedule_symmetric("s_hours")).alias("_at", "_f"))
+            .select("sim_id", "schedule_name", (F.col("_at") + 1).alias("field_ord"), "_f.field_text", "_f.field_number"))
+
+
 def schedule_assignments(thermostat_zones: DataFrame, hvac_zones: DataFrame,
                          shading_controls: DataFrame | None = None) -> DataFrame:
     """J21 + A16: run-independent sibling updates.  Every dual setpoint takes
@@ -313,12 +300,13 @@ def change_log(mat: DataFrame, glz: DataFrame) -> DataFrame:
     """Material and window edits in the legacy log shape (TYPE, MAT_ID,
     LAYER, THICKNESS, OLD_VAL, NEW_VAL, OLD_DENS, NEW_DENS), per factor level.
 
-    Values stay numeric (DOUBLE); the legacy text ``-`` is NULL here.
+    The layer number counts the construction's non-empty layers.  Values stay
+    numeric (DOUBLE); the legacy text ``-`` is NULL here.
     """
     opaque = mat.select(
         "factor_param", "factor", F.upper("surface_type").alias("type"),
         F.col("material_id").cast("string").alias("mat_id"),
-        F.concat(F.lit("Layer "), F.col("layer_ord").cast("string")).alias("layer"),
+        F.concat(F.lit("Layer "), F.col("layer_pos").cast("string")).alias("layer"),
         F.col("thickness").cast("double").alias("thickness"),
         F.col("old_conductivity").alias("old_val"), F.col("new_conductivity").alias("new_val"),
         F.col("old_density").alias("old_dens"), F.col("new_density").alias("new_dens"))
@@ -332,33 +320,119 @@ def change_log(mat: DataFrame, glz: DataFrame) -> DataFrame:
     return opaque.unionByName(window)
 
 
+# Fixed values of the legacy log: kind, id and layer of a run's own rows, and the old values it states.
+BEHAVIOR_LOG = (
+    ("BEHAVIOR", "Shading_Sch", "Shading"),
+    ("BEHAVIOR", "Heating", "Sched/Setp"),
+    ("BEHAVIOR", "Infiltration", "AirChanges"),
+    ("BEHAVIOR", "Ventilation", "FreshAir"),
+    ("BEHAVIOR", "MiscGains", "Watts/sqm"),
+    ("SYSTEM", "Boiler", "COP"),
+)
+OLD_COP = "0.75"
+UNKNOWN_OLD = "N/A"
+
+
+def behavior_log(design: DataFrame) -> DataFrame:
+    """The run-specific rows of the legacy log, as text: shading and heating
+    schedules, infiltration, ventilation, gains and boiler.
+
+    As there, the ventilation row states its rate as the old value and has no
+    new one.  Old values of the unedited model are not part of the design:
+    ``N/A``.
+    """
+    text = lambda c: F.col(c).cast("string")
+    window = shading_window_from_close("s_hours", "s_close")
+    times = heating_switch_times("hours")
+    ach = lambda c: F.concat(text(c), F.lit(" ACH"))
+    values = (
+        (F.lit(UNKNOWN_OLD), F.concat(F.lit("Open "), window["open"], F.lit("-"), window["close"])),
+        (F.lit(UNKNOWN_OLD), F.concat(text("setpoint"), F.lit("C ("), times["morning_start"], F.lit("-"), times["evening_end"], F.lit(")"))),
+        (F.lit(UNKNOWN_OLD), ach("inf")),
+        (ach("vent"), F.lit(None).cast("string")),
+        (F.lit(UNKNOWN_OLD), text("misc")),
+        (F.lit(OLD_COP), text("cop")),
+    )
+    rows = [F.struct(F.lit(kind).alias("type"), F.lit(name).alias("mat_id"), F.lit(layer).alias("layer"),
+                     old.alias("old_val"), new.alias("new_val"))
+            for (kind, name, layer), (old, new) in zip(BEHAVIOR_LOG, values)]
+    return design.select("sim_id", F.explode(F.array(*rows)).alias("_r")).select("sim_id", "_r.*")
+
+
+def shade_optics(design: DataFrame) -> DataFrame:
+    """solar transmittance and reflectance of the shading material, per run."""
+    return design.select("sim_id", round_even("shgc", 3).alias("solar_transmittance"),
+                         round_even(F.lit(1.0) - F.col("shgc") - F.lit(0.1), 3).alias("solar_reflectance"))
+
+
 def assembly_u_value(surfaces: DataFrame, layers: DataFrame, materials: DataFrame) -> DataFrame:
     """A15 (legacy): per outdoor surface, R = 0.17 + sum(thickness/conductivity)
-    over its construction's existing materials, U = 1/R to 3 places; a zero
-    conductivity fails the surface (U = 0.0).  ``first_of_type`` marks the
-    surface the legacy report uses (first outdoor surface of its type)."""
-    per_layer = (outdoor_surfaces(surfaces).select("surface_ord", "construction_id", "surface_type")
-                 .join(layer_positions(layers), on="construction_id", how="left")
-                 .join(materials, on="material_id", how="left"))
-    zero = F.col("conductivity") == 0
-    ratio = F.when(~zero, F.col("thickness") / F.col("conductivity"))
-    agg = per_layer.groupBy("surface_ord", "surface_type").agg(
-        F.count("conductivity").alias("n_materials"),
-        F.coalesce(F.sum(ratio), F.lit(0.0)).alias("_r"),
-        F.max(F.when(zero, 1).otherwise(0)).alias("_bad"))
-    r = F.lit(SURFACE_RESISTANCE) + F.col("_r")
-    firsts = bounded_broadcast(agg.groupBy("surface_type").agg(F.min("surface_ord").alias("_first")), 10_000)
-    return (agg.join(firsts, on="surface_type", how="left")
-            .select("surface_ord", "surface_type", "n_materials",
-                    round_even(r, 6).alias("r_total"),
-                    F.when(F.col("_bad") == 1, F.lit(0.0)).otherwise(round_even(F.lit(1.0) / r, 3))
-                    .alias("u_value"),
+    over its construction's existing materials, U = 1/R to 3 places.
+
+    A missing construction, a material without thickness or conductivity and a
+    zero conductivity fail the surface: U = 0.0, no R.  ``first_of_type`` marks
+    the surface the legacy report uses (first outdoor surface of its type).
+    R is worked out once per construction.
+    """
+    known = materials.withColumn("_known", F.lit(True))
+    per_layer = layers.join(known, on="material_id", how="left")
+    broken = F.col("_known") & (F.col("thickness").isNull() | F.col("conductivity").isNull() | (F.col("conductivity") == 0))
+    assembly = per_layer.groupBy("construction_id").agg(
+        F.count("_known").alias("n_materials"),
+        F.sum(F.when(F.coalesce(~broken, F.lit(False)), F.col("thickness") / F.col("conductivity"))).alias("_sum"),
+        F.max(F.coalesce(broken, F.lit(False))).alias("_broken"))
+    outdoor = outdoor_surfaces(surfaces).select("surface_ord", "construction_id", "surface_type")
+    firsts = outdoor.groupBy("surface_type").agg(F.min("surface_ord").alias("_first"))
+    failed = F.coalesce(F.col("_broken"), F.lit(True))
+    r = F.lit(SURFACE_RESISTANCE) + F.coalesce(F.col("_sum"), F.lit(0.0))
+    return (outdoor.join(assembly, on="construction_id", how="left").join(firsts, on="surface_type", how="left")
+            .select("surface_ord", "surface_type", F.coalesce("n_materials", F.lit(0)).alias("n_materials"),
+                    F.when(~failed, round_even(r, 6)).alias("r_total"),
+                    F.when(failed, F.lit(0.0)).otherwise(round_even(F.lit(1.0) / r, 3)).alias("u_value"),
                     (F.col("surface_ord") == F.col("_first")).alias("first_of_type")))
 
 
+# --- a run's own edits (J18) --------------------------------------------------
+
+
+def level_index(value: Column, p: Param) -> Column:
+    """Place of a design value on its parameter's step grid; a value off the
+    grid, which no dictionary row stands for, raises an error."""
+    at = F.rint((value - F.lit(float(p.lo))) / F.lit(float(p.step)))
+    last = int(round((float(p.hi) - float(p.lo)) / float(p.step)))
+    off = (F.abs(value - (F.lit(float(p.lo)) + at * F.lit(float(p.step)))) > 1e-9) | (at < 0) | (at > last)
+    return F.when(off, F.raise_error(F.concat(F.lit(f"{p.name} off its grid: "), value.cast("string")))).otherwise(at).cast("int")
+
+
+def run_edits(design: DataFrame, dictionaries: DataFrame, space=SPACE_12) -> DataFrame:
+    """J18 + S14: what each run edits, one row per run and parameter:
+    ``(sim_id, factor_param, level, n_objects, checksum)``.
+
+    ``dictionaries(factor_param, factor, new_value)`` is the union of the edit
+    dictionaries.  It is summed per parameter and level, a table as large as
+    the grids, before runs meet it, so no run x object row exists.  The
+    checksum adds the new values in ten-thousandths.
+    """
+    params = {p.name: p for p in space}
+    names = ["f_wall", "f_roof", "f_win", "inf", "vent", "misc"]
+    place = None
+    for n in names:
+        at = level_index(F.col("factor"), params[n])
+        place = F.when(F.col("factor_param") == n, at) if place is None else place.when(F.col("factor_param") == n, at)
+    per_level = (dictionaries.where(F.col("factor_param").isNotNull()).select("factor_param", place.alias("level"), "new_value")
+                 .groupBy("factor_param", "level").agg(
+                     F.count(F.lit(1)).alias("n_objects"),
+                     F.sum(F.rint(F.col("new_value") * 10000).cast("long")).alias("checksum")))
+    runs = design.select("sim_id", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("factor_param"), level_index(F.col(n), params[n]).alias("level")) for n in names])).alias("_p"))
+    return (runs.select("sim_id", "_p.*").join(per_level, on=["factor_param", "level"], how="left")
+            .select("sim_id", "factor_param", "level", F.coalesce("n_objects", F.lit(0)).alias("n_objects"),
+                    F.coalesce("checksum", F.lit(0)).alias("checksum")))
+
+
 def scenario_documents(design: DataFrame) -> DataFrame:
     """S14 re-aimed: one compact JSON document per run with the run's factor
-    levels (keys into the edit dictionaries) and its three schedules.
+    levels (keys into the edit dictionaries, see ``run_edits``) and its three schedules.
 
     Built from the run's own row (no shuffle); NULL fields are left out of
     the JSON, so each schedule field carries either its text or its number.
@@ -374,3 +448,18 @@ def scenario_documents(design: DataFrame) -> DataFrame:
     return design.select("sim_id", F.to_json(F.struct("sim_id", levels_.alias("levels"),
                                                        sched.alias("schedules"))).alias("doc"))
 
+
+
+DOCUMENT_SCHEMA = ("sim_id int, levels struct<f_wall double, f_roof double, f_win double, inf double, vent double, misc double, "
+                   "cop double, shgc double>, schedules array<struct<schedule_name string, type_limits string, "
+                   "data array<struct<field_text string, field_number double>>>>")
+
+
+def parse_documents(docs: DataFrame, column: str = "value") -> DataFrame:
+    """Scenario documents back to rows, one per schedule field, with the run's levels."""
+    d = docs.select(F.from_json(column, DOCUMENT_SCHEMA).alias("d"))
+    per = d.select("d.sim_id", "d.levels.*", F.explode("d.schedules").alias("_s"))
+    levels_ = ["f_wall", "f_roof", "f_win", "inf", "vent", "misc", "cop", "shgc"]
+    return (per.select("sim_id", *levels_, "_s.schedule_name", "_s.type_limits", F.posexplode("_s.data").alias("_at", "_f"))
+            .select("sim_id", *levels_, "schedule_name", "type_limits", (F.col("_at") + 1).alias("field_ord"),
+                    "_f.field_text", "_f.field_number"))

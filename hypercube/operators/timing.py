@@ -1,9 +1,9 @@
 """Timing marts (C13): per-batch timing (A8) and the study summary.
 
 Medians are exact and interpolate between the two middle values, like
-pandas.  They come from ``quantile.exact_median`` (range narrowing with
-partial aggregations), so neither a batch nor the whole study is gathered in
-one task; every ``*_sec`` column is handled in the same pass by unpivoting
+pandas.  A batch's come from a window over its runs, the study's from
+``quantile.exact_median`` (range narrowing with partial aggregations), so the
+study is never gathered in one task; every ``*_sec`` column is handled in the same pass by unpivoting
 the timing columns into (column, value) groups.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hypercube.functions.numeric import round_even
-from hypercube.operators.quantile import exact_median
+from hypercube.operators.quantile import bounded_median, exact_median
 from hypercube.operators.runs import batch_of
 
 # Fixed values (must equal the reference): batch-level cost columns summed
@@ -22,6 +22,14 @@ BATCH_COST_COLUMNS = ("input_load_sec", "baseline_idf_load_sec", "baseline_model
                       "summary_write_sec", "hourly_concat_sec", "hourly_write_sec",
                       "batch_total_sec")
 TIME_SUFFIX = "_sec"
+# The other columns of a batch's own timing row.
+BATCH_TEXT_COLUMNS = ("input_format", "tmpdir")
+
+
+def batch_column_type(name: str) -> str:
+    """Type of a column of the batch timing table."""
+    return ("double" if name.endswith(TIME_SUFFIX) else "string" if name in BATCH_TEXT_COLUMNS
+            else "boolean" if name == "batch_matches_design" else "int")
 
 
 def time_columns(df: DataFrame, sort: bool = False) -> list[str]:
@@ -38,7 +46,9 @@ def _medians(detail: DataFrame, group_cols: list[str], cols: list[str]) -> DataF
     long = detail.unpivot(group_cols, cols, "_col", "_val") if group_cols else \
         detail.select(F.lit(0).alias("_one"), *cols).unpivot(["_one"], cols, "_col", "_val")
     keys = group_cols or ["_one"]
-    med = exact_median(long, keys + ["_col"], "_val", out="_m")
+    # a batch holds a batch size of runs at most, the study any number
+    median = bounded_median if group_cols else exact_median
+    med = median(long, keys + ["_col"], "_val", out="_m")
     wide = med.groupBy(*keys).pivot("_col", cols).agg(F.first("_m"))
     return wide.select(*group_cols, *[round_even(F.col(c), 6).alias(f"median_{c}") for c in cols])
 

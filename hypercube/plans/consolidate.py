@@ -1,16 +1,18 @@
 """Consolidation of worker batch outputs (C14: S2, U1, S10, O1, S15, Q4, C13).
 
-Workers write, per batch, a summary CSV, an hourly Parquet file and a timing
-CSV.  Here each kind lives below one folder per worker layout
-(``<root>/summary/batch_id=<b>/…``); several layouts (worker versions with
-different CSV headers) are passed as several roots and unioned by name.
+Workers write, per batch, a summary CSV, an hourly Parquet file, a timing CSV
+with a row per run and one with a row for the batch (its medians and the
+costs of the batch itself).  Each kind lives below folders of its own; CSV
+files of different headers may lie together and are read by column name.
 
 ``consolidate`` writes below ``out``:
 - ``study_results`` (summary rows ordered by sim_id);
 - ``hourly`` (one compacted table clustered by sim_id; files with other zone
   columns are merged by name, missing cells NULL);
 - ``worker_timings`` (timing rows ordered by sim_id);
-- ``worker_batch_timings`` and ``worker_timing_summary``.
+- ``worker_batch_timings`` (the batches' own rows, or worked out from the runs'
+  where there are none) and ``worker_timing_summary`` with ``total_*`` columns
+  of the batch costs.
 
 It refuses to overwrite existing outputs, stops when there are no summary
 rows, and skips hourly or timing outputs that do not exist, with a warning,
@@ -23,48 +25,49 @@ import os
 import warnings
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hypercube.operators import timing as timing_ops
 from hypercube.plans.dashboard import write_sparse, write_table
 from hypercube.session import path_exists
 from hypercube.sources.csv import read_csv_union
 
-
-def _exists(path: str) -> bool:
-    """True when the path exists (or lives on a file system the reader checks)."""
-    known = path_exists(path)
-    return True if known is None else known
+BATCH_FOLDER = "batch"
 
 
 def consolidate(spark: SparkSession, *, summary_roots: list[str], hourly_roots: list[str],
                 timing_roots: list[str], types: dict[str, str], out: str,
-                batch_size: int, n_runs) -> dict[str, str]:
+                batch_size: int, n_runs, batch_timing_roots: list[str] = ()) -> dict[str, str]:
     paths = {k: os.path.join(out, k) for k in (
         "study_results", "hourly", "worker_timings", "worker_batch_timings", "worker_timing_summary")}
     for k in ("study_results", "hourly"):
-        if path_exists(paths[k]):
+        if path_exists(spark, paths[k]):
             raise FileExistsError(f"{paths[k]} already exists; delete it to rebuild")
-    summary = read_csv_union(spark, [p for p in summary_roots if _exists(p)], types)
+    summary = read_csv_union(spark, [p for p in summary_roots if path_exists(spark, p)], types)
     if summary.isEmpty():
         raise ValueError("no summary rows found in the batch outputs")
-    write_table(summary.drop("batch_id").orderBy("sim_id"), paths["study_results"])
+    write_table(summary.orderBy("sim_id"), paths["study_results"])
 
-    hourly_present = [p for p in hourly_roots if _exists(p)]
+    hourly_present = [p for p in hourly_roots if path_exists(spark, p)]
     if hourly_present:
-        hourly = (spark.read.option("mergeSchema", True).parquet(*hourly_present).drop("batch_id"))
+        hourly = (spark.read.option("mergeSchema", True).parquet(*hourly_present).drop(BATCH_FOLDER))
         write_sparse(hourly, paths["hourly"], sort_cols=("sim_id", "datetime"))
     else:
         warnings.warn("no hourly outputs; hourly consolidation skipped")
         paths.pop("hourly")
 
-    timing_present = [p for p in timing_roots if _exists(p)]
+    timing_present = [p for p in timing_roots if path_exists(spark, p)]
     if timing_present:
         detail = read_csv_union(spark, timing_present, types)
         write_table(detail.orderBy("sim_id"), paths["worker_timings"])
         detail = spark.read.parquet(paths["worker_timings"])
-        batches = timing_ops.batch_timing(detail, batch_size, n_runs)
+        own = [p for p in batch_timing_roots if path_exists(spark, p)]
+        batches = (read_csv_union(spark, own, {}) if own else timing_ops.batch_timing(detail, batch_size, n_runs))
+        if own:
+            batches = batches.select(*[F.col(c).cast(timing_ops.batch_column_type(c)).alias(c) for c in batches.columns])
         write_table(batches.orderBy("batch_id"), paths["worker_batch_timings"])
-        write_table(timing_ops.study_timing(detail), paths["worker_timing_summary"])
+        batches = spark.read.parquet(paths["worker_batch_timings"])
+        write_table(timing_ops.study_timing(detail, batches), paths["worker_timing_summary"])
     else:
         warnings.warn("no timing outputs; timing consolidation skipped")
         for k in ("worker_timings", "worker_batch_timings", "worker_timing_summary"):
@@ -73,10 +76,10 @@ def consolidate(spark: SparkSession, *, summary_roots: list[str], hourly_roots:
 
 
 def land_batches(df: DataFrame, root: str, fmt: str, batch_size: int) -> str:
-    """Write rows as per-batch worker files (``batch_id=<b>`` folders) in one job."""
+    """Write rows as per-batch worker files (``batch=<b>`` folders) in one job."""
     from hypercube.operators.runs import batch_of
-    w = (df.withColumn("batch_id", batch_of("sim_id", batch_size)).repartition("batch_id")
-         .write.partitionBy("batch_id"))
+    batch = F.col("batch_id") if "sim_id" not in df.columns else batch_of("sim_id", batch_size)
+    w = df.withColumn(BATCH_FOLDER, batch).repartition(BATCH_FOLDER).write.partitionBy(BATCH_FOLDER)
     if fmt == "csv":
         (w.option("header", True).option("ignoreLeadingWhiteSpace", False)
          .option("ignoreTrailingWhiteSpace", False).csv(root))
@@ -85,9 +88,9 @@ def land_batches(df: DataFrame, root: str, fmt: str, batch_size: int) -> str:
     return root
 
 
-
 def rebuild_dashboard(spark: SparkSession, consolidated: dict[str, str], *, design: DataFrame,
-                      zone_mapping: DataFrame, out: str) -> dict[str, str]:
+                      zone_mapping: DataFrame, out: str, batch_size: int,
+                      mode: str = "errorifexists") -> dict[str, str]:
     """S16 ``dashboard_only`` mode: rebuild the bundle from consolidated tables
     only (no batch files), e.g. after the batch folder has been cleaned up."""
     from hypercube.plans.dashboard import DASHBOARD_ONLY, export_bundle
@@ -97,4 +100,5 @@ def rebuild_dashboard(spark: SparkSession, consolidated: dict[str, str], *, desi
 
     return export_bundle(out, design=design, zone_mapping=zone_mapping, hourly_wide=table("hourly"),
                          summary=table("study_results"), timing=table("worker_timings"),
-                         batches=table("worker_batch_timings"), export_mode=DASHBOARD_ONLY)
+                         batch_size=batch_size, batches=table("worker_batch_timings"),
+                         export_mode=DASHBOARD_ONLY, mode=mode)

@@ -2,8 +2,9 @@
 
 ``export_bundle`` writes every table as zstd Parquet below one root and
 registers the two dashboard views.  The sparse fact is range-partitioned on
-``sim_id`` and sorted within partitions by (sim_id, hour_index, zone_id), so
-a point lookup on one run prunes row groups; it is never sorted globally.
+``(sim_id, hour_index)`` and sorted within partitions by (sim_id, hour_index,
+zone_id), so a point lookup on one run prunes row groups; it is never sorted
+globally.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from hypercube.operators import hourly as hourly_ops
 from hypercube.operators import runs as runs_ops
 from hypercube.operators import timing as timing_ops
-from hypercube.operators.broadcast import bounded_broadcast
+from hypercube.session import work_dir
 
 # Fixed values (must equal the reference): bundle schema version and modes.
 SCHEMA_VERSION = 1
@@ -40,20 +41,20 @@ def run_dashboard(runs: DataFrame, run_stats: DataFrame) -> DataFrame:
 def hourly_dashboard(sparse: DataFrame, calendar: DataFrame, zone_catalog: DataFrame) -> DataFrame:
     """C15 / J4 + J5: sparse fact with calendar stamps and zone attributes.
 
-    Calendar and zone catalog are dimensions, broadcast after a size check;
-    hours beyond the calendar drop out (inner join), as in the reference.
+    Calendar and zone catalog are dimensions: read from their published
+    tables their bytes are known, and Spark broadcasts them below its own
+    threshold.  Hours beyond the calendar drop out (inner join), as in the
+    reference.
     """
-    cal = bounded_broadcast(calendar.select("hour_index", "datetime", "timestamp"),
-                            hourly_ops.MAX_BROADCAST_HOURS)
-    zc = bounded_broadcast(zone_catalog.select("zone_id", "zone_name", "cluster", "area_sqm"),
-                           hourly_ops.MAX_BROADCAST_ZONES)
+    cal = calendar.select("hour_index", "datetime", "timestamp")
+    zc = zone_catalog.select("zone_id", "zone_name", "cluster", "area_sqm")
     return (sparse.join(cal, on="hour_index", how="inner").join(zc, on="zone_id", how="inner")
             .select("sim_id", "hour_index", "datetime", "timestamp", "zone_id", "zone_name",
                     "cluster", "area_sqm", "value"))
 
 
 def manifest(spark: SparkSession, *, runs: DataFrame, zone_catalog: DataFrame,
-             calendar: DataFrame, sparse: DataFrame, zero_fraction: DataFrame,
+             calendar: DataFrame, zero_fraction: DataFrame,
              has_timing: bool, export_mode: str = FULL_CONSOLIDATION,
              study_folder: str = "", source_hourly_path: str = "",
              with_timestamp: bool = True) -> DataFrame:
@@ -65,7 +66,8 @@ def manifest(spark: SparkSession, *, runs: DataFrame, zone_catalog: DataFrame,
         runs.agg(F.count(F.lit(1)).cast("int")).scalar().alias("n_runs"),
         zone_catalog.agg(F.count(F.lit(1)).cast("int")).scalar().alias("n_heated_zones"),
         calendar.agg(F.count(F.lit(1)).cast("int")).scalar().alias("n_calendar_hours"),
-        sparse.agg(F.count(F.lit(1))).scalar().alias("n_sparse_rows"),
+        # the sparse fact has a row for each non-zero cell
+        zero_fraction.select("nonzero_cells").scalar().alias("n_sparse_rows"),
         zero_fraction.select("hourly_zero_fraction").scalar().alias("hourly_zero_fraction"),
         F.lit(bool(has_timing)).alias("has_timing_data"),
         F.lit(source_hourly_path).alias("source_hourly_path"),
@@ -81,22 +83,23 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def write_sparse(df: DataFrame, path: str, mode: str = "errorifexists",
-                 partitions: int | None = None,
                  sort_cols: tuple[str, ...] = ("sim_id", "hour_index", "zone_id")) -> None:
-    """Range-partition on sim_id, sort within partitions, zstd Parquet.
+    """Range-partition on the first two sort columns, sort within
+    partitions, zstd Parquet.
 
-    Files hold disjoint sim_id ranges and row groups are sorted, so a
-    filter on one run prunes files and row groups; no global sort.
+    Row groups are sorted and files hold ranges, so a filter on one run prunes
+    both; no global sort.  A run may span files.  Ranges are as many as the
+    session's shuffle partitions, and adaptive execution joins small ones, so
+    files follow the data's size.
     """
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    (df.repartitionByRange(n, "sim_id")
+    (df.repartitionByRange(*sort_cols[:2])
      .sortWithinPartitions(*sort_cols)
      .write.mode(mode).option("compression", "zstd").parquet(path))
 
 
 def export_bundle(root: str, *, design: DataFrame, zone_mapping: DataFrame, hourly_wide: DataFrame | None,
-                  summary: DataFrame | None, timing: DataFrame | None, batches: DataFrame | None = None,
-                  export_mode: str = FULL_CONSOLIDATION, mode: str = "errorifexists",
+                  summary: DataFrame | None, timing: DataFrame | None, batch_size: int,
+                  batches: DataFrame | None = None, export_mode: str = FULL_CONSOLIDATION, mode: str = "errorifexists",
                   study_folder: str = "") -> dict[str, str]:
     """Build and write the nine tables, register the two views.
 
@@ -118,7 +121,7 @@ def export_bundle(root: str, *, design: DataFrame, zone_mapping: DataFrame, hour
     write_table(catalog, paths["zone_catalog"], mode)
     write_table(params, paths["parameter_catalog"], mode)
     if timing is not None:
-        write_table(timing_ops.batch_timing(timing, 20, design.agg(F.count(F.lit(1))).scalar())
+        write_table(timing_ops.batch_timing(timing, batch_size, design.agg(F.count(F.lit(1))).scalar())
                     if batches is None else batches, paths["batch_stats"], mode)
         write_table(timing_ops.study_timing(timing, batches), paths["study_stats"], mode)
     else:
@@ -126,8 +129,11 @@ def export_bundle(root: str, *, design: DataFrame, zone_mapping: DataFrame, hour
         write_table(spark.createDataFrame([], "n_batches int, n_sims int"), paths["study_stats"], mode)
 
     if hourly_wide is not None:
-        marts = hourly_ops.hourly_marts(hourly_wide, catalog)
-        marts["indexed"].persist()
+        catalog = spark.read.parquet(paths["zone_catalog"])
+        # the indexed wide rows are written once to shared storage; every mart reads them from there
+        indexed = work_dir(spark, "hourly-indexed")
+        write_sparse(hourly_ops.hourly_marts(hourly_wide, catalog)["indexed"], indexed, sort_cols=("sim_id", "hour_index"))
+        marts = hourly_ops.marts_from_indexed(spark.read.parquet(indexed), catalog)
         cal, stats, sparse, zf = (marts["calendar"], marts["run_stats"], marts["hourly_sparse"],
                                   marts["zero_fraction"])
     else:
@@ -142,13 +148,11 @@ def export_bundle(root: str, *, design: DataFrame, zone_mapping: DataFrame, hour
     write_table(cal.orderBy("hour_index"), paths["calendar"], mode)
     write_table(stats, paths["run_stats"], mode)
     write_sparse(sparse, paths["hourly_sparse"], mode)
-    if hourly_wide is not None:
-        marts["indexed"].unpersist()
 
     # published tables are re-read, so the manifest counts what was written
     t = {k: spark.read.parquet(p) for k, p in paths.items() if k != "manifest"}
     man = manifest(spark, runs=t["runs"], zone_catalog=t["zone_catalog"], calendar=t["calendar"],
-                   sparse=t["hourly_sparse"], zero_fraction=zf, has_timing=timing is not None,
+                   zero_fraction=zf, has_timing=timing is not None,
                    export_mode=export_mode, study_folder=study_folder,
                    source_hourly_path=paths["hourly_sparse"] if hourly_wide is not None else "")
     write_table(man, paths["manifest"], mode)

@@ -108,6 +108,43 @@ def q_heating_season_rows(spark, sf_dir):
             .select("sim_id", "datetime", *zs, "row_total"))
 
 
+_STAMP = "concat(' 01/', lpad(CAST(CAST(floor(h / 24) AS INT) + 1 AS VARCHAR), 2, '0'), '  ', lpad(CAST(h % 24 + 1 AS VARCHAR), 2, '0'), ':00:00')"
+
+
+@register("many_zones_rows", o.q(("fx_many_zones_long",), select=f"""
+SELECT sim_id, {_STAMP} AS datetime, sum(CAST(value AS DOUBLE)) AS row_total, CAST(count(*) FILTER (WHERE value <> 0) AS INTEGER) AS nonzero_cells
+FROM fx_many_zones_long GROUP BY sim_id, h"""))
+def q_many_zones_rows(spark, sf_dir):
+    """A14 + P11 on a model of 1,024 zones: row totals and non-zero cells."""
+    wide = Study(spark, sf_dir).many_zones_wide
+    return hourly.with_row_aggregates(wide).select("sim_id", "datetime", "row_total", "nonzero_cells")
+
+
+@register("many_zones_stats", o.q(("fx_many_zones_long",), """
+mr AS (SELECT sim_id, h, sum(CAST(value AS DOUBLE)) AS t, count(*) FILTER (WHERE value <> 0) AS nz FROM fx_many_zones_long GROUP BY 1, 2),
+mi AS (SELECT *, row_number() OVER (PARTITION BY sim_id ORDER BY h) - 1 AS hour_index FROM mr),
+mp AS (SELECT sim_id, arg_max(hour_index, (t, -hour_index)) AS ph, max(t) AS pv, sum(t) AS a, count(*) FILTER (WHERE nz > 0) AS nh, sum(nz) AS nc FROM mi GROUP BY 1)""",
+                                  select="""
+SELECT sim_id, a AS annual_total_heating_j, CAST(nh AS INTEGER) AS nonzero_hour_count, CAST(nc AS INTEGER) AS nonzero_zone_observation_count,
+  CASE WHEN pv > 0 THEN pv ELSE 0.0E0 END AS peak_hour_total_heating_j, CAST(CASE WHEN pv > 0 THEN ph ELSE 0 END AS INTEGER) AS peak_hour_index FROM mp"""))
+def q_many_zones_stats(spark, sf_dir):
+    """A3 + A4 + W1 on a model of 1,024 zones: run statistics."""
+    wide = Study(spark, sf_dir).many_zones_wide
+    return hourly.run_stats(hourly.with_hour_index(hourly.with_row_aggregates(wide)))
+
+
+@register("many_zones_sparse", o.q(("fx_many_zones_long",), """
+mh AS (SELECT DISTINCT sim_id, h FROM fx_many_zones_long),
+mi AS (SELECT sim_id, h, row_number() OVER (PARTITION BY sim_id ORDER BY h) - 1 AS hour_index FROM mh)""", select="""
+SELECT l.sim_id, CAST(mi.hour_index AS INTEGER) AS hour_index, l.zone AS zone_id, l.value
+FROM fx_many_zones_long l JOIN mi ON l.sim_id = mi.sim_id AND l.h = mi.h WHERE l.value <> 0"""))
+def q_many_zones_sparse(spark, sf_dir):
+    """C10 + P17 + J10 on a model of 1,024 zones: the sparse fact."""
+    wide = Study(spark, sf_dir).many_zones_wide
+    catalog = spark.range(1024).select(F.col("id").cast("int").alias("zone_id"), F.concat(F.lit("zone_"), F.col("id").cast("string")).alias("zone_label"))
+    return hourly.sparse_fact(hourly.with_hour_index(wide), catalog)
+
+
 @register("hourly_join_params", o.q(o.HOURLY_FX + ("fx_design",), select=f"""
 SELECT h.sim_id, h.datetime, {", ".join('h.' + z for z in o.ZONES)}, {", ".join('d.' + c for c in o.DESIGN_COLS)}
 FROM fx_hourly_wide h JOIN fx_design d ON h.sim_id = d.sim_id"""))
@@ -209,17 +246,17 @@ SELECT CAST(1 AS INTEGER) AS schema_version, 'full_consolidation' AS export_mode
   (SELECT {o.re_sql(f'1.0E0 - sum(nonzero_cells) / (count(*) * {len(o.ZONES)}.0E0)', 6)} FROM hi) AS hourly_zero_fraction,
   true AS has_timing_data, '' AS source_hourly_path"""))
 def q_manifest(spark, sf_dir):
-    """C16 + A12: bundle manifest (creation stamp left out for comparison)."""
+    """C16 + A12: bundle manifest (creation stamp left out for comparison).
+    The number of sparse rows is the number of cells that stay."""
     st = Study(spark, sf_dir)
     m = st.marts
-    return dashboard.manifest(spark, runs=st.runs, zone_catalog=st.zone_catalog,
-                              calendar=m["calendar"], sparse=m["hourly_sparse"],
-                              zero_fraction=m["zero_fraction"], has_timing=True,
+    return dashboard.manifest(spark, runs=st.runs, zone_catalog=st.published("zone_catalog"),
+                              calendar=m["calendar"], zero_fraction=m["zero_fraction"], has_timing=True,
                               with_timestamp=False)
 
 
-@register("column_catalog", o.q((), select="""
-WITH cols(ordinal, column_name) AS (VALUES (0, 'sim_id'), (1, 'f_wall'), (2, 'f_roof'), (3, 'f_win'), (4, 'setpoint'),
+@register("column_catalog", o.q(o.RUN_FX, o.CTE_RUNS, """
+cols(ordinal, column_name) AS (VALUES (0, 'sim_id'), (1, 'f_wall'), (2, 'f_roof'), (3, 'f_win'), (4, 'setpoint'),
   (5, 'hours'), (6, 'inf'), (7, 'vent'), (8, 'misc'), (9, 'shgc'), (10, 's_hours'), (11, 's_close'), (12, 'cop'),
   (13, 'kwh_sqm_ground'), (14, 'kwh_sqm_middle'), (15, 'kwh_sqm_top'), (16, 'batch_id'), (17, 'input_format'),
   (18, 'energyplus_sec'), (19, 'model_load_sec'), (20, 'sim_total_sec'), (21, 'energyplus_returncode'),
@@ -236,7 +273,8 @@ descr(column_name, description) AS (VALUES ('sim_id', 'Simulation identifier'),
   ('kwh_sqm_top', 'Heating energy intensity for top floor zones'),
   ('run_status', 'Run outcome derived from EnergyPlus return code and outputs'),
   ('has_summary', 'Whether aggregated simulation outputs were produced'),
-  ('has_timing', 'Whether timing instrumentation data was produced'))
+  ('has_timing', 'Whether timing instrumentation data was produced')),
+nv AS (UNPIVOT (SELECT count(COLUMNS(*)) FROM runs) ON COLUMNS(*) INTO NAME column_name VALUE n_values)""", select="""
 SELECT CAST(c.ordinal AS INTEGER) AS ordinal, c.column_name,
   CASE WHEN c.column_name = 'sim_id' THEN 'identifier'
        WHEN c.column_name IN ('f_wall','f_roof','f_win','setpoint','hours','inf','vent','misc','shgc','s_hours','s_close','cop') THEN 'parameter'
@@ -244,30 +282,34 @@ SELECT CAST(c.ordinal AS INTEGER) AS ordinal, c.column_name,
        WHEN ends_with(c.column_name, '_sec') OR c.column_name IN ('batch_id','input_format','energyplus_returncode') THEN 'runtime'
        WHEN c.column_name IN ('run_status','has_summary','has_timing') THEN 'status'
        ELSE 'metric' END AS group_name,
-  coalesce(d.description, '') AS description
-FROM cols c LEFT JOIN descr d ON c.column_name = d.column_name"""))
+  coalesce(d.description, '') AS description, nv.n_values
+FROM cols c LEFT JOIN descr d ON c.column_name = d.column_name JOIN nv ON nv.column_name = c.column_name"""))
 def q_column_catalog(spark, sf_dir):
-    """C12 + P15: group and description of every runs column."""
+    """C12 + P15: group, description and number of values of every runs column."""
     return runs_ops.column_catalog(Study(spark, sf_dir).runs)
 
 
-@register("normalize_names", o.q(("fx_raw_output",), select=r"""
+@register("normalize_names", o.q(("fx_raw_output", "fx_clashing_name"), select=r"""
 WITH names AS (
   SELECT DISTINCT 'orderpriority' AS source, o_orderpriority AS name FROM orders
   UNION SELECT DISTINCT 'orderstatus', o_orderstatus FROM orders
   UNION SELECT DISTINCT 'linestatus', l_linestatus FROM lineitem
   UNION SELECT DISTINCT 'returnflag', l_returnflag FROM lineitem
   UNION SELECT DISTINCT 'mktsegment', c_mktsegment FROM customer
-  UNION SELECT DISTINCT 'header', header FROM fx_raw_output),
+  UNION SELECT DISTINCT 'header', header FROM fx_raw_output UNION SELECT source, name FROM fx_clashing_name),
 n0 AS (SELECT source, name, lower(regexp_replace(regexp_replace(trim(name), '[^0-9A-Za-z]+', '_', 'g'), '^_+|_+$', '', 'g')) AS s FROM names),
-n1 AS (SELECT source, name, CASE WHEN s = '' THEN 'col' WHEN regexp_matches(s, '^[0-9]') THEN 'col_' || s ELSE s END AS normalized FROM n0)
-SELECT source, name, normalized,
-  CASE WHEN row_number() OVER (PARTITION BY normalized ORDER BY source, name) = 1 THEN normalized
-       ELSE normalized || '_' || CAST(row_number() OVER (PARTITION BY normalized ORDER BY source, name) AS VARCHAR) END AS deduped
-FROM n1"""))
+n1 AS (SELECT source, name, CASE WHEN s = '' THEN 'col' WHEN regexp_matches(s, '^[0-9]') THEN 'col_' || s ELSE s END AS normalized FROM n0),
+n2 AS (SELECT *, row_number() OVER (ORDER BY source, name) AS i FROM n1),
+step AS (
+  SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS used, '' AS deduped
+  UNION ALL
+  SELECT n2.i, list_append(step.used, f.c), f.c FROM step JOIN n2 ON n2.i = step.i + 1,
+    LATERAL (SELECT CASE WHEN NOT list_contains(step.used, n2.normalized) THEN n2.normalized
+      ELSE n2.normalized || '_' || CAST(list_min(list_filter(range(2, len(step.used) + 3), lambda k: NOT list_contains(step.used, n2.normalized || '_' || CAST(k AS VARCHAR)))) AS VARCHAR) END AS c) f)
+SELECT n2.source, n2.name, n2.normalized, step.deduped FROM n2 JOIN step ON n2.i = step.i"""))
 def q_normalize_names(spark, sf_dir):
     """F5 + W7: normalise categorical values and simulator headers as
-    identifiers; equal results get ``_2``, ``_3`` in (source, name) order."""
+    identifiers; taken ones get the first free suffix in (source, name) order."""
     st = Study(spark, sf_dir)
     fx = st.fx
     t = lambda name: read_table(spark, sf_dir, name)
@@ -278,6 +320,7 @@ def q_normalize_names(spark, sf_dir):
         t("lineitem").select(F.lit("returnflag"), F.col("l_returnflag")),
         t("customer").select(F.lit("mktsegment"), F.col("c_mktsegment")),
         fx.fx_raw_output.select(F.lit("header"), F.col("header")),
+        fx.fx_clashing_name,
     ]
     names = parts[0]
     for p in parts[1:]:
@@ -332,11 +375,11 @@ def q_run_status_histogram(spark, sf_dir):
     return runs_ops.run_status_histogram(Study(spark, sf_dir).runs)
 
 
-@register("duplicate_runs", o.q(("fx_summary", "fx_timing"), select="""
+@register("duplicate_runs", o.q(("fx_summary_repeated", "fx_timing"), select="""
 SELECT source, sim_id, count(*) AS n_rows FROM (
-  SELECT 'summary' AS source, sim_id FROM fx_summary UNION ALL SELECT 'timing', sim_id FROM fx_timing) u
+  SELECT 'summary' AS source, sim_id FROM fx_summary_repeated UNION ALL SELECT 'timing', sim_id FROM fx_timing) u
 GROUP BY source, sim_id HAVING count(*) > 1"""))
 def q_duplicate_runs(spark, sf_dir):
     """Q3: run ids repeated within the summary or the timing table."""
     st = Study(spark, sf_dir)
-    return runs_ops.duplicate_run_ids({"summary": st.summary, "timing": st.timing})
+    return runs_ops.duplicate_run_ids({"summary": st.fx.fx_summary_repeated, "timing": st.timing})

@@ -46,26 +46,27 @@ lp AS (SELECT construction_id, layer_ord, material_id,
   count(*) OVER (PARTITION BY construction_id) AS n_layers FROM fx_layer WHERE material_id IS NOT NULL)"""
 
 CTE_FIRST_TOUCH = """
-cand AS (SELECT s.surface_ord, s.surface_type, l.layer_ord, m.material_id, m.conductivity, m.density, m.thickness
+cand AS (SELECT s.surface_ord, s.surface_type, l.layer_ord, l.layer_pos, m.material_id, m.conductivity, m.density, m.thickness
   FROM fx_surface s JOIN lp l ON s.construction_id = l.construction_id JOIN fx_material m ON l.material_id = m.material_id
   WHERE lower(s.outside_boundary) = 'outdoors' AND l.layer_pos < l.n_layers AND m.conductivity > 0.05E0),
 ftr AS (SELECT *, row_number() OVER (PARTITION BY material_id ORDER BY surface_ord, layer_ord) AS rk FROM cand),
-ft AS (SELECT material_id, surface_ord, layer_ord,
+ft AS (SELECT material_id, surface_ord, layer_ord, layer_pos,
   CASE lower(surface_type) WHEN 'wall' THEN 1 WHEN 'roof' THEN 2 WHEN 'ceiling' THEN 2 ELSE 0 END AS factor_class,
   conductivity, density, thickness, surface_type FROM ftr WHERE rk = 1)"""
 FT_FX = ("fx_surface", "fx_layer", "fx_material")
 
 CTE_GLAZING = """
 par AS (SELECT surface_ord AS parent_surface FROM fx_surface WHERE zone_name IN (SELECT zone_name FROM mzm WHERE cluster <> 'EXCLUDED')),
-gw AS (SELECT w.window_ord, w.glazing_id, g.kind, g.u_factor, g.conductivity FROM fx_window w
-  JOIN par ON w.parent_surface = par.parent_surface JOIN fx_glazing g ON w.glazing_id = g.glazing_id
-  WHERE w.glazing_id NOT IN (SELECT material_id FROM ft)),
+gw AS (SELECT w.window_ord, l.material_id AS glazing_id, g.kind, g.u_factor, g.conductivity FROM fx_window w
+  JOIN par ON w.parent_surface = par.parent_surface JOIN fx_layer l ON l.construction_id = w.construction_id AND l.layer_ord = 1
+  JOIN fx_glazing g ON l.material_id = g.glazing_id
+  WHERE lower(w.window_type) = 'window' AND l.material_id NOT IN (SELECT material_id FROM ft)),
 gr AS (SELECT *, row_number() OVER (PARTITION BY glazing_id ORDER BY window_ord) AS rk FROM gw),
 gft AS (SELECT glazing_id, window_ord, kind, u_factor, conductivity FROM gr WHERE rk = 1)"""
 GLZ_FX = FT_FX + MODEL_MAP_FX + ("fx_window", "fx_glazing")
 
 MAT_DELTAS_SELECT = f"""
-SELECT ft.material_id, ft.surface_ord, ft.surface_type, ft.layer_ord,
+SELECT ft.material_id, ft.surface_ord, ft.surface_type, ft.layer_ord, ft.layer_pos,
   CASE ft.factor_class WHEN 1 THEN 'f_wall' WHEN 2 THEN 'f_roof' END AS factor_param, lv.factor, ft.thickness,
   ft.conductivity AS old_conductivity, {re_('ft.conductivity * lv.factor', 4)} AS new_conductivity,
   ft.density AS old_density, {re_('ft.density * (1.0E0 + (lv.factor - 1) * 0.5E0)', 1)} AS new_density
@@ -96,9 +97,9 @@ def q_zone_mapping(spark, sf_dir):
 # --- sampling ---------------------------------------------------------------
 
 
-def _lhs_oracle(final: str) -> str:
+def _lhs_oracle(final: str, space=sampling.SPACE_12) -> str:
     vals = ", ".join(f"('{p.name}', {float(p.lo)!r}E0, {float(p.hi)!r}E0, {float(p.step)!r}E0)"
-                     for p in sampling.SPACE_12)
+                     for p in space)
     snap = re_("round_even((lo + u * ((CASE WHEN hi > lo THEN hi ELSE hi + 1e-7 END) - lo)) / step, 0) * step", 3)
     ctes = f"""
 ps(name, lo, hi, step) AS (VALUES {vals}),
@@ -112,9 +113,9 @@ val AS (SELECT *, {snap} AS value FROM un)"""
     return o.q(("fx_design",), ctes, select=final)
 
 
-def _lhs_pivot() -> str:
+def _lhs_pivot(space=sampling.SPACE_12) -> str:
     cols = []
-    for p in sampling.SPACE_12:
+    for p in space:
         v = f"max(value) FILTER (WHERE name = '{p.name}')"
         cols.append(f"CAST({v} AS INTEGER) AS {p.name}" if p.is_int else f"{v} AS {p.name}")
     return f"SELECT sim_id, {', '.join(cols)} FROM val GROUP BY sim_id"
@@ -128,6 +129,15 @@ def q_lhs_design(spark, sf_dir):
     return sampling.lhs_design(st.design.select("sim_id"), sampling.SPACE_12, seed=42)
 
 
+@register("lhs_design_11", _lhs_oracle(_lhs_pivot(sampling.SPACE_11), sampling.SPACE_11))
+def q_lhs_design_11(spark, sf_dir):
+    """D1 + C2: the design over the 11-parameter space, the space read from a table."""
+    st = Study(spark, sf_dir)
+    path = work_dir(spark, "parameter-space")
+    sampling.space_frame(spark, sampling.SPACE_11).write.parquet(path)
+    return sampling.lhs_design(st.design.select("sim_id"), sampling.space_from_frame(spark.read.parquet(path)), seed=42)
+
+
 @register("lhs_stratum_check", _lhs_oracle("""
 SELECT name, count(*) AS n_runs, count(DISTINCT CAST(floor(u * (SELECT count(*) FROM fx_design)) AS BIGINT)) AS n_strata,
   CAST(min(stratum) AS INTEGER) AS min_stratum, CAST(max(stratum) AS INTEGER) AS max_stratum,
@@ -185,7 +195,7 @@ def _fields_sql(items: list[tuple[str, str]]) -> str:
     return "[" + ", ".join(f"{{'t': {t}, 'n': {n}}}" for t, n in items) + "]"
 
 
-def _sched_oracle() -> str:
+def _sched_oracle(join: str = "", more: str = "") -> str:
     T = lambda s: (f"'{s}'", "CAST(NULL AS DOUBLE)")
     U = lambda e: (f"'Until: ' || {e}", "CAST(NULL AS DOUBLE)")
     N = lambda e: ("CAST(NULL AS VARCHAR)", f"CAST({e} AS DOUBLE)")
@@ -208,9 +218,9 @@ def _sched_oracle() -> str:
 t AS (SELECT sim_id, shgc, setpoint, {SQL_TIMES.replace(' AS morning_start', ' AS ms').replace(' AS morning_end', ' AS me').replace(' AS evening_start', ' AS es').replace(' AS evening_end', ' AS ee')},
   printf('%02d:00', s_close - s_hours) AS so, printf('%02d:00', s_close) AS sc FROM fx_design),
 sl AS ({' UNION ALL '.join(parts)})"""
-    return o.q(("fx_design",), ctes, select="""
-SELECT sim_id, schedule_name, type_limits, CAST(generate_subscripts(f, 1) AS INTEGER) AS field_ord,
-  unnest(f).t AS field_text, unnest(f).n AS field_number FROM sl""")
+    return o.q(("fx_design",), ctes, select=f"""
+SELECT sl.sim_id, schedule_name, type_limits, CAST(generate_subscripts(f, 1) AS INTEGER) AS field_ord,
+  unnest(f).t AS field_text, unnest(f).n AS field_number{more} FROM sl {join}""")
 
 
 @register("compact_schedules", _sched_oracle())
@@ -219,20 +229,51 @@ def q_compact_schedules(spark, sf_dir):
     return scenario.schedule_rows(Study(spark, sf_dir).design)
 
 
-@register("schedule_assignments", o.q(("fx_model_zone", "fx_zone_object"), select="""
-SELECT 'ThermostatSetpoint:DualSetpoint' AS object_class, o.object_name,
-  'heating_setpoint_temperature_schedule_name' AS field, 'Master_Heating_Setpoint_S' AS new_value
-FROM fx_zone_object o JOIN fx_model_zone m ON o.zone_name = m.zone_name WHERE m.has_thermostat
-UNION ALL SELECT 'ZoneHVAC:IdealLoadsAirSystem', o.object_name, 'heating_availability_schedule_name', 'Master_Heating_Availability_S'
-FROM fx_zone_object o JOIN fx_model_zone m ON o.zone_name = m.zone_name WHERE m.has_thermostat"""))
+@register("schedule_assignments", o.q(("fx_zone_object", "fx_shading_control"), """
+sm AS (SELECT shading_device_material_name AS m FROM fx_shading_control WHERE coalesce(shading_device_material_name, '') <> '' ORDER BY control_ord LIMIT 1)""", select="""
+SELECT 'ThermostatSetpoint:DualSetpoint' AS object_class, object_name,
+  'heating_setpoint_temperature_schedule_name' AS field, 'Master_Heating_Setpoint_S' AS new_value FROM fx_zone_object
+UNION ALL SELECT 'ZoneHVAC:IdealLoadsAirSystem', object_name, 'heating_availability_schedule_name', 'Master_Heating_Availability_S' FROM fx_zone_object
+UNION ALL SELECT 'WindowShadingControl', name, 'schedule_name', 'Master_Shading_S' FROM fx_shading_control
+UNION ALL SELECT 'WindowShadingControl', name, 'shading_control_type', 'OnIfScheduleAllows' FROM fx_shading_control
+UNION ALL SELECT 'WindowShadingControl', name, 'shading_device_material_name', coalesce((SELECT m FROM sm), shading_device_material_name)
+FROM fx_shading_control WHERE shading_device_material_name IS NOT NULL"""))
 def q_schedule_assignments(spark, sf_dir):
-    """Sibling updates, every thermostat and ideal-loads object of a
-    conditioned zone points at the new schedules (run-independent)."""
+    """J21 + A16: sibling updates, every thermostat, ideal-loads system and
+    shading control of the model points at the new schedules (run-independent)."""
     fx = Study(spark, sf_dir).fx
-    conditioned = fx.fx_model_zone.where(F.col("has_thermostat")).select("zone_name")
-    objects = (fx.fx_zone_object.join(conditioned, on="zone_name", how="left_semi")
-               .select(F.col("object_name").alias("zone_name")))
-    return scenario.schedule_assignments(objects, objects)
+    objects = fx.fx_zone_object.select(F.col("object_name").alias("zone_name"))
+    return scenario.schedule_assignments(objects, objects, fx.fx_shading_control)
+
+
+@register("shade_optics", o.q(("fx_design",), select=f"""
+SELECT sim_id, {re_('shgc', 3)} AS solar_transmittance, {re_('1.0E0 - shgc - 0.1E0', 3)} AS solar_reflectance FROM fx_design"""))
+def q_shade_optics(spark, sf_dir):
+    """transmittance and reflectance of the shading material per run."""
+    return scenario.shade_optics(Study(spark, sf_dir).design)
+
+
+@register("shading_availability", o.q(("fx_design",), f"""
+sw AS (SELECT sim_id, {_hm('(14.0E0 - s_hours / 2.0E0)')} AS so, {_hm('(14.0E0 + s_hours / 2.0E0)')} AS sc FROM fx_design),
+sl AS (SELECT sim_id, {_fields_sql([("'Through: 31 Dec'", "CAST(NULL AS DOUBLE)"), ("'For: AllDays'", "CAST(NULL AS DOUBLE)"), ("'Until: ' || so", "CAST(NULL AS DOUBLE)"), ("CAST(NULL AS VARCHAR)", "0.0E0"), ("'Until: ' || sc", "CAST(NULL AS DOUBLE)"), ("CAST(NULL AS VARCHAR)", "1.0E0"), ("'Until: 24:00'", "CAST(NULL AS DOUBLE)"), ("CAST(NULL AS VARCHAR)", "0.0E0")])} AS f FROM sw)""", select="""
+SELECT sim_id, 'Master_Shading_Availability_S' AS schedule_name, CAST(generate_subscripts(f, 1) AS INTEGER) AS field_ord, unnest(f).t AS field_text, unnest(f).n AS field_number FROM sl"""))
+def q_shading_availability(spark, sf_dir):
+    """F13 + F4: the shading availability schedule centred on 14:00, one row per field."""
+    return scenario.shading_availability_rows(Study(spark, sf_dir).design)
+
+
+@register("scenario_behavior_log", o.q(("fx_design",), f"""
+bt AS (SELECT *, {SQL_TIMES} FROM fx_design)""", select="""
+SELECT sim_id, 'BEHAVIOR' AS type, 'Shading_Sch' AS mat_id, 'Shading' AS layer, 'N/A' AS old_val,
+  'Open ' || printf('%02d:00', s_close - s_hours) || '-' || printf('%02d:00', s_close) AS new_val FROM bt
+UNION ALL SELECT sim_id, 'BEHAVIOR', 'Heating', 'Sched/Setp', 'N/A', CAST(setpoint AS VARCHAR) || 'C (' || morning_start || '-' || evening_end || ')' FROM bt
+UNION ALL SELECT sim_id, 'BEHAVIOR', 'Infiltration', 'AirChanges', 'N/A', CAST(inf AS VARCHAR) || ' ACH' FROM bt
+UNION ALL SELECT sim_id, 'BEHAVIOR', 'Ventilation', 'FreshAir', CAST(vent AS VARCHAR) || ' ACH', NULL FROM bt
+UNION ALL SELECT sim_id, 'BEHAVIOR', 'MiscGains', 'Watts/sqm', 'N/A', CAST(misc AS VARCHAR) FROM bt
+UNION ALL SELECT sim_id, 'SYSTEM', 'Boiler', 'COP', '0.75', CAST(cop AS VARCHAR) FROM bt"""))
+def q_scenario_behavior_log(spark, sf_dir):
+    """The run-specific rows of the legacy change log."""
+    return scenario.behavior_log(Study(spark, sf_dir).design)
 
 
 # --- layers and materials -------------------------------------------------------
@@ -266,7 +307,7 @@ def q_glazing_deltas(spark, sf_dir):
     st = Study(spark, sf_dir)
     ft = scenario.material_first_touch(*_model(st))
     fx = st.fx
-    gft = scenario.glazing_first_touch(fx.fx_window, fx.fx_surface, st.model_zone_mapping,
+    gft = scenario.glazing_first_touch(fx.fx_window, fx.fx_surface, fx.fx_layer, st.model_zone_mapping,
                                        fx.fx_glazing, ft)
     return scenario.glazing_deltas(gft)
 
@@ -275,7 +316,7 @@ def q_glazing_deltas(spark, sf_dir):
                                      _lv("f_wall", "f_roof", "f_win"), f"""
 md AS ({MAT_DELTAS_SELECT}), gd AS ({GLZ_DELTAS_SELECT})""", select="""
 SELECT factor_param, factor, upper(surface_type) AS type, CAST(material_id AS VARCHAR) AS mat_id,
-  'Layer ' || CAST(layer_ord AS VARCHAR) AS layer, CAST(thickness AS DOUBLE) AS thickness,
+  'Layer ' || CAST(layer_pos AS VARCHAR) AS layer, CAST(thickness AS DOUBLE) AS thickness,
   old_conductivity AS old_val, new_conductivity AS new_val, old_density AS old_dens, new_density AS new_dens FROM md
 UNION ALL
 SELECT factor_param, factor, 'WINDOW', CAST(glazing_id AS VARCHAR), 'Glass', CAST(NULL AS DOUBLE),
@@ -285,7 +326,7 @@ def q_scenario_change_log(spark, sf_dir):
     st = Study(spark, sf_dir)
     ft = scenario.material_first_touch(*_model(st))
     fx = st.fx
-    gft = scenario.glazing_first_touch(fx.fx_window, fx.fx_surface, st.model_zone_mapping,
+    gft = scenario.glazing_first_touch(fx.fx_window, fx.fx_surface, fx.fx_layer, st.model_zone_mapping,
                                        fx.fx_glazing, ft)
     return scenario.change_log(scenario.material_deltas(ft), scenario.glazing_deltas(gft))
 
@@ -321,27 +362,59 @@ def q_gain_deltas(spark, sf_dir):
 
 
 @register("assembly_u_value", o.q(FT_FX, CTE_LAYERS, f"""
-pl AS (SELECT s.surface_ord, s.surface_type, m.thickness, m.conductivity FROM fx_surface s
+pl AS (SELECT s.surface_ord, s.surface_type, s.construction_id IN (SELECT construction_id FROM fx_layer) AS has,
+  m.material_id, m.thickness, m.conductivity FROM fx_surface s
   LEFT JOIN lp l ON s.construction_id = l.construction_id LEFT JOIN fx_material m ON l.material_id = m.material_id
   WHERE lower(s.outside_boundary) = 'outdoors'),
-ag AS (SELECT surface_ord, surface_type, count(conductivity) AS n_materials,
-  coalesce(sum(CASE WHEN conductivity <> 0 THEN thickness / conductivity END), 0.0E0) AS r,
-  max(CASE WHEN conductivity = 0 THEN 1 ELSE 0 END) AS bad FROM pl GROUP BY 1, 2)""", select=f"""
-SELECT surface_ord, surface_type, n_materials, {re_('0.17E0 + r', 6)} AS r_total,
-  CASE WHEN bad = 1 THEN 0.0E0 ELSE {re_('1.0E0 / (0.17E0 + r)', 3)} END AS u_value,
+ag AS (SELECT surface_ord, surface_type, count(material_id) AS n_materials, coalesce(sum(thickness / nullif(conductivity, 0)), 0.0E0) AS r,
+  bool_or(NOT has OR (material_id IS NOT NULL AND (thickness IS NULL OR conductivity IS NULL OR conductivity = 0))) AS bad FROM pl GROUP BY 1, 2)""", select=f"""
+SELECT surface_ord, surface_type, n_materials, CASE WHEN NOT bad THEN {re_('0.17E0 + r', 6)} END AS r_total,
+  CASE WHEN bad THEN 0.0E0 ELSE {re_('1.0E0 / (0.17E0 + r)', 3)} END AS u_value,
   surface_ord = min(surface_ord) OVER (PARTITION BY surface_type) AS first_of_type FROM ag"""))
 def q_assembly_u_value(spark, sf_dir):
     """A15 (legacy): assembly U-value of every outdoor surface."""
     return scenario.assembly_u_value(*_model(Study(spark, sf_dir)))
 
 
-@register("scenario_delta_json")
+_DICTIONARIES = f"""
+md AS ({MAT_DELTAS_SELECT}), gd AS ({GLZ_DELTAS_SELECT}),
+ad AS (SELECT lv.p AS factor_param, lv.factor, (lv.factor * m.volume) / 3600.0E0 AS new_value
+  FROM fx_zone_object x JOIN fx_model_zone m ON x.zone_name = m.zone_name JOIN lv ON lv.p IN ('inf', 'vent') WHERE m.volume IS NOT NULL),
+ed AS (SELECT factor_param, factor, new_conductivity AS new_value FROM md WHERE factor_param IS NOT NULL
+  UNION ALL SELECT factor_param, factor, coalesce(new_conductivity, new_u_factor) FROM gd UNION ALL SELECT * FROM ad
+  UNION ALL SELECT 'misc', lv.factor, lv.factor FROM fx_zone_object x JOIN lv ON lv.p = 'misc'),
+es AS (SELECT factor_param, factor, count(*) AS n, sum(CAST(round_even(new_value * 10000, 0) AS BIGINT)) AS c FROM ed GROUP BY 1, 2),
+rp AS (UNPIVOT (SELECT sim_id, f_wall, f_roof, f_win, inf, vent, misc FROM fx_design) ON f_wall, f_roof, f_win, inf, vent, misc INTO NAME factor_param VALUE v)"""
+_GRID = {n: scenario.param(n) for n in ("f_wall", "f_roof", "f_win", "inf", "vent", "misc")}
+_LEVEL = "CASE rp.factor_param " + " ".join(
+    f"WHEN '{n}' THEN round_even((rp.v - {float(p.lo)!r}E0) / {float(p.step)!r}E0, 0)" for n, p in _GRID.items()) + " END"
+
+
+@register("run_edits", o.q(GLZ_FX + ("fx_zone_object", "fx_design"), CTE_LAYERS, CTE_FIRST_TOUCH, CTE_MODEL_MAP, CTE_GLAZING,
+                           _lv(*_GRID), _DICTIONARIES, select=f"""
+SELECT rp.sim_id, rp.factor_param, CAST({_LEVEL} AS INTEGER) AS level, coalesce(es.n, 0) AS n_objects, CAST(coalesce(es.c, 0) AS BIGINT) AS checksum
+FROM rp LEFT JOIN es ON es.factor_param = rp.factor_param AND abs(es.factor - rp.v) < 1e-6"""))
+def q_run_edits(spark, sf_dir):
+    """J18 + S14: per run and parameter the level, the number of objects that
+    the run edits through it and a checksum of the new values."""
+    st = Study(spark, sf_dir)
+    fx = st.fx
+    ft = scenario.material_first_touch(*_model(st))
+    gft = scenario.glazing_first_touch(fx.fx_window, fx.fx_surface, fx.fx_layer, st.model_zone_mapping, fx.fx_glazing, ft)
+    new = lambda df, value: df.select("factor_param", "factor", value.alias("new_value"))
+    edits = (new(scenario.material_deltas(ft), F.col("new_conductivity"))
+             .unionByName(new(scenario.glazing_deltas(gft), F.coalesce("new_conductivity", "new_u_factor")))
+             .unionByName(new(scenario.airflow_deltas(_flow_objects(fx.fx_zone_object), fx.fx_model_zone), F.col("design_flow_rate")))
+             .unionByName(new(scenario.gain_deltas(fx.fx_zone_object.select("object_name", "design_level")), F.col("power_per_zone_floor_area"))))
+    return scenario.run_edits(st.design, edits)
+
+
+@register("scenario_delta_json", _sched_oracle(
+    "JOIN fx_design d USING (sim_id)", ", d.f_wall, d.f_roof, d.f_win, d.inf, d.vent, d.misc, d.cop, d.shgc"))
 def q_scenario_delta_json(spark, sf_dir):
     """One JSON document per run (factor levels + schedules), written as
-    text to the shared folder and read back (rows-only check)."""
+    text to the shared folder, read back and parsed to rows."""
     st = Study(spark, sf_dir)
     path = work_dir(spark, "scenario-json")
     scenario.scenario_documents(st.design).select("doc").write.text(path)
-    back = spark.read.text(path)
-    return back.select(F.get_json_object("value", "$.sim_id").cast("int").alias("sim_id"),
-                       F.col("value").alias("doc"))
+    return scenario.parse_documents(spark.read.text(path))

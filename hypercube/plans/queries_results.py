@@ -10,7 +10,7 @@ from hypercube.operators import results
 from hypercube.plans import dashboard
 from hypercube.plans import oracle_sql as o
 from hypercube.plans.queries import register
-from hypercube.plans.consolidate import consolidate, rebuild_dashboard
+from hypercube.plans.consolidate import rebuild_dashboard
 from hypercube.plans.study import BATCH_SIZE, STAMP_FROM_H, Study
 from hypercube.session import work_dir
 from hypercube.sources import csv as csv_src
@@ -57,7 +57,7 @@ def q_parse_hourly_headers(spark, sf_dir):
 def q_zone_intensity(spark, sf_dir):
     """A1 + J17 + J19 + F8: kWh/m2 per run and heated zone (exact header match)."""
     st = Study(spark, sf_dir)
-    energy = results.zone_energy_exact(st.fx.fx_raw_output, st.zone_mapping)
+    energy = results.zone_energy_exact(st.fx.fx_raw_output, st.zone_mapping, fold_case=True)
     return results.zone_intensity(energy, st.design)
 
 
@@ -66,7 +66,7 @@ def q_zone_intensity(spark, sf_dir):
 def q_substring_zone_match(spark, sf_dir):
     """The legacy zone match (zone name anywhere in the header)."""
     st = Study(spark, sf_dir)
-    energy = results.zone_energy_substring(st.fx.fx_raw_output, st.zone_mapping)
+    energy = results.zone_energy_substring(st.fx.fx_raw_output, st.zone_mapping, fold_case=True)
     return results.zone_intensity(energy, st.design)
 
 
@@ -87,7 +87,7 @@ def q_run_summary(spark, sf_dir):
     """C9 + A2 + P18 + P19: the per-run KPI row the workers write."""
     st = Study(spark, sf_dir)
     raw = st.fx.fx_raw_output
-    energy = results.zone_energy_exact(raw, st.zone_mapping)
+    energy = results.zone_energy_exact(raw, st.zone_mapping, fold_case=True)
     return results.run_summary(results.zone_intensity(energy, st.design), st.design, raw)
 
 
@@ -101,11 +101,15 @@ SELECT sim_id, datetime, {", ".join(f"CAST(coalesce(sum(joules) FILTER (WHERE zk
 FROM rw GROUP BY sim_id, datetime"""))
 def q_raw_output_scan(spark, sf_dir):
     """S5 + C8 + P18: simulator-style CSV files, one folder per run, read in
-    one scan (run id from the file path), unpivoted, heating columns kept,
-    pivoted back to the wide hourly table."""
+    one scan per header (run id from the file path; half the runs' files have
+    their columns in another order), heating columns projected to the wide
+    hourly table."""
     st = Study(spark, sf_dir)
-    raw, headers = raw_output.scan_raw_output(spark, st.raw_run_files())
-    return results.hourly_wide(raw, headers)
+    out = None
+    for frame in raw_output.scan_raw_output(spark, st.raw_run_files()):
+        part = results.hourly_projection(frame)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 @register("union_by_name_batches", o.q(("fx_timing",), select="""
@@ -114,56 +118,105 @@ SELECT batch_id, sim_id, input_format, energyplus_sec,
   sim_total_sec, energyplus_returncode FROM fx_timing ORDER BY sim_id"""))
 def q_union_by_name_batches(spark, sf_dir):
     """S1 + S2 + U1 + O1 + S8: timing rows written as CSV by three worker
-    versions (reordered header, a column left out), read back per header
-    group, unioned by name, ordered by sim_id."""
+    versions (reordered header, a column left out) into one folder, read back
+    by header, unioned by name, ordered by sim_id."""
     st = Study(spark, sf_dir)
     t = st.timing
     root = work_dir(spark, "timing-csv")
     cols = t.columns
     variants = {0: cols, 1: list(reversed(cols)), 2: [c for c in cols if c != "model_load_sec"]}
-    paths = []
     for g, vc in variants.items():
-        p = os.path.join(root, f"group_{g}")
-        csv_src.write_csv(t.where(F.col("batch_id") % 3 == g).select(*vc), p)
-        paths.append(p)
-    return csv_src.read_csv_union(spark, paths, csv_src.type_map(t)).select(*cols).orderBy("sim_id")
-
-
-@register("consolidate_batches", o.q(("fx_summary",), select="""
-SELECT sim_id, kwh_sqm_ground, kwh_sqm_middle, kwh_sqm_top FROM fx_summary ORDER BY sim_id"""))
-def q_consolidate_batches(spark, sf_dir):
-    """C14: per-batch worker outputs (two summary header layouts, hourly
-    Parquet, timing CSVs) merged into the consolidated study tables; the
-    consolidated summary is read back in sim_id order."""
+        csv_src.write_csv(t.where(F.col("batch_id") % 3 == g).select(*vc), os.path.join(root, f"group_{g}"))
+    return csv_src.read_csv_union(spark, root, csv_src.type_map(t)).select(*cols).orderBy("sim_id")
+
+
+@register("header_catalog", o.q(RAW, select=f"""
+SELECT {HEADER_ZONE} AS zone_key, count(DISTINCT header) AS n_heating_columns, CAST(list_sort(list(DISTINCT header)) AS VARCHAR) AS headers
+FROM fx_raw_output WHERE contains(header, 'Heating Energy') GROUP BY 1"""))
+def q_header_catalog(spark, sf_dir):
+    """The heating columns of each zone (the list as text)."""
+    found = results.header_catalog(Study(spark, sf_dir).fx.fx_raw_output)
+    # a list's text quotes items as the comparing engine does
+    return found.withColumn("headers", F.concat(F.lit("['"), F.array_join("headers", "', '"), F.lit("']")))
+
+
+# --- consolidated tables (C14), one query per table ---------------------------
+
+
+def _consolidated(name: str, oracle: str, doc: str) -> None:
+    def query(spark, sf_dir):
+        return spark.read.parquet(Study(spark, sf_dir).consolidated()[name])
+    query.__doc__ = doc
+    register(f"consolidated_{name}", oracle)(query)
+
+
+_SEC = ("energyplus_sec", "model_load_sec", "sim_total_sec")
+_COSTS = ("input_load_sec", "hourly_write_sec", "batch_total_sec")
+_MEDIANS = ", ".join(f"{o.re_sql(f'median({c})', 6)} AS median_{c}, {o.re_sql(f'avg({c})', 6)} AS mean_{c}" for c in _SEC)
+_BATCH_ROWS = f"""
+bt AS (SELECT batch_id, min(input_format) AS input_format, CAST(count(*) AS INTEGER) AS n_sims, min(sim_id) AS first_sim, max(sim_id) AS last_sim,
+  {_MEDIANS}, CAST((batch_id - 1) * {BATCH_SIZE} + 1 AS INTEGER) AS start_sim,
+  CAST(least(batch_id * {BATCH_SIZE}, (SELECT count(*) FROM fx_design)) AS INTEGER) AS end_sim,
+  CAST(ceil(min(sim_id) / {BATCH_SIZE}.0E0) AS INTEGER) = batch_id AND CAST(ceil(max(sim_id) / {BATCH_SIZE}.0E0) AS INTEGER) = batch_id AS batch_matches_design
+  FROM fx_timing GROUP BY batch_id),
+bs AS (SELECT bt.*, {', '.join('c.' + c for c in _COSTS)} FROM bt JOIN fx_batch_cost c ON bt.batch_id = c.batch_id)"""
+_STUDY_ROW = f"""
+SELECT CAST(count(DISTINCT batch_id) AS INTEGER) AS n_batches, CAST(count(*) AS INTEGER) AS n_sims, {_MEDIANS},
+  {", ".join(f"(SELECT {o.re_sql(f'sum({c})', 6)} FROM bs) AS total_{c}" for c in _COSTS)} FROM fx_timing"""
+_TIMING_FX = ("fx_timing", "fx_design", "fx_batch_cost")
+
+_consolidated("study_results", o.q(("fx_summary",), select="""
+SELECT sim_id, kwh_sqm_ground, kwh_sqm_middle, kwh_sqm_top FROM fx_summary"""),
+              "C14 + S2: the batches' summary CSVs of two header layouts as one table.")
+_consolidated("hourly", o.q(o.HOURLY_FX, select=f"SELECT sim_id, datetime, {', '.join(o.ZONES)} FROM fx_hourly_wide"),
+              "C14 + U1: the batches' hourly files as one table clustered by run.")
+_consolidated("worker_timings", o.q(("fx_timing",), select="SELECT * FROM fx_timing"),
+              "C13: the batches' timing rows as one table.")
+_consolidated("worker_batch_timings", o.q(_TIMING_FX, _BATCH_ROWS, select="SELECT * FROM bs"),
+              "A7 + A8: the batches' own timing rows, medians and costs, as their workers wrote them.")
+_consolidated("worker_timing_summary", o.q(_TIMING_FX, _BATCH_ROWS, select=_STUDY_ROW),
+              "A6 + A7 + C13: the study's timing row with the totals of the batch costs.")
+
+
+# --- published tables (S8-S16), one query per table ---------------------------
+
+
+def _published(name: str, oracle: str, doc: str, drop: tuple[str, ...] = ()) -> None:
+    def query(spark, sf_dir):
+        return Study(spark, sf_dir).published(name).drop(*drop)
+    query.__doc__ = doc
+    register(f"published_{name}", oracle)(query)
+
+
+_published("runs", o.q(o.RUN_FX, o.CTE_RUNS, select="SELECT * FROM runs"),
+           "S16: the published runs table, made from the consolidated tables alone.")
+_published("batch_stats", o.q(_TIMING_FX, _BATCH_ROWS, select="SELECT * FROM bs"), "S16: the published batch timing table.")
+_published("study_stats", o.q(_TIMING_FX, _BATCH_ROWS, select=_STUDY_ROW), "S16: the published study timing row.")
+_published("calendar", o.q(o.HOURLY_FX, o.cte_hourly(), select="SELECT hour_index, datetime, timestamp FROM cal"),
+           "S16: the published calendar.")
+_published("run_stats", o.q(o.HOURLY_FX, o.cte_hourly(), select="SELECT * FROM rsc"), "S16: the published run statistics.")
+_published("manifest", o.q(o.HOURLY_FX + o.ZONE_FX + o.RUN_FX, o.CTE_ZONES, o.CTE_RUNS, o.cte_hourly(), o.cte_sparse(), select=f"""
+SELECT CAST(1 AS INTEGER) AS schema_version, 'dashboard_only' AS export_mode, '' AS study_folder,
+  CAST((SELECT count(*) FROM runs) AS INTEGER) AS n_runs, CAST((SELECT count(*) FROM zc) AS INTEGER) AS n_heated_zones,
+  CAST((SELECT count(*) FROM cal) AS INTEGER) AS n_calendar_hours, (SELECT count(*) FROM sp) AS n_sparse_rows,
+  (SELECT {o.re_sql(f'1.0E0 - sum(nonzero_cells) / (count(*) * {len(o.ZONES)}.0E0)', 6)} FROM hi) AS hourly_zero_fraction,
+  true AS has_timing_data"""), "C16: the published manifest (without creation stamp and path).", drop=("created_at_utc", "source_hourly_path"))
+
+
+@register("published_views", o.q(o.HOURLY_FX + o.ZONE_FX + o.RUN_FX, o.CTE_ZONES, o.CTE_RUNS, o.cte_hourly(), o.cte_sparse(), select="""
+SELECT r.sim_id, r.run_status, s.annual_total_heating_j, x.n_cells, x.value_sum
+FROM runs r LEFT JOIN rsc s ON r.sim_id = s.sim_id LEFT JOIN (
+  SELECT sp.sim_id, count(*) AS n_cells, round_even(sum(CAST(sp.value AS DOUBLE)), 3) AS value_sum
+  FROM sp JOIN cal c ON sp.hour_index = c.hour_index JOIN zc ON sp.zone_id = zc.zone_id GROUP BY 1) x ON r.sim_id = x.sim_id"""))
+def q_published_views(spark, sf_dir):
+    """Both dashboard views of the bundle, registered and read by name."""
     st = Study(spark, sf_dir)
-    files = st.batch_files()
-    types = {**csv_src.type_map(st.summary), **csv_src.type_map(st.timing)}
-    n_runs = st.design.agg(F.count(F.lit(1))).scalar()
-    out = consolidate(spark, summary_roots=files["summary"], hourly_roots=files["hourly"],
-                      timing_roots=files["timing"], types=types, out=work_dir(spark, "consolidated"),
-                      batch_size=BATCH_SIZE, n_runs=n_runs)
-    return (spark.read.parquet(out["study_results"])
-            .select("sim_id", "kwh_sqm_ground", "kwh_sqm_middle", "kwh_sqm_top").orderBy("sim_id"))
-
-
-@register("dashboard_rebuild", o.q(o.RUN_FX + o.HOURLY_FX, o.CTE_RUNS, o.cte_hourly(), select="""
-SELECT r.*, s.annual_total_heating_j, s.nonzero_hour_count, s.nonzero_zone_observation_count,
-  s.peak_hour_total_heating_j, s.peak_hour_index, s.peak_datetime, s.peak_timestamp
-FROM runs r LEFT JOIN rsc s ON r.sim_id = s.sim_id"""))
-def q_dashboard_rebuild(spark, sf_dir):
-    """S16 (both modes): batch outputs consolidated, the bundle rebuilt in
-    ``dashboard_only`` mode from the consolidated tables alone, and the
-    published run dashboard read back from the bundle's tables."""
-    st = Study(spark, sf_dir)
-    files = st.batch_files()
-    types = {**csv_src.type_map(st.summary), **csv_src.type_map(st.timing)}
-    n_runs = st.design.agg(F.count(F.lit(1))).scalar()
-    cons = consolidate(spark, summary_roots=files["summary"], hourly_roots=files["hourly"],
-                       timing_roots=files["timing"], types=types, out=work_dir(spark, "consolidated"),
-                       batch_size=BATCH_SIZE, n_runs=n_runs)
-    paths = rebuild_dashboard(spark, cons, design=st.design, zone_mapping=st.zone_mapping,
-                              out=work_dir(spark, "bundle-rebuilt"))
-    return dashboard.run_dashboard(spark.read.parquet(paths["runs"]), spark.read.parquet(paths["run_stats"]))
+    root = os.path.dirname(st.published("runs").inputFiles()[0].rsplit("/", 1)[0])
+    dashboard.register_views(spark, root)
+    cells = spark.table("hourly_dashboard").groupBy("sim_id").agg(
+        F.count(F.lit(1)).alias("n_cells"), (F.rint(F.sum(F.col("value").cast("double")) * 1000) / 1000).alias("value_sum"))
+    return (spark.table("run_dashboard").select("sim_id", "run_status", "annual_total_heating_j")
+            .join(cells, on="sim_id", how="left"))
 
 
 @register("scan_pruned_point", o.q(o.HOURLY_FX, select="""
@@ -182,13 +235,23 @@ def q_scan_pruned_point(spark, sf_dir):
 @register("compaction_roundtrip", o.q(o.HOURLY_FX + o.ZONE_FX, o.CTE_ZONES, o.cte_hourly(), o.cte_sparse(),
                                       select="SELECT * FROM sp"))
 def q_compaction_roundtrip(spark, sf_dir):
-    """C14 + S9-S16: export the whole bundle (nine tables, two views,
-    manifest) as zstd Parquet, then read the sparse fact back."""
+    """C14 + S9-S16: the published sparse fact, zstd Parquet clustered by run and hour, read back."""
+    return Study(spark, sf_dir).published("hourly_sparse")
+
+
+@register("dashboard_rebuild", o.q(o.RUN_FX + o.HOURLY_FX, o.CTE_RUNS, o.cte_hourly(), select="""
+SELECT r.*, s.annual_total_heating_j, s.nonzero_hour_count, s.nonzero_zone_observation_count,
+  s.peak_hour_total_heating_j, s.peak_hour_index, s.peak_datetime, s.peak_timestamp
+FROM runs r LEFT JOIN rsc s ON r.sim_id = s.sim_id"""))
+def q_dashboard_rebuild(spark, sf_dir):
+    """S16 + S11: a bundle written, overwritten in ``dashboard_only`` mode from
+    the consolidated tables alone, and its run dashboard read back."""
     st = Study(spark, sf_dir)
-    root = work_dir(spark, "bundle")
-    paths = dashboard.export_bundle(root, design=st.design, zone_mapping=st.zone_mapping,
-                                    hourly_wide=st.hourly_wide, summary=st.summary, timing=st.timing)
-    return spark.read.parquet(paths["hourly_sparse"])
+    out = work_dir(spark, "bundle-rebuilt")
+    args = dict(design=st.design, zone_mapping=st.zone_mapping, batch_size=BATCH_SIZE, mode="overwrite")
+    dashboard.export_bundle(out, **args, hourly_wide=None, summary=st.summary, timing=None)
+    paths = rebuild_dashboard(spark, st.consolidated(), out=out, **args)
+    return dashboard.run_dashboard(spark.read.parquet(paths["runs"]), spark.read.parquet(paths["run_stats"]))
 
 
 @register("json_objects", o.q(("fx_json",), select="""

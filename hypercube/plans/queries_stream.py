@@ -14,10 +14,6 @@ from hypercube.plans.study import BATCH_SIZE, Study
 from hypercube.streaming import incremental as inc
 
 
-# worker files per micro-batch for the hourly streams (the landing has four)
-FILES_PER_TRIGGER = 2
-
-
 def _landed_hourly(spark, st: Study) -> str:
     return st.landed_hourly()
 
@@ -37,9 +33,9 @@ def q_progress_stream(spark, sf_dir):
 
 @register("stream_run_stats", o.q(o.HOURLY_FX, o.cte_hourly(), select="SELECT * FROM rs"))
 def q_stream_run_stats(spark, sf_dir):
-    """Per-run sums and earliest peak kept in streaming state."""
+    """Per-run sums and earliest peak carried from epoch to epoch."""
     st = Study(spark, sf_dir)
-    return inc.stream_run_stats(spark, _landed_hourly(spark, st), FILES_PER_TRIGGER)
+    return inc.stream_run_stats(spark, _landed_hourly(spark, st), st.files_per_trigger())
 
 
 @register("stream_sparse_append", o.q(o.HOURLY_FX + o.ZONE_FX, o.CTE_ZONES, o.cte_hourly(), o.cte_sparse(),
@@ -47,4 +43,4 @@ def q_stream_run_stats(spark, sf_dir):
 def q_stream_sparse_append(spark, sf_dir):
     """The sparse fact appended micro-batch by micro-batch."""
     st = Study(spark, sf_dir)
-    return inc.stream_sparse_append(spark, _landed_hourly(spark, st), st.zone_catalog, FILES_PER_TRIGGER)
+    return inc.stream_sparse_append(spark, _landed_hourly(spark, st), st.published("zone_catalog"), st.files_per_trigger())

@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hypercube.functions.geometry import rectangle
-from hypercube.operators import hourly, runs, zones
+from hypercube.operators import hourly, runs, timing, zones
 from hypercube.sources.fixtures import Fixtures
 
 BATCH_SIZE = 20
-LANDED_FILES = 4
+# rows of a landed worker file, about; a study lands in two files at least
+LANDED_ROWS = 100_000
 # simulator stamp text of fixture hour h (same expression as the hourly fixture)
 STAMP_FROM_H = ("concat(' 01/', lpad(CAST(CAST(floor(h / 24) AS INT) + 1 AS STRING), 2, '0'), '  ', "
                 "lpad(CAST(h % 24 + 1 AS STRING), 2, '0'), ':00:00')")
@@ -79,21 +80,68 @@ class Study:
 
     @cached_property
     def marts(self) -> dict:
-        return hourly.hourly_marts(self.hourly_wide, self.zone_catalog, check_labels=False)
+        """The hourly marts; the zone catalog is read from its published table, so its bytes are known."""
+        return hourly.hourly_marts(self.hourly_wide, self.published("zone_catalog"), check_labels=False)
+
+    @cached_property
+    def many_zones_wide(self) -> DataFrame:
+        """Wide hourly rows of a model with 1,024 zone columns."""
+        long = self.fx.fx_many_zones_long
+        wide = long.groupBy("sim_id", "h").pivot("zone", list(range(1024))).agg(F.first("value"))
+        return wide.select("sim_id", F.expr(STAMP_FROM_H).alias("datetime"), *[
+            F.coalesce(F.col(f"`{z}`"), F.lit(0.0)).cast("float").alias(f"zone_{z}") for z in range(1024)])
+
+    # published tables (written once per process) ---------------------------
+    def consolidated(self) -> dict[str, str]:
+        """The consolidated study tables, made from the landed batch files."""
+        from hypercube.plans.consolidate import consolidate
+        from hypercube.sources.csv import type_map
+        names = ("study_results", "hourly", "worker_timings", "worker_batch_timings", "worker_timing_summary")
+
+        def write(path):
+            files = self.batch_files()
+            consolidate(self.spark, summary_roots=files["summary"], hourly_roots=files["hourly"],
+                        timing_roots=files["timing"], batch_timing_roots=files["batch_timing"],
+                        types={**type_map(self.summary), **type_map(self.timing)}, out=path, batch_size=BATCH_SIZE,
+                        n_runs=self.design.agg(F.count(F.lit(1))).scalar())
+        root = self.fx.artifact("consolidated", write)
+        return {n: f"{root}/{n}" for n in names}
+
+    def published(self, name: str) -> DataFrame:
+        """A table of the study bundle, rebuilt from the consolidated tables alone."""
+        from hypercube.plans.consolidate import rebuild_dashboard
+        if name == "zone_catalog":
+            root = self.fx.artifact("zone-catalog", lambda path: self.zone_catalog.write.parquet(f"{path}/zone_catalog"))
+        else:
+            root = self.fx.artifact("bundle", lambda path: rebuild_dashboard(
+                self.spark, self.consolidated(), design=self.design, zone_mapping=self.zone_mapping, out=path,
+                batch_size=BATCH_SIZE))
+        return self.spark.read.parquet(f"{root}/{name}")
 
     # landed input folders (written once per process) ---------------------
+    @cached_property
+    def landed_files(self) -> int:
+        """Worker files that the hourly rows land in: as many as their number asks for."""
+        return max(2, -(-self.hourly_wide.count() // LANDED_ROWS))
+
+    def files_per_trigger(self) -> int:
+        """Half of the landed files, so that a run of the stream has two micro-batches at least."""
+        return -(-self.landed_files // 2)
+
     def landed_hourly(self) -> str:
         """Hourly worker files (``sim_id, datetime, zone_*``), each run whole in
         one file, as batches land (stream input)."""
         from hypercube.streaming.incremental import land_files
+        n = self.landed_files
         return self.fx.artifact("landed-hourly", lambda path: land_files(
-            self.hourly_wide, path, LANDED_FILES, F.col("sim_id") % LANDED_FILES))
+            self.hourly_wide, path, n, F.col("sim_id") % n))
 
     def landed_summary(self) -> str:
         """Summary rows landing batch by batch (progress stream input)."""
         from hypercube.streaming.incremental import land_files
+        n = self.landed_files
         return self.fx.artifact("landed-summary", lambda path: land_files(
-            self.summary, path, LANDED_FILES, F.ceil(F.col("sim_id") / BATCH_SIZE) % LANDED_FILES))
+            self.summary, path, n, F.ceil(F.col("sim_id") / BATCH_SIZE) % n))
 
     def raw_run_files(self) -> str:
         """One simulator-style CSV folder per run (``Run_<id>``: Date/Time + one
@@ -105,25 +153,30 @@ class Study:
             heads = sorted(r.header for r in raw.select("header").distinct().collect())
             per_run = (raw.withColumn("Date/Time", F.expr(STAMP_FROM_H)).groupBy("sim_id", "Date/Time")
                        .pivot("header", heads).agg(F.sum("joules")).na.fill(0.0))
-            write_run_files(per_run, path)
+            odd = F.col("sim_id") % 2 == 1
+            write_run_files(per_run.where(~odd), f"{path}/a")
+            write_run_files(per_run.where(odd).select("sim_id", "Date/Time", *reversed(heads)), f"{path}/b")
         return self.fx.artifact("raw-run-files", write)
 
     def batch_files(self) -> dict[str, list[str]]:
         """Per-batch worker outputs, as workers of two versions would leave
         them: summaries with two different CSV headers, hourly Parquet, and
-        timing CSVs, each kind in ``batch_id=<b>`` folders."""
+        timing CSVs per run and per batch, each kind in ``batch=<b>`` folders."""
         from hypercube.plans.consolidate import land_batches
 
         def write(root):
             s = self.summary
             odd = (F.ceil(F.col("sim_id") / BATCH_SIZE) % 2) == 1
-            land_batches(s.where(~odd), f"{root}/summary_v1", "csv", BATCH_SIZE)
+            land_batches(s.where(~odd), f"{root}/summary", "csv", BATCH_SIZE)
             land_batches(s.where(odd).select(*reversed(s.columns)), f"{root}/summary_v2", "csv", BATCH_SIZE)
             land_batches(self.hourly_wide, f"{root}/hourly", "parquet", BATCH_SIZE)
-            land_batches(self.timing.drop("batch_id"), f"{root}/timing_detail", "csv", BATCH_SIZE)
+            land_batches(self.timing, f"{root}/timing_detail", "csv", BATCH_SIZE)
+            n_runs = self.design.agg(F.count(F.lit(1))).scalar()
+            own = timing.batch_timing(self.timing, BATCH_SIZE, n_runs).join(self.fx.fx_batch_cost, on="batch_id")
+            land_batches(own, f"{root}/timing_summary", "csv", BATCH_SIZE)
         root = self.fx.artifact("batch-files", write)
-        return {"summary": [f"{root}/summary_v1", f"{root}/summary_v2"], "hourly": [f"{root}/hourly"],
-                "timing": [f"{root}/timing_detail"]}
+        return {"summary": [f"{root}/summary", f"{root}/summary_v2"], "hourly": [f"{root}/hourly"],
+                "timing": [f"{root}/timing_detail"], "batch_timing": [f"{root}/timing_summary"]}
 
     def prepare_inputs(self) -> None:
         """Materialise every fixture and landed folder (one-off input cost)."""
@@ -134,11 +187,15 @@ class Study:
         self.landed_summary()
         self.raw_run_files()
         self.batch_files()
+        self.published("zone_catalog")
+        self.published("runs")
 
     def run_dashboard(self) -> DataFrame:
+        """The run dashboard over the published tables."""
         from hypercube.plans.dashboard import run_dashboard
-        return run_dashboard(self.runs, self.marts["run_stats"])
+        return run_dashboard(self.published("runs"), self.published("run_stats"))
 
     def hourly_dashboard(self) -> DataFrame:
+        """The hourly dashboard over the published tables."""
         from hypercube.plans.dashboard import hourly_dashboard
-        return hourly_dashboard(self.marts["hourly_sparse"], self.marts["calendar"], self.zone_catalog)
+        return hourly_dashboard(self.published("hourly_sparse"), self.published("calendar"), self.published("zone_catalog"))

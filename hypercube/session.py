@@ -4,12 +4,14 @@ On a cluster the session comes from the platform; ``get_session`` only adds
 the settings this package relies on when they are not set already.  Scratch
 output (lineage cuts, round-trip files) goes below ``spark.checkpoint.dir``,
 the shared folder the cluster names for that purpose; a local default is set
-only when the setting is missing, as in tests.
+only when the setting is missing and the master is local, as in tests; on a
+cluster the missing setting is an error.
 """
 
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,14 +46,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
+    """Return the shared checkpoint folder, setting a local one only if unset and the master is local."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = os.path.join(os.environ.get("TMPDIR", "/tmp"), "hypercube-checkpoints")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="hypercube-checkpoints-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -68,11 +72,8 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def path_exists(path: str) -> bool | None:
-    """Existence of a local (``/…`` or ``file:…``) path; ``None`` for other
-    file systems, where the caller lets the reader decide."""
-    if path.startswith("file:"):
-        path = "/" + path[len("file:"):].lstrip("/")
-    elif ":" in path.split("/")[0]:
-        return None
-    return os.path.exists(path)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path exists on its file system, as Spark's readers see it."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)

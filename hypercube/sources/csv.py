@@ -1,9 +1,9 @@
 """CSV batch files whose headers drift between groups.
 
 Spark's CSV reader binds columns by position.  Files written by different
-worker versions can order or omit columns differently, so files are read per
-header group, each with its own header validated against every file of the
-group (``enforceSchema=False`` fails on a differing header), cast to the
+worker versions can order or omit columns differently, so files are grouped by
+their header line, each group read with its header validated against every
+file (``enforceSchema=False`` fails on a differing header), cast to the
 declared type of each column by name, and unioned by name; a column a group
 lacks is NULL.
 """
@@ -17,35 +17,46 @@ from pyspark.sql import functions as F
 from hypercube.session import path_exists
 
 
-def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a CSV group, from its header line only (no data pass)."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+def header_groups(spark: SparkSession, paths: list[str] | str) -> list[list[str]]:
+    """The CSV files below ``paths``, those with the same header line together.
 
+    One text pass; ids grow along a file, so the smallest id of the part that
+    begins the file marks its first line.  The driver gets one path per file,
+    as its file listing does.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if not paths:
+        return []
+    lines = (spark.read.option("recursiveFileLookup", True).text(paths)
+             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value",
+                     F.monotonically_increasing_id().alias("id")).where("at = 0"))
+    heads = lines.groupBy("file").agg(F.min_by("value", "id").alias("head"))
+    groups = heads.groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("head").collect()
+    return [r["files"] for r in groups]
 
-def read_csv_group(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:
+
+def read_csv_group(spark: SparkSession, files: list[str], types: dict[str, str]) -> DataFrame:
     """One header group: columns named by the header and read as text (every
     file's header is checked against it), then each known column cast by
-    name.  The folder is listed once."""
+    name."""
     raw = (spark.read.option("header", True).option("inferSchema", False)
-           .option("enforceSchema", False).option("mode", "FAILFAST").csv(path))
-    return raw.select(*[F.col(n).cast(types.get(n, "string")).alias(n) for n in raw.columns])
+           .option("enforceSchema", False).option("mode", "FAILFAST").csv(files))
+    return raw.select(*[F.col(f"`{n}`").cast(types.get(n, "string")).alias(n) for n in raw.columns])
 
 
-def read_csv_union(spark: SparkSession, paths: list[str], types: dict[str, str]) -> DataFrame:
-    """S2 + U1: read every header group and union by name (missing -> NULL)."""
-    frames = [read_csv_group(spark, p, types) for p in paths]
-    if not frames:
-        return spark.createDataFrame([], ", ".join(f"{k} {v}" for k, v in types.items()))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+def read_csv_union(spark: SparkSession, paths: list[str] | str, types: dict[str, str]) -> DataFrame:
+    """S2 + U1: all CSV files below ``paths``, whatever their headers, by column name (missing -> NULL)."""
+    out = None
+    for files in header_groups(spark, paths):
+        frame = read_csv_group(spark, files, types)
+        out = frame if out is None else out.unionByName(frame, allowMissingColumns=True)
+    return out if out is not None else spark.createDataFrame([], ", ".join(f"{k} {v}" for k, v in types.items()))
 
 
 def read_optional_csv(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:
     """A missing file gives an empty table with the declared columns."""
-    if path_exists(path) is not False:
-        return read_csv_group(spark, path, types)
+    if path_exists(spark, path):
+        return read_csv_union(spark, path, types)
     return spark.createDataFrame([], ", ".join(f"{k} {v}" for k, v in types.items()))
 
 

@@ -69,18 +69,37 @@ SELECT s_suppkey AS object_id, s_name AS object_name, n_name AS zone_name,
 SELECT s_suppkey AS surface_id, n_name AS zone_name, CASE WHEN s_suppkey % 4 = 3 THEN 'Wall' ELSE 'FLOOR' END AS surface_type,
  2.0E0 + s_suppkey % 7 AS w, 3.0E0 + s_suppkey % 5 AS d, 3.0E0 * n_regionkey AS z FROM supplier JOIN nation ON s_nationkey = n_nationkey""", ()),
     "fx_surface": ("""
-SELECT o_orderkey AS surface_ord, o_orderkey AS construction_id,
+SELECT o_orderkey AS surface_ord, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey % 40 ELSE o_orderkey END AS construction_id,
  CASE o_orderpriority WHEN '1-URGENT' THEN 'Wall' WHEN '2-HIGH' THEN 'Roof' WHEN '3-MEDIUM' THEN 'Ceiling' WHEN '4-NOT SPECIFIED' THEN 'Floor' ELSE 'Wall' END AS surface_type,
  CASE o_orderstatus WHEN 'O' THEN 'Outdoors' WHEN 'F' THEN 'Ground' ELSE 'Surface' END AS outside_boundary, n_name AS zone_name
  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""", ()),
     "fx_layer": ("""
-SELECT l_orderkey AS construction_id, l_linenumber AS layer_ord, min(l_partkey) AS material_id FROM lineitem GROUP BY 1, 2""", ()),
+SELECT l_orderkey AS construction_id, l_linenumber AS layer_ord, CASE WHEN (l_orderkey + l_linenumber) % 7 <> 3 THEN min(l_partkey) END AS material_id FROM lineitem WHERE l_orderkey % 29 <> 11 GROUP BY 1, 2""", ()),
     "fx_material": ("""
-SELECT p_partkey AS material_id, p_size * 0.01E0 AS conductivity, 0.01E0 + (p_partkey % 20) * 0.01E0 AS thickness, p_retailprice AS density FROM part WHERE p_partkey % 11 <> 10""", ()),
+SELECT p_partkey AS material_id, p_size * 0.01E0 AS conductivity, CASE WHEN p_partkey % 17 <> 4 THEN 0.01E0 + (p_partkey % 20) * 0.01E0 END AS thickness, p_retailprice AS density FROM part WHERE p_partkey % 11 <> 10""", ()),
     "fx_window": ("""
-SELECT l_orderkey * 10 + l_linenumber AS window_ord, l_orderkey AS parent_surface, l_partkey AS glazing_id FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2) w WHERE l_linenumber = 1""", ()),
+SELECT l_orderkey * 10 + l_linenumber AS window_ord, CASE min(l_returnflag) WHEN 'R' THEN 'Window' WHEN 'A' THEN 'window' ELSE 'Door' END AS window_type, l_orderkey AS parent_surface, CASE WHEN l_linenumber = 1 THEN l_orderkey ELSE l_orderkey % 60 END AS construction_id FROM lineitem GROUP BY l_orderkey, l_linenumber""", ()),
     "fx_glazing": ("""
 SELECT p_partkey AS glazing_id, CASE WHEN p_partkey % 2 = 0 THEN 'simple' ELSE 'glazing' END AS kind, CASE WHEN p_partkey % 2 = 0 THEN 1.0E0 + p_size * 0.05E0 END AS u_factor, CASE WHEN p_partkey % 2 = 1 THEN 0.5E0 + p_size * 0.01E0 END AS conductivity FROM part WHERE p_partkey % 3 = 0""", ()),
+    # shading controls of the model, some without a device
+    "fx_shading_control": ("""
+SELECT concat('control_', CAST(p_partkey AS STRING)) AS name, p_partkey AS control_ord,
+ CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 5 = 1 THEN '' ELSE concat('shade_', CAST(p_size AS STRING)) END AS shading_device_material_name FROM part""", ()),
+    # summary rows of which some landed twice
+    "fx_summary_repeated": ("""
+SELECT sim_id, kwh_sqm_top FROM fx_summary UNION ALL SELECT sim_id, kwh_sqm_top FROM fx_summary WHERE sim_id % 50 = 2""", ("fx_summary",)),
+    # cost of each batch as its worker notes it
+    "fx_batch_cost": ("""
+SELECT CAST(ceil((c_custkey + 1) / 20.0E0) AS INT) AS batch_id, min(c_custkey % 11) * 0.25E0 AS input_load_sec, max(c_custkey % 13) * 0.5E0 AS hourly_write_sec,
+ 100.0E0 + count(*) AS batch_total_sec FROM customer GROUP BY 1""", ()),
+    # hourly cells of a model with 1,024 zones, long
+    "fx_many_zones_long": ("""
+SELECT CAST(user_id % 16 + 1 AS INT) AS sim_id, CAST((day(ts) - 1) * 24 + hour(ts) AS INT) AS h, CAST(event_id % 1024 AS INT) AS zone,
+ CAST(sum(CAST(round(value) AS INT)) AS FLOAT) AS value FROM events GROUP BY 1, 2, 3""", ()),
+    # names that clash once they are normalised
+    "fx_clashing_name": ("""
+SELECT 'clash' AS source, r_name AS name FROM region UNION ALL SELECT 'clash', lower(r_name) FROM region
+ UNION ALL SELECT 'clash', concat(lower(r_name), '_2') FROM region UNION ALL SELECT 'clash', concat(r_name, ' ', '2') FROM region""", ()),
     "fx_json": ("""
 SELECT event_id, concat('{"Zone":{"Z', CAST(user_id AS STRING), '":{"volume":', CAST(event_id % 90 + 10 AS STRING), '}}}') AS doc, props FROM events""", ()),
 }
@@ -112,7 +131,7 @@ def with_fixtures(names, body: str) -> str:
     if not ctes:
         return body
     if body.upper().startswith("WITH "):
-        return f"WITH {ctes},\n{body[5:]}"
+        return f"WITH RECURSIVE {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
 
 

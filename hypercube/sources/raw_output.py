@@ -2,11 +2,10 @@
 
 Each run writes one wide CSV (``Date/Time`` + one column per output
 variable) in a folder named ``Run_<sim_id>``.  ``read_raw_output`` reads all
-of them in one scan, takes ``sim_id`` from the file path, numbers output
+of them in one scan per header, takes ``sim_id`` from the file path, numbers output
 rows by their stamp, and unpivots the value columns to
-``(sim_id, datetime, header, joules)``.  Files of one study share a header,
-so one read covers them; groups with other headers are read separately and
-unioned by name.
+``(sim_id, datetime, header, joules)``.  Files with different headers are
+read separately, by their own column names.
 """
 
 from __future__ import annotations
@@ -14,42 +13,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hypercube.sources.csv import header_groups
+
 RUN_DIR_PATTERN = r"Run_(\d+)"
 STAMP_COLUMN = "Date/Time"
 
 
-def scan_raw_output(spark: SparkSession, paths: list[str] | str) -> tuple[DataFrame, list[str]]:
-    """All runs' output files under ``paths`` (one header group per path) as
-    long rows, plus the output-variable column names.  Each path is listed
-    once; the names come from the header line, not from a data pass."""
-    paths = [paths] if isinstance(paths, str) else paths
-    frames, headers = [], []
-    for p in paths:
+def scan_raw_output(spark: SparkSession, paths: list[str] | str) -> list[DataFrame]:
+    """All runs' output files below ``paths`` as they are, one frame per
+    different header: ``sim_id, datetime`` and the output variables as text.
+
+    Columns are taken by name: files are grouped by their header line, and
+    each group's reader checks it again.
+    """
+    frames = []
+    for files in header_groups(spark, paths):
         df = (spark.read.option("header", True).option("inferSchema", False)
-              .option("recursiveFileLookup", True).csv(p))
-        values = [c for c in df.columns if c != STAMP_COLUMN]
-        headers += [v for v in values if v not in headers]
-        with_id = df.withColumn(
+              .option("enforceSchema", False).option("mode", "FAILFAST").csv(files))
+        frames.append(df.withColumn(
             "sim_id", F.regexp_extract(F.col("_metadata.file_path"), RUN_DIR_PATTERN, 1).cast("int"))
-        long = with_id.unpivot(["sim_id", STAMP_COLUMN], values, "header", "_text")
-        frames.append(long.select("sim_id", F.col(STAMP_COLUMN).alias("datetime"), "header",
-                                  F.col("_text").cast("double").alias("joules")))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out, headers
+            .withColumnRenamed(STAMP_COLUMN, "datetime"))
+    return frames
 
 
 def read_raw_output(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """Long rows ``(sim_id, datetime, header, joules)`` of all runs' output files."""
-    return scan_raw_output(spark, paths)[0]
-
-
-def raw_output_headers(spark: SparkSession, path: str) -> list[str]:
-    """Output-variable columns of the run files (header line only, no data pass)."""
-    df = (spark.read.option("header", True).option("inferSchema", False)
-          .option("recursiveFileLookup", True).csv(path))
-    return [c for c in df.columns if c != STAMP_COLUMN]
+    out = None
+    for df in scan_raw_output(spark, paths):
+        values = [c for c in df.columns if c not in ("sim_id", "datetime")]
+        long = df.unpivot(["sim_id", "datetime"], [F.col(f"`{c}`") for c in values], "header", "_text").select(
+            "sim_id", "datetime", "header", F.col("_text").cast("double").alias("joules"))
+        out = long if out is None else out.unionByName(long)
+    return out if out is not None else spark.createDataFrame([], "sim_id int, datetime string, header string, joules double")
 
 
 def write_run_files(wide: DataFrame, root: str) -> None:

@@ -35,5 +35,5 @@ def register_tables(spark: SparkSession, sf_dir: str, names=BASE_TABLES) -> None
     """Register each table present under ``sf_dir`` as a temp view of its own name."""
     for name in names:
         path = table_path(sf_dir, name)
-        if path_exists(path) is not False:
+        if path_exists(spark, path):
             read_table(spark, sf_dir, name).createOrReplaceTempView(name)

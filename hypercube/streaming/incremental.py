@@ -7,10 +7,14 @@ epoch (after a failure) overwrites its own folder, so the sink is idempotent,
 and no result passes through the driver.
 
 * progress (T1): per batch, runs with a summary so far against the design.
-* run stats (T2) and sparse append (T3): the per-run hour offset and running
-  statistics are kept in streaming state (``stateful.py``); every
-  micro-batch's indexed rows are unpivoted, zero cells dropped, zone ids
-  attached, and appended.
+* run stats (T2) and sparse append (T3): the state is a small table, one row
+  per run, that each epoch writes anew from its rows and the epoch before:
+  the rows seen so far (the next hour index), the last stamp and the running
+  statistics.  Everything is joins and aggregations; zone cells are added up
+  before anything is grouped, and no row leaves the JVM.
+
+A run's rows must arrive in time order across micro-batches; a row that goes
+back in time stops the stream with an error.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from pyspark.sql import functions as F
 from hypercube.functions.numeric import round_even
 from hypercube.operators import hourly
 from hypercube.operators.runs import batch_of
-from hypercube.session import work_dir
+from hypercube.session import path_exists, work_dir
 
 
 def land_files(df: DataFrame, path: str, n_files: int, key) -> str:
@@ -93,30 +97,79 @@ def stream_progress(spark: SparkSession, summary_dir: str, design: DataFrame, ba
 
 # --- T2 / T3 -------------------------------------------------------------------
 
+STATE = ("sim_id int, seen long, last_stamp timestamp_ntz, annual double, nz_hours long, nz_cells long, "
+         "peak struct<v: double, neg_h: long>")
+
+
+def _state_before(spark: SparkSession, state: str, epoch_id: int) -> DataFrame:
+    path = f"{state}/epoch={epoch_id - 1}"
+    if epoch_id and path_exists(spark, path):
+        return spark.read.schema(STATE).parquet(path)
+    return spark.createDataFrame([], STATE)
+
+
+def _indexed(batch: DataFrame, before: DataFrame) -> DataFrame:
+    """The micro-batch's rows with row aggregates and the hour index that goes on from the state."""
+    rows = hourly.with_hour_index(hourly.with_row_aggregates(batch), out="_at")
+    late = F.col("timestamp") < F.col("last_stamp")
+    offset = F.when(late, F.raise_error(F.concat(F.lit("late row of run "), F.col("sim_id").cast("string")))).otherwise(
+        F.coalesce("seen", F.lit(0)))
+    return (rows.join(before.select("sim_id", "seen", "last_stamp"), on="sim_id", how="left")
+            .withColumn("hour_index", (offset + F.col("_at")).cast("int")).drop("_at", "seen", "last_stamp"))
+
+
+def _state_after(indexed: DataFrame, before: DataFrame) -> DataFrame:
+    """State rows of all runs so far.  On equal peaks the earlier hour stays."""
+    new = indexed.groupBy("sim_id").agg(
+        F.count(F.lit(1)).alias("seen"), F.max("timestamp").alias("last_stamp"), F.sum("row_total").alias("annual"),
+        F.sum(F.when(F.col("nonzero_cells") > 0, 1).otherwise(0)).cast("long").alias("nz_hours"),
+        F.sum("nonzero_cells").cast("long").alias("nz_cells"),
+        F.max(F.when(F.col("row_total").isNotNull(), F.struct(
+            F.col("row_total").alias("v"), (-F.col("hour_index").cast("long")).alias("neg_h")))).alias("peak"))
+    both = before.unionByName(new.select(*before.columns))
+    return both.groupBy("sim_id").agg(
+        F.sum("seen").alias("seen"), F.max("last_stamp").alias("last_stamp"), F.sum("annual").alias("annual"),
+        F.sum("nz_hours").alias("nz_hours"), F.sum("nz_cells").alias("nz_cells"), F.max("peak").alias("peak"))
+
+
+def _run(stream: DataFrame, checkpoint: str, write) -> None:
+    q = (stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
 
 def stream_run_stats(spark: SparkSession, hourly_dir: str, files_per_trigger: int = 1) -> DataFrame:
-    """Run stats over hourly worker files (per-run offsets kept in state)."""
-    from hypercube.streaming.stateful import finalize_stats, run_stats_stream
+    """Run stats over hourly worker files; the newest state holds the result."""
     root = work_dir(spark, "stats-stream")
-    run_until_drained(run_stats_stream(file_stream(spark, hourly_dir, files_per_trigger)),
-                      f"{root}/sink", f"{root}/checkpoint", "update")
-    return finalize_stats(spark.read.parquet(f"{root}/sink"))
+    state, last = f"{root}/state", []
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        before = _state_before(batch.sparkSession, state, epoch_id)
+        _state_after(_indexed(batch, before), before).write.mode("overwrite").parquet(f"{state}/epoch={epoch_id}")
+        last[:] = [epoch_id]
+
+    _run(file_stream(spark, hourly_dir, files_per_trigger), f"{root}/checkpoint", write)
+    found = spark.read.schema(STATE).parquet(f"{state}/epoch={last[0]}") if last else spark.createDataFrame([], STATE)
+    above = F.coalesce(F.col("peak.v") > 0, F.lit(False))
+    return found.select(
+        "sim_id", round_even(F.coalesce("annual", F.lit(0.0)), 6).alias("annual_total_heating_j"),
+        F.col("nz_hours").cast("int").alias("nonzero_hour_count"),
+        F.col("nz_cells").cast("int").alias("nonzero_zone_observation_count"),
+        F.when(above, F.col("peak.v")).otherwise(0.0).alias("peak_hour_total_heating_j"),
+        F.when(above, -F.col("peak.neg_h")).otherwise(0).cast("int").alias("peak_hour_index"))
 
 
 def stream_sparse_append(spark: SparkSession, hourly_dir: str, zone_catalog: DataFrame,
                          files_per_trigger: int = 1) -> DataFrame:
-    """Rows indexed in state, unpivoted per micro-batch, appended."""
-    from hypercube.streaming.stateful import indexed_stream
+    """Rows indexed from the state, cells that stay appended per micro-batch."""
     root = work_dir(spark, "sparse-stream")
-    sink = f"{root}/sink"
+    sink, state = f"{root}/sink", f"{root}/state"
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        zones = hourly.zone_columns(batch)
-        hourly.sparse_fact(batch, zone_catalog, zones).write.mode("overwrite").parquet(
-            f"{sink}/epoch={epoch_id}")
+        before = _state_before(batch.sparkSession, state, epoch_id)
+        indexed = _indexed(batch, before)
+        hourly.sparse_fact(indexed, zone_catalog).write.mode("overwrite").parquet(f"{sink}/epoch={epoch_id}")
+        _state_after(indexed, before).write.mode("overwrite").parquet(f"{state}/epoch={epoch_id}")
 
-    q = (indexed_stream(file_stream(spark, hourly_dir, files_per_trigger)).writeStream.outputMode("append")
-         .option("checkpointLocation", f"{root}/checkpoint").foreachBatch(write)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    _run(file_stream(spark, hourly_dir, files_per_trigger), f"{root}/checkpoint", write)
     return read_all_epochs(spark, sink)

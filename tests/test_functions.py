@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
-from hypercube.functions import (dedupe_names, editable_layers, heating_switch_times, hour24_timestamp,
-                                 layer_list, normalize_name, polygon_area, rectangle, round_even,
+from hypercube.functions import (editable_layers, heating_switch_times, hour24_timestamp,
+                                 layer_list, normalize_columns, normalize_name, normalize_name_table, polygon_area, rectangle, round_even,
                                  shading_window_from_close, shading_window_symmetric, zone_from_header)
 from hypercube.functions.geometry import mean_z
 
@@ -18,6 +19,12 @@ def test_hour24_timestamp(spark):
     assert got == [dt.datetime(2002, 1, 1), dt.datetime(2001, 3, 1), None, dt.datetime(2001, 1, 1, 1)]
 
 
+@pytest.mark.parametrize("text", ["01/01  25:00:00", "13/01  01:00:00", "02/30 01:00:00", "01/01", "01/01  01:60:00", "noon", "01/01  -1:00:00"])
+def test_malformed_stamp_raises(spark, text):
+    with pytest.raises(Exception, match="not a simulator stamp"):
+        spark.createDataFrame([(text,)], "s string").select(hour24_timestamp("s")).collect()
+
+
 def test_round_half_even(spark):
     df = spark.createDataFrame([(0.125,), (0.375,), (2.5,), (-0.125,)], "x double")
     got = [r.y for r in df.select(round_even("x", 2).alias("y")).collect()]
@@ -27,9 +34,23 @@ def test_round_half_even(spark):
     assert got0 == [2.0, 4.0]
 
 
-def test_name_normalisation_and_clash():
-    assert dedupe_names(["a b", "A-B", "9x", "__"]) == ["a_b", "a_b_2", "col_9x", "col"]
-    assert dedupe_names(["a", "a", "a_2"]) == ["a", "a_2", "a_2_2"]
+@pytest.mark.parametrize("names, expected", [
+    (["a b", "A-B", "9x", "__"], ["a_b", "a_b_2", "col_9x", "col"]),
+    (["a", "a", "a_2"], ["a", "a_2", "a_2_2"]),
+    (["A", "a", "a_2"], ["a", "a_2", "a_2_2"]),
+    (["a_2", "a", "a", "a"], ["a_2", "a", "a_3", "a_4"]),
+    (["x_2_2", "x_2", "x", "x", "x_2"], ["x_2_2", "x_2", "x", "x_3", "x_2_3"]),
+    (["#", "col", "1", "col_1"], ["col", "col_2", "col_1", "col_1_2"]),
+])
+def test_name_normalisation_and_clash(spark, names, expected):
+    table = spark.createDataFrame(list(enumerate(names)), "i int, n string")
+    got = normalize_name_table(table, "n", ["i"]).orderBy("i").collect()
+    assert [r.deduped for r in got] == expected and [r.n for r in got] == names
+
+
+def test_column_names_are_normalised(spark):
+    df = spark.range(1).selectExpr("1 AS `Zone 1`", "2 AS `zone-1`", "3 AS `9`")
+    assert normalize_columns(df).columns == ["zone_1", "zone_1_2", "col_9"]
 
 
 def test_normalize_name_column(spark):

@@ -121,17 +121,24 @@ def test_unpivot_then_pivot_is_identity(spark, sf_small):
     assert nonzero_rows.exceptAll(back.select("sim_id", "hour_index", *zs)).count() == 0
 
 
-def test_bounded_broadcast_falls_back_above_bound(spark):
-    from hypercube.operators.broadcast import bounded_broadcast
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        big = spark.range(1000).withColumnRenamed("id", "k")
-        small = spark.range(10).withColumnRenamed("id", "k")
-        hinted = big.join(bounded_broadcast(small, 100), "k")._jdf.queryExecution().executedPlan().toString()
-        unhinted = big.join(bounded_broadcast(small, 5), "k")._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in hinted
-        assert "BroadcastHashJoin" not in unhinted and "SortMergeJoin" in unhinted
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+def test_five_thousand_zones(spark):
+    zones = [f"zone_{k}" for k in range(5000)]
+    rows = [(1, f"01/01  0{i + 1}:00:00", *[float(k % 3 * i) for k in range(5000)]) for i in range(3)]
+    wide = spark.createDataFrame(rows, "sim_id int, datetime string, " + ", ".join(f"{z} float" for z in zones))
+    catalog = spark.createDataFrame(list(enumerate(zones)), "zone_id int, zone_label string")
+    row = sum(k % 3 for k in range(5000))
+    rows = hourly.with_row_aggregates(wide)
+    assert sorted((r.row_total, r.nonzero_cells) for r in rows.select("row_total", "nonzero_cells").collect()) == [
+        (0.0, 0), (float(row), 3333), (2.0 * row, 3333)]
+    sparse = hourly.sparse_fact(hourly.with_hour_index(wide), catalog)
+    got = sparse.agg(F.count(F.lit(1)), F.sum("value"), F.sum(F.col("zone_id").cast("long"))).first()
+    ids = sum(k for k in range(5000) if k % 3)
+    assert tuple(got) == (6666, 3.0 * row, 2 * ids)
+
+
+def test_no_zone_columns(spark):
+    wide = spark.createDataFrame([(1, "01/01  01:00:00")], "sim_id int, datetime string")
+    row = hourly.with_row_aggregates(wide).first()
+    assert (row.row_total, row.nonzero_cells) == (0.0, 0)
+    catalog = spark.createDataFrame([], "zone_id int, zone_label string")
+    assert hourly.sparse_fact(hourly.with_hour_index(wide), catalog).collect() == []

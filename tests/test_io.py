@@ -43,6 +43,34 @@ def test_raw_output_reader(spark, tmp_path):
     assert got == [(3, " 01/01  01:00:00", 10.5), (3, " 01/01  02:00:00", 0.0), (12, " 01/01  01:00:00", 7.0)]
 
 
+def test_raw_output_columns_in_any_order(spark, tmp_path):
+    from hypercube.operators.results import hourly_projection
+    from hypercube.sources.raw_output import scan_raw_output
+    root = str(tmp_path)
+    a, b = ("{} IDEAL LOADS AIR:Zone Ideal Loads Supply Air Total Heating Energy [J](Hourly)".format(z) for z in "AB")
+    _write_text(f"{root}/Run_1/out.csv", f"Date/Time,{a},{b},Other\n 01/01  01:00:00,1,2,9\n 01/01  02:00:00,,4,9\n")
+    _write_text(f"{root}/Run_2/out.csv", f"Date/Time,{b},{a}\n 01/01  01:00:00,20,10\n")
+    got = sorted((r.sim_id, r.header[0], r.joules) for r in read_raw_output(spark, root).where("header <> 'Other'").collect() if r.joules is not None)
+    assert got == [(1, "A", 1.0), (1, "B", 2.0), (1, "B", 4.0), (2, "A", 10.0), (2, "B", 20.0)]
+    frames = [hourly_projection(f) for f in scan_raw_output(spark, root)]
+    rows = sorted((r.sim_id, r.datetime, r.zone_A, r.zone_B) for f in frames for r in f.collect())
+    assert rows == [(1, " 01/01  01:00:00", 1.0, 2.0), (1, " 01/01  02:00:00", None, 4.0), (2, " 01/01  01:00:00", 10.0, 20.0)]
+
+
+def test_mixed_headers_in_one_folder(spark, tmp_path):
+    root = str(tmp_path)
+    _write_text(f"{root}/a.csv", "sim_id,x_sec\n1,0.5\n")
+    _write_text(f"{root}/b.csv", "x_sec,sim_id,note\n0.75,3,n\n")
+    df = csv_src.read_csv_union(spark, root, {"sim_id": "int", "x_sec": "double"})
+    assert sorted((r.sim_id, r.x_sec, r.note) for r in df.collect()) == [(1, 0.5, None), (3, 0.75, "n")]
+
+
+def test_paths_by_the_file_system(spark, tmp_path):
+    from hypercube.session import path_exists
+    for root in (str(tmp_path), f"file://{tmp_path}"):
+        assert path_exists(spark, root) and not path_exists(spark, f"{root}/nothing")
+
+
 def test_json_model_and_field_edits(spark):
     docs = spark.createDataFrame([(1, '{"Zone":{"Z1":{"volume":50}},"OtherEquipment":{"E1":{"design_level":3}}}')],
                                  "k int, doc string")
@@ -59,7 +87,7 @@ def test_bundle_guards(spark, sf_small):
     st = Study(spark, sf_small)
     root = work_dir(spark, "bundle-test")
     args = dict(design=st.design, zone_mapping=st.zone_mapping, hourly_wide=st.hourly_wide,
-                summary=st.summary, timing=st.timing)
+                summary=st.summary, timing=st.timing, batch_size=20)
     paths = export_bundle(root, **args)
     man = spark.read.parquet(paths["manifest"]).first()
     assert man.n_runs == st.design.count() and man.schema_version == 1

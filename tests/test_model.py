@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from hypercube.operators import results, runs, sampling, scenario, timing, zones
@@ -140,10 +141,10 @@ def test_exact_median_matches_numpy(spark):
     rows += [("even", float(x)) for x in (1, 2, 3, 10)] + [("one", 7.0)]
     rows += [("ties", 4.0)] * 500 + [("ties", 5.0)] * 499
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r.g: r.m for r in exact_median(df, ["g"], "v", out="m", buckets=8, small=50).collect()}
+    got = {r.g: r.m for r in exact_median(df, ["g"], "v", out="m", buckets=8).collect()}
     for g in ("hot", "even", "one", "ties"):
         assert got[g] == float(np.median([v for k, v in rows if k == g])), g
-    glob = exact_median(df, [], "v", out="m", buckets=8, small=50).first().m
+    glob = exact_median(df, [], "v", out="m", buckets=8).first().m
     assert glob == float(np.median([v for _, v in rows]))
 
 
@@ -154,12 +155,64 @@ def test_glazing_also_opaque_is_skipped(spark):
     mats = spark.createDataFrame([(7, 1.0, 0.1, 10.0), (999, 1.0, 0.1, 10.0)],
                                  "material_id long, conductivity double, thickness double, density double")
     opaque = scenario.material_first_touch(surfaces, layers, mats)
-    windows = spark.createDataFrame([(11, 1, 7), (12, 2, 8), (13, 1, 8)], "window_ord long, parent_surface long, glazing_id long")
+    layers = layers.unionByName(spark.createDataFrame([(30, 1, 8), (30, 2, 9), (40, 1, None)], layers.schema))
+    windows = spark.createDataFrame([(10, "Door", 2, 30), (11, "Window", 1, 10), (12, "WINDOW", 2, 30), (13, "window", 1, 30), (14, "window", 1, 40),
+                                     (15, "window", 3, 30)], "window_ord long, window_type string, parent_surface long, construction_id long")
     glazing = spark.createDataFrame([(7, "simple", 2.0, None), (8, "glazing", None, 0.9)],
                                     "glazing_id long, kind string, u_factor double, conductivity double")
     mapping = spark.createDataFrame([("z", "GROUND")], "zone_name string, cluster string")
-    gft = scenario.glazing_first_touch(windows, surfaces, mapping, glazing, opaque)
-    # glazing 7 was already aged as an opaque layer; glazing 8 is first reached by window 12
+    gft = scenario.glazing_first_touch(windows, surfaces, layers, mapping, glazing, opaque)
+    # glazing 7 was already aged as an opaque layer; glazing 8 is first reached by window 12 (10 is a door)
     assert [(r.glazing_id, r.window_ord, r.kind) for r in gft.collect()] == [(8, 12, "glazing")]
     d = scenario.glazing_deltas(gft).where(F.col("factor") == 1.1).first()
     assert d.new_conductivity == 0.99 and d.new_u_factor is None
+
+
+def test_zone_case_rule(spark):
+    mapping = spark.createDataFrame([("Zone1", True, "GROUND", 1.0)],
+                                    "zone_name string, is_heated boolean, cluster string, area_sqm double")
+    head = "{} IDEAL LOADS AIR:Zone Ideal Loads Supply Air Total Heating Energy [J](Hourly)"
+    raw = spark.createDataFrame([(1, 0, head.format("Zone1"), 1.0), (2, 0, head.format("ZONE1"), 2.0)],
+                                "sim_id int, h int, header string, joules double")
+    for find in (results.zone_energy_exact, results.zone_energy_substring):
+        assert [r.sim_id for r in find(raw, mapping).collect()] == [1]
+        assert sorted(r.sim_id for r in find(raw, mapping, fold_case=True).collect()) == [1, 2]
+
+
+def test_u_value_of_broken_assemblies(spark):
+    surfaces = spark.createDataFrame([(k, k, "Wall", "Outdoors", "z") for k in range(1, 7)],
+                                     "surface_ord long, construction_id long, surface_type string, outside_boundary string, zone_name string")
+    layers = spark.createDataFrame([(1, 1, 10), (2, 1, 11), (3, 1, 12), (4, 1, 13), (5, 1, None), (5, 2, 99)],
+                                   "construction_id long, layer_ord int, material_id long")
+    materials = spark.createDataFrame([(10, 0.5, 0.1, 1.0), (11, 0.5, None, 1.0), (12, None, 0.1, 1.0), (13, 0.0, 0.1, 1.0)],
+                                      "material_id long, conductivity double, thickness double, density double")
+    got = {r.surface_ord: (r.u_value, r.n_materials) for r in scenario.assembly_u_value(surfaces, layers, materials).collect()}
+    # 2, 3: a value is missing; 4: no conductivity; 5: no known material; 6: no such construction
+    assert got == {1: (2.703, 1), 2: (0.0, 1), 3: (0.0, 1), 4: (0.0, 1), 5: (5.882, 0), 6: (0.0, 0)}
+
+
+def test_change_log_counts_layers_that_are_there(spark):
+    surfaces = spark.createDataFrame([(1, 10, "Wall", "Outdoors", "z")],
+                                     "surface_ord long, construction_id long, surface_type string, outside_boundary string, zone_name string")
+    layers = spark.createDataFrame([(10, 1, None), (10, 300, 7), (10, 301, 8)], "construction_id long, layer_ord int, material_id long")
+    mats = spark.createDataFrame([(7, 1.0, 0.1, 10.0), (8, 1.0, 0.1, 10.0)], "material_id long, conductivity double, thickness double, density double")
+    ft = scenario.material_first_touch(surfaces, layers, mats)
+    empty = spark.createDataFrame([], "glazing_id long, window_ord long, kind string, u_factor double, conductivity double")
+    log = scenario.change_log(scenario.material_deltas(ft), scenario.glazing_deltas(empty))
+    assert {r.layer for r in log.collect()} == {"Layer 1"}
+
+
+def test_off_grid_level_raises(spark):
+    design = spark.createDataFrame([(1, 1.005, 1.0, 1.0, 0.3, 0.0, 1.0)],
+                                   "sim_id int, f_wall double, f_roof double, f_win double, inf double, vent double, misc double")
+    edits = spark.createDataFrame([], "factor_param string, factor double, new_value double")
+    with pytest.raises(Exception, match="off its grid"):
+        scenario.run_edits(design, edits).collect()
+
+
+def test_medians_of_awkward_values(spark):
+    from hypercube.operators.quantile import bounded_median, exact_median
+    rows = [(1, v) for v in (-5.0, 1e6, 0.0, 0.25, 0.5)] + [(2, float("nan")), (2, None), (2, 3.0), (2, 4.0)] + [(3, None)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    for find in (exact_median, bounded_median):
+        assert {r.g: r.m for r in find(df, ["g"], "v", out="m").collect()} == {1: 0.25, 2: 3.5}

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 import datetime as dt
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from hypercube.functions import hour24_timestamp, normalize_name, normalize_name_py
+from hypercube.functions import hour24_timestamp, normalize_name, normalize_name_table
 
 stamps = st.lists(st.tuples(st.integers(1, 12), st.integers(1, 28), st.integers(1, 24),
                             st.integers(0, 59), st.integers(0, 59),
@@ -32,7 +34,11 @@ names = st.lists(st.text(alphabet=st.sampled_from(list("aZ9_ -./é#") + [" "]),
 
 @settings(max_examples=3, deadline=None)
 @given(names)
-def test_normalize_name_matches_python_rule(spark, values):
-    df = spark.createDataFrame([(v,) for v in values], "n string")
-    got = [r.x for r in df.select(normalize_name("n").alias("x")).collect()]
-    assert got == [normalize_name_py(v) for v in values]
+def test_normalised_names_are_identifiers_and_never_repeat(spark, values):
+    df = spark.createDataFrame(list(enumerate(values)), "i int, n string")
+    got = normalize_name_table(df, "n", ["i"]).orderBy("i").collect()
+    assert len(got) == len(values) and len({r.deduped for r in got}) == len(values)
+    assert all(re.fullmatch(r"[a-z_][a-z0-9_]*", r.normalized) and r.deduped.startswith(r.normalized) for r in got)
+    again = spark.createDataFrame([(r.normalized,) for r in got], "n string")
+    assert [r.x for r in again.select(normalize_name("n").alias("x")).collect()] == [r.normalized for r in got]
+

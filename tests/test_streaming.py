@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import time
 
+import pytest
+
 from hypercube.operators import hourly
 from hypercube.session import work_dir
 from hypercube.streaming import incremental as inc
@@ -31,3 +33,12 @@ def test_run_split_over_two_micro_batches(spark):
     sparse = inc.stream_sparse_append(spark, f"{root}/in", catalog)
     assert sorted((r.sim_id, r.hour_index, r.zone_id) for r in sparse.collect()) == [
         (1, 0, 0), (1, 1, 0), (1, 2, 0), (1, 2, 1), (2, 1, 0), (2, 1, 1)]
+
+
+def test_late_row_stops_the_stream(spark):
+    root = work_dir(spark, "late-test")
+    spark.createDataFrame([(1, " 01/01  05:00:00", 1.0, 0.0)], WIDE).coalesce(1).write.parquet(f"{root}/in")
+    time.sleep(1.1)
+    spark.createDataFrame([(1, " 01/01  04:00:00", 1.0, 0.0)], WIDE).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    with pytest.raises(Exception, match="late row of run 1"):
+        inc.stream_run_stats(spark, f"{root}/in")
