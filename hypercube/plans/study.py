@@ -85,11 +85,20 @@ class Study:
 
     @cached_property
     def many_zones_wide(self) -> DataFrame:
-        """Wide hourly rows of a model with 1,024 zone columns."""
-        long = self.fx.fx_many_zones_long
-        wide = long.groupBy("sim_id", "h").pivot("zone", list(range(1024))).agg(F.first("value"))
-        return wide.select("sim_id", F.expr(STAMP_FROM_H).alias("datetime"), *[
-            F.coalesce(F.col(f"`{z}`"), F.lit(0.0)).cast("float").alias(f"zone_{z}") for z in range(1024)])
+        """Wide hourly rows of a model with 1,024 zone columns, as a worker's Parquet file."""
+        zones_ = range(1024)
+
+        def cells(path):
+            by_zone = F.map_from_entries(F.collect_list(F.struct("zone", "value")))
+            (self.fx.fx_many_zones_long.groupBy("sim_id", "h").agg(by_zone.alias("m"))
+             .select("sim_id", F.expr(STAMP_FROM_H).alias("datetime"), F.transform(
+                 F.array(*[F.lit(z) for z in zones_]), lambda z: F.coalesce(F.col("m")[z], F.lit(0.0).cast("float"))).alias("cells"))
+             .write.parquet(path))
+
+        def wide(path):
+            rows = self.spark.read.parquet(self.fx.artifact("many-zones-cells", cells))
+            rows.select("sim_id", "datetime", *[F.col("cells")[z].alias(f"zone_{z}") for z in zones_]).write.parquet(path)
+        return self.spark.read.parquet(self.fx.artifact("many-zones-wide", wide))
 
     # published tables (written once per process) ---------------------------
     def consolidated(self) -> dict[str, str]:
