@@ -65,10 +65,19 @@ def targets(sources: DataFrame, most: int = MOST_EPOCHS) -> DataFrame:
 
 
 def _by_code_point(sources: DataFrame) -> DataFrame:
-    """Every source's weight, by its place in code point order, null last."""
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
+    """Every source's weight, by its place in code point order, null last.
+
+    Sources are numbered within ranges of their order, after those of the
+    ranges before, so any number of sources may come.
+    """
+    by_name = F.col("source").asc_nulls_last()
+    ranged = written(sources.repartitionByRange(by_name).withColumn("part", F.spark_partition_id()), "mix-order")
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ahead = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", before.alias("ahead"))
+    place = F.col("ahead") + F.row_number().over(Window.partitionBy("part").orderBy(by_name)) - 1
     weights = F.array(*[F.lit(w) for w in WEIGHTS])
-    return sources.withColumn("weight", F.element_at(weights, (place % len(WEIGHTS) + 1).cast("int")))
+    return (ranged.join(ahead, "part")
+            .withColumn("weight", F.element_at(weights, (place % len(WEIGHTS) + 1).cast("int"))).drop("part", "ahead"))
 
 
 def plan_mix(rows: DataFrame, most: int = MOST_EPOCHS) -> DataFrame:
