@@ -71,6 +71,17 @@ def test_paths_by_the_file_system(spark, tmp_path):
         assert path_exists(spark, root) and not path_exists(spark, f"{root}/nothing")
 
 
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "local-cluster[2,1,1024]"])
+def test_no_local_scratch_on_a_cluster(master):
+    from types import SimpleNamespace
+
+    from hypercube.session import ensure_checkpoint_dir
+    session = SimpleNamespace(sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None),
+                              conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(session)
+
+
 def test_json_model_and_field_edits(spark):
     docs = spark.createDataFrame([(1, '{"Zone":{"Z1":{"volume":50}},"OtherEquipment":{"E1":{"design_level":3}}}')],
                                  "k int, doc string")
