@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -18,14 +19,19 @@ WINDOW = 2048
 #: Id that ends each document.
 END = 1
 #: Tokens of a shard, about.
-SHARD = 1 << 21
+SHARD = 1 << 20
 #: Terms of a seed document that are looked up.
 QUERY_TERMS = 24
+#: Neighbours that a seed is given at a time; if they don't fill its window, the next seed's go on.
+NEIGHBOURS = 32
 #: Parameters of BM25.
 K1, B = 1.2, 0.75
 #: Words whose ids a worker remembers, at most twice.
 REMEMBER = 400_000
 
+#: A text on which a tokenizer that splits between words gives the ids of its words.
+SAMPLE = "Some words, 12 more.\n  It's the l'\u00c9cole's LAST;  line-end "
+
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -52,8 +58,18 @@ class _Ids(dict):
         return ids
 
 
-#: Latin letters, and at most one mark after them: a word that splits nowhere else.
-_PLAIN = re.compile("([a-z\u00df-\u00f6\u00f8-\u024f]+)([.,]?)")
+#: Words of ASCII without capitals and apostrophes and of lower-case Latin letters, and the parts that the
+#: tokenizer splits them into: letters, single digits, marks.
+_PLAIN = re.compile("[a-z0-9\u00df-\u00f6\u00f8-\u00ff!-&(-/:-@\\[-`{-~]+")
+_PART = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[!-&(-/:-@\\[-`{-~]+")
+
+
+def _latin(text: str) -> bool:
+    """Whether all code points are below 256, whose lower case is sure to be the tokenizer's."""
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
 
 
 class Encoder:
@@ -62,7 +78,8 @@ class Encoder:
     It splits at white space and at the edges of words before anything else,
     so the ids of a text are those of what stands between its blanks and line
     feeds.  Plain words in lower case need no more than the tokenizer's model.
-    Texts that name a special token are encoded in one go.
+    Texts that name a special token, and all texts if a sample shows that the
+    tokenizer is of another kind, are encoded in one go.
     """
 
     def __init__(self, path: str):
@@ -72,6 +89,8 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.bytes_of: dict[str, str] = {}
         self.words = _Ids(self._word, {})
+        self.by_word = True
+        self.by_word = self(SAMPLE) == self._encode(SAMPLE)
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -83,22 +102,22 @@ class Encoder:
         return self.bytes_of[letter]
 
     def _word(self, word: str) -> bytes:
-        low = word.lower()
-        plain = _PLAIN.fullmatch(low)
-        if not plain:
+        parts = _PART.findall(word) if _PLAIN.fullmatch(word) else ()
+        if len(parts) > 1:
+            return b"".join([self.words[p] for p in parts])
+        if not parts or not word.isalpha():
             return self._encode(word)
-        if plain[2]:
-            return self.words[plain[1]] + self.words[plain[2]]
-        if low != word:
-            return self.words[low]
         spelled = word if word.isascii() else "".join(map(self._spelled, word))
-        return np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+        ids = [t.id for t in self.model.tokenize(spelled)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
+        if not self.by_word or any(s in text for s in self.special):
             return self._encode(text)
         if len(self.words) > REMEMBER:
             self.words = _Ids(self._word, dict(self.words))
+        if _latin(text):
+            text = text.lower()
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
@@ -205,6 +224,13 @@ class _Index:
                            np.concatenate([self.weight[s] for s in spans]), self.n)
 
 
+def _best(scores: np.ndarray, n: int) -> list[int]:
+    """Up to ``n`` places with the highest scores, none below 0, best first."""
+    some = np.argpartition(-scores, n)[:n] if n < len(scores) else np.arange(len(scores))
+    some = some[np.argsort(-scores[some], kind="stable")]
+    return some[scores[some] >= 0].tolist()
+
+
 def fill_windows(docs: list[np.ndarray], lengths: list[int], idf: np.ndarray, mean: float,
                  window: int = WINDOW) -> list[list[tuple[int, int, int]]]:
     """Sequences of ``(document, start, length)``.
@@ -249,12 +275,12 @@ def fill_windows(docs: list[np.ndarray], lengths: list[int], idf: np.ndarray, me
         put(seed)
         if len(sequences) == done:
             scores[~unused] = -1
-            # enough of them to fill the window, most windows: the rest in order of place
-            for n in np.argsort(-scores, kind="stable")[: int(unused.sum())].tolist():
+            for n in _best(scores, NEIGHBOURS):
                 put(n)
                 if len(sequences) > done:
                     break
             else:
+                # the window goes on with the next seed's neighbours
                 seed = -1
         left = int(unused.sum())
     rest = window - room

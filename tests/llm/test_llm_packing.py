@@ -66,7 +66,16 @@ def test_neighbours_share_words():
 def test_word_by_word_ids_are_the_tokenizers():
     encode = packing.Encoder(PATH)
     texts = [LETTERS, "It's ΣΑΣ İstanbul, foo.\tbar baz x́ <|endoftext|> A.B., .., x", "İ. É, ǅ, 中文。 ", "a\x85b\u3000c\x1cd  e\r\nf", "ﬁ ½ ①, ,", "A,. B.,"]
-    for text in texts * 2:
+    texts = texts + ["", " ", "\n\n", *texts]
+    texts += ["a1b22.c,,d!x", "x's 'tis ''re a'B", "\u00aa\u00ba\u00b5 \u00b2\u00bd \u00d7\u00f7 \u00e9\u00c9", "".join(map(chr, range(33, 383))), " ".join(map(chr, range(33, 383)))]
+    for text in texts:
+        assert np.frombuffer(encode(text), "<u4").tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_other_tokenizers_take_whole_texts():
+    encode = packing.Encoder(packing.tokenizer_path("byte_bpe_50k.json"))
+    assert packing.Encoder(PATH).by_word and not encode.by_word
+    for text in [LETTERS, packing.SAMPLE, ""]:
         assert np.frombuffer(encode(text), "<u4").tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids
 
 
