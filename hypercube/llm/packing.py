@@ -19,10 +19,8 @@ WINDOW = 2048
 #: Id that ends each document.
 END = 1
 #: Tokens of a shard, about.
-SHARD = 1 << 20
-#: Terms of a seed document that are looked up.
-QUERY_TERMS = 24
-#: Neighbours that a seed is given at a time; if they don't fill its window, the next seed's go on.
+SHARD = 1 << 21
+#: Neighbours that a seed is given at a time, and twice as many each further time.
 NEIGHBOURS = 32
 #: Parameters of BM25.
 K1, B = 1.2, 0.75
@@ -201,34 +199,53 @@ class _Index:
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float):
         terms, owners, weights = [], [], []
-        self.queries = []
         for n, ids in enumerate(docs):
             t, c = np.unique(ids, return_counts=True)
-            w = idf[t] * (c * (K1 + 1) / (c + K1 * (1 - B + B * len(ids) / mean)))
             terms.append(t)
-            owners.append(np.full(len(t), n, np.int32))
-            weights.append(w.astype(np.float32))
-            self.queries.append(t[np.argsort(-w, kind="stable")[:QUERY_TERMS]].copy())
+            owners.append(np.full(len(t), n, np.intp))
+            weights.append(idf[t] * (c * (K1 + 1) / (c + K1 * (1 - B + B * len(ids) / mean))))
+        self.terms = terms
         term = np.concatenate(terms) if terms else np.zeros(0, np.int64)
         order = np.argsort(term, kind="stable")
         self.owner, self.weight = np.concatenate(owners)[order], np.concatenate(weights)[order]
         self.first = np.searchsorted(term[order], np.arange(len(idf) + 1))
-        self.n = len(docs)
+        #: The documents that are still in the index, by their number in it.
+        self.place = np.arange(len(docs))
+
+    def keep(self, unused: np.ndarray) -> None:
+        """Takes all but the unused documents out, once these are at most half of those in the index."""
+        stay = unused[self.place]
+        if 2 * stay.sum() > len(stay):
+            return
+        number, held = np.cumsum(stay) - 1, stay[self.owner]
+        self.first = np.concatenate([[0], np.cumsum(held)])[self.first]
+        self.owner, self.weight = number[self.owner[held]], self.weight[held]
+        self.place = self.place[stay]
 
     def scores(self, doc: int) -> np.ndarray:
-        """Every document's score for the terms that tell most about ``doc``."""
-        spans = [slice(self.first[t], self.first[t + 1]) for t in self.queries[doc]]
+        """The score of every document in the index for all terms of ``doc``."""
+        terms = self.terms[doc].astype(np.intp)
+        spans = list(zip(self.first[terms].tolist(), self.first[terms + 1].tolist()))
         if not spans:
-            return np.zeros(self.n)
-        return np.bincount(np.concatenate([self.owner[s] for s in spans]),
-                           np.concatenate([self.weight[s] for s in spans]), self.n)
+            return np.zeros(len(self.place))
+        return np.bincount(np.concatenate([self.owner[a:b] for a, b in spans]),
+                           np.concatenate([self.weight[a:b] for a, b in spans]), len(self.place))
 
 
-def _best(scores: np.ndarray, n: int) -> list[int]:
-    """Up to ``n`` places with the highest scores, none below 0, best first."""
-    some = np.argpartition(-scores, n)[:n] if n < len(scores) else np.arange(len(scores))
-    some = some[np.argsort(-scores[some], kind="stable")]
-    return some[scores[some] >= 0].tolist()
+def _best(scores: np.ndarray, n: int) -> np.ndarray:
+    """The ``n`` places with the highest scores and those as high as the last, none of score 0 or below, best first."""
+    least = np.partition(scores, len(scores) - n)[len(scores) - n] if n < len(scores) else 0
+    some = np.flatnonzero((scores >= least) & (scores > 0))
+    return some[np.argsort(-scores[some], kind="stable")]
+
+
+def _ranked(scores: np.ndarray) -> Iterator[int]:
+    """All places with scores above 0, best first, ranked a few at a time."""
+    n = NEIGHBOURS
+    while len(some := _best(scores, n)):
+        yield from some.tolist()
+        scores[some] = -1
+        n *= 2
 
 
 def fill_windows(docs: list[np.ndarray], lengths: list[int], idf: np.ndarray, mean: float,
@@ -237,9 +254,11 @@ def fill_windows(docs: list[np.ndarray], lengths: list[int], idf: np.ndarray, me
 
     What fills whole windows of a document goes first.  Each window then
     begins with a seed, the document cut last or else the next unused one, and
-    takes the unused documents that BM25 ranks highest for it; the one that
-    no longer fits is cut, and its rest stays unused.  Of the last window,
-    what isn't full is cut at powers of two, which need no padding.
+    takes the unused documents that BM25 ranks highest for it by all its
+    terms; the one that no longer fits is cut, and its rest stays unused.
+    Only where no unused document shares a term with the seed, the window goes
+    on with the next seed.  Of the last window, what isn't full is cut at
+    powers of two, which need no padding.
     """
     sequences: list[list[tuple[int, int, int]]] = []
     start = [0] * len(lengths)
@@ -270,17 +289,18 @@ def fill_windows(docs: list[np.ndarray], lengths: list[int], idf: np.ndarray, me
             while not unused[following]:
                 following += 1
             seed = following
-        scores = index.scores(seed)
-        done = len(sequences)
+        of, done = seed, len(sequences)
         put(seed)
         if len(sequences) == done:
-            scores[~unused] = -1
-            for n in _best(scores, NEIGHBOURS):
-                put(n)
+            index.keep(unused)
+            scores = index.scores(of)
+            scores[~unused[index.place]] = -1
+            for n in _ranked(scores):
+                put(int(index.place[n]))
                 if len(sequences) > done:
                     break
             else:
-                # the window goes on with the next seed's neighbours
+                # nothing unused is like the seed
                 seed = -1
         left = int(unused.sum())
     rest = window - room

@@ -63,6 +63,41 @@ def test_neighbours_share_words():
     assert sum(m > 1 for m in mixed) <= 1
 
 
+def test_windows_of_short_documents_hold_one_topic():
+    # 60 documents fill a window, all are like its seed; topics alternate by place
+    docs = [np.array([k % 3 * 100 + 7 * (k // 3) % 90 + j for j in range(9)]) for k in range(3 * 180)]
+    docs = [np.append(d, 300 + k % 3) for k, d in enumerate(docs)]
+    lengths = [len(d) + 1 for d in docs]
+    sequences = packing.fill_windows(docs, lengths, np.ones(400), 10.0, window=660)
+    assert [len(s) for s in sequences] == [60] * 9
+    assert all(len({d % 3 for d, _, _ in s}) == 1 for s in sequences)
+
+
+def test_windows_are_those_of_the_full_ranking():
+    rng = np.random.default_rng(9)
+    docs = [rng.zipf(1.3, rng.integers(1, 90)).clip(1, 199) for _ in range(400)] + [np.arange(40)] * 60
+    lengths, idf, mean, window = [len(d) + 1 for d in docs], rng.random(200) + 0.1, 40.0, 512
+    counts = [np.bincount(d, minlength=200) for d in docs]
+    weights = np.array([idf * (c * (packing.K1 + 1) / (c + packing.K1 * (1 - packing.B + packing.B * len(d) / mean))) for c, d in zip(counts, docs)])
+    left, wanted, window_now, seed = list(lengths), [], [], -1
+    while any(left):
+        if seed < 0:
+            seed = next(k for k, n in enumerate(left) if n)
+        score = weights[:, np.unique(docs[seed])].sum(axis=1)
+        order = [seed] + [k for k in np.argsort(-score.round(9), kind="stable").tolist() if k != seed and left[k] and score[k] > 0]
+        seed = -1
+        for k in order:
+            take = min(left[k], window - sum(n for _, _, n in window_now))
+            window_now.append((k, lengths[k] - left[k], take))
+            left[k] -= take
+            if sum(n for _, _, n in window_now) == window:
+                wanted.append(window_now)
+                window_now, seed = [], k if left[k] else -1
+                break
+    found = packing.fill_windows(docs, lengths, idf, mean, window)
+    assert found[: len(wanted)] == wanted and len(wanted) > 20
+
+
 def test_word_by_word_ids_are_the_tokenizers():
     encode = packing.Encoder(PATH)
     texts = [LETTERS, "It's ΣΑΣ İstanbul, foo.\tbar baz x́ <|endoftext|> A.B., .., x", "İ. É, ǅ, 中文。 ", "a\x85b\u3000c\x1cd  e\r\nf", "ﬁ ½ ①, ,", "A,. B.,"]
