@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -129,54 +130,59 @@ def encoder(path: str) -> Encoder:
 
 
 # ------------------------------------------------- statistics and shards
-def _topic(terms: np.ndarray, counts: np.ndarray) -> int:
-    """The term that tells most about a document, -1 if it has none.
+def _told(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """How much each term tells about a document."""
+    return idf[terms] * (counts * (K1 + 1) / (counts + K1))
 
-    Ids follow the order in which the vocabulary was merged, so a late id
-    stands for a rare term.
-    """
-    return int(terms[(np.log1p(terms) * counts / (counts + K1)).argmax()]) if len(terms) else -1
+
+def _topic(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> int:
+    """The term that tells most about a document, -1 if it has none."""
+    return int(terms[_told(terms, counts, idf).argmax()]) if len(terms) else -1
+
+
+def _key(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> bytes:
+    """All terms, those that tell most first, as bytes in whose order documents with the same first terms are neighbours."""
+    order = np.argsort(-_told(terms, counts, idf), kind="stable")
+    return terms[order].astype(terms.dtype.newbyteorder(">")).tobytes()
 
 
 def tokenize(docs: DataFrame, path: str, kind: str, size: int) -> DataFrame:
-    """Each row of ``docs`` as ``(doc_id, ids, topic, n, slot)``, and each task's document frequencies as ``(term, n)``.
+    """Each row of ``docs`` as ``(doc_id, ids, n, slot)``, and each task's document frequencies as ``(term, n)``.
 
     ids are those of the text, as numbers of the given kind; n counts them and
     the end id; slot numbers a task's rows.  A task sends one row for each
     term of the vocabulary at most.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(doc_id, ids, topic, n, slot, term):
+        def rows(doc_id, ids, n, slot, term):
             return pa.RecordBatch.from_arrays(
-                [doc_id, pa.array(ids, pa.binary()), pa.array(topic, pa.int64()), pa.array(n, pa.int64()),
-                 pa.array(slot, pa.int64()), pa.array(term, pa.int64())], ["doc_id", "ids", "topic", "n", "slot", "term"])
+                [doc_id, pa.array(ids, pa.binary()), pa.array(n, pa.int64()), pa.array(slot, pa.int64()), pa.array(term, pa.int64())],
+                ["doc_id", "ids", "n", "slot", "term"])
 
         encode, frequency, slot = encoder(path), np.zeros(size, np.int64), 0
         for batch in batches:
-            found, topics = [], []
+            found = []
             for text in batch.column(1):
                 ids = np.frombuffer(encode(text.as_py() or ""), "<u4").astype(kind)
-                terms, counts = np.unique(ids, return_counts=True)
-                frequency[terms] += 1
-                topics.append(_topic(terms, counts))
+                frequency[np.unique(ids)] += 1
                 found.append(ids.tobytes())
             width = np.dtype(kind).itemsize
-            yield rows(batch.column(0), found, topics, [len(x) // width + 1 for x in found],
+            yield rows(batch.column(0), found, [len(x) // width + 1 for x in found],
                        range(slot, slot + len(found)), [None] * len(found))
             slot += len(found)
         at = np.flatnonzero(frequency)
         none = [None] * len(at)
-        yield rows(pa.array(none, pa.int64()), none, none, frequency[at], none, at)
+        yield rows(pa.array(none, pa.int64()), none, frequency[at], none, at)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, ids binary, topic long, n long, slot long, term long")
+        run, "doc_id long, ids binary, n long, slot long, term long")
 
 
 def _deal(tokens: dict[int, int], shard: int) -> list[tuple[int, int, int]]:
     """``(topic, first shard, number of shards)`` for every topic.
 
     Small topics fill a shard together, in order; one with more than a
-    shard's tokens is dealt over as many shards as it needs.
+    shard's tokens needs several (``_cuts``).
     """
     out = []
     at, filled = 0, 0
@@ -193,6 +199,152 @@ def _deal(tokens: dict[int, int], shard: int) -> list[tuple[int, int, int]]:
     return out
 
 
+def _alike(a: bytes, b: bytes, width: int) -> int:
+    """How many terms two keys begin with in common."""
+    n = min(len(a), len(b)) // width * width
+    if a[:n] == b[:n]:
+        return n // width
+    return int((np.frombuffer(a[:n], np.uint8) != np.frombuffer(b[:n], np.uint8)).argmax()) // width
+
+
+#: Below the end of every text's hash, and of every row's.
+_LEAST = -1 << 63
+
+
+def _segments(rows: Iterator[tuple], shard: int, width: int) -> Iterator[tuple]:
+    """``(key, same, tie, n, starts)`` for segments of at most ``shard`` tokens of the sorted rows ``(key, same, tie, n)``.
+
+    A segment begins at the given place in the order and ends with its topic,
+    or in its second half where neighbours have the fewest first terms in
+    common, so that what is most alike stays together.  Only equal texts are
+    cut by their rows' hashes.  ``starts`` marks the first segment.
+    """
+    held: list[tuple[int, int, tuple]] = []
+    total, before, starts = 0, None, True
+    for key, same, tie, n in rows:
+        if before is None:
+            alike, place = 0, (key, same, tie)
+        elif key != before[0]:
+            alike = _alike(key, before[0], width)
+            place = (key[: (alike + 1) * width], _LEAST, _LEAST)
+        else:
+            alike = len(key) // width + 1 + (same == before[1])
+            place = (key, same, tie if same == before[1] else _LEAST)
+        before = key, same
+        if held and not alike:
+            yield (*held[0][2], total, starts)
+            held, total, starts = [], 0, False
+        while held and total + n > shard:
+            at, first, least = 0, 0, None
+            for k, (m, _, _) in enumerate(held, 1):
+                at += m
+                here = held[k][1] if k < len(held) else alike
+                if (2 * at >= shard or k == len(held)) and (least is None or here <= least):
+                    first, least, tokens = k, here, at
+            yield (*held[0][2], tokens, starts)
+            held, total, starts = held[first:], total - tokens, False
+        held.append((n, alike, place))
+        total += n
+    if held:
+        yield (*held[0][2], total, starts)
+
+
+def _joined(segments: list[tuple], shard: int, width: int) -> list[tuple]:
+    """Where shards begin but for the first, if tasks' segments follow each other: a task's first one may go on with the last task's."""
+    out, filled, topic = [], 0, None
+    for key, same, tie, n, starts in sorted(segments):
+        if topic is not None and (not starts or filled + n > shard or key[:width] != topic):
+            out.append((key, same, tie))
+            filled = 0
+        filled, topic = filled + n, key[:width]
+    return out
+
+
+def _cuts(own: DataFrame, kind: str, idf: np.ndarray, large: dict[int, int], shard: int) -> list[tuple]:
+    """Where the shards of the documents of ``large`` topics begin, but for the first, in the order of ``(key, same, tie)``.
+
+    Documents are ordered by all their terms, those that tell most first,
+    equal ones by a hash of the row.  The driver gets a place for each shard
+    and task.
+    """
+    width = np.dtype(kind).itemsize
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, at = [], []
+            for k, ids in enumerate(batch.column(0)):
+                ids = ids.as_py()
+                terms, counts = np.unique(np.frombuffer(ids, kind), return_counts=True)
+                if _topic(terms, counts, idf) in large:
+                    found.append((_key(terms, counts, idf), zlib.crc32(ids)))
+                    at.append(k)
+            kept = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.binary()), pa.array([x for _, x in found], pa.int64()),
+                                              kept.column(1), kept.column(2)], ["key", "same", "tie", "n"])
+
+    def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns)))
+        if found := list(_segments(rows, shard, width)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()))],
+                                             ["key", "same", "tie", "n", "starts"])
+
+    kind_of = "key binary, same long, tie long, n long"
+    keyed = written(own.select("ids", "tie", "n").mapInArrow(keys, kind_of), "keys")
+    order = ["key", "same", "tie"]
+    # some shards for each task, so that few begin at a task's first row
+    found = (keyed.repartitionByRange(-(-sum(large.values()) // (8 * shard)), *order).sortWithinPartitions(*order)
+             .mapInArrow(segments, kind_of + ", starts boolean").collect())
+    return _joined([(bytes(r["key"]), r["same"], r["tie"], r["n"], r["starts"]) for r in found], shard, width)
+
+
+def sharded(rows: DataFrame, kind: str, size: int, shard: int) -> tuple[DataFrame, np.ndarray, float]:
+    """``(shard, doc_id, ids)`` of the rows of ``tokenize``, the terms' idf, and the documents' mean length.
+
+    A document goes to the shard of its topic, the term that tells most about
+    it over all documents.  Topics of more than a shard's tokens are split by
+    their documents' next terms, down to equal texts.
+    """
+    own = rows.filter("term IS NULL").withColumn("tie", F.xxhash64("doc_id", "slot"))
+    # one row per term of the vocabulary: that bounds what the driver gets
+    frequency, n, tokens = np.zeros(size), 0, 0
+    for r in rows.groupBy("term").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("n")).collect():
+        if r["term"] is None:
+            n, tokens = r["docs"], r["n"] - r["docs"]
+        else:
+            frequency[r["term"]] = r["n"]
+    mean = max(1.0, tokens / max(1, n))
+    idf = np.log1p((n - frequency + 0.5) / (frequency + 0.5))
+
+    def topics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(size + 1, np.int64)
+        for batch in batches:
+            for ids in batch.column(0):
+                ids = np.frombuffer(ids.as_py(), kind)
+                sums[_topic(*np.unique(ids, return_counts=True), idf) + 1] += len(ids) + 1
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at - 1), pa.array(sums[at])], ["topic", "n"])
+
+    dealt = _deal({r["topic"]: r["n"] for r in own.select("ids").mapInArrow(topics, "topic long, n long")
+                   .groupBy("topic").agg(F.sum("n").alias("n")).collect()}, shard)
+    of = {topic: first for topic, first, parts in dealt if parts == 1}
+    sums = {topic: parts * shard for topic, _, parts in dealt if parts > 1}
+    cuts = _cuts(own, kind, idf, sums, shard) if sums else []
+    after = max((first + parts for _, first, parts in dealt), default=0)
+
+    def to_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shards = []
+            for ids, tie in zip(batch.column(1), batch.column(2)):
+                ids = ids.as_py()
+                terms, counts = np.unique(np.frombuffer(ids, kind), return_counts=True)
+                topic = _topic(terms, counts, idf)
+                shards.append(of[topic] if topic in of
+                              else after + bisect_right(cuts, (_key(terms, counts, idf), zlib.crc32(ids), tie.as_py())))
+            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), batch.column(0), batch.column(1)], ["shard", "doc_id", "ids"])
+
+    return own.select("doc_id", "ids", "tie").mapInArrow(to_shard, "shard long, doc_id long, ids binary"), idf, mean
+
+
 # ------------------------------------------------------------------ packing
 class _Index:
     """BM25 weights of a shard's documents by term."""
@@ -325,29 +477,17 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, shard: int = SHARD, w
     the end id.  Every id lies in exactly one piece; repeated rows are
     documents of their own.  Document frequencies and the mean length are
     taken over all documents.  A document goes to the shard of the term that
-    tells most about it (``_topic``), so lexical neighbours meet; a term with more
-    documents than fit a shard is dealt over several, so no shard grows with
-    the input.  Only a document longer than a shard is larger.  ``with_ids``
-    adds each piece's ids.  No documents give no rows.
+    tells most about it, so lexical neighbours meet; the documents of a term
+    with more of them than fit a shard are split by their next terms
+    (``sharded``), so no shard grows with the input.  Only a document longer
+    than a shard is larger.  ``with_ids`` adds each piece's ids.  No documents
+    give no rows.
     """
     from tokenizers import Tokenizer
     size = Tokenizer.from_file(path).get_vocab_size()
     kind = "<u2" if size <= 1 << 16 else "<u4"
-    rows = written(tokenize(docs, path, kind, size), "tokens")
-    own = rows.filter("topic IS NOT NULL")
-    # one row per term of the vocabulary each: that bounds what the driver gets and what is broadcast
-    topics = own.groupBy("topic").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("n")).collect()
-    frequency = np.zeros(size)
-    for r in rows.filter("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("n")).collect():
-        frequency[r["term"]] = r["n"]
-    n = sum(r["docs"] for r in topics)
-    mean = max(1.0, (sum(r["n"] for r in topics) - n) / max(1, n))
-    idf = np.log1p((n - frequency + 0.5) / (frequency + 0.5))
-    dealt = docs.sparkSession.createDataFrame(_deal({r["topic"]: r["n"] for r in topics}, shard), "topic long, first long, parts long")
-    # the slot also deals out rows that repeat one doc_id
-    part = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) + F.col("slot"), F.col("parts"))
-    sharded = own.join(F.broadcast(dealt), "topic").select(
-        (F.col("first") + part).alias("shard"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("nameless"), "ids")
+    dealt, idf, mean = sharded(written(tokenize(docs, path, kind, size), "tokens"), kind, size, shard)
+    dealt = dealt.select("shard", F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("nameless"), "ids")
 
     def packed(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["nameless", "doc_id", "ids"], kind="stable").reset_index(drop=True)
@@ -366,7 +506,7 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, shard: int = SHARD, w
         found.insert(0, "doc_id", pdf["doc_id"].astype(object).where(~pdf["nameless"], None).to_numpy()[found["d"]])
         return found.drop(columns=["d"] if with_ids else ["d", "ids"])
 
-    return sharded.groupBy("shard").applyInPandas(packed, PIECES + (", ids array<long>" if with_ids else ""))
+    return dealt.groupBy("shard").applyInPandas(packed, PIECES + (", ids array<long>" if with_ids else ""))
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

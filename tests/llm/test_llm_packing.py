@@ -127,3 +127,53 @@ def test_no_documents(spark):
 
 def test_topics_are_dealt_evenly():
     assert packing._deal({3: 10, 4: 25, 5: 4, 6: 3, 9: 7}, 10) == [(3, 0, 1), (4, 1, 3), (5, 4, 1), (6, 4, 1), (9, 5, 1)]
+
+
+def test_large_topics_are_split_by_content(spark):
+    # one word tells most about all documents; 8 kinds of texts, 25 copies of each, spread over the ids
+    kinds = ["zebra " * 40 + f"{ws[0]} {ws[0]} {ws[1]} the of" for ws in
+             (("piano", "violin"), ("piano", "guitar"), ("cheese", "butter"), ("cheese", "bread"),
+              ("river", "lake"), ("river", "ocean"), ("engine", "wheel"), ("engine", "brake"))]
+    rows = [(k * 7919 % 200, kinds[k * 7919 % 200 % 8]) for k in range(200)] + [(1000 + k, "the of and in") for k in range(9000)]
+    size = packing.encoder(PATH).tokenizer.get_vocab_size()
+    one = [len(packing.encoder(PATH)(t)) // 4 + 1 for t in kinds]
+    shard = 2 * 25 * max(one) + 10
+    tokens = packing.tokenize(_docs(spark, rows), PATH, "<u2", size)
+    found, _, _ = packing.sharded(packing.written(tokens, "test-tokens"), "<u2", size, shard)
+    of, filled = defaultdict(set), Counter()
+    for r in found.collect():
+        if r["doc_id"] < 1000:
+            of[r["doc_id"] % 8].add(r["shard"])
+        filled[r["shard"]] += len(r["ids"]) // 2 + 1
+    assert max(filled.values()) <= shard and len(set.union(*of.values())) == 4
+    assert all(len(shards) == 1 for shards in of.values())  # copies meet
+    assert all(of[k] == of[k + 1] for k in range(0, 8, 2))  # and those that share the next term
+
+
+def test_topics_follow_the_documents_not_the_vocabulary(spark):
+    # the word with the late id stands in all documents, so it tells nothing
+    encode = packing.encoder(PATH)
+    ids = {w: np.frombuffer(encode(w), "<u4").tolist() for w in ("the", "and", "zebra")}
+    (early,), (other,), late = ids["the"], ids["and"], ids["zebra"]
+    assert max(late) > max(early, other)
+    idf = np.log1p(np.full(max(late) + 1, 1000.0))
+    idf[late] = 0.01
+    terms = np.array(sorted([early, *late]))
+    assert packing._topic(terms, np.ones(len(terms)), idf) == early
+
+
+def test_segments_hold_all_rows_and_end_between_topics():
+    rng = np.random.default_rng(4)
+    rows = sorted((bytes(rng.integers(0, 3, 6).tolist()), int(rng.integers(0, 2)), k, int(rng.integers(1, 9))) for k in range(900))
+    rows = sorted(rows + [(b"\x01\x01", 5, 10_000 + k, 4) for k in range(300)])
+    for parts in (1, 7):
+        found = [x for k in range(parts) for x in packing._segments(iter(rows[k * len(rows) // parts: (k + 1) * len(rows) // parts]), 200, 1)]
+        assert sum(x[3] for x in found) == sum(r[3] for r in rows)
+        cuts = packing._joined(found, 200, 1)
+        filled = Counter()
+        for r in rows:
+            filled[packing.bisect_right(cuts, r[:3])] += r[3]
+        assert max(filled.values()) <= 200 and len(filled) == len(cuts) + 1
+    assert list(packing._segments(iter([]), 200, 1)) == []
+    long = [(b"\x01", 1, 1, 500), (b"\x02", 1, 2, 3), (b"\x02", 2, 2, 500)]
+    assert [x[3] for x in packing._segments(iter(long), 200, 1)] == [500, 3, 500]
