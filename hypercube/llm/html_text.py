@@ -152,23 +152,24 @@ class Lines(HTMLParser):
         self._end_line()
 
 
-def _content(lines: list[tuple[str, int, int, bool]]) -> np.ndarray:
-    """Which lines are content: smoothed text-to-tag ratio of at least its deviation over the page."""
+def _content(lines: list[tuple[str, int, int, bool]]) -> tuple[np.ndarray, np.ndarray]:
+    """Which lines are content (smoothed text-to-tag ratio of at least its deviation over the page), and which without their neighbours."""
     ratio = np.array([len(text) / max(1, tags) for text, tags, _, _ in lines])
     reach = int(3 * SIGMA)
     kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / SIGMA) ** 2)
     weight = np.convolve(np.ones(len(ratio)), kernel)[reach: reach + len(ratio)]
     smooth = np.convolve(ratio, kernel)[reach: reach + len(ratio)] / weight
-    return smooth >= min(smooth.std(), smooth.max())
+    least = min(smooth.std(), smooth.max())
+    return smooth >= least, (smooth >= least) & (ratio >= least)
 
 
 def main_text(html: str | None) -> str:
     """The page's article, a line for each of its blocks.
 
-    The content lines select the region: the outermost articles that hold at
-    least half as much content as the fullest one; without articles the same
-    of main elements; without these the smallest element around all content
-    lines and the headings right before it.  All lines of the region stay,
+    The content lines select the region: the outermost articles, if they hold
+    most of the content lines' text, but for those without a line that is
+    content by itself; else the same of main elements; else the smallest
+    element around all content lines and the headings right before it.  All lines of the region stay,
     the short ones too, but for what markup names as something else: menus,
     headers, footers, sidebars, notices, adverts, forms, comments and the
     like.  Null, empty and text-free pages give an empty text.
@@ -181,15 +182,19 @@ def main_text(html: str | None) -> str:
     lines = page.lines
     if not lines:
         return ""
-    content = _content(lines)
+    content, alone = _content(lines)
+    total = sum(len(line[0]) for line, c in zip(lines, content) if c)
     for around in (page.article, page.main):
         held: dict[int, int] = {}
-        for (text, _, place, _), c in zip(lines, content):
+        full = set()
+        for (text, _, place, _), c, own in zip(lines, content, alone):
             if around[place]:
                 held[around[place]] = held.get(around[place], 0) + (len(text) if c else 0)
-        if held:
-            most = max(held.values())
-            return "\n".join(t for t, _, place, _ in lines if 2 * held.get(around[place], -1) >= most)
+                if own:
+                    full.add(around[place])
+        if held and 2 * sum(held.values()) >= total:
+            full.add(max(held, key=held.get))
+            return "\n".join(t for t, _, place, _ in lines if around[place] in full)
     return "\n".join(t for t, _, _, _ in _region(page, content))
 
 

@@ -89,6 +89,15 @@ def test_articles_without_what_is_around_them():
     assert html_text.main_text(None) == ""
 
 
+def test_articles_count_by_their_content():
+    found = html_text.main_text(f"<div class='post'>{PROSE * 3}</div><div class='more'><article><h3>Other story</h3></article></div>")
+    assert found.startswith("\n".join([TEXT] * 3))
+    found = html_text.main_text(f"<main><p>m</p></main><div><h1>T</h1>{PROSE * 4}</div>")
+    assert found.endswith("\n".join(["T"] + [TEXT] * 4))
+    parts = [f"<article><h2>Part {k}</h2>{PROSE * n}</article>" for k, n in enumerate((5, 1, 2))]
+    assert html_text.main_text("".join(parts)).split("\n") == ["Part 0", *[TEXT] * 5, "Part 1", TEXT, "Part 2", TEXT, TEXT]
+
+
 def test_nested_and_long_pages():
     assert html_text.main_text("<div>" * 5000 + "deep" + "</div>" * 5000) == "deep"
     long = "word " * 400_000
