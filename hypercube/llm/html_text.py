@@ -38,6 +38,8 @@ promotion recommended recommendations related replies reply respond responses se
 signin signup skip social sponsor sponsored sponsors subscribe subscription taboola teaser teasers toolbar widget
 widgets""".split())
 COMMENTS = set("comment comments commentlist disqus discussion replies reply respond responses".split())
+#: Of these, the ones that an article's own sections are named by as well.
+SECTIONS = set("discussion notice notices notifications privacy promotion recommendations related responses search sharing social".split())
 #: Before or after these words a name says what the page's frame has, not what the element is.
 ABOUT = {"has", "no", "with", "without"}
 #: Start tags that end an open element, and where the search for it stops.
@@ -55,8 +57,8 @@ _IN_HEAD = set("base basefont bgsound head html link meta noscript script style
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
-def _words(attrs: dict[str, str | None]) -> set[str]:
-    return {w.lower() for k in ("class", "id") for w in _WORDS.findall(attrs.get(k) or "")}
+def _words(attrs: dict[str, str | None], *names: str) -> set[str]:
+    return {w.lower() for k in names or ("class", "id") for w in _WORDS.findall(attrs.get(k) or "")}
 
 
 class Lines(HTMLParser):
@@ -64,22 +66,25 @@ class Lines(HTMLParser):
 
     A place is an element's number; ``up`` has the element around it, and
     ``article`` and ``main`` the outermost such element around it (0: none).
+    ``named`` has what class or id name as something else than the article,
+    with how the name may be overruled; such elements' lines are in ``lines``,
+    as parts of text and their places, until ``kept`` leaves them out.
     """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int]] = [("", 0)]
         self.up, self.article, self.main = [0], [0], [0]
-        self.lines: list[tuple[str, int, int, bool]] = []
-        self.text: list[str] = []
+        self.lines: list[tuple[list[tuple[str, int]], int, int, bool]] = []
+        self.text: list[tuple[str, int]] = []
+        self.named: dict[int, str] = {}
         self.tags = 0
         #: Number of open elements below the one that is left out, if one is.
         self.out: int | None = None
 
     def _end_line(self) -> None:
-        text = " ".join("".join(self.text).split())
-        self.text = []
-        if text:
+        text, self.text = self.text, []
+        if any(not t.isspace() for t, _ in text):
             self.lines.append((text, self.tags, self.open[-1][1], any(t in HEADINGS for t, _ in self.open[-2:])))
             self.tags = 0
 
@@ -97,12 +102,42 @@ class Lines(HTMLParser):
         if tag in ("html", "body"):
             return False
         if tag in ("article", "main"):
-            return bool(hidden or words & COMMENTS)
-        if tag == "header" or (tag not in HEADINGS and words & {"header", "masthead"} and not words & ABOUT):
+            return bool(hidden)
+        if tag == "header":
             # an article's own header holds its title
             return not self.article[self.open[-1][1]]
-        return bool(tag in LEFT_OUT or hidden or role in ROLES
-                    or (words & (NAMES - {"header", "masthead"}) and not words & ABOUT))
+        return bool(tag in LEFT_OUT or hidden or role in ROLES)
+
+    def _name(self, tag: str, attrs: dict[str, str | None]) -> str:
+        """How an element's name, if it says that this isn't the article, may be overruled; else an empty text."""
+        words, inside = _words(attrs), self.article[self.open[-1][1]] or self.main[self.open[-1][1]]
+        if tag in HEADINGS or (tag == "p" and inside):
+            words = _words(attrs, "class")
+        if tag in ("html", "body", "header") or words & ABOUT and not (tag in ("article", "main") and words & COMMENTS):
+            return ""
+        if words & {"header", "masthead"} and (tag in HEADINGS or self.article[self.open[-1][1]]):
+            words -= {"header", "masthead"}
+        if tag == "section" and inside and words & NAMES and words & NAMES <= SECTIONS and not _words(attrs, "class") & NAMES:
+            return "section"
+        return "comments" if words & COMMENTS else "name" if words & NAMES else ""
+
+    def outer(self, overruled: set[int]) -> list[int]:
+        """For each element the outermost named one around it that isn't overruled, 0 if there is none."""
+        out = [0] * len(self.up)
+        for e in range(1, len(out)):
+            out[e] = out[self.up[e]] or (e if e in self.named and e not in overruled else 0)
+        return out
+
+    def kept(self, outer: list[int]) -> list[tuple[str, int, int, bool]]:
+        """The lines outside named elements; tags of the others count for the next line."""
+        out, before = [], 0
+        for parts, tags, place, heading in self.lines:
+            before += tags
+            text = " ".join("".join([t for t, e in parts if not outer[e]]).split())
+            if text:
+                out.append((text, before, place, heading))
+                before = 0
+        return out
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.tags += 1
@@ -127,9 +162,12 @@ class Lines(HTMLParser):
             self.out = None
         here, around = len(self.up), self.open[-1][1]
         gone = self.out is None and self._left_out(tag, dict(attrs))
+        name = "" if gone or self.out is not None else self._name(tag, dict(attrs))
+        if name:
+            self.named[here] = name
         self.up.append(around)
-        self.article.append(self.article[around] or (here if tag == "article" and not gone else 0))
-        self.main.append(self.main[around] or (here if not gone and (tag == "main" or dict(attrs).get("role") == "main") else 0))
+        self.article.append(self.article[around] or (here if tag == "article" and not gone and name != "comments" else 0))
+        self.main.append(self.main[around] or (here if not gone and name != "comments" and (tag == "main" or dict(attrs).get("role") == "main") else 0))
         if gone:
             self.out = len(self.open)
         self.open.append((tag, here))
@@ -145,7 +183,7 @@ class Lines(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         if self.out is None:
-            self.text.append(data)
+            self.text.append((data, self.open[-1][1]))
 
     def close(self) -> None:
         super().close()
@@ -163,6 +201,37 @@ def _content(lines: list[tuple[str, int, int, bool]]) -> tuple[np.ndarray, np.nd
     return smooth >= least, (smooth >= least) & (ratio >= least)
 
 
+def _overruled(page: Lines) -> set[int]:
+    """Named elements that stay: their content says that they are, or hold, the article.
+
+    Those are an element with most of the page's content; one that holds the
+    page's only articles or main elements and as much content as the rest; a
+    section of an article with content whose id is an everyday word.  Comments
+    stay only if they hold the page's only articles.
+    """
+    out: set[int] = set()
+    if not page.named:
+        return out
+    whole = page.kept([0] * len(page.up))
+    content, _ = _content(whole) if whole else (np.zeros(0, bool), None)
+    while True:
+        outer = page.outer(out)
+        held: dict[int, int] = {}
+        holds, found = set(), set()
+        for (text, _, place, _), c in zip(whole, content):
+            e = outer[place]
+            held[e] = held.get(e, 0) + (len(text) if c else 0)
+            if page.article[place] or page.main[place]:
+                holds.add(e)
+        for e, n in held.items():
+            if e and n and (page.named[e] == "section" or (page.named[e] == "name" and 2 * n > sum(held.values()))
+                            or (e in holds and 0 not in holds and n >= held.get(0, 0))):
+                found.add(e)
+        if not found:
+            return out
+        out |= found
+
+
 def main_text(html: str | None) -> str:
     """The page's article, a line for each of its blocks.
 
@@ -172,14 +241,16 @@ def main_text(html: str | None) -> str:
     element around all content lines and the headings right before it.  All lines of the region stay,
     the short ones too, but for what markup names as something else: menus,
     headers, footers, sidebars, notices, adverts, forms, comments and the
-    like.  Null, empty and text-free pages give an empty text.
+    like.  Names by class or id count less than content (``_overruled``), and
+    not at all if nothing else is left.  Null, empty and text-free pages give
+    an empty text.
     """
     if not html:
         return ""
     page = Lines()
     page.feed(html)
     page.close()
-    lines = page.lines
+    lines = page.kept(page.outer(_overruled(page))) or page.kept([0] * len(page.up))
     if not lines:
         return ""
     content, alone = _content(lines)
@@ -195,12 +266,12 @@ def main_text(html: str | None) -> str:
         if held and 2 * sum(held.values()) >= total:
             full.add(max(held, key=held.get))
             return "\n".join(t for t, _, place, _ in lines if around[place] in full)
-    return "\n".join(t for t, _, _, _ in _region(page, content))
+    return "\n".join(t for t, _, _, _ in _region(page, lines, content))
 
 
-def _region(page: Lines, content: np.ndarray) -> list:
+def _region(page: Lines, lines: list, content: np.ndarray) -> list:
     """Lines inside the smallest element around all content lines, and headings right before them."""
-    lines, seeds = page.lines, np.flatnonzero(content)
+    seeds = np.flatnonzero(content)
     # an element holds the places numbered from its own to its last descendant's
     last = list(range(len(page.up)))
     for e in range(len(page.up) - 1, 0, -1):

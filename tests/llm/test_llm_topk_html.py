@@ -98,6 +98,16 @@ def test_articles_count_by_their_content():
     assert html_text.main_text("".join(parts)).split("\n") == ["Part 0", *[TEXT] * 5, "Part 1", TEXT, "Part 2", TEXT, TEXT]
 
 
+def test_content_overrules_names():
+    for wrapper in ("class='layout sidebar-right'", "id='page' class='search-page'"):
+        assert html_text.main_text(f"<div {wrapper}><article>{PROSE}</article><div class=sidebar>s</div></div>") == TEXT
+        assert html_text.main_text(f"<div {wrapper}><div>{PROSE}</div><nav>n</nav></div>") == TEXT
+    kept = f"<h2 id='discussion'>D</h2>{PROSE}<h3 id='related-work'>R</h3><section id='responses'>{PROSE}</section><p id='privacy'>p</p>"
+    assert html_text.main_text(f"<article>{PROSE * 2}{kept}</article>") == "\n".join([TEXT, TEXT, "D", TEXT, "R", TEXT, "p"])
+    assert html_text.main_text("<div class=widget><p>all there is</p></div>") == "all there is"
+    assert html_text.main_text(f"<article>{PROSE}</article><div class=related><article>{PROSE}</article></div><div class=comments>{PROSE * 3}</div>") == TEXT
+
+
 def test_nested_and_long_pages():
     assert html_text.main_text("<div>" * 5000 + "deep" + "</div>" * 5000) == "deep"
     long = "word " * 400_000
