@@ -14,6 +14,9 @@ from hypercube.llm import (
     mixing,
     packing,
     parsing,
+    prefix_trie,
+    repair,
+    sharding,
     simhash,
     topk,
     url_filter,
@@ -32,6 +35,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_prefix_tree": chat.op8_chat_prefix_tree,
         "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
         "op10_url_filter": url_filter.op10_url_filter,
+        "op11_conversation_repair": repair.op11_conversation_repair,
+        "op12_sharding": sharding.op12_sharding,
+        "op13_prefix_trie": prefix_trie.op13_prefix_trie,
     }
 
 
