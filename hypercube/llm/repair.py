@@ -20,8 +20,9 @@ from hypercube.llm.common import WORD, table, written
 
 #: Cost of each edit, and of leaving a truncated row in.
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 1, 2, 5, 5
-#: Rows of one search; longer conversations are searched block by block.
-BLOCK = 512
+#: Rows of one search; longer conversations are searched block by block.  A search corrects the
+#: nodes it has passed, which can grow faster than its rows, so blocks are short.
+BLOCK = 24
 #: Blocks of one conversation that are joined in one step.
 FAN_IN = 32
 #: Salts of the rows whose role and text repeat within a conversation.

@@ -34,7 +34,8 @@ def _check(rows, got, shards=8, tolerance=sharding.TOLERANCE):
         assert sorted(found) == list(range(len(found)))
     if rows:
         longest = max(size for _, _, size, _, _ in got)
-        assert max(sizes) - min(sizes) <= 2 * longest + 2 * tolerance * sum(sizes) / shards + 2
+        # both ends of a shard may miss their places
+        assert max(sizes) - min(sizes) <= 2 * longest + 4 * tolerance * sum(sizes) / shards + 2
 
 
 @pytest.mark.parametrize("name", ["plain", "hot", "repeats", "nulls", "long", "tiny"])
