@@ -181,6 +181,11 @@ class Lines(HTMLParser):
             if tag not in BLOCK and self.open[k][0] in BLOCK:
                 return
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """``<![...`` is a comment up to the next ``>``, as in browsers; the page's end closes it too."""
+        end = self.rawdata.find(">", i + 3)
+        return len(self.rawdata) if end < 0 else end + 1
+
     def handle_data(self, data: str) -> None:
         if self.out is None:
             self.text.append((data, self.open[-1][1]))

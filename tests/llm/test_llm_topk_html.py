@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from hypercube.llm import html_text, topk
@@ -122,3 +124,17 @@ def test_pages_table(spark):
     got = sorted((tuple(r) for r in html_text.extract(pages).collect()), key=str)
     assert got == sorted([(1, "u", "x é", 3), (1, "u", "x é", 3), (2, None, "", 0), (None, "v", "", 0)], key=str)
     assert html_text.extract(pages.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("markup", ["<![foo[ x ]]>", "<![>", "<![<b>", "<![CDATA[ x > y ]]>", "<!>", "<!DOCTYPE [ <!ENTITY>", "</>", "<?x>"])
+def test_malformed_markup_is_a_comment(markup):
+    text = html_text.main_text(f"<p>before it</p>{markup}<p>after it</p>")
+    assert text.startswith("before it") and text.endswith("after it")
+
+
+def test_any_markup_gives_a_text():
+    pieces = ["<![", "<!", "]]>", "[", "]", "<!--", "-->", "<p>", "</p>", "<", ">", "</", "<?", "&#x;", "&amp", "CDATA[", "if", "temp[",
+              "<script>", "</script>", "<b", " a='", "'", '"', "text", " ", "<article>", "\x00", "<!DOCTYPE", "<textarea>", "<title>"]
+    r = random.Random(4)
+    for _ in range(30_000):
+        assert isinstance(html_text.main_text("".join(r.choices(pieces, k=r.randint(1, 12)))), str)
