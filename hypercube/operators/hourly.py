@@ -161,6 +161,27 @@ def sparse_fact(indexed: DataFrame, zone_catalog: DataFrame,
         F.col("zone_id").cast("int"), F.col("value").cast("float"))
 
 
+def kept_cells(zones: list[str]) -> list[Column]:
+    """The cells of a wide row that stay, as two arrays that Arrow carries
+    whole: ``cells`` their places among ``zones``, from 1, negative for a NULL
+    cell, and ``cell_values`` (0 for a NULL cell, NaN stays NaN)."""
+    cells = F.filter(F.transform(_cells(zones, "float"), lambda x, i: F.struct((i + 1).alias("at"), x.alias("value"))),
+                     lambda c: _kept(c["value"]))
+    return [F.transform(cells, lambda c: F.when(c["value"].isNull(), -c["at"]).otherwise(c["at"])).alias("cells"),
+            F.transform(cells, lambda c: F.coalesce(c["value"], F.lit(0.0).cast("float"))).alias("cell_values")]
+
+
+def cells_to_fact(rows: DataFrame, zone_catalog: DataFrame, zones: list[str]) -> DataFrame:
+    """Rows with :func:`kept_cells` and ``hour_index`` -> the sparse fact."""
+    labels = F.array(*[F.lit(z) for z in zones]) if zones else F.array().cast("array<string>")
+    long = (rows.select("sim_id", "hour_index", F.explode(F.arrays_zip("cells", "cell_values")).alias("_c"))
+            .select("sim_id", "hour_index", F.element_at(labels, F.abs("_c.cells")).alias("zone_label"),
+                    F.when(F.col("_c.cells") > 0, F.col("_c.cell_values")).alias("value")))
+    return long.join(zone_catalog.select("zone_label", "zone_id"), on="zone_label", how="inner").select(
+        F.col("sim_id").cast("int"), F.col("hour_index").cast("int"),
+        F.col("zone_id").cast("int"), F.col("value").cast("float"))
+
+
 def zero_fraction(rows: DataFrame, n_zone_columns: int) -> DataFrame:
     """A5: one row with total cells, non-zero cells and the zero fraction (6 places)."""
     agg = rows.agg(F.count(F.lit(1)).alias("_rows"),

@@ -6,23 +6,40 @@ as they arrive (``maxFilesPerTrigger`` files per micro-batch).  Sinks use
 epoch (after a failure) overwrites its own folder, so the sink is idempotent,
 and no result passes through the driver.
 
-* progress (T1): per batch, runs with a summary so far against the design.
-* run stats (T2) and sparse append (T3): the state is a small table, one row
-  per run, that each epoch writes anew from its rows and the epoch before:
-  the rows seen so far (the next hour index), the last stamp and the running
-  statistics.  Everything is joins and aggregations; zone cells are added up
-  before anything is grouped, and no row leaves the JVM.
+What a stream remembers lies in Spark's state store (RocksDB), keyed and
+versioned with the checkpoint, so an epoch reads and writes the keys of its
+own rows only, and a stream whose state is lost does not start but fails:
+
+* progress (T1): the runs seen.  A summary that lands twice counts once; the
+  runs that an epoch is the first to see are counted per batch, and the
+  epochs' counts add up.
+* run stats (T2): per run the rows seen so far (the next hour index), the
+  last stamp and the running statistics; an epoch's sink holds the runs it
+  changed, and the newest row of each run is the result.
+* sparse append (T3): per run the rows seen so far and the last stamp; rows
+  leave with their hour index and become cells.
 
 A run's rows must arrive in time order across micro-batches; a row that goes
-back in time stops the stream with an error.
+back in time stops the stream with an error.  The rows that one epoch brings
+of one run are put in order in one task: three numbers a row for T2, the cells
+that stay for T3, and as many as ``files_per_trigger`` files hold of a run.
+
+Given a ``root`` folder, a stream goes on from where the last call with the
+same folder ended; without one it starts anew in a scratch folder.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from hypercube.functions.numeric import round_even
+from hypercube.functions.timefmt import hour24_timestamp
 from hypercube.operators import hourly
 from hypercube.operators.runs import batch_of
 from hypercube.session import path_exists, work_dir
@@ -42,37 +59,48 @@ def file_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> D
             .parquet(path))
 
 
-def _epoch_writer(path: str, mode: str = "overwrite"):
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode(mode).parquet(f"{path}/epoch={epoch_id}")
-    return write
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
-def run_until_drained(stream: DataFrame, sink: str, checkpoint: str, output_mode: str) -> None:
-    """Process everything available now, then stop."""
-    q = (stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
-         .foreachBatch(_epoch_writer(sink)).trigger(availableNow=True).start())
+def run_until_drained(stream: DataFrame, root: str, write, output_mode: str = "append") -> None:
+    """Process everything available now, each micro-batch by ``write(batch)``
+    into its own folder below ``root/sink``, with state in RocksDB, then stop."""
+    spark = stream.sparkSession
+    own = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        q = (stream.writeStream.outputMode(output_mode).option("checkpointLocation", f"{root}/checkpoint")
+             .foreachBatch(lambda batch, epoch_id: write(batch).write.mode("overwrite")
+                           .parquet(f"{root}/sink/epoch={epoch_id}"))
+             .trigger(availableNow=True).start())
+    finally:
+        spark.conf.unset(PROVIDER) if own is None else spark.conf.set(PROVIDER, own)
     q.awaitTermination()
 
 
-def read_latest_epoch(spark: SparkSession, sink: str) -> DataFrame:
-    """Complete-mode sink: the newest epoch holds the whole result."""
-    df = spark.read.parquet(sink)
-    last = df.agg(F.max("epoch")).scalar()
-    return df.where(F.col("epoch") == last).drop("epoch")
+def read_epochs(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """The rows of every epoch with its number; none if nothing has landed yet."""
+    with_epoch = f"{schema}, epoch long"
+    if not path_exists(spark, f"{root}/sink"):
+        return spark.createDataFrame([], with_epoch)
+    return spark.read.schema(with_epoch).parquet(f"{root}/sink")
 
 
-def read_all_epochs(spark: SparkSession, sink: str) -> DataFrame:
-    """Append sink: the union of every epoch."""
-    return spark.read.parquet(sink).drop("epoch")
+# --- T1 ----------------------------------------------------------------------
 
 
-# --- T1 ----------------------------------------------------------------------
+PROGRESS = "batch_id int, n_done long"
 
 
-def progress_counts(summary_stream: DataFrame, batch_size: int) -> DataFrame:
-    """Streaming aggregation: finished runs per batch (complete mode)."""
-    return (summary_stream.withColumn("batch_id", batch_of("sim_id", batch_size))
+def first_summaries(summary_stream: DataFrame) -> DataFrame:
+    """Streaming deduplication: each run once, whichever file brings it first."""
+    return summary_stream.select("sim_id").dropDuplicates(["sim_id"])
+
+
+def progress_counts(runs: DataFrame, batch_size: int) -> DataFrame:
+    """Finished runs per batch of one epoch's new runs."""
+    return (runs.withColumn("batch_id", batch_of("sim_id", batch_size).cast("int"))
             .groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_done")))
 
 
@@ -87,89 +115,112 @@ def progress_report(done: DataFrame, design: DataFrame, batch_size: int) -> Data
                     .alias("pct_done")))
 
 
-def stream_progress(spark: SparkSession, summary_dir: str, design: DataFrame, batch_size: int) -> DataFrame:
-    root = work_dir(spark, "progress-stream")
-    run_until_drained(progress_counts(file_stream(spark, summary_dir), batch_size),
-                      f"{root}/sink", f"{root}/checkpoint", "complete")
-    done = read_latest_epoch(spark, f"{root}/sink")
+def stream_progress(spark: SparkSession, summary_dir: str, design: DataFrame, batch_size: int,
+                    root: str | None = None) -> DataFrame:
+    root = root or work_dir(spark, "progress-stream")
+    run_until_drained(first_summaries(file_stream(spark, summary_dir)), root,
+                      lambda runs: progress_counts(runs, batch_size))
+    done = read_epochs(spark, root, PROGRESS).groupBy("batch_id").agg(F.sum("n_done").alias("n_done"))
     return progress_report(done, design, batch_size)
 
 
 # --- T2 / T3 -------------------------------------------------------------------
 
-STATE = ("sim_id int, seen long, last_stamp timestamp_ntz, annual double, nz_hours long, nz_cells long, "
-         "peak struct<v: double, neg_h: long>")
+SEEN = "seen long, last_stamp timestamp_ntz"
+STATS = "annual double, nz_hours long, nz_cells long, peak double, peak_hour long"
+CHANGED = f"sim_id int, {STATS}"
+INDEXED = "sim_id int, hour_index int, cells array<int>, cell_values array<float>"
+FACT = "sim_id int, hour_index int, zone_id int, value float"
 
 
-def _state_before(spark: SparkSession, state: str, epoch_id: int) -> DataFrame:
-    path = f"{state}/epoch={epoch_id - 1}"
-    if epoch_id and path_exists(spark, path):
-        return spark.read.schema(STATE).parquet(path)
-    return spark.createDataFrame([], STATE)
+class _Runs(StatefulProcessor):
+    """Puts the rows that an epoch brings of a run behind those seen before."""
 
+    schema = SEEN
 
-def _indexed(batch: DataFrame, before: DataFrame) -> DataFrame:
-    """The micro-batch's rows with row aggregates and the hour index that goes on from the state."""
-    rows = hourly.with_hour_index(hourly.with_row_aggregates(batch), out="_at")
-    late = F.col("timestamp") < F.col("last_stamp")
-    offset = F.when(late, F.raise_error(F.concat(F.lit("late row of run "), F.col("sim_id").cast("string")))).otherwise(
-        F.coalesce("seen", F.lit(0)))
-    return (rows.join(before.select("sim_id", "seen", "last_stamp"), on="sim_id", how="left")
-            .withColumn("hour_index", (offset + F.col("_at")).cast("int")).drop("_at", "seen", "last_stamp"))
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._run = handle.getValueState("run", self.schema)
 
+    def close(self) -> None:
+        pass
 
-def _state_after(indexed: DataFrame, before: DataFrame) -> DataFrame:
-    """State rows of all runs so far.  On equal peaks the earlier hour stays."""
-    new = indexed.groupBy("sim_id").agg(
-        F.count(F.lit(1)).alias("seen"), F.max("timestamp").alias("last_stamp"), F.sum("row_total").alias("annual"),
-        F.sum(F.when(F.col("nonzero_cells") > 0, 1).otherwise(0)).cast("long").alias("nz_hours"),
-        F.sum("nonzero_cells").cast("long").alias("nz_cells"),
-        F.max(F.when(F.col("row_total").isNotNull(), F.struct(
-            F.col("row_total").alias("v"), (-F.col("hour_index").cast("long")).alias("neg_h")))).alias("peak"))
-    both = before.unionByName(new.select(*before.columns))
-    return both.groupBy("sim_id").agg(
-        F.sum("seen").alias("seen"), F.max("last_stamp").alias("last_stamp"), F.sum("annual").alias("annual"),
-        F.sum("nz_hours").alias("nz_hours"), F.sum("nz_cells").alias("nz_cells"), F.max("peak").alias("peak"))
+    def in_order(self, sim_id: int, frames: Iterator[pd.DataFrame]) -> tuple[pd.DataFrame, tuple | None, tuple]:
+        """The epoch's rows in time order with ``hour_index``, the state before
+        and the part of the state after that both streams share."""
+        rows = pd.concat(list(frames), ignore_index=True)
+        rows = rows.sort_values(["timestamp", "datetime"], kind="stable", na_position="first", ignore_index=True)
+        before = self._run.get() if self._run.exists() else None
+        seen, last = before[:2] if before else (0, None)
+        newest = rows["timestamp"].max()
+        if last is not None and (rows["timestamp"] < pd.Timestamp(last)).any():
+            raise ValueError(f"late row of run {sim_id}")
+        rows["hour_index"] = np.arange(seen, seen + len(rows))
+        return rows, before, (seen + len(rows), last if pd.isna(newest) else newest.to_pydatetime())
 
 
-def _run(stream: DataFrame, checkpoint: str, write) -> None:
-    q = (stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+class RunTotals(_Runs):
+    """Running statistics of each run.  On equal peaks the earlier hour stays."""
+
+    schema = f"{SEEN}, {STATS}"
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        rows, before, seen = self.in_order(key[0], rows)
+        annual, hours, cells, peak, peak_hour = before[2:] if before else (0.0, 0, 0, None, None)
+        totals = rows["row_total"].to_numpy(dtype="float64", na_value=np.nan)
+        if not np.isnan(totals).all():
+            top = int(np.nanargmax(totals))
+            if peak is None or totals[top] > peak:
+                peak, peak_hour = float(totals[top]), int(rows["hour_index"][top])
+        after = (annual + float(np.nansum(totals)), hours + int((rows["nonzero_cells"] > 0).sum()),
+                 cells + int(rows["nonzero_cells"].sum()), peak, peak_hour)
+        self._run.update(seen + after)
+        yield pd.DataFrame([(key[0], *after)], columns=["sim_id", "annual", "nz_hours", "nz_cells", "peak", "peak_hour"])
+
+
+class RunHours(_Runs):
+    """The rows as they are, with their hour index."""
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        rows, _, seen = self.in_order(key[0], rows)
+        self._run.update(seen)
+        yield rows[["sim_id", "hour_index", "cells", "cell_values"]]
+
+
+def _per_run(rows: DataFrame, processor: StatefulProcessor, schema: str, output_mode: str) -> DataFrame:
+    return rows.groupBy("sim_id").transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=schema, outputMode=output_mode, timeMode="None")
 
 
-def stream_run_stats(spark: SparkSession, hourly_dir: str, files_per_trigger: int = 1) -> DataFrame:
-    """Run stats over hourly worker files; the newest state holds the result."""
-    root = work_dir(spark, "stats-stream")
-    state, last = f"{root}/state", []
+def _stamped(wide: DataFrame) -> DataFrame:
+    return wide.withColumn("sim_id", F.col("sim_id").cast("int")).withColumn("timestamp", hour24_timestamp("datetime"))
 
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        before = _state_before(batch.sparkSession, state, epoch_id)
-        _state_after(_indexed(batch, before), before).write.mode("overwrite").parquet(f"{state}/epoch={epoch_id}")
-        last[:] = [epoch_id]
 
-    _run(file_stream(spark, hourly_dir, files_per_trigger), f"{root}/checkpoint", write)
-    found = spark.read.schema(STATE).parquet(f"{state}/epoch={last[0]}") if last else spark.createDataFrame([], STATE)
-    above = F.coalesce(F.col("peak.v") > 0, F.lit(False))
-    return found.select(
-        "sim_id", round_even(F.coalesce("annual", F.lit(0.0)), 6).alias("annual_total_heating_j"),
+def stream_run_stats(spark: SparkSession, hourly_dir: str, files_per_trigger: int = 1,
+                     root: str | None = None) -> DataFrame:
+    """Run stats over hourly worker files; the newest row of each run is its result."""
+    root = root or work_dir(spark, "stats-stream")
+    rows = hourly.with_row_aggregates(_stamped(file_stream(spark, hourly_dir, files_per_trigger))).select(
+        "sim_id", "timestamp", "datetime", "row_total", "nonzero_cells")
+    run_until_drained(_per_run(rows, RunTotals(), CHANGED, "update"), root, lambda changed: changed, "update")
+    found = read_epochs(spark, root, CHANGED)
+    newest = found.groupBy("sim_id").agg(F.max_by(F.struct(*[c for c in found.columns if c not in ("sim_id", "epoch")]),
+                                                  "epoch").alias("run")).select("sim_id", "run.*")
+    above = F.coalesce(F.col("peak") > 0, F.lit(False))
+    return newest.select(
+        "sim_id", round_even("annual", 6).alias("annual_total_heating_j"),
         F.col("nz_hours").cast("int").alias("nonzero_hour_count"),
         F.col("nz_cells").cast("int").alias("nonzero_zone_observation_count"),
-        F.when(above, F.col("peak.v")).otherwise(0.0).alias("peak_hour_total_heating_j"),
-        F.when(above, -F.col("peak.neg_h")).otherwise(0).cast("int").alias("peak_hour_index"))
+        F.when(above, F.col("peak")).otherwise(0.0).alias("peak_hour_total_heating_j"),
+        F.when(above, F.col("peak_hour")).otherwise(0).cast("int").alias("peak_hour_index"))
 
 
 def stream_sparse_append(spark: SparkSession, hourly_dir: str, zone_catalog: DataFrame,
-                         files_per_trigger: int = 1) -> DataFrame:
-    """Rows indexed from the state, cells that stay appended per micro-batch."""
-    root = work_dir(spark, "sparse-stream")
-    sink, state = f"{root}/sink", f"{root}/state"
-
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        before = _state_before(batch.sparkSession, state, epoch_id)
-        indexed = _indexed(batch, before)
-        hourly.sparse_fact(indexed, zone_catalog).write.mode("overwrite").parquet(f"{sink}/epoch={epoch_id}")
-        _state_after(indexed, before).write.mode("overwrite").parquet(f"{state}/epoch={epoch_id}")
-
-    _run(file_stream(spark, hourly_dir, files_per_trigger), f"{root}/checkpoint", write)
-    return read_all_epochs(spark, sink)
+                         files_per_trigger: int = 1, root: str | None = None) -> DataFrame:
+    """The cells that stay, with their hour index, appended per micro-batch."""
+    root = root or work_dir(spark, "sparse-stream")
+    wide = _stamped(file_stream(spark, hourly_dir, files_per_trigger))
+    zones = hourly.zone_columns(wide)
+    rows = wide.select("sim_id", "timestamp", "datetime", *hourly.kept_cells(zones))
+    indexed = _per_run(rows, RunHours(), INDEXED, "append")
+    run_until_drained(indexed, root, lambda batch: hourly.cells_to_fact(batch, zone_catalog, zones))
+    return read_epochs(spark, root, FACT).drop("epoch")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import shutil
 import time
 
 import pytest
@@ -42,3 +43,57 @@ def test_late_row_stops_the_stream(spark):
     spark.createDataFrame([(1, " 01/01  04:00:00", 1.0, 0.0)], WIDE).coalesce(1).write.mode("append").parquet(f"{root}/in")
     with pytest.raises(Exception, match="late row of run 1"):
         inc.stream_run_stats(spark, f"{root}/in")
+
+
+def _land(spark, root, rows):
+    spark.createDataFrame(rows, WIDE).coalesce(1).write.mode("append").parquet(f"{root}/in")
+
+
+def test_an_epoch_writes_the_runs_it_changes(spark):
+    root = work_dir(spark, "delta-test")
+    _land(spark, root, [(i, " 01/01  01:00:00", float(i), None) for i in range(1, 201)])
+    first = inc.stream_run_stats(spark, f"{root}/in", root=f"{root}/job")
+    assert first.count() == 200
+    _land(spark, root, [(7, " 01/01  02:00:00", 50.0, 1.0), (9, " 01/01  02:00:00", None, float("nan"))])
+    second = {r.sim_id: r for r in inc.stream_run_stats(spark, f"{root}/in", root=f"{root}/job").collect()}
+    epochs = {r.epoch: r["count"] for r in inc.read_epochs(spark, f"{root}/job", inc.CHANGED).groupBy("epoch").count().collect()}
+    assert len(second) == 200 and sorted(epochs.values()) == [2, 200]
+    assert (second[7].annual_total_heating_j, second[7].peak_hour_index, second[7].nonzero_zone_observation_count) == (51.0, 1, 4)
+    assert (second[9].annual_total_heating_j, second[9].nonzero_zone_observation_count) == (0.0, 4)
+
+
+def test_lost_state_is_an_error(spark, tmp_path):
+    root = str(tmp_path)
+    _land(spark, root, [(1, " 01/01  01:00:00", 1.0, 0.0)])
+    inc.stream_run_stats(spark, f"{root}/in", root=f"{root}/job").collect()
+    # the same stream, all but its state
+    shutil.copytree(f"{root}/job", f"{root}/bare", ignore=shutil.ignore_patterns("state"))
+    _land(spark, root, [(1, " 01/01  02:00:00", 1.0, 0.0)])
+    with pytest.raises(Exception, match="(?i)state"):
+        inc.stream_run_stats(spark, f"{root}/in", root=f"{root}/bare")
+    assert inc.stream_run_stats(spark, f"{root}/in", root=f"{root}/job").first().annual_total_heating_j == 2.0
+
+
+def test_null_and_nan_cells_survive_the_stream(spark):
+    root = work_dir(spark, "cells-test")
+    rows = [(1, " 01/01  01:00:00", None, float("nan")), (1, " 01/01  02:00:00", 0.0, 2.5)]
+    _land(spark, root, rows)
+    catalog = spark.createDataFrame([(0, "zone_a"), (1, "zone_b")], "zone_id int, zone_label string")
+    got = inc.stream_sparse_append(spark, f"{root}/in", catalog)
+    want = hourly.hourly_marts(spark.createDataFrame(rows, WIDE), catalog)["hourly_sparse"]
+    text = lambda df: sorted(tuple(map(str, r)) for r in df.collect())
+    assert text(got) == text(want) and len(text(got)) == 3
+
+
+def test_a_summary_that_lands_twice_counts_once(spark):
+    root = work_dir(spark, "twice-test")
+    design = spark.range(1, 11).selectExpr("CAST(id AS INT) AS sim_id")
+    runs = design.where("sim_id <= 7")
+    for part in (runs.where("sim_id < 5"), runs.where("sim_id >= 3"), runs.where("sim_id < 5")):
+        part.coalesce(1).write.mode("append").parquet(f"{root}/in")
+    got = inc.stream_progress(spark, f"{root}/in", design, 5, root=f"{root}/job")
+    want = inc.progress_report(inc.progress_counts(runs, 5), design, 5)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) == [(1, 5, 5, 100.0), (2, 2, 5, 40.0)]
+    runs.coalesce(1).write.mode("append").parquet(f"{root}/in")
+    again = inc.stream_progress(spark, f"{root}/in", design, 5, root=f"{root}/job")
+    assert sorted(map(tuple, again.collect())) == [(1, 5, 5, 100.0), (2, 2, 5, 40.0)]
