@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import datetime as dt
 
 import pytest
@@ -48,6 +50,21 @@ def test_name_normalisation_and_clash(spark, names, expected):
     assert [r.deduped for r in got] == expected and [r.n for r in got] == names
 
 
+def test_a_large_family_of_names(spark):
+    """100,000 names of one family, every tenth twice, and the bare name 500 times."""
+    n = 100_000
+    names = (spark.range(2, n + 2).selectExpr("id AS i", "concat('Zone ', id) AS n")
+             .union(spark.range(0, n, 10).selectExpr("id + 1000000 AS i", "concat('zone-', id + 2) AS n"))
+             .union(spark.range(500).selectExpr("id + 2000000 AS i", "'ZONE' AS n")))
+    began = time.monotonic()
+    got = {r.i: r.deduped for r in normalize_name_table(names, "n", ["i"]).collect()}
+    took = time.monotonic() - began
+    assert len(got) == len(set(got.values())) == n + n // 10 + 500
+    assert got[7] == "zone_7" and got[1000010] == "zone_12_2"
+    assert got[2000000] == "zone" and got[2000001] == f"zone_{n + 2}" and got[2000499] == f"zone_{n + 500}"
+    assert took < 60, took
+
+
 def test_column_names_are_normalised(spark):
     df = spark.range(1).selectExpr("1 AS `Zone 1`", "2 AS `zone-1`", "3 AS `9`")
     assert normalize_columns(df).columns == ["zone_1", "zone_1_2", "col_9"]
