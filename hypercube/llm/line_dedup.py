@@ -9,8 +9,8 @@ from hypercube.llm.common import columns, spare, table
 
 #: A line is boilerplate if more than this share of its host's pages hold it ...
 RATIO = 0.05
-#: ... and so many pages at least: a few pages tell nothing about a host.
-MIN_PAGES = 5
+#: ... and so many pages at least: what stands on one page alone repeats nowhere.
+MIN_PAGES = 2
 
 
 def _lines(text: Column) -> Column:

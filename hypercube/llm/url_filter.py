@@ -44,12 +44,13 @@ def _digest(expression: Column) -> Column:
     return F.sha2(expression, 256)
 
 
-def _expressions(host: Column, path: Column, lengths: list[int]) -> Column:
-    """Every suffix of the host at a label, with every prefix of the path that
-    has the length of some rule's path, as ``host suffix`` + line feed + ``path prefix``."""
-    labels = F.split(host, r"\.", -1)
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
-                           lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def _expressions(host: Column, path: Column, labels: list[int], lengths: list[int]) -> Column:
+    """Every suffix of the host that has as many labels as some rule's host, with
+    every prefix of the path that has the length of some rule's path, as
+    ``host suffix`` + line feed + ``path prefix``."""
+    n_labels = F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+    suffixes = F.filter(F.array(*[F.when(n_labels >= n, F.substring_index(host, ".", -n)) for n in labels]),
+                        lambda s: s.isNotNull())
     fitting = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length(path))
     return F.flatten(F.transform(suffixes, lambda s: F.transform(
         fitting, lambda n: F.concat(s, F.lit("\n"), F.substring(path, F.lit(1), n)))))
@@ -65,14 +66,17 @@ def url_verdicts(urls: DataFrame, rules: DataFrame, default: str = DEFAULT) -> D
     urls without ``://`` have empty host and path.  Rules without host, path or
     verdict fit nothing.
 
-    The rules' distinct path lengths, a few numbers, are read first.  Urls and
-    rules meet on ``SHORT`` digits of their digests; full digests confirm.
+    The rules' distinct path lengths and numbers of host labels, a few numbers,
+    are read first, so a url's expressions are as many as these, however long
+    its host and path are.  Urls and rules meet on ``SHORT`` digits of their digests; full digests confirm.
     """
     rules = (rules.filter("host IS NOT NULL AND path IS NOT NULL AND verdict IS NOT NULL")
              .select(F.translate("host", _UPPER, _LOWER).alias("r_host"), F.col("path").alias("r_path"), F.col("verdict").alias("r_verdict"))
              .withColumn("r_digest", _digest(F.concat("r_host", F.lit("\n"), F.col("r_path"))))
              .withColumn("r_short", F.substring("r_digest", 1, SHORT)))
-    lengths = sorted(r[0] for r in rules.select(F.length("r_path")).distinct().collect())
+    sizes = rules.agg(F.sort_array(F.collect_set(F.length("r_path"))),
+                      F.sort_array(F.collect_set(F.size(F.split("r_host", r"\.", -1))))).first()
+    lengths, labels = sizes
     parts = urls.select("url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     if not lengths:
         return parts.select("url", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
@@ -80,7 +84,7 @@ def url_verdicts(urls: DataFrame, rules: DataFrame, default: str = DEFAULT) -> D
                     (F.col("r_verdict") == "block").alias("block"), F.concat("r_host", "r_path").alias("rule"),
                     F.col("r_verdict").alias("verdict"))
     won = (parts.filter("host <> '' OR path <> ''").select("url", "host", "path").distinct()
-           .select("url", F.explode(_expressions(F.col("host"), F.col("path"), lengths)).alias("e"))
+           .select("url", F.explode(_expressions(F.col("host"), F.col("path"), labels, lengths)).alias("e"))
            .select("url", _digest(F.col("e")).alias("digest"))
            .join(rules, (F.substring("digest", 1, SHORT) == F.col("r_short")) & (F.col("digest") == F.col("r_digest")))
            .groupBy("url").agg(F.max(rank).alias("won")).select(F.col("url").alias("__url"), "won"))

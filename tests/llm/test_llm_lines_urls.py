@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections import Counter, defaultdict
 
 from hypercube.llm import line_dedup, url_filter
@@ -32,7 +33,16 @@ def test_lines_as_in_plain_python(spark):
     assert out.columns == docs.columns
     got = sorted(((r["doc_id"], r["text"], r["source"]) for r in out.collect()), key=str)
     assert got == sorted(_dropped(rows), key=str)
-    assert (300, "", "c") in got and (200, "footer\nonly", "b") in got
+    assert (300, "", "c") in got and (200, "", "b") in got
+
+
+def test_small_hosts_by_the_ratio(spark):
+    """A footer on all 4 pages of a host, a line on 4 of 50 pages, a line on 2 of 50 and lines of one page."""
+    rows = [(i, f"a {i}\nfooter", "four") for i in range(4)] + [(100, "lone\nlone", "one")]
+    rows += [(200 + i, f"b {i}" + ("\nnotice" if i < 4 else "") + ("\nseldom" if 10 <= i < 12 else ""), "fifty") for i in range(50)]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.drop_boilerplate(_docs(spark, rows)).collect()}
+    assert got[0] == "a 0" and got[100] == "lone\nlone" and got[200] == "b 0" and got[210] == "b 10\nseldom"
+    assert got == {i: t for i, t, _ in _dropped(rows)}
 
 
 def test_lines_of_an_empty_table(spark):
@@ -68,6 +78,15 @@ def test_urls_as_in_plain_python(spark):
         assert out.columns == ["page_id", "url", "digest", "host", "path", "rule", "verdict"]
 
 
+def test_very_long_hosts(spark):
+    urls = ["http://" + "a." * n + end for n in (20_000, 100_000) for end in ("com/de/", "example.org/es/", "net/fr/")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    began = time.monotonic()
+    got = {r["page_id"]: r["rule"] for r in url_filter.judged(pages, url_filter.rule_table(spark)).collect()}
+    assert got == {i: _verdict(u, list(url_filter.RULES))[2] for i, u in enumerate(urls)}
+    assert time.monotonic() - began < 30
+
+
 def test_urls_without_rules_or_pages(spark):
     none = spark.createDataFrame([], "host string, path string, verdict string")
     pages = spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string")
