@@ -88,15 +88,17 @@ def zone_energy_substring(raw: DataFrame, mapping: DataFrame, fold_case: bool =
     anywhere in its header, so zone ``1`` also takes ``11``; with ``fold_case``
     both sides are compared in upper case.
 
-    Done as an equi-join: every substring of each distinct header is
-    generated (headers are schema-sized, not data-sized) and joined on the
-    zone name; the matched (header, zone) pairs then join the data on header.
+    Done as an equi-join: of each distinct header (headers are schema-sized,
+    not data-sized) the substrings that are as long as some zone name meet
+    the zone names, so a header's rows are its length times the distinct
+    lengths of names; the matched (header, zone) pairs then join the data on
+    header.
     """
     zones = _heated(mapping).withColumn("_match", _key("zone_name", fold_case))
+    lengths = zones.agg(F.collect_set(F.length("_match"))).scalar()
     heads = heating_rows(raw).select("header").distinct().withColumn("_text", _key("header", fold_case))
-    n = F.length("_text")
-    subs = (heads.withColumn("_start", F.explode(F.sequence(F.lit(1), n)))
-            .withColumn("_len", F.explode(F.sequence(F.lit(1), n - F.col("_start") + 1)))
+    subs = (heads.withColumn("_len", F.explode(lengths)).where(F.col("_len").between(1, F.length("_text")))
+            .withColumn("_start", F.explode(F.sequence(F.lit(1), F.length("_text") - F.col("_len") + 1)))
             .select("header", F.expr("substring(_text, _start, _len)").alias("_match"))
             .distinct())
     pairs = subs.join(zones, on="_match", how="inner")

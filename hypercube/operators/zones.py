@@ -15,6 +15,7 @@ from hypercube.functions.geometry import mean_z, polygon_area
 from hypercube.functions.names import zone_label
 from hypercube.functions.numeric import round_even
 from hypercube.operators.ordinal import sliced_row_number
+from hypercube.session import cut_lineage
 
 # Fixed values (must equal the reference): cluster names, the floor surface
 # type, and the default floor area of a zone without floors.
@@ -73,10 +74,14 @@ def zone_mapping(zones: DataFrame, floors: DataFrame, thermostat_zones: DataFram
 
 def zone_catalog(mapping: DataFrame) -> DataFrame:
     """Heated zones with a dense 0-based ``zone_id`` in zone-name order and
-    ``zone_label = 'zone_' || zone_name`` (P1, P9, P21, W4, P4)."""
-    heated = (mapping.where(F.col("is_heated"))
-              .withColumn("zone_name", F.col("zone_name").cast("string"))
-              .withColumn("_slice", F.coalesce(F.substring("zone_name", 1, 1), F.lit(""))))
+    ``zone_label = 'zone_' || zone_name`` (P1, P9, P21, W4, P4).
+
+    Zones are numbered within ranges of names, which Spark draws so that they
+    hold about as many each, whatever the names begin with; the ranges are
+    written once, so that counts and numbers are of the same ranges."""
+    heated = cut_lineage(mapping.where(F.col("is_heated"))
+                         .withColumn("zone_name", F.col("zone_name").cast("string"))
+                         .orderBy("zone_name").withColumn("_slice", F.spark_partition_id()))
     numbered = sliced_row_number(heated, [], "_slice", ["zone_name"], out="zone_id", start=0)
     return numbered.select(
         F.col("zone_id").cast("int"), "zone_name", zone_label("zone_name").alias("zone_label"),

@@ -1,7 +1,11 @@
 """The published study bundle: tables, views and manifest.
 
-``export_bundle`` writes every table as zstd Parquet below one root and
-registers the two dashboard views.  The sparse fact is range-partitioned on
+``export_bundle`` writes every table as zstd Parquet into a version folder of
+its own below one root, names that version in ``published`` when all of its
+tables are there, and registers the two dashboard views.  Readers take the
+tables of the version named last (``bundle_paths``), so they see a bundle whole
+or not at all, whatever becomes of an export on its way; a version that was
+replaced stays for those who still read it.  The sparse fact is range-partitioned on
 ``(sim_id, hour_index)`` and sorted within partitions by (sim_id, hour_index,
 zone_id), so a point lookup on one run prunes row groups; it is never sorted
 globally.
@@ -9,7 +13,7 @@ globally.
 
 from __future__ import annotations
 
-import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,13 +21,17 @@ from pyspark.sql import functions as F
 from hypercube.operators import hourly as hourly_ops
 from hypercube.operators import runs as runs_ops
 from hypercube.operators import timing as timing_ops
-from hypercube.session import work_dir
+from hypercube.session import path_exists, work_dir
 
 # Fixed values (must equal the reference): bundle schema version and modes.
 SCHEMA_VERSION = 1
 FULL_CONSOLIDATION = "full_consolidation"
 DASHBOARD_ONLY = "dashboard_only"
 
+BUNDLE_TABLES = ("runs", "zone_catalog", "parameter_catalog", "batch_stats", "study_stats",
+                 "calendar", "run_stats", "hourly_sparse", "manifest")
+PUBLISHED = "published"
+
 RUN_STATS_COLUMNS = ("annual_total_heating_j", "nonzero_hour_count",
                      "nonzero_zone_observation_count", "peak_hour_total_heating_j",
                      "peak_hour_index", "peak_datetime", "peak_timestamp")
@@ -97,13 +105,45 @@ def write_sparse(df: DataFrame, path: str, mode: str = "errorifexists",
      .write.mode(mode).option("compression", "zstd").parquet(path))
 
 
+def _published(spark: SparkSession, root: str) -> tuple[str, str] | None:
+    """Number and version folder of the newest bundle below ``root``, if there is one.
+
+    A file of ``published`` holds a version's name in one line; a file that
+    its writer has not finished holds no row yet."""
+    if not path_exists(spark, f"{root}/{PUBLISHED}"):
+        return None
+    named = spark.read.text(f"{root}/{PUBLISHED}").select(F.col("_metadata.file_name").alias("number"), "value")
+    newest = named.agg(F.max(F.struct("number", "value")).alias("newest")).first()["newest"]
+    return newest and (newest["number"], newest["value"])
+
+
+def bundle_paths(spark: SparkSession, root: str) -> dict[str, str]:
+    """Table name -> path of the bundle published last below ``root``."""
+    newest = _published(spark, root)
+    if newest is None:
+        raise FileNotFoundError(f"no bundle is published below {root}")
+    return {name: f"{root}/{newest[1]}/{name}" for name in BUNDLE_TABLES}
+
+
+def _publish(spark: SparkSession, root: str, version: str, after: str | None) -> None:
+    """Name ``version`` as the newest, if none was named since ``after``: the
+    file system creates the next number's file for one writer only."""
+    number = f"{int(after or 0) + 1:012d}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{PUBLISHED}/{number}")
+    out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where, False)
+    out.write(bytearray(f"{version}\n", "utf-8"))
+    out.close()
+
+
 def export_bundle(root: str, *, design: DataFrame, zone_mapping: DataFrame, hourly_wide: DataFrame | None,
                   summary: DataFrame | None, timing: DataFrame | None, batch_size: int,
                   batches: DataFrame | None = None, export_mode: str = FULL_CONSOLIDATION, mode: str = "errorifexists",
                   study_folder: str = "") -> dict[str, str]:
-    """Build and write the nine tables, register the two views.
+    """Build and write the nine tables, publish them together, register the two views.
 
-    Returns table name -> path.  Missing inputs give empty tables with the
+    Returns table name -> path.  ``errorifexists`` refuses if a bundle is
+    published below ``root``; ``overwrite`` replaces it.  Of two exports at the
+    same time the one that ends first is published, the other is an error.  Missing inputs give empty tables with the
     default columns (S7); no summary rows at all is an error (Q4).
     """
     from hypercube.operators.zones import zone_catalog as build_catalog
@@ -111,22 +151,24 @@ def export_bundle(root: str, *, design: DataFrame, zone_mapping: DataFrame, hour
     spark = design.sparkSession
     if summary is not None and summary.isEmpty():
         raise ValueError("no summary rows: nothing to consolidate")
+    before = _published(spark, root)
+    if before is not None and mode != "overwrite":
+        raise FileExistsError(f"a bundle is published below {root}; overwrite it to rebuild")
     catalog = build_catalog(zone_mapping)
     runs = runs_ops.runs_mart(design, summary, timing)
     params = runs_ops.column_catalog(runs)
-    paths = {name: os.path.join(root, name) for name in (
-        "runs", "zone_catalog", "parameter_catalog", "batch_stats", "study_stats",
-        "calendar", "run_stats", "hourly_sparse", "manifest")}
-    write_table(runs.orderBy("sim_id"), paths["runs"], mode)
-    write_table(catalog, paths["zone_catalog"], mode)
-    write_table(params, paths["parameter_catalog"], mode)
+    version = f"version-{uuid.uuid4().hex}"
+    paths = {name: f"{root}/{version}/{name}" for name in BUNDLE_TABLES}
+    write_table(runs.orderBy("sim_id"), paths["runs"])
+    write_table(catalog, paths["zone_catalog"])
+    write_table(params, paths["parameter_catalog"])
     if timing is not None:
         write_table(timing_ops.batch_timing(timing, batch_size, design.agg(F.count(F.lit(1))).scalar())
-                    if batches is None else batches, paths["batch_stats"], mode)
-        write_table(timing_ops.study_timing(timing, batches), paths["study_stats"], mode)
+                    if batches is None else batches, paths["batch_stats"])
+        write_table(timing_ops.study_timing(timing, batches), paths["study_stats"])
     else:
-        write_table(spark.createDataFrame([], "batch_id int"), paths["batch_stats"], mode)
-        write_table(spark.createDataFrame([], "n_batches int, n_sims int"), paths["study_stats"], mode)
+        write_table(spark.createDataFrame([], "batch_id int"), paths["batch_stats"])
+        write_table(spark.createDataFrame([], "n_batches int, n_sims int"), paths["study_stats"])
 
     if hourly_wide is not None:
         catalog = spark.read.parquet(paths["zone_catalog"])
@@ -145,9 +187,9 @@ def export_bundle(root: str, *, design: DataFrame, zone_mapping: DataFrame, hour
         sparse = spark.createDataFrame([], "sim_id int, hour_index int, zone_id int, value float")
         zf = spark.createDataFrame([(0, 0, 0.0)], "total_cells long, nonzero_cells long, "
                                    "hourly_zero_fraction double")
-    write_table(cal.orderBy("hour_index"), paths["calendar"], mode)
-    write_table(stats, paths["run_stats"], mode)
-    write_sparse(sparse, paths["hourly_sparse"], mode)
+    write_table(cal.orderBy("hour_index"), paths["calendar"])
+    write_table(stats, paths["run_stats"])
+    write_sparse(sparse, paths["hourly_sparse"])
 
     # published tables are re-read, so the manifest counts what was written
     t = {k: spark.read.parquet(p) for k, p in paths.items() if k != "manifest"}
@@ -155,18 +197,17 @@ def export_bundle(root: str, *, design: DataFrame, zone_mapping: DataFrame, hour
                    zero_fraction=zf, has_timing=timing is not None,
                    export_mode=export_mode, study_folder=study_folder,
                    source_hourly_path=paths["hourly_sparse"] if hourly_wide is not None else "")
-    write_table(man, paths["manifest"], mode)
+    write_table(man, paths["manifest"])
+    _publish(spark, root, version, before and before[0])
     register_views(spark, root)
     return paths
 
 
 def register_views(spark: SparkSession, root: str) -> None:
-    """Register the bundle tables and the two dashboard views."""
+    """Register the newest bundle's tables and the two dashboard views."""
     t = {}
-    for name in ("runs", "zone_catalog", "calendar", "run_stats", "hourly_sparse", "manifest",
-                 "parameter_catalog", "batch_stats", "study_stats"):
-        p = os.path.join(root, name)
-        t[name] = spark.read.parquet(p)
+    for name, path in bundle_paths(spark, root).items():
+        t[name] = spark.read.parquet(path)
         t[name].createOrReplaceTempView(name)
     run_dashboard(t["runs"], t["run_stats"]).createOrReplaceTempView("run_dashboard")
     hourly_dashboard(t["hourly_sparse"], t["calendar"], t["zone_catalog"]).createOrReplaceTempView(

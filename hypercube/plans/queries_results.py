@@ -211,8 +211,7 @@ FROM runs r LEFT JOIN rsc s ON r.sim_id = s.sim_id LEFT JOIN (
 def q_published_views(spark, sf_dir):
     """Both dashboard views of the bundle, registered and read by name."""
     st = Study(spark, sf_dir)
-    root = os.path.dirname(st.published("runs").inputFiles()[0].rsplit("/", 1)[0])
-    dashboard.register_views(spark, root)
+    dashboard.register_views(spark, st.bundle_root())
     cells = spark.table("hourly_dashboard").groupBy("sim_id").agg(
         F.count(F.lit(1)).alias("n_cells"), (F.rint(F.sum(F.col("value").cast("double")) * 1000) / 1000).alias("value_sum"))
     return (spark.table("run_dashboard").select("sim_id", "run_status", "annual_total_heating_j")

@@ -118,14 +118,18 @@ class Study:
 
     def published(self, name: str) -> DataFrame:
         """A table of the study bundle, rebuilt from the consolidated tables alone."""
-        from hypercube.plans.consolidate import rebuild_dashboard
+        from hypercube.plans.dashboard import bundle_paths
         if name == "zone_catalog":
             root = self.fx.artifact("zone-catalog", lambda path: self.zone_catalog.write.parquet(f"{path}/zone_catalog"))
-        else:
-            root = self.fx.artifact("bundle", lambda path: rebuild_dashboard(
-                self.spark, self.consolidated(), design=self.design, zone_mapping=self.zone_mapping, out=path,
-                batch_size=BATCH_SIZE))
-        return self.spark.read.parquet(f"{root}/{name}")
+            return self.spark.read.parquet(f"{root}/{name}")
+        return self.spark.read.parquet(bundle_paths(self.spark, self.bundle_root())[name])
+
+    def bundle_root(self) -> str:
+        """The folder that the study's bundle is published in."""
+        from hypercube.plans.consolidate import rebuild_dashboard
+        return self.fx.artifact("bundle", lambda path: rebuild_dashboard(
+            self.spark, self.consolidated(), design=self.design, zone_mapping=self.zone_mapping, out=path,
+            batch_size=BATCH_SIZE))
 
     # landed input folders (written once per process) ---------------------
     @cached_property

@@ -110,6 +110,36 @@ def test_bundle_guards(spark, sf_small):
         export_bundle(work_dir(spark, "bundle-empty"), **{**args, "summary": st.summary.limit(0)})
 
 
+def test_a_failed_export_leaves_the_bundle_whole(spark, sf_small, monkeypatch):
+    from hypercube.plans import dashboard
+    from hypercube.plans.study import Study
+    st = Study(spark, sf_small)
+    root = work_dir(spark, "bundle-atomic")
+    args = dict(design=st.design, zone_mapping=st.zone_mapping, hourly_wide=None, timing=None, batch_size=20)
+    with pytest.raises(FileNotFoundError):
+        dashboard.bundle_paths(spark, root)
+    old = dashboard.export_bundle(root, **args, summary=st.summary)
+    runs = spark.read.parquet(old["runs"]).count()
+
+    def fails(*_, **__):
+        raise OSError("disk full")
+    fewer = {**args, "design": st.design.where("sim_id < 10")}
+    with monkeypatch.context() as m:
+        m.setattr(dashboard, "write_sparse", fails)
+        with pytest.raises(OSError):
+            dashboard.export_bundle(root, **fewer, summary=st.summary, mode="overwrite")
+    assert dashboard.bundle_paths(spark, root) == old
+    dashboard.register_views(spark, root)
+    assert spark.table("run_dashboard").count() == runs == spark.read.parquet(old["manifest"]).first().n_runs
+    new = dashboard.export_bundle(root, **fewer, summary=st.summary, mode="overwrite")
+    assert dashboard.bundle_paths(spark, root) == new and spark.table("run_dashboard").count() == 9
+    assert spark.read.parquet(old["runs"]).count() == runs
+    # a writer that began before another one published is refused
+    with pytest.raises(Exception, match="(?i)exist"):
+        dashboard._publish(spark, root, "version-late", "000000000001")
+    assert dashboard.bundle_paths(spark, root) == new
+
+
 def test_consolidate_guards(spark, sf_small):
     from pyspark.sql import functions as F
 

@@ -216,3 +216,12 @@ def test_medians_of_awkward_values(spark):
     df = spark.createDataFrame(rows, "g int, v double")
     for find in (exact_median, bounded_median):
         assert {r.g: r.m for r in find(df, ["g"], "v", out="m").collect()} == {1: 0.25, 2: 3.5}
+
+
+def test_zone_ids_of_names_that_begin_alike(spark):
+    from hypercube.operators.zones import zone_catalog
+    names = [f"Zone {i}" for i in range(3000)] + ["a", "Z"]
+    mapping = spark.createDataFrame([(n, "c", 0.0, 1.0, True) for n in names],
+                                    "zone_name string, cluster string, z_level double, area_sqm double, is_heated boolean").repartition(7)
+    got = {r.zone_name: r.zone_id for r in zone_catalog(mapping).collect()}
+    assert got == {n: i for i, n in enumerate(sorted(names))}
