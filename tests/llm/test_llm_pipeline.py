@@ -68,7 +68,9 @@ def test_one_of_each_group_stays(stages):
 def test_the_mix_is_taken(stages):
     before, after = stages[1][3]
     quality = {i: 2.0 if i % 2 else 0.5 for i in range(0, 60, 2)}
-    expected = Counter({i: taken // size for i, size, _, _, taken in _mix([(r["doc_id"], r["text"], r["source"]) for r in before.collect()], quality) if size})
+    # a text that line dedup left empty has no words to take: it comes once per complete epoch of its source
+    expected = Counter({i: taken // size if size else int(target // words) if words else 0 for i, size, words, target, taken
+                        in _mix([(r["doc_id"], r["text"], r["source"]) for r in before.collect()], quality)})
     assert Counter(r["doc_id"] for r in after.collect()) == +expected
 
 
