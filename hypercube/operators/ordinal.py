@@ -7,7 +7,9 @@ where the caller supplies a slice column that is monotone with the order
 earlier slices of the same group.  A window partition is one slice of one
 group; the offsets come from a per-(group, slice) count table whose size is
 groups x slices, never rows, and that joins back on (group, slice), the key
-the windowed rows are already partitioned by.
+the windowed rows are already partitioned and sorted by.  The join merges:
+Spark estimates rows that were exploded by the size before, and would
+broadcast them.
 """
 
 from __future__ import annotations
@@ -34,6 +36,6 @@ def sliced_row_number(df: DataFrame, keys: list[str], slice_col: str,
     offsets = (df.groupBy(*keys, slice_col).agg(F.count(F.lit(1)).alias("_slice_rows"))
                .withColumn("_offset", F.coalesce(F.sum("_slice_rows").over(before), F.lit(0)))
                .drop("_slice_rows"))
-    return (local.join(offsets, on=[*keys, slice_col], how="inner")
+    return (local.join(offsets.hint("merge"), on=[*keys, slice_col], how="inner")
             .withColumn(out, (F.col("_offset") + F.col("_local_rn") + F.lit(start - 1)).cast("int"))
             .drop("_offset", "_local_rn"))

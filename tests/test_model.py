@@ -225,3 +225,9 @@ def test_zone_ids_of_names_that_begin_alike(spark):
                                     "zone_name string, cluster string, z_level double, area_sqm double, is_heated boolean").repartition(7)
     got = {r.zone_name: r.zone_id for r in zone_catalog(mapping).collect()}
     assert got == {n: i for i, n in enumerate(sorted(names))}
+
+
+def test_exploded_runs_are_not_broadcast(spark):
+    runs_df = spark.range(1, 101).select(F.col("id").cast("int").alias("sim_id"))
+    plan = sampling.lhs_long(runs_df)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
