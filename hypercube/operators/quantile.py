@@ -19,8 +19,9 @@ two middle ranks:
 A double has 64 bits and a round splits 13 of them, so rounds are few; each
 is one scan of the value column, and the driver only reads a one-row
 convergence flag per round.  The median is (x[k1] + x[k2]) / 2, as NumPy
-and pandas compute it.  For groups of bounded size ``bounded_median`` ranks
-the values of a group in one window instead.
+and pandas compute it.  The ranges, two rows a group, are broadcast, so groups
+are few; for many groups of bounded size ``bounded_median`` ranks the values of
+a group in one window instead.
 """
 
 from __future__ import annotations
@@ -60,7 +61,8 @@ def exact_median(df: DataFrame, group_cols: list[str], value_col: str, out: str
         share = (v / 2 - lo / 2) / (hi / 2 - lo / 2)
         b = F.when(v == hi, buckets - 1).otherwise(
             F.least(F.floor(F.nanvl(F.coalesce(share, F.lit(0.0)), F.lit(0.0)) * buckets).cast("int"), F.lit(buckets - 2)))
-        cand = (vals.join(open_, on=gk, how="inner")
+        # the few ranges go to the values: Spark estimates unpivoted values by the size before
+        cand = (vals.join(F.broadcast(open_), on=gk, how="inner")
                 .where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
                 .withColumn("_b", b))
         counts = cand.groupBy(*keys, "k", "_b").agg(

@@ -67,10 +67,10 @@ def runs_mart(design: DataFrame, summary: DataFrame | None = None,
     if summary is not None:
         extra = [c for c in summary.columns if c not in design.columns]
         s = summary.select("sim_id", *extra).withColumn("_has_summary", F.lit(True))
-        runs = runs.join(s, on="sim_id", how="left")
+        runs = runs.join(s.hint("merge"), on="sim_id", how="left")
     if timing is not None:
         t = timing.withColumn("_has_timing", F.lit(True))
-        runs = runs.join(t, on="sim_id", how="left")
+        runs = runs.join(t.hint("merge"), on="sim_id", how="left")
         has_rc = "energyplus_returncode" in timing.columns
     has_summary = F.coalesce(F.col("_has_summary"), F.lit(False)) if summary is not None else F.lit(False)
     has_timing = F.coalesce(F.col("_has_timing"), F.lit(False)) if timing is not None else F.lit(False)

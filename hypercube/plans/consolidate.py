@@ -1,9 +1,10 @@
 """Consolidation of worker batch outputs (C14: S2, U1, S10, O1, S15, Q4, C13).
 
-Workers write, per batch, a summary CSV, an hourly Parquet file, a timing CSV
-with a row per run and one with a row for the batch (its medians and the
-costs of the batch itself).  Each kind lives below folders of its own; CSV
-files of different headers may lie together and are read by column name.
+Workers write, per batch or for several batches in one file, a summary CSV, an
+hourly Parquet file, a timing CSV with a row per run and one with a row for the
+batch (its medians and the costs of the batch itself).  Each kind lives below
+folders of its own, ``batch=<b>`` folders among them; CSV files of different
+headers may lie together and are read by column name.
 
 ``consolidate`` writes below ``out``:
 - ``study_results`` (summary rows ordered by sim_id);
@@ -75,11 +76,12 @@ def consolidate(spark: SparkSession, *, summary_roots: list[str], hourly_roots:
     return paths
 
 
-def land_batches(df: DataFrame, root: str, fmt: str, batch_size: int) -> str:
-    """Write rows as per-batch worker files (``batch=<b>`` folders) in one job."""
+def land_batches(df: DataFrame, root: str, fmt: str, batch_size: int, n_files: int) -> str:
+    """Write rows as worker files in one job: ``n_files`` at most, each batch
+    whole in one of them, so files follow the rows and not the batches."""
     from hypercube.operators.runs import batch_of
     batch = F.col("batch_id") if "sim_id" not in df.columns else batch_of("sim_id", batch_size)
-    w = df.withColumn(BATCH_FOLDER, batch).repartition(BATCH_FOLDER).write.partitionBy(BATCH_FOLDER)
+    w = df.repartition(n_files, batch).write
     if fmt == "csv":
         (w.option("header", True).option("ignoreLeadingWhiteSpace", False)
          .option("ignoreTrailingWhiteSpace", False).csv(root))

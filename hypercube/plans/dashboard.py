@@ -43,7 +43,7 @@ def run_dashboard(runs: DataFrame, run_stats: DataFrame) -> DataFrame:
     Both sides are per-run tables; the join shuffles on ``sim_id``.
     """
     stats = run_stats.select("sim_id", *RUN_STATS_COLUMNS)
-    return runs.join(stats, on="sim_id", how="left")
+    return runs.join(stats.hint("merge"), on="sim_id", how="left")
 
 
 def hourly_dashboard(sparse: DataFrame, calendar: DataFrame, zone_catalog: DataFrame) -> DataFrame:

@@ -172,21 +172,22 @@ class Study:
         return self.fx.artifact("raw-run-files", write)
 
     def batch_files(self) -> dict[str, list[str]]:
-        """Per-batch worker outputs, as workers of two versions would leave
-        them: summaries with two different CSV headers, hourly Parquet, and
-        timing CSVs per run and per batch, each kind in ``batch=<b>`` folders."""
+        """Worker outputs, as workers of two versions would leave them:
+        summaries with two different CSV headers, hourly Parquet, and timing
+        CSVs per run and per batch.  A worker's file holds whole batches, and
+        files of each kind are as many as the hourly rows ask for."""
         from hypercube.plans.consolidate import land_batches
 
         def write(root):
-            s = self.summary
+            s, n = self.summary, self.landed_files
             odd = (F.ceil(F.col("sim_id") / BATCH_SIZE) % 2) == 1
-            land_batches(s.where(~odd), f"{root}/summary", "csv", BATCH_SIZE)
-            land_batches(s.where(odd).select(*reversed(s.columns)), f"{root}/summary_v2", "csv", BATCH_SIZE)
-            land_batches(self.hourly_wide, f"{root}/hourly", "parquet", BATCH_SIZE)
-            land_batches(self.timing, f"{root}/timing_detail", "csv", BATCH_SIZE)
+            land_batches(s.where(~odd), f"{root}/summary", "csv", BATCH_SIZE, n)
+            land_batches(s.where(odd).select(*reversed(s.columns)), f"{root}/summary_v2", "csv", BATCH_SIZE, n)
+            land_batches(self.hourly_wide, f"{root}/hourly", "parquet", BATCH_SIZE, n)
+            land_batches(self.timing, f"{root}/timing_detail", "csv", BATCH_SIZE, n)
             n_runs = self.design.agg(F.count(F.lit(1))).scalar()
             own = timing.batch_timing(self.timing, BATCH_SIZE, n_runs).join(self.fx.fx_batch_cost, on="batch_id")
-            land_batches(own, f"{root}/timing_summary", "csv", BATCH_SIZE)
+            land_batches(own, f"{root}/timing_summary", "csv", BATCH_SIZE, n)
         root = self.fx.artifact("batch-files", write)
         return {"summary": [f"{root}/summary", f"{root}/summary_v2"], "hourly": [f"{root}/hourly"],
                 "timing": [f"{root}/timing_detail"], "batch_timing": [f"{root}/timing_summary"]}

@@ -162,3 +162,20 @@ def test_consolidate_guards(spark, sf_small):
     with pytest.raises(ValueError):
         consolidate(spark, out=work_dir(spark, "consolidate-empty"),
                     **{**args, "summary_roots": [work_dir(spark, "nothing-here")]})
+
+
+def test_worker_files_follow_the_rows_not_the_batches(spark, sf_small):
+    from hypercube.plans.consolidate import land_batches
+    from hypercube.plans.study import Study
+    root = work_dir(spark, "landed")
+    rows = spark.range(1, 2001).select(F.col("id").cast("int").alias("sim_id"), F.lit(0.5).alias("x_sec"))
+    land_batches(rows, root, "csv", 10, 3)
+    at = (csv_src.read_csv_union(spark, root, {"sim_id": "int"}).withColumn("file", F.input_file_name())
+          .groupBy(F.ceil(F.col("sim_id") / 10)).agg(F.count_distinct("file").alias("files"), F.count("*").alias("n")).collect())
+    assert len(at) == 200 and {(r.files, r.n) for r in at} == {(1, 10)}
+    assert sum(len(g) for g in csv_src.header_groups(spark, root)) <= 3
+    st = Study(spark, sf_small)
+    kinds = st.batch_files()
+    assert all(sum(len(g) for g in csv_src.header_groups(spark, p)) <= st.landed_files
+               for kind in ("summary", "timing", "batch_timing") for p in kinds[kind])
+    assert len(spark.read.parquet(*kinds["hourly"]).inputFiles()) <= st.landed_files

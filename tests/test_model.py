@@ -231,3 +231,29 @@ def test_exploded_runs_are_not_broadcast(spark):
     runs_df = spark.range(1, 101).select(F.col("id").cast("int").alias("sim_id"))
     plan = sampling.lhs_long(runs_df)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_median_ranges_go_to_the_values(spark, monkeypatch):
+    from hypercube.operators import quantile
+    plans, cut = [], quantile._materialize
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+    monkeypatch.setattr(quantile, "_materialize", noted)
+    values = spark.range(101).select(F.lit("a").alias("g"), (F.col("id") * F.col("id")).cast("double").alias("v"))
+    assert quantile.exact_median(values, ["g"], "v", buckets=4).first()["median"] == 2500.0
+    assert any("BuildRight" in p for p in plans) and not any("BuildLeft" in p for p in plans)
+
+
+def test_run_tables_are_joined_by_shuffle(spark):
+    from hypercube.plans.dashboard import RUN_STATS_COLUMNS, run_dashboard
+    design = spark.createDataFrame([(1, 0.5), (2, 0.6)], "sim_id int, f_wall double")
+    mart = runs.runs_mart(design, spark.createDataFrame([(1, 3.0)], "sim_id int, kwh_sqm_top double"),
+                          spark.createDataFrame([(1, 0), (1, 1)], "sim_id int, energyplus_returncode int"))
+    stats = spark.createDataFrame([(2, *[None] * len(RUN_STATS_COLUMNS))],
+                                  "sim_id int, " + ", ".join(f"{c} int" for c in RUN_STATS_COLUMNS))
+    both = run_dashboard(mart, stats)
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") >= 3
+    assert sorted((r.sim_id, r.run_status) for r in both.collect()) == [(1, "failed"), (1, "ok"), (2, "missing")]
