@@ -28,7 +28,7 @@ FROM tot t LEFT JOIN dn d ON t.batch_id = d.batch_id"""))
 def q_progress_stream(spark, sf_dir):
     """T1 + A18: study progress from summary files as they land."""
     st = Study(spark, sf_dir)
-    return inc.stream_progress(spark, st.landed_summary(), st.design, BATCH_SIZE)
+    return inc.stream_progress(spark, st.landed_summary(), st.design, BATCH_SIZE, st.files_per_trigger())
 
 
 @register("stream_run_stats", o.q(o.HOURLY_FX, o.cte_hourly(), select="SELECT * FROM rs"))

@@ -116,9 +116,9 @@ def progress_report(done: DataFrame, design: DataFrame, batch_size: int) -> Data
 
 
 def stream_progress(spark: SparkSession, summary_dir: str, design: DataFrame, batch_size: int,
-                    root: str | None = None) -> DataFrame:
+                    files_per_trigger: int = 1, root: str | None = None) -> DataFrame:
     root = root or work_dir(spark, "progress-stream")
-    run_until_drained(first_summaries(file_stream(spark, summary_dir)), root,
+    run_until_drained(first_summaries(file_stream(spark, summary_dir, files_per_trigger)), root,
                       lambda runs: progress_counts(runs, batch_size))
     done = read_epochs(spark, root, PROGRESS).groupBy("batch_id").agg(F.sum("n_done").alias("n_done"))
     return progress_report(done, design, batch_size)

@@ -6,6 +6,7 @@ import shutil
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from hypercube.operators import hourly
 from hypercube.session import work_dir
@@ -97,3 +98,12 @@ def test_a_summary_that_lands_twice_counts_once(spark):
     runs.coalesce(1).write.mode("append").parquet(f"{root}/in")
     again = inc.stream_progress(spark, f"{root}/in", design, 5, root=f"{root}/job")
     assert sorted(map(tuple, again.collect())) == [(1, 5, 5, 100.0), (2, 2, 5, 40.0)]
+
+
+def test_progress_takes_several_files_an_epoch(spark):
+    root = work_dir(spark, "progress-files")
+    spark.range(1, 61).select(F.col("id").cast("int").alias("sim_id")).repartition(6).write.parquet(f"{root}/in")
+    design = spark.range(1, 61).select(F.col("id").cast("int").alias("sim_id"))
+    got = inc.stream_progress(spark, f"{root}/in", design, 20, files_per_trigger=3, root=f"{root}/job")
+    assert sorted((r.batch_id, r.n_done, r.pct_done) for r in got.collect()) == [(b, 20, 100.0) for b in (1, 2, 3)]
+    assert inc.read_epochs(spark, f"{root}/job", inc.PROGRESS).select("epoch").distinct().count() == 2
