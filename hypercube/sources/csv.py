@@ -10,12 +10,16 @@ lacks is NULL.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hypercube.session import path_exists
 
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 
 def header_groups(spark: SparkSession, paths: list[str] | str) -> list[list[str]]:
     """The CSV files below ``paths``, those with the same header line together.
@@ -27,20 +31,40 @@ def header_groups(spark: SparkSession, paths: list[str] | str) -> list[list[str]
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
         return []
-    lines = (spark.read.option("recursiveFileLookup", True).text(paths)
-             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value",
-                     F.monotonically_increasing_id().alias("id")).where("at = 0"))
+    with listing_tasks(spark):
+        found = spark.read.option("recursiveFileLookup", True).text(paths)
+    lines = (found.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value",
+                          F.monotonically_increasing_id().alias("id")).where("at = 0"))
     heads = lines.groupBy("file").agg(F.min_by("value", "id").alias("head"))
     groups = heads.groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("head").collect()
     return [r["files"] for r in groups]
 
 
+@contextmanager
+def listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Files are listed by a few tasks a core meanwhile, not by a task a path:
+    ten thousand tasks of one path each cost more than the listing."""
+    own = spark.conf.get(LISTING, None)
+    spark.conf.set(LISTING, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.unset(LISTING) if own is None else spark.conf.set(LISTING, own)
+
+
+def read_text_columns(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Files of one header: columns named by the first file's header and read as
+    text; every file's header is checked against it as it is read.  The names
+    come from one file, so that the others are listed once."""
+    reader = (spark.read.option("header", True).option("inferSchema", False)
+              .option("enforceSchema", False).option("mode", "FAILFAST"))
+    with listing_tasks(spark):
+        return reader.schema(reader.csv(files[0]).schema).csv(files)
+
+
 def read_csv_group(spark: SparkSession, files: list[str], types: dict[str, str]) -> DataFrame:
-    """One header group: columns named by the header and read as text (every
-    file's header is checked against it), then each known column cast by
-    name."""
-    raw = (spark.read.option("header", True).option("inferSchema", False)
-           .option("enforceSchema", False).option("mode", "FAILFAST").csv(files))
+    """One header group: each known column cast by name."""
+    raw = read_text_columns(spark, files)
     return raw.select(*[F.col(f"`{n}`").cast(types.get(n, "string")).alias(n) for n in raw.columns])
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hypercube.sources.csv import header_groups
+from hypercube.sources.csv import header_groups, read_text_columns
 
 RUN_DIR_PATTERN = r"Run_(\d+)"
 STAMP_COLUMN = "Date/Time"
@@ -28,8 +28,7 @@ def scan_raw_output(spark: SparkSession, paths: list[str] | str) -> list[DataFra
     """
     frames = []
     for files in header_groups(spark, paths):
-        df = (spark.read.option("header", True).option("inferSchema", False)
-              .option("enforceSchema", False).option("mode", "FAILFAST").csv(files))
+        df = read_text_columns(spark, files)
         frames.append(df.withColumn(
             "sim_id", F.regexp_extract(F.col("_metadata.file_path"), RUN_DIR_PATTERN, 1).cast("int"))
             .withColumnRenamed(STAMP_COLUMN, "datetime"))
@@ -49,9 +48,13 @@ def read_raw_output(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 
 def write_run_files(wide: DataFrame, root: str) -> None:
     """Write one simulator-style CSV folder per run (``Run_<sim_id>``), with
-    ``Date/Time`` first, as the simulator leaves them (used to land test data)."""
+    ``Date/Time`` first, as the simulator leaves them (used to land test data).
+
+    The cost of a run is its file, not its bytes, so the number of tasks is
+    given: adaptive execution would join them by their bytes."""
+    n = int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [c for c in wide.columns if c not in ("sim_id", STAMP_COLUMN)]
     (wide.withColumn("run", F.concat(F.lit("Run_"), F.col("sim_id").cast("string")))
      .select("run", STAMP_COLUMN, *cols)
-     .repartition("run").write.partitionBy("run").option("header", True)
+     .repartition(n, "run").write.partitionBy("run").option("header", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(root))

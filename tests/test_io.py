@@ -179,3 +179,25 @@ def test_worker_files_follow_the_rows_not_the_batches(spark, sf_small):
     assert all(sum(len(g) for g in csv_src.header_groups(spark, p)) <= st.landed_files
                for kind in ("summary", "timing", "batch_timing") for p in kinds[kind])
     assert len(spark.read.parquet(*kinds["hourly"]).inputFiles()) <= st.landed_files
+
+
+def test_files_are_listed_by_few_tasks_and_their_headers_checked(spark, tmp_path):
+    own = spark.conf.get(csv_src.LISTING, None)
+    with csv_src.listing_tasks(spark):
+        assert int(spark.conf.get(csv_src.LISTING)) == 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(csv_src.LISTING, None) == own
+    _write_text(f"{tmp_path}/a.csv", "x,y\n1,2\n")
+    _write_text(f"{tmp_path}/b.csv", "y,x\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        csv_src.read_text_columns(spark, [f"{tmp_path}/a.csv", f"{tmp_path}/b.csv"]).collect()
+
+
+def test_run_files_are_written_by_many_tasks(spark):
+    from hypercube.sources.raw_output import write_run_files
+    root = work_dir(spark, "run-files")
+    wide = spark.range(1, 101).select(F.col("id").cast("int").alias("sim_id"), F.lit(" 01/01  01:00:00").alias("Date/Time"),
+                                      F.lit(1.0).alias("A"))
+    write_run_files(wide, root)
+    files = [f for g in csv_src.header_groups(spark, root) for f in g]
+    assert len(files) == 100 and len({os.path.basename(f).split("-")[1] for f in files}) > 1
+    assert sorted(r.sim_id for r in read_raw_output(spark, root).collect()) == list(range(1, 101))
