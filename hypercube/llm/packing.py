@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import re
-import struct
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +25,8 @@ SHARD = 1 << 21
 NEIGHBOURS = 32
 #: Parameters of BM25.
 K1, B = 1.2, 0.75
-#: Words whose ids a worker remembers, at most twice.
-REMEMBER = 400_000
+#: Parts of words whose ids a worker remembers, about, and their bytes; code points of texts that are encoded at a time.
+REMEMBER, REMEMBER_BYTES, CHARS = 1 << 19, 1 << 26, 1 << 23
 
 #: A text on which a tokenizer that splits between words gives the ids of its words.
 SAMPLE = "Some words, 12 more.\n  It's the l'\u00c9cole's LAST;  line-end "
@@ -40,27 +40,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 # ------------------------------------------------------------------ tokens
-class _Ids(dict):
-    """Ids of words, as bytes of 32-bit integers; of unknown words by the tokenizer.
-
-    When it is full it starts anew and keeps the full one to look up in.
-    """
-
-    def __init__(self, encode, older: dict):
-        self.encode, self.older = encode, older
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.older.get(word)
-        if ids is None:
-            ids = self.encode(word)
-        self[word] = ids
-        return ids
-
-
 #: Words of ASCII without capitals and apostrophes and of lower-case Latin letters, and the parts that the
 #: tokenizer splits them into: letters, single digits, marks.
-_PLAIN = re.compile("[a-z0-9\u00df-\u00f6\u00f8-\u00ff!-&(-/:-@\\[-`{-~]+")
-_PART = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[!-&(-/:-@\\[-`{-~]+")
+_PLAIN = "^[a-z0-9\u00df-\u00f6\u00f8-\u00ff!-&(-/:-@\\[-`{-~]+$"
+_PART = "([a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[!-&(-/:-@\\[-`{-~]+)"
 
 
 def _latin(text: str) -> bool:
@@ -71,8 +54,35 @@ def _latin(text: str) -> bool:
         return False
 
 
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """What stands between the blanks of the texts: each word once, the words' places in that, where each text's begin."""
+    lists = pc.split_pattern(texts, " ")
+    words = lists.flatten().dictionary_encode()
+    return words.dictionary, words.indices.to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+
+
+class _Spans:
+    """Rows of ids, one after the other."""
+
+    def __init__(self, ids: np.ndarray, lengths: np.ndarray):
+        self.ids, self.lengths = ids, lengths
+        self.ends = np.cumsum(lengths, dtype=np.int64)
+
+    def take(self, at: np.ndarray) -> _Spans:
+        """The rows at the given places."""
+        lengths = self.lengths[at]
+        before = np.repeat((self.ends[at] - np.cumsum(lengths, dtype=np.int64)).astype(np.int32), lengths)
+        before += np.arange(len(before), dtype=np.int32)
+        return _Spans(self.ids[before], lengths)
+
+    def joined(self, firsts: np.ndarray) -> _Spans:
+        """The rows from each of ``firsts`` up to the next as one; the last one ends the last."""
+        ends = np.concatenate([[0], self.ends])[firsts]
+        return _Spans(self.ids, np.diff(ends).astype(np.int32))
+
+
 class Encoder:
-    """The tokenizer's ids of whole texts, word by word.
+    """The tokenizer's ids of whole texts, by the distinct parts of their words.
 
     It splits at white space and at the edges of words before anything else,
     so the ids of a text are those of what stands between its blanks and line
@@ -87,10 +97,13 @@ class Encoder:
         self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.bytes_of: dict[str, str] = {}
-        self.words = _Ids(self._word, {})
+        self._forget()
         self.by_word = True
         self.by_word = self(SAMPLE) == self._encode(SAMPLE)
 
+    def _forget(self) -> None:
+        self.known, self.ids = pa.array([], pa.string()), _Spans(np.zeros(0, "<u4"), np.zeros(0, np.int32))
+
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -100,24 +113,55 @@ class Encoder:
             self.bytes_of[letter] = "".join(part for part, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(letter))
         return self.bytes_of[letter]
 
-    def _word(self, word: str) -> bytes:
-        parts = _PART.findall(word) if _PLAIN.fullmatch(word) else ()
-        if len(parts) > 1:
-            return b"".join([self.words[p] for p in parts])
-        if not parts or not word.isalpha():
-            return self._encode(word)
-        spelled = word if word.isascii() else "".join(map(self._spelled, word))
-        ids = [t.id for t in self.model.tokenize(spelled)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+    def _part(self, part: str, plain: bool) -> list[int]:
+        """Ids of a part of a word; of one in plain letters by the model alone."""
+        if not plain or not part.isalpha():
+            return self.tokenizer.encode(part, add_special_tokens=False).ids
+        spelled = part if part.isascii() else "".join(map(self._spelled, part))
+        return [t.id for t in self.model.tokenize(spelled)]
+
+    def _parts(self, parts: pa.Array) -> _Spans:
+        """Ids of distinct parts of words.
+
+        They are remembered; when there are too many, only these are kept."""
+        at = pc.index_in(parts, value_set=self.known)
+        new = parts.filter(at.is_null())
+        if len(new) and (len(self.known) + len(new) > REMEMBER or self.known.nbytes + new.nbytes > REMEMBER_BYTES):
+            self._forget()
+            at, new = pa.nulls(len(parts), pa.int32()), parts
+        at = at.fill_null(-1).to_numpy(zero_copy_only=False).copy()
+        at[at < 0] = np.arange(len(self.known), len(self.known) + len(new))
+        if len(new):
+            found = list(map(self._part, new.to_pylist(), pc.match_substring_regex(new, _PLAIN).to_pylist()))
+            self.known = pa.concat_arrays([self.known, new])
+            self.ids = _Spans(np.concatenate([self.ids.ids, np.fromiter(chain.from_iterable(found), "<u4")]),
+                              np.concatenate([self.ids.lengths, np.fromiter(map(len, found), np.int32, len(found))]))
+        return self.ids.take(at)
+
+    def _words(self, texts: list[str]) -> _Spans:
+        """Ids of texts that name no special token."""
+        blanks = pc.replace_substring(pa.array([t.lower() if _latin(t) else t for t in texts], pa.string()), "\n", " ")
+        words, place, firsts = _split(blanks)
+        apart = pc.replace_substring_regex(words, _PART, r"\1 ")
+        parts, part, first = _split(pc.if_else(pc.match_substring_regex(words, _PLAIN), apart, words))
+        return self._parts(parts).take(part).joined(first).take(place).joined(firsts)
+
+    def batch(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text, by about ``CHARS`` code points at a time."""
+        start = 0
+        while start < len(texts):
+            end, held = start, 0
+            while end < len(texts) and (end == start or held + len(texts[end]) <= CHARS):
+                held, end = held + len(texts[end]), end + 1
+            some = texts[start: end]
+            whole = [not self.by_word or any(s in t for s in self.special) for t in some]
+            found = self._words(["" if w else t for w, t in zip(whole, some)])
+            for text, one, ids in zip(some, whole, np.split(found.ids, found.ends[:-1])):
+                yield np.frombuffer(self._encode(text), "<u4") if one else ids
+            start = end
 
     def __call__(self, text: str) -> bytes:
-        if not self.by_word or any(s in text for s in self.special):
-            return self._encode(text)
-        if len(self.words) > REMEMBER:
-            self.words = _Ids(self._word, dict(self.words))
-        if _latin(text):
-            text = text.lower()
-        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
+        return next(self.batch([text])).tobytes()
 
 
 _encoders: dict[str, Encoder] = {}
@@ -162,8 +206,8 @@ def tokenize(docs: DataFrame, path: str, kind: str, size: int) -> DataFrame:
         encode, frequency, slot = encoder(path), np.zeros(size, np.int64), 0
         for batch in batches:
             found = []
-            for text in batch.column(1):
-                ids = np.frombuffer(encode(text.as_py() or ""), "<u4").astype(kind)
+            for ids in encode.batch(batch.column(1).fill_null("").to_pylist()):
+                ids = ids.astype(kind)
                 frequency[np.unique(ids)] += 1
                 found.append(ids.tobytes())
             width = np.dtype(kind).itemsize
@@ -173,6 +217,8 @@ def tokenize(docs: DataFrame, path: str, kind: str, size: int) -> DataFrame:
         at = np.flatnonzero(frequency)
         none = [None] * len(at)
         yield rows(pa.array(none, pa.int64()), none, frequency[at], none, at)
+        # the worker runs other tasks after this one
+        pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, ids binary, n long, slot long, term long")
@@ -365,9 +411,9 @@ class _Index:
         self.place = np.arange(len(docs))
 
     def keep(self, unused: np.ndarray) -> None:
-        """Takes all but the unused documents out, once these are at most half of those in the index."""
+        """Takes all but the unused documents out, once these are at most four fifths of those in the index."""
         stay = unused[self.place]
-        if 2 * stay.sum() > len(stay):
+        if 5 * stay.sum() > 4 * len(stay):
             return
         number, held = np.cumsum(stay) - 1, stay[self.owner]
         self.first = np.concatenate([[0], np.cumsum(held)])[self.first]

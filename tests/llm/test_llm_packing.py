@@ -121,6 +121,20 @@ def test_full_memory_of_words_changes_nothing(monkeypatch):
         assert np.frombuffer(encode(text), "<u4").tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_parts_of_a_batch_are_asked_once(monkeypatch):
+    asked = []
+    encode = packing.Encoder(PATH)
+    monkeypatch.setattr(packing, "CHARS", 40)  # a slice ends within the batch
+    monkeypatch.setattr(packing.Encoder, "_part", lambda self, part, plain, of=packing.Encoder._part: asked.append(part) or of(self, part, plain))
+    texts = ["walrus, walrus. (walrus", "", "Walrus!\nquince7 7quince", "x <|endoftext|> y", "É walrus\u3000中文 quince", *[LETTERS] * 3, "a  b "]
+    for _ in range(2):
+        found = list(encode.batch(texts))
+        assert [ids.tolist() for ids in found] == [encode.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert max(asked.count(p) for p in asked) == 1 and asked.count("walrus") == 1
+    monkeypatch.setattr(packing, "REMEMBER_BYTES", 100)  # more than the words of some slice take
+    assert [ids.tolist() for ids in encode.batch(texts)] == [ids.tolist() for ids in found]
+
+
 def test_no_documents(spark):
     assert packing.pack(_docs(spark, []), PATH).collect() == []
 
