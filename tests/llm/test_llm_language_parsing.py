@@ -43,6 +43,20 @@ def test_batches_and_many_letters_make_no_difference(monkeypatch):
     assert np.allclose(language.profiles(texts)[0], whole)
 
 
+def test_texts_are_judged_a_few_at_a_time(monkeypatch):
+    # a batch's profiles, 4 KB a text, never stand in memory together
+    rows = _texts(60)
+    texts = [t for _, t, _ in rows] + [None, "", "12 ?"]
+    model = {la: language.profiles([t for _, t, x in rows if x == la])[0].sum(axis=0) for la in ("xx", "yy", "zz")}
+    whole = language._judge(texts, model)
+    profiled = []
+    monkeypatch.setattr(language, "TEXTS", 7)
+    monkeypatch.setattr(language, "profiles", lambda some, of=language.profiles: profiled.append(len(some)) or of(some))
+    langs, scores = language._judge(texts, model)
+    assert langs == whole[0] and np.allclose(scores, whole[1]) and len(scores) == 63
+    assert max(profiled) == 7 and sum(profiled) == 63 and langs[-3:] == ["und"] * 3
+
+
 def test_held_out_languages(spark):
     rows = _texts(300) + [(1000, None, "xx"), (1001, "", "xx"), (1002, "12 !?", "yy"), (None, "tha ing the", "xx"), (1003, "schein keit", None)]
     rows += [(5, rows[5][1], rows[5][2])]
