@@ -50,9 +50,8 @@ def test_texts_are_judged_a_few_at_a_time(monkeypatch):
     model = {la: language.profiles([t for _, t, x in rows if x == la])[0].sum(axis=0) for la in ("xx", "yy", "zz")}
     whole = language._judge(texts, model)
     profiled = []
-    monkeypatch.setattr(language, "TEXTS", 7)
     monkeypatch.setattr(language, "profiles", lambda some, of=language.profiles: profiled.append(len(some)) or of(some))
-    langs, scores = language._judge(texts, model)
+    langs, scores = language._judge(texts, model, 7)
     assert langs == whole[0] and np.allclose(scores, whole[1]) and len(scores) == 63
     assert max(profiled) == 7 and sum(profiled) == 63 and langs[-3:] == ["und"] * 3
 
