@@ -23,10 +23,14 @@ END = 1
 SHARD = 1 << 21
 #: Neighbours that a seed is given at a time, and twice as many each further time.
 NEIGHBOURS = 32
+#: A term is frequent in a shard if at least one in so many of its documents holds it.
+OFTEN = 8
 #: Parameters of BM25.
 K1, B = 1.2, 0.75
 #: Parts of words whose ids a worker remembers, about, and their bytes; code points of texts that are encoded at a time.
-REMEMBER, REMEMBER_BYTES, CHARS = 1 << 19, 1 << 26, 1 << 23
+REMEMBER, REMEMBER_BYTES, CHARS = 1 << 20, 1 << 26, 1 << 24
+#: Texts whose ids are put together at a time.
+TOGETHER = 256
 
 #: A text on which a tokenizer that splits between words gives the ids of its words.
 SAMPLE = "Some words, 12 more.\n  It's the l'\u00c9cole's LAST;  line-end "
@@ -57,6 +61,7 @@ def _latin(text: str) -> bool:
 def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """What stands between the blanks of the texts: each word once, the words' places in that, where each text's begin."""
     lists = pc.split_pattern(texts, " ")
+    del texts
     words = lists.flatten().dictionary_encode()
     return words.dictionary, words.indices.to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
 
@@ -138,13 +143,17 @@ class Encoder:
                               np.concatenate([self.ids.lengths, np.fromiter(map(len, found), np.int32, len(found))]))
         return self.ids.take(at)
 
-    def _words(self, texts: list[str]) -> _Spans:
-        """Ids of texts that name no special token."""
-        blanks = pc.replace_substring(pa.array([t.lower() if _latin(t) else t for t in texts], pa.string()), "\n", " ")
-        words, place, firsts = _split(blanks)
+    def _words(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of each text, none of which names a special token; put together for some texts at a time."""
+        # no copy of the texts outlives its use
+        words, place, firsts = _split(pc.replace_substring(pa.array([t.lower() if _latin(t) else t for t in texts], pa.string()), "\n", " "))
         apart = pc.replace_substring_regex(words, _PART, r"\1 ")
         parts, part, first = _split(pc.if_else(pc.match_substring_regex(words, _PLAIN), apart, words))
-        return self._parts(parts).take(part).joined(first).take(place).joined(firsts)
+        of_word = self._parts(parts).take(part).joined(first)
+        for at in range(0, len(texts), TOGETHER):
+            ends = firsts[at: at + TOGETHER + 1]
+            found = of_word.take(place[ends[0]: ends[-1]]).joined(ends - ends[0])
+            yield from np.split(found.ids, found.ends[:-1])
 
     def batch(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text, by about ``CHARS`` code points at a time."""
@@ -156,7 +165,7 @@ class Encoder:
             some = texts[start: end]
             whole = [not self.by_word or any(s in t for s in self.special) for t in some]
             found = self._words(["" if w else t for w, t in zip(whole, some)])
-            for text, one, ids in zip(some, whole, np.split(found.ids, found.ends[:-1])):
+            for text, one, ids in zip(some, whole, found):
                 yield np.frombuffer(self._encode(text), "<u4") if one else ids
             start = end
 
@@ -174,14 +183,45 @@ def encoder(path: str) -> Encoder:
 
 
 # ------------------------------------------------- statistics and shards
+#: Kind of the numbers that count a document's terms.
+COUNT = "<u4"
+
+
+def _counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids in order and how often each occurs."""
+    ids = np.sort(ids)
+    begins = np.ones(len(ids), bool)
+    np.not_equal(ids[1:], ids[:-1], out=begins[1:])
+    at = np.flatnonzero(begins)
+    return ids[at], np.append(at[1:], len(ids)) - at
+
+
 def _told(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """How much each term tells about a document."""
     return idf[terms] * (counts * (K1 + 1) / (counts + K1))
 
 
+def _topics(terms: np.ndarray, counts: np.ndarray, lengths: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """The term that tells most about each document, -1 if it has none; documents follow each other, ``lengths`` count their terms."""
+    told, some = _told(terms, counts, idf), lengths > 0
+    found = np.full(len(lengths), -1)
+    if some.any():
+        begins = (np.cumsum(lengths) - lengths)[some]
+        best = np.flatnonzero(told == np.repeat(np.maximum.reduceat(told, begins), lengths[some]))
+        found[some] = terms[best[np.searchsorted(best, begins)]]
+    return found
+
+
 def _topic(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> int:
     """The term that tells most about a document, -1 if it has none."""
-    return int(terms[_told(terms, counts, idf).argmax()]) if len(terms) else -1
+    return int(_topics(terms, counts, np.array([len(terms)]), idf)[0])
+
+
+def _topics_of(terms: pa.Array, counts: pa.Array, kind: str, idf: np.ndarray) -> np.ndarray:
+    """``_topics`` of a column of terms and one of their counts."""
+    terms = terms.to_pylist()
+    return _topics(np.frombuffer(b"".join(terms), kind), np.frombuffer(b"".join(counts.to_pylist()), COUNT),
+                   np.array([len(x) for x in terms], np.int64) // np.dtype(kind).itemsize, idf)
 
 
 def _key(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> bytes:
@@ -190,39 +230,50 @@ def _key(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> bytes:
     return terms[order].astype(terms.dtype.newbyteorder(">")).tobytes()
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch's rows, by about ``CHARS`` code points of the second column at a time."""
+    ends = np.cumsum(pc.utf8_length(batch.column(1)).fill_null(0).to_numpy(), dtype=np.int64)
+    start = 0
+    while start < len(ends):
+        end = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + CHARS, "right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def tokenize(docs: DataFrame, path: str, kind: str, size: int) -> DataFrame:
-    """Each row of ``docs`` as ``(doc_id, ids, n, slot)``, and each task's document frequencies as ``(term, n)``.
+    """Each row of ``docs`` as ``(doc_id, ids, terms, counts, same, n, slot)``, and each task's document frequencies as ``(term, n)``.
 
-    ids are those of the text, as numbers of the given kind; n counts them and
-    the end id; slot numbers a task's rows.  A task sends one row for each
-    term of the vocabulary at most.
+    ids are those of the text, as numbers of the given kind; terms are the
+    distinct ones in order, counts how often each occurs, same their hash; n
+    counts the ids and the end id; slot numbers a task's rows.  A task sends
+    one row for each term of the vocabulary at most.
     """
+    names = ["doc_id", "ids", "terms", "counts", "same", "n", "slot", "term"]
+    types = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(doc_id, ids, n, slot, term):
-            return pa.RecordBatch.from_arrays(
-                [doc_id, pa.array(ids, pa.binary()), pa.array(n, pa.int64()), pa.array(slot, pa.int64()), pa.array(term, pa.int64())],
-                ["doc_id", "ids", "n", "slot", "term"])
+        def rows(*columns):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
         encode, frequency, slot = encoder(path), np.zeros(size, np.int64), 0
-        for batch in batches:
-            found = []
+        for batch in (part for whole in batches for part in _slices(whole)):
+            found: list[list] = [[], [], [], [], []]
             for ids in encode.batch(batch.column(1).fill_null("").to_pylist()):
-                ids = ids.astype(kind)
-                # with counts they are sorted, which takes less than hashing them
-                frequency[np.unique(ids, return_counts=True)[0]] += 1
-                found.append(ids.tobytes())
-            width = np.dtype(kind).itemsize
-            yield rows(batch.column(0), found, [len(x) // width + 1 for x in found],
-                       range(slot, slot + len(found)), [None] * len(found))
-            slot += len(found)
+                terms, counts = _counted(ids.astype(kind))
+                frequency[terms] += 1
+                ids = ids.astype(kind).tobytes()
+                for column, x in zip(found, (ids, terms.tobytes(), counts.astype(COUNT).tobytes(), zlib.crc32(ids), counts.sum() + 1)):
+                    column.append(x)
+            yield rows(batch.column(0), *found, range(slot, slot + len(batch)), [None] * len(batch))
+            slot += len(batch)
         at = np.flatnonzero(frequency)
         none = [None] * len(at)
-        yield rows(pa.array(none, pa.int64()), none, frequency[at], none, at)
+        yield rows(none, none, none, none, none, frequency[at], none, at)
         # the worker runs other tasks after this one
         pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, ids binary, n long, slot long, term long")
+        run, "doc_id long, ids binary, terms binary, counts binary, same long, n long, slot long, term long")
 
 
 def _deal(tokens: dict[int, int], shard: int) -> list[tuple[int, int, int]]:
@@ -318,16 +369,11 @@ def _cuts(own: DataFrame, kind: str, idf: np.ndarray, large: dict[int, int], sha
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, at = [], []
-            for k, ids in enumerate(batch.column(0)):
-                ids = ids.as_py()
-                terms, counts = np.unique(np.frombuffer(ids, kind), return_counts=True)
-                if _topic(terms, counts, idf) in large:
-                    found.append((_key(terms, counts, idf), zlib.crc32(ids)))
-                    at.append(k)
-            kept = batch.take(pa.array(at, pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.binary()), pa.array([x for _, x in found], pa.int64()),
-                                              kept.column(1), kept.column(2)], ["key", "same", "tie", "n"])
+            at = np.flatnonzero(np.isin(_topics_of(batch.column(0), batch.column(1), kind, idf), list(large)))
+            kept = batch.take(pa.array(at))
+            found = [_key(np.frombuffer(terms, kind), np.frombuffer(counts, COUNT), idf)
+                     for terms, counts in zip(kept.column(0).to_pylist(), kept.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), *kept.columns[2:]], ["key", "same", "tie", "n"])
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns)))
@@ -336,7 +382,7 @@ def _cuts(own: DataFrame, kind: str, idf: np.ndarray, large: dict[int, int], sha
                                              ["key", "same", "tie", "n", "starts"])
 
     kind_of = "key binary, same long, tie long, n long"
-    keyed = written(own.select("ids", "tie", "n").mapInArrow(keys, kind_of), "keys")
+    keyed = written(own.select("terms", "counts", "same", "tie", "n").mapInArrow(keys, kind_of), "keys")
     order = ["key", "same", "tie"]
     # some shards for each task, so that few begin at a task's first row
     found = (keyed.repartitionByRange(-(-sum(large.values()) // (8 * shard)), *order).sortWithinPartitions(*order)
@@ -365,49 +411,55 @@ def sharded(rows: DataFrame, kind: str, size: int, shard: int) -> tuple[DataFram
     def topics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(size + 1, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                ids = np.frombuffer(ids.as_py(), kind)
-                sums[_topic(*np.unique(ids, return_counts=True), idf) + 1] += len(ids) + 1
+            np.add.at(sums, _topics_of(batch.column(0), batch.column(1), kind, idf) + 1, batch.column(2).to_numpy())
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at - 1), pa.array(sums[at])], ["topic", "n"])
 
-    dealt = _deal({r["topic"]: r["n"] for r in own.select("ids").mapInArrow(topics, "topic long, n long")
+    dealt = _deal({r["topic"]: r["n"] for r in own.select("terms", "counts", "n").mapInArrow(topics, "topic long, n long")
                    .groupBy("topic").agg(F.sum("n").alias("n")).collect()}, shard)
-    of = {topic: first for topic, first, parts in dealt if parts == 1}
+    of = np.full(size + 1, -1)
+    for topic, first, parts in dealt:
+        if parts == 1:
+            of[topic + 1] = first
     sums = {topic: parts * shard for topic, _, parts in dealt if parts > 1}
     cuts = _cuts(own, kind, idf, sums, shard) if sums else []
     after = max((first + parts for _, first, parts in dealt), default=0)
 
-    def to_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            shards = []
-            for ids, tie in zip(batch.column(1), batch.column(2)):
-                ids = ids.as_py()
-                terms, counts = np.unique(np.frombuffer(ids, kind), return_counts=True)
-                topic = _topic(terms, counts, idf)
-                shards.append(of[topic] if topic in of
-                              else after + bisect_right(cuts, (_key(terms, counts, idf), zlib.crc32(ids), tie.as_py())))
-            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), batch.column(0), batch.column(1)], ["shard", "doc_id", "ids"])
+    @F.arrow_udf("long")
+    def to_shard(terms: pa.Array, counts: pa.Array, same: pa.Array, tie: pa.Array) -> pa.Array:
+        shards = of[_topics_of(terms, counts, kind, idf) + 1]
+        for k in np.flatnonzero(shards < 0).tolist():
+            key = _key(np.frombuffer(terms[k].as_py(), kind), np.frombuffer(counts[k].as_py(), COUNT), idf)
+            shards[k] = after + bisect_right(cuts, (key, same[k].as_py(), tie[k].as_py()))
+        return pa.array(shards, pa.int64())
 
-    return own.select("doc_id", "ids", "tie").mapInArrow(to_shard, "shard long, doc_id long, ids binary"), idf, mean
+    return own.select(to_shard("terms", "counts", "same", "tie").alias("shard"), "doc_id", "ids"), idf, mean
 
 
 # ------------------------------------------------------------------ packing
 class _Index:
-    """BM25 weights of a shard's documents by term."""
+    """BM25 weights of a shard's documents by term: a row of all documents for each frequent term, else the documents that hold it."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float):
         terms, owners, weights = [], [], []
         for n, ids in enumerate(docs):
-            t, c = np.unique(ids, return_counts=True)
+            t, c = _counted(ids)
             terms.append(t)
             owners.append(np.full(len(t), n, np.intp))
             weights.append(idf[t] * (c * (K1 + 1) / (c + K1 * (1 - B + B * len(ids) / mean))))
         self.terms = terms
         term = np.concatenate(terms) if terms else np.zeros(0, np.int64)
         order = np.argsort(term, kind="stable")
-        self.owner, self.weight = np.concatenate(owners)[order], np.concatenate(weights)[order]
-        self.first = np.searchsorted(term[order], np.arange(len(idf) + 1))
+        term, owner, weight = term[order], np.concatenate(owners)[order], np.concatenate(weights)[order]
+        held = np.bincount(term, minlength=len(idf))
+        often = held * OFTEN >= max(1, len(docs))
+        #: The rows of frequent terms in ``table``, -1 of others.
+        self.row = np.where(often, np.cumsum(often) - 1, -1)
+        self.table = np.zeros((often.sum(), len(docs)))
+        here = often[term]
+        self.table[self.row[term[here]], owner[here]] = weight[here]
+        self.owner, self.weight = owner[~here], weight[~here]
+        self.first = np.concatenate([[0], np.cumsum(np.where(often, 0, held))])
         #: The documents that are still in the index, by their number in it.
         self.place = np.arange(len(docs))
 
@@ -419,16 +471,21 @@ class _Index:
         number, held = np.cumsum(stay) - 1, stay[self.owner]
         self.first = np.concatenate([[0], np.cumsum(held)])[self.first]
         self.owner, self.weight = number[self.owner[held]], self.weight[held]
-        self.place = self.place[stay]
+        self.table, self.place = self.table.compress(stay, axis=1), self.place[stay]
 
     def scores(self, doc: int) -> np.ndarray:
         """The score of every document in the index for all terms of ``doc``."""
         terms = self.terms[doc].astype(np.intp)
-        spans = list(zip(self.first[terms].tolist(), self.first[terms + 1].tolist()))
-        if not spans:
-            return np.zeros(len(self.place))
-        return np.bincount(np.concatenate([self.owner[a:b] for a, b in spans]),
-                           np.concatenate([self.weight[a:b] for a, b in spans]), len(self.place))
+        rows = self.row[terms]
+        scores = np.zeros(len(self.place))
+        for row in rows[rows >= 0].tolist():
+            scores += self.table[row]
+        terms = terms[rows < 0]
+        spans = [(a, b) for a, b in zip(self.first[terms].tolist(), self.first[terms + 1].tolist()) if b > a]
+        if spans:
+            scores += np.bincount(np.concatenate([self.owner[a:b] for a, b in spans]),
+                                  np.concatenate([self.weight[a:b] for a, b in spans]), len(self.place))
+        return scores
 
 
 def _best(scores: np.ndarray, n: int) -> np.ndarray:

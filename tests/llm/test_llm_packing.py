@@ -191,3 +191,52 @@ def test_segments_hold_all_rows_and_end_between_topics():
     assert list(packing._segments(iter([]), 200, 1)) == []
     long = [(b"\x01", 1, 1, 500), (b"\x02", 1, 2, 3), (b"\x02", 2, 2, 500)]
     assert [x[3] for x in packing._segments(iter(long), 200, 1)] == [500, 3, 500]
+
+
+def test_terms_are_counted_once_beside_the_ids(spark):
+    # what topics, keys and shards need stands in the written tokens; no later pass over them counts ids again
+    rows = [(k, t) for k, (_, t) in enumerate(_rows())]
+    size = packing.encoder(PATH).tokenizer.get_vocab_size()
+    tokens = packing.tokenize(_docs(spark, rows), PATH, "<u2", size).filter("term IS NULL").collect()
+    assert len(tokens) == len(rows)
+    for r in tokens:
+        ids = np.frombuffer(packing.encoder(PATH)(rows[r["doc_id"]][1] or ""), "<u4")
+        terms, counts = np.unique(ids, return_counts=True)
+        assert np.frombuffer(r["ids"], "<u2").tolist() == ids.tolist() and r["n"] == len(ids) + 1
+        assert np.frombuffer(r["terms"], "<u2").tolist() == terms.tolist()
+        assert np.frombuffer(r["counts"], packing.COUNT).tolist() == counts.tolist()
+        assert r["same"] == zlib.crc32(bytes(r["ids"]))
+
+
+def test_topics_of_a_batch_are_those_of_its_documents():
+    rng = np.random.default_rng(8)
+    idf = rng.integers(1, 4, 50) / 2.0  # many ties
+    docs = [packing._counted(rng.zipf(1.4, n).clip(1, 49).astype("<u2")) for n in [0, 1, 5, 0, 0, *rng.integers(0, 60, 300), 0]]
+    wanted = [int(t[(idf[t] * (c * (packing.K1 + 1) / (c + packing.K1))).argmax()]) if len(t) else -1 for t, c in docs]
+    lengths = np.array([len(t) for t, _ in docs])
+    assert packing._topics(*map(np.concatenate, zip(*docs)), lengths, idf).tolist() == wanted
+    assert packing._topics(np.zeros(0, "<u2"), np.zeros(0, "<u4"), np.zeros(3, int), idf).tolist() == [-1, -1, -1]
+
+
+@pytest.mark.parametrize("often", [1, 8, 10_000])
+def test_frequent_and_rare_terms_score_alike(monkeypatch, often):
+    monkeypatch.setattr(packing, "OFTEN", often)
+    rng = np.random.default_rng(5)
+    docs, idf, mean = [rng.zipf(1.3, rng.integers(0, 90)).clip(1, 199) for _ in range(200)], rng.random(200) + 0.1, 40.0
+    index, counts = packing._Index(docs, idf, mean), [np.bincount(d, minlength=200) for d in docs]
+    weights = np.array([idf * (c * (packing.K1 + 1) / (c + packing.K1 * (1 - packing.B + packing.B * len(d) / mean))) for c, d in zip(counts, docs)])
+    for kept in (np.ones(200, bool), rng.random(200) < 0.5, np.arange(200) % 7 == 3):
+        index.keep(kept)
+        for k in range(0, 200, 9):
+            np.testing.assert_allclose(index.scores(k), weights[index.place][:, np.unique(docs[k])].sum(axis=1), atol=1e-9)
+    assert len(index.place) < 40
+
+
+def test_slices_hold_all_rows(monkeypatch):
+    monkeypatch.setattr(packing, "CHARS", 10)
+    texts = ["abcd", None, "é" * 6, "x", "", "y" * 25, None, "z"]
+    batch = packing.pa.RecordBatch.from_arrays([packing.pa.array(range(8)), packing.pa.array(texts)], ["doc_id", "text"])
+    found = [s.column(1).to_pylist() for s in packing._slices(batch)]
+    assert [t for s in found for t in s] == texts
+    assert all(len(s) == 1 or sum(len(t or "") for t in s) <= 10 for s in found) and len(found) == 4
+    assert list(packing._slices(batch.slice(0, 0))) == []
