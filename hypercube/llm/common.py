@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,3 +45,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = work_dir(spark, f"llm-{name}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def give_back() -> None:
+    """In a Python worker: memory that was freed goes back to the system.
+
+    Arrow and the C library (glibc) would keep it, in a worker that runs
+    other tasks next, beside what those allocate.
+    """
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)

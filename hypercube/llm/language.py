@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hypercube.llm.common import table
+from hypercube.llm.common import give_back, table
 
 #: Length of the vectors and of the letter n-grams.
 DIM, GRAM = 1024, 3
@@ -210,8 +210,10 @@ def keep_identified(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, _ = _judge(batch.column(text).to_pylist(), model, TEXTS)
-            yield batch.filter(pa.array([lang != UNDETERMINED for lang in langs], pa.bool_()))
+            known = [lang != UNDETERMINED for start in range(0, len(batch), TEXTS)
+                     for lang in _judge(batch.column(text).slice(start, TEXTS).to_pylist(), model)[0]]
+            yield batch.filter(pa.array(known, pa.bool_()))
+            give_back()
 
     return docs.mapInArrow(run, docs.schema)
 

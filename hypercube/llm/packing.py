@@ -5,7 +5,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hypercube.llm.common import table, written
+from hypercube.llm.common import give_back, table, written
 
 WINDOW = 2048
 #: Id that ends each document.
@@ -50,20 +50,29 @@ _PLAIN = "^[a-z0-9\u00df-\u00f6\u00f8-\u00ff!-&(-/:-@\\[-`{-~]+$"
 _PART = "([a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[!-&(-/:-@\\[-`{-~]+)"
 
 
-def _latin(text: str) -> bool:
-    """Whether all code points are below 256, whose lower case is sure to be the tokenizer's."""
-    try:
-        return text.isascii() or bool(text.encode("latin-1"))
-    except UnicodeEncodeError:
-        return False
+#: Code points from 256 on; the lower case of those below is sure to be the tokenizer's.
+_BEYOND = r"[^\x{00}-\x{ff}]"
+
+
+def _lowered(texts: pa.Array) -> pa.Array:
+    """The texts, in lower case if all their code points are below 256."""
+    beyond = pc.match_substring_regex(texts, _BEYOND)
+    lower = pc.utf8_lower(texts)
+    if pc.any(beyond).as_py():
+        lower = pc.if_else(beyond, texts, lower)
+    pa.default_memory_pool().release_unused()
+    return lower
 
 
 def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """What stands between the blanks of the texts: each word once, the words' places in that, where each text's begin."""
     lists = pc.split_pattern(texts, " ")
     del texts
-    words = lists.flatten().dictionary_encode()
-    return words.dictionary, words.indices.to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    pa.default_memory_pool().release_unused()
+    words, firsts = lists.flatten().dictionary_encode(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    del lists
+    pa.default_memory_pool().release_unused()
+    return words.dictionary, words.indices.to_numpy(), firsts
 
 
 class _Spans:
@@ -143,10 +152,10 @@ class Encoder:
                               np.concatenate([self.ids.lengths, np.fromiter(map(len, found), np.int32, len(found))]))
         return self.ids.take(at)
 
-    def _words(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def _words(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ids of each text, none of which names a special token; put together for some texts at a time."""
         # no copy of the texts outlives its use
-        words, place, firsts = _split(pc.replace_substring(pa.array([t.lower() if _latin(t) else t for t in texts], pa.string()), "\n", " "))
+        words, place, firsts = _split(pc.replace_substring(_lowered(texts), "\n", " "))
         apart = pc.replace_substring_regex(words, _PART, r"\1 ")
         parts, part, first = _split(pc.if_else(pc.match_substring_regex(words, _PLAIN), apart, words))
         of_word = self._parts(parts).take(part).joined(first)
@@ -162,13 +171,18 @@ class Encoder:
             end, held = start, 0
             while end < len(texts) and (end == start or held + len(texts[end]) <= CHARS):
                 held, end = held + len(texts[end]), end + 1
-            some = texts[start: end]
-            whole = [not self.by_word or any(s in t for s in self.special) for t in some]
-            found = self._words(["" if w else t for w, t in zip(whole, some)])
-            for text, one, ids in zip(some, whole, found):
-                yield np.frombuffer(self._encode(text), "<u4") if one else ids
+            yield from self.array(pa.array(texts[start: end], pa.string()))
             start = end
 
+    def array(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text, all at once."""
+        whole = np.full(len(texts), not self.by_word)
+        for s in self.special:
+            whole |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        found = self._words(pc.if_else(pa.array(whole), "", texts) if whole.any() else texts)
+        for n, ids in enumerate(found):
+            yield np.frombuffer(self._encode(texts[n].as_py()), "<u4") if whole[n] else ids
+
     def __call__(self, text: str) -> bytes:
         return next(self.batch([text])).tobytes()
 
@@ -257,20 +271,23 @@ def tokenize(docs: DataFrame, path: str, kind: str, size: int) -> DataFrame:
 
         encode, frequency, slot = encoder(path), np.zeros(size, np.int64), 0
         for batch in (part for whole in batches for part in _slices(whole)):
-            found: list[list] = [[], [], [], [], []]
-            for ids in encode.batch(batch.column(1).fill_null("").to_pylist()):
-                terms, counts = _counted(ids.astype(kind))
-                frequency[terms] += 1
-                ids = ids.astype(kind).tobytes()
-                for column, x in zip(found, (ids, terms.tobytes(), counts.astype(COUNT).tobytes(), zlib.crc32(ids), counts.sum() + 1)):
-                    column.append(x)
-            yield rows(batch.column(0), *found, range(slot, slot + len(batch)), [None] * len(batch))
-            slot += len(batch)
+            texts = encode.array(batch.column(1).cast(pa.string()).fill_null(""))
+            for at in range(0, len(batch), TOGETHER):
+                doc_ids, found = batch.column(0).slice(at, TOGETHER), [[], [], [], [], []]
+                for ids in islice(texts, len(doc_ids)):
+                    terms, counts = _counted(ids.astype(kind))
+                    frequency[terms] += 1
+                    ids = ids.astype(kind).tobytes()
+                    for column, x in zip(found, (ids, terms.tobytes(), counts.astype(COUNT).tobytes(), zlib.crc32(ids), counts.sum() + 1)):
+                        column.append(x)
+                yield rows(doc_ids, *found, range(slot, slot + len(doc_ids)), [None] * len(doc_ids))
+                slot += len(doc_ids)
+            # a slice's words are much larger than what stays of it, and other tasks follow in this worker
+            del texts
+            give_back()
         at = np.flatnonzero(frequency)
         none = [None] * len(at)
         yield rows(none, none, none, none, none, frequency[at], none, at)
-        # the worker runs other tasks after this one
-        pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, ids binary, terms binary, counts binary, same long, n long, slot long, term long")
@@ -607,6 +624,7 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, shard: int = SHARD, w
                             (int(pdf["shard"].iat[0]) << 32) + k, offset, ids if with_ids else None))
                 offset += length
         found = pd.DataFrame(out, columns=["d", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
+        give_back()
         found.insert(0, "doc_id", pdf["doc_id"].astype(object).where(~pdf["nameless"], None).to_numpy()[found["d"]])
         return found.drop(columns=["d"] if with_ids else ["d", "ids"])
 

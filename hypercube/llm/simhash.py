@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hypercube.llm.common import columns, spare, table, written
+from hypercube.llm.common import columns, give_back, spare, table, written
 from hypercube.llm.components import connected_components
 
 BITS = 64
@@ -72,6 +72,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         for batch in batches:
             fp = [simhash(t.as_py(), shingle) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp, pa.int64())], ["doc_id", "text_hash", "fp"])
+            give_back()
 
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, text_hash long, fp long")

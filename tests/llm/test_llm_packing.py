@@ -240,3 +240,40 @@ def test_slices_hold_all_rows(monkeypatch):
     assert [t for s in found for t in s] == texts
     assert all(len(s) == 1 or sum(len(t or "") for t in s) <= 10 for s in found) and len(found) == 4
     assert list(packing._slices(batch.slice(0, 0))) == []
+
+
+class _Rows:
+    """Stands for a DataFrame and returns the function that Arrow batches would go through."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_few_texts_rows_are_held_at_a_time_and_memory_is_given_back(spark, monkeypatch):
+    monkeypatch.setattr(packing, "TOGETHER", 3)
+    monkeypatch.setattr(packing, "CHARS", 60)
+    given = []
+    monkeypatch.setattr(packing, "give_back", lambda: given.append(1))
+    texts = ["Some words", None, "", "ÀÉ Größe", "ŠKODA İx ÀB", "a\nb", "<|endoftext|> x", "word " * 7] * 3
+    size = packing.encoder(PATH).tokenizer.get_vocab_size()
+    run = packing.tokenize(_Rows(), PATH, "<u2", size)
+    for kind in (packing.pa.string(), packing.pa.large_string()):
+        given.clear()
+        batch = packing.pa.RecordBatch.from_arrays([packing.pa.array(range(24), packing.pa.int64()), packing.pa.array(texts, kind)], ["doc_id", "text"])
+        *parts, last = run(iter([batch, batch]))
+        assert max(len(p) for p in parts) == 3 and sum(len(p) for p in parts) == 48
+        assert len(given) == 2 * len(list(packing._slices(batch))) > 2
+        rows = [r for p in parts for r in p.to_pylist()]
+        assert [r["doc_id"] for r in rows] == [*range(24)] * 2 and [r["slot"] for r in rows] == [*range(48)]
+        for r in rows:
+            ids = packing.encoder(PATH)._encode(texts[r["doc_id"]] or "")
+            assert np.frombuffer(r["ids"], "<u2").tolist() == np.frombuffer(ids, "<u4").tolist()
+        assert len(last) == len({x for r in rows for x in np.frombuffer(r["ids"], "<u2")})
+
+
+def test_texts_are_lowered_as_python_does_if_they_are_latin():
+    texts = ["".join(map(chr, range(256))), "ÀB Š", "İ", "", "ABİ", "ÞÆ×ß µ"]
+    assert packing._lowered(packing.pa.array(texts)).to_pylist() == [t.lower() if all(ord(c) < 256 for c in t) else t for t in texts]
