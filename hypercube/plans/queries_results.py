@@ -100,14 +100,13 @@ rw AS (SELECT sim_id, {_STAMP_SQL} AS datetime, {HEADER_ZONE} AS zk, joules FROM
 SELECT sim_id, datetime, {", ".join(f"CAST(coalesce(sum(joules) FILTER (WHERE zk = '{z}'), 0.0E0) AS FLOAT) AS zone_{z}" for z in _RAW_ZONES)}
 FROM rw GROUP BY sim_id, datetime"""))
 def q_raw_output_scan(spark, sf_dir):
-    """S5 + C8 + P18: simulator-style CSV files, one folder per run, read in
-    one scan per header (run id from the file path; half the runs' files have
-    their columns in another order), heating columns projected to the wide
+    """S5 + C8 + P18: simulator-style CSV files, one folder per run, read a
+    portion at a time by header (run id from the file path; half the runs' files
+    have their columns in another order), heating columns projected to the wide
     hourly table."""
     st = Study(spark, sf_dir)
     out = None
-    for frame in raw_output.scan_raw_output(spark, st.raw_run_files()):
-        part = results.hourly_projection(frame)
+    for part in raw_output.scan_raw_output(spark, st.raw_run_files(), results.hourly_projection):
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 

@@ -201,3 +201,67 @@ def test_run_files_are_written_by_many_tasks(spark):
     files = [f for g in csv_src.header_groups(spark, root) for f in g]
     assert len(files) == 100 and len({os.path.basename(f).split("-")[1] for f in files}) > 1
     assert sorted(r.sim_id for r in read_raw_output(spark, root).collect()) == list(range(1, 101))
+
+
+def test_run_files_are_read_a_portion_at_a_time(spark, tmp_path, monkeypatch):
+    from hypercube.operators.results import hourly_projection
+    from hypercube.sources.raw_output import scan_raw_output
+    a, b = ("{} IDEAL LOADS AIR:Zone Ideal Loads Supply Air Total Heating Energy [J](Hourly)".format(z) for z in "AB")
+    for i in range(1, 101):
+        head, cells = (f"Date/Time,{a},{b},Other", f"{i},{-i},9") if i % 3 else (f"Date/Time,{b},{a}", f"{-i},{i}")
+        _write_text(f"{tmp_path}/w{i % 2}/Run_{i}/out.csv", f"{head}\n 01/01  01:00:00,{cells}\n")
+    _write_text(f"{tmp_path}/w1/_temporary/Run_7/out.csv", "not,a,run\n1,2,3\n")
+    _write_text(f"{tmp_path}/w1/Run_200/out.csv", "")
+    monkeypatch.setattr(csv_src, "FILES_AT_ONCE", 7)
+    own = {key: spark.conf.get(key, None) for key in csv_src.PORTION_SETTINGS}
+    seen = []
+
+    def files(spark, paths, found=csv_src._files_by_header):
+        seen.append(sum(map(len, (heads := found(spark, paths)).values())))
+        return heads
+    monkeypatch.setattr(csv_src, "_files_by_header", files)
+    frames = scan_raw_output(spark, [str(tmp_path), f"{tmp_path}/w1"], hourly_projection)
+    assert len(seen) > 10 and max(seen) <= 7 and sum(seen) == 100
+    rows = sorted(tuple(r) for f in frames for r in f.select("sim_id", "datetime", "zone_A", "zone_B").collect())
+    assert rows == [(i, " 01/01  01:00:00", float(i), float(-i)) for i in range(1, 101)]
+    # the frames are over a few files of rows, so their plans do not list the run files
+    assert len(frames) == 2 and not any("Run_" in f for frame in frames for f in frame.inputFiles())
+    assert {key: spark.conf.get(key, None) for key in csv_src.PORTION_SETTINGS} == own
+    whole = [f for f in scan_raw_output(spark, f"{tmp_path}/w?/Run_*/out.csv") if "Other" in f.columns]
+    assert len(whole) == 1 and whole[0].columns == ["datetime", a, b, "Other", "sim_id"] and whole[0].count() == 67
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        scan_raw_output(spark, [str(tmp_path), f"{tmp_path}/nothing"])
+    assert scan_raw_output(spark, []) == []
+
+
+def test_a_portions_frames_are_let_go(spark, tmp_path, monkeypatch):
+    import gc
+
+    from py4j.java_gateway import JavaObject
+
+    from hypercube.sources.raw_output import scan_raw_output
+    for i in range(1, 61):
+        _write_text(f"{tmp_path}/Run_{i}/out.csv", f"Date/Time,A\n 01/01  01:00:00,{i}\n")
+    monkeypatch.setattr(csv_src, "FILES_AT_ONCE", 10)
+    held = []
+
+    def files(spark, paths, found=csv_src._files_by_header):
+        held.append(sum(isinstance(x, JavaObject) for x in gc.get_objects()))
+        return found(spark, paths)
+    monkeypatch.setattr(csv_src, "_files_by_header", files)
+    gc.collect()
+    gc.disable()
+    try:
+        assert sum(f.count() for f in scan_raw_output(spark, str(tmp_path))) == 60
+    finally:
+        gc.enable()
+    assert len(held) == 6 and held[-1] <= held[1], held
+
+
+def test_no_folder_has_all_run_files(spark):
+    from hypercube.sources.raw_output import write_run_files
+    root = work_dir(spark, "run-folders")
+    write_run_files(spark.range(1, 101).select(F.col("id").cast("int").alias("sim_id"), F.lit(" 01/01  01:00:00").alias("Date/Time"),
+                                               F.lit(1.0).alias("A")), root)
+    runs = [len(csv_src._listed(spark, worker)) for worker in csv_src._listed(spark, root)]
+    assert sum(runs) == 100 and 1 < len(runs) <= 8 and max(runs) < 50
